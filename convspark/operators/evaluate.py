@@ -16,7 +16,7 @@ def dedup_contexts(examples: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def load_examples(examples: DataFrame, n: int, seed: int = 0, deduplicate: bool = False) -> DataFrame:
-    """Up to n random ``(index, context, response)`` rows, ``index`` dense from 0."""
+    """Up to n random ``(context, response, ordinal)`` rows, ``ordinal`` dense from 0."""
     pairs = examples.select("context", "response")
     if deduplicate:
         pairs = dedup_contexts(pairs, seed)
@@ -36,9 +36,9 @@ def eval_batches(indexed: DataFrame, n_candidates: int = 100, seed: int = 0) ->
     permuted = batch.orderBy(F.md5(F.concat_ws(":", F.lit(f"permute-{seed}"), F.col("true_pos").cast("string"),
                                                F.col("batch_id").cast("string"))), "true_pos")
     return (
-        indexed.withColumn("batch_id", F.floor(F.col("index") / n_candidates))
-        .withColumn("true_pos", (F.col("index") % n_candidates).cast("int"))
-        .drop("index")
+        indexed.withColumn("batch_id", F.floor(F.col("ordinal") / n_candidates))
+        .withColumn("true_pos", (F.col("ordinal") % n_candidates).cast("int"))
+        .drop("ordinal")
         .withColumn("_size", F.count(F.lit(1)).over(batch))
         .where(F.col("_size") == n_candidates)
         .drop("_size")

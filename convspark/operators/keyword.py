@@ -93,10 +93,11 @@ class KeywordModel:
         weights = self.weights(sides, "batch_id", "is_context", "pos").withColumn("term", F.xxhash64("term"))
 
         def rank(places: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
-            return rank_scores(places, sparse_scores(len(places), pieces))
+            return rank_scores(places, sparse_scores(len(places), pieces), "batch")
 
-        places = batches.select("batch_id", "ctx_pos", "true_pos")
-        return places.groupBy("batch_id").cogroup(weights.groupBy("batch_id")).applyInPandas(rank, RANKED)
+        # a new name keeps the two sides of the cogroup apart
+        places = batches.select(F.col("batch_id").alias("batch"), "ctx_pos", "true_pos")
+        return places.groupBy("batch").cogroup(weights.groupBy("batch_id")).applyInPandas(rank, RANKED)
 
 
 @dataclass(frozen=True)

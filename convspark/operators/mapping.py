@@ -117,9 +117,9 @@ class VectorMapping:
         pairs = self.encoder.encode(examples.select("context", "response"))
         indexed = materialise(dense_index(pairs, self.seed), "vectors")
         n_dev = int(np.ceil(DEV_SHARE * indexed.count()))
-        is_dev = F.col("index") < n_dev
-        batch = F.when(is_dev, F.floor(F.col("index") / DEV_BATCH_SIZE)).otherwise(
-            F.floor((F.col("index") - n_dev) / TRAIN_BATCH_SIZE)
+        is_dev = F.col("ordinal") < n_dev
+        batch = F.when(is_dev, F.floor(F.col("ordinal") / DEV_BATCH_SIZE)).otherwise(
+            F.floor((F.col("ordinal") - n_dev) / TRAIN_BATCH_SIZE)
         )
         return (
             indexed.groupBy(is_dev.alias("is_dev"), batch.alias("batch"))

@@ -21,10 +21,10 @@ def row_digest(columns: Sequence[str], seed: int = 0) -> Column:
 
 
 def _expand_copies(rows: DataFrame) -> DataFrame:
-    """One row per copy, with its ``index``. Rows with very many copies are cut into blocks that
+    """One row per copy, with its ``ordinal``. Rows with very many copies are cut into blocks that
     are spread over the cluster before they unfold."""
     few = rows.where(F.col("_copies") <= _COPIES_PER_BLOCK).withColumn(
-        "index", F.explode(F.sequence("_start", F.col("_start") + F.col("_copies") - 1))
+        "ordinal", F.explode(F.sequence("_start", F.col("_start") + F.col("_copies") - 1))
     )
     end = F.col("_start") + F.col("_copies") - 1
     many = (
@@ -32,7 +32,7 @@ def _expand_copies(rows: DataFrame) -> DataFrame:
         .withColumn("_block", F.explode(F.sequence("_start", end, F.lit(_COPIES_PER_BLOCK).cast("long"))))
         .repartition("_digest", "_block")
         .withColumn(
-            "index", F.explode(F.sequence("_block", F.least(F.col("_block") + _COPIES_PER_BLOCK - 1, end)))
+            "ordinal", F.explode(F.sequence("_block", F.least(F.col("_block") + _COPIES_PER_BLOCK - 1, end)))
         )
         .drop("_block")
     )
@@ -47,7 +47,7 @@ def dense_index(
     unique: bool = False,
     prefix_digits: int = 4,
 ) -> DataFrame:
-    """Add ``index``: 0, 1, 2, ... in the order of a seeded hash of ``key`` (default: all columns).
+    """Add ``ordinal``: 0, 1, 2, ... in the order of a seeded hash of ``key`` (default: all columns).
 
     Rows fall into ``16 ** prefix_digits`` buckets by the first digits of the hash. The bucket
     counts, at most that many numbers, give each bucket's offset and are broadcast; rows are then
@@ -55,7 +55,7 @@ def dense_index(
     shuffle, so a small sample of a huge table moves little more than the sample.
 
     Identical rows are counted before they are shuffled and unfolded afterwards, unless the caller
-    promises that rows are ``unique``.
+    promises that the key is ``unique``.
     """
     columns = df.columns
     keyed = df.withColumn("_digest", row_digest(key or columns, seed)).withColumn(
@@ -69,9 +69,10 @@ def dense_index(
     kept = keyed.join(F.broadcast(offsets), "_bucket")  # bounded: one row per bucket
 
     quoted = [f"`{c}`" for c in columns]
-    in_bucket = Window.partitionBy("_bucket").orderBy("_digest", *quoted)
+    ties = [f"`{c}`" for c in key] if key and unique else quoted
+    in_bucket = Window.partitionBy("_bucket").orderBy("_digest", *ties)
     if unique:
-        indexed = kept.withColumn("index", F.col("_offset") + F.row_number().over(in_bucket) - 1)
+        indexed = kept.withColumn("ordinal", F.col("_offset") + F.row_number().over(in_bucket) - 1)
     else:
         grouped = kept.groupBy("_bucket", "_offset", "_digest", *quoted).agg(F.count(F.lit(1)).alias("_copies"))
         before = F.sum("_copies").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies")
@@ -82,20 +83,20 @@ def dense_index(
             )
         indexed = _expand_copies(ranked)
     if limit is not None:
-        indexed = indexed.where(F.col("index") < limit)
-    return indexed.select(*quoted, "index")
+        indexed = indexed.where(F.col("ordinal") < limit)
+    return indexed.select(*quoted, "ordinal")
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 0, unique: bool = False) -> DataFrame:
     """A uniform sample of exactly n rows without replacement; all rows when there are fewer."""
-    return dense_index(df, seed, limit=n, unique=unique).drop("index")
+    return dense_index(df, seed, limit=n, unique=unique).drop("ordinal")
 
 
 def ordered_index(df: DataFrame, *order: str) -> DataFrame:
-    """Add ``index``: 0, 1, 2, ... in the order of columns that identify a row.
+    """Add ``ordinal``: 0, 1, 2, ... in the order of columns that identify a row.
 
     The rows are written once, range partitioned and sorted, into the shared folder. Each file is
-    then one run of the order, so the index is the row's place in its file plus the rows of the
+    then one run of the order, so the ordinal is the row's place in its file plus the rows of the
     files before it: a table of one number per file.
     """
     spark = df.sparkSession
@@ -113,7 +114,7 @@ def ordered_index(df: DataFrame, *order: str) -> DataFrame:
     offsets = sizes.select("_file", (F.sum("_n").over(files) - F.col("_n")).alias("_offset"))
     # bounded: one row per file, and files are bounded by the shuffle partitions
     return rows.join(F.broadcast(offsets), "_file").select(
-        *[f"`{c}`" for c in df.columns], (F.col("_offset") + F.col("_row")).alias("index")
+        *[f"`{c}`" for c in df.columns], (F.col("_offset") + F.col("_row")).alias("ordinal")
     )
 
 
@@ -126,7 +127,7 @@ def shard_lines(
     names is an error; a larger corpus takes a longer suffix.
     """
     check_positive(lines_per_shard=lines_per_shard, suffix_length=suffix_length)
-    shard = F.floor(F.col("index") / lines_per_shard)
+    shard = F.floor(F.col("ordinal") / lines_per_shard)
     letters = [
         F.char((F.floor(shard / 26**place) % 26 + ord("a")).cast("long")) for place in reversed(range(suffix_length))
     ]
@@ -136,8 +137,8 @@ def shard_lines(
     return (
         ordered_index(lines, *order)
         .withColumn("file_id", name)
-        .withColumn("line_no", F.col("index") % lines_per_shard)
-        .drop("index")
+        .withColumn("line_no", F.col("ordinal") % lines_per_shard)
+        .drop("ordinal")
     )
 
 
@@ -149,15 +150,15 @@ def shuffle_into_shards(examples: DataFrame, shards_train: int, shards_test: int
     row spread evenly, and a task that runs again draws the same targets.
     """
     check_positive(shards_train=shards_train, shards_test=shards_test)
-    columns = [f"`{c}`" for c in examples.columns]
+    by_hash = F.xxhash64(*[f"`{c}`" for c in examples.columns])
     draw = F.xxhash64(F.monotonically_increasing_id())
     target = F.when(F.col("split") == TRAIN, F.pmod(draw, F.lit(shards_train))).when(
         F.col("split") == TEST, shards_train + F.pmod(draw, F.lit(shards_test))
     )
     return (
-        examples.sortWithinPartitions(*columns)
+        examples.sortWithinPartitions(by_hash)
         .withColumn("_target", target.cast("int"))
         .repartitionById(shards_train + shards_test, F.col("_target"))
         .drop("_target")
-        .sortWithinPartitions("split", F.xxhash64(*columns))
+        .sortWithinPartitions("split", by_hash)
     )

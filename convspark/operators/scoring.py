@@ -18,10 +18,10 @@ SCORE_DIGITS = 9
 _TERM_BLOCK = 4096
 
 
-def rank_scores(places: pd.DataFrame, scores: np.ndarray) -> pd.DataFrame:
+def rank_scores(places: pd.DataFrame, scores: np.ndarray, batch: str = "batch_id") -> pd.DataFrame:
     """Best candidate and rank of the true one for every context of one batch.
 
-    ``scores`` is contexts by candidates; ``places`` has batch_id, ctx_pos and true_pos.
+    ``scores`` is contexts by candidates; ``places`` has the batch number, ctx_pos and true_pos.
     """
     scores = np.round(scores, SCORE_DIGITS) + 0.0
     ctx, true = places["ctx_pos"].to_numpy(), places["true_pos"].to_numpy()
@@ -32,7 +32,7 @@ def rank_scores(places: pd.DataFrame, scores: np.ndarray) -> pd.DataFrame:
     best = mine.argmax(axis=1)
     return pd.DataFrame(
         {
-            "batch_id": places["batch_id"].to_numpy(),
+            "batch_id": places[batch].to_numpy(),
             "ctx_pos": ctx,
             "true_pos": true,
             "predicted_pos": best.astype("int32"),

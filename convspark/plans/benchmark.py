@@ -45,7 +45,7 @@ def evaluate(
     evaluated_on = materialise(
         load_examples(test, options.n_candidates * options.eval_num_batches, seed, options.deduplicate_eval), "test"
     )
-    model = ranker.fit(fitted_on.drop("index"))
+    model = ranker.fit(fitted_on.drop("ordinal"))
     ranked = model.rank_responses(eval_batches(evaluated_on, options.n_candidates, seed))
     return accuracy(ranked).select(
         F.lit(fitted_on.count()).cast("long").alias("train_size"),
