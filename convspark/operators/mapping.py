@@ -33,7 +33,9 @@ MAX_EPOCHS = 100
 PATIENCE = 9
 _ADAGRAD_START = 0.1
 
-_PARTIAL = "setting int, row int, total array<double>, loss double, hits long, rows long, batches long"
+# Sums travel in pieces of this many numbers, so that no group grows with the square of the dimension.
+_PIECE = 16_384
+_PARTIAL = "setting int, piece int, total array<double>"
 
 
 def batch_gradient(
@@ -134,55 +136,39 @@ class VectorMapping:
         )
 
         def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            totals: dict[int, list] = {}
+            # per setting: the gradient by the map, then by the residual, loss, batches, hits, rows
+            totals = {i: np.zeros(w.size + 5) for i, (w, _) in maps.value.items()}
             for frame in frames:
                 for is_dev, raw_contexts, raw_responses in zip(frame["is_dev"], frame["contexts"], frame["responses"]):
-                    contexts = unit_rows(stack(pd.Series(list(raw_contexts))))
-                    responses = unit_rows(stack(pd.Series(list(raw_responses))))
+                    contexts, responses = (unit_rows(stack(pd.Series(list(v)))) for v in (raw_contexts, raw_responses))
                     for i, (weights, residual) in maps.value.items():
-                        total = totals.setdefault(i, [np.zeros_like(weights), 0.0, 0.0, 0, 0, 0])
                         if is_dev:
-                            total[3] += dev_hits(contexts, responses, weights, residual)
-                            total[4] += len(contexts)
+                            totals[i][-2:] += dev_hits(contexts, responses, weights, residual), len(contexts)
                         else:
                             by_weights, by_residual, loss = batch_gradient(contexts, responses, weights, residual)
-                            total[0] += by_weights
-                            total[1] += by_residual
-                            total[2] += loss
-                            total[5] += 1
-            for i, (by_weights, by_residual, loss, hits, rows, n) in totals.items():
-                last = len(by_weights)  # the row after the matrix carries the scalars
-                yield pd.DataFrame(
-                    {
-                        "setting": i,
-                        "row": range(last + 1),
-                        "total": [*by_weights, np.array([by_residual])],
-                        "loss": [0.0] * last + [loss],
-                        "hits": [0] * last + [hits],
-                        "rows": [0] * last + [rows],
-                        "batches": [0] * last + [n],
-                    }
-                )
+                            totals[i][:-5] += by_weights.ravel()
+                            totals[i][-5:-2] += by_residual, loss, 1
+            for i, total in totals.items():
+                pieces = [total[at : at + _PIECE] for at in range(0, len(total), _PIECE)]
+                yield pd.DataFrame({"setting": i, "piece": range(len(pieces)), "total": pieces})
 
         def add(group: pd.DataFrame) -> pd.DataFrame:
-            first = group.iloc[[0]][["setting", "row"]].reset_index(drop=True)
-            first["total"] = [np.sum(np.stack(group["total"].to_numpy()), axis=0)]
-            for c in ("loss", "hits", "rows", "batches"):
-                first[c] = group[c].sum()
+            first = group.iloc[[0]].reset_index(drop=True)
+            first.at[0, "total"] = np.sum(np.stack(group["total"].to_numpy()), axis=0)
             return first
 
         partial = batches.mapInPandas(sums, _PARTIAL)
-        summed = partial.groupBy("setting", "row").applyInPandas(add, _PARTIAL).orderBy("setting", "row").toPandas()
+        summed = partial.groupBy("setting", "piece").applyInPandas(add, _PARTIAL).toPandas()
         maps.unpersist()
         out = {}
-        for i, rows in summed.groupby("setting"):
-            scalars = rows.iloc[-1]
-            n = max(int(scalars["batches"]), 1)
+        for i, rows in summed.sort_values("piece").groupby("setting"):
+            total = np.concatenate(rows["total"].to_numpy())
+            by_residual, loss, n, hits, dev_rows = total[-5:]
             out[int(i)] = {
-                "by_weights": np.stack(rows["total"].iloc[:-1].to_numpy()) / n,
-                "by_residual": float(scalars["total"][0]) / n,
-                "loss": float(scalars["loss"]) / n,
-                "accuracy": float(scalars["hits"]) / max(int(scalars["rows"]), 1),
+                "by_weights": total[:-5].reshape(running[int(i)].weights.shape) / max(n, 1.0),
+                "by_residual": by_residual / max(n, 1.0),
+                "loss": float(loss / max(n, 1.0)),
+                "accuracy": float(hits / max(dev_rows, 1.0)),
             }
         return out
 
