@@ -12,21 +12,29 @@ LINES_PER_BLOCK = 100_000
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
-    """Clean every line and drop those that become empty, so that they do not break adjacency."""
-    return lines.withColumn("line", preprocess_line("line")).where(F.col("line") != "")
+    """Clean every line and drop those that become empty, so that they do not break adjacency.
+
+    Unfolding a list of one or no line stands for the filter: a filter would be pushed below the
+    projection and run all patterns a second time.
+    """
+    others = [c for c in lines.columns if c != "line"]
+    known = lines.where(F.col("file_id").isNotNull() & F.col("line_no").isNotNull())
+    cleaned = known.select(*others, preprocess_line("line").alias("line"))
+    return cleaned.select(*others, F.explode(F.array_remove(F.array("line"), "")).alias("line"))
 
 
-def _previous_lines(lines: DataFrame, depth: int, lines_per_block: int) -> DataFrame:
-    """Add ``prev_1 .. prev_depth``, the lines before each line of the same file.
+def _previous_lines(lines: DataFrame, cleaned: DataFrame, depth: int, lines_per_block: int) -> DataFrame:
+    """The cleaned lines with ``prev_1 .. prev_depth``, the lines before them in the same file.
 
     A file may be arbitrarily long, so no window spans one. Windows span (file, block of line
     numbers). The first lines of a block take what they miss from ``carry``: the last lines before
     the block, built from one short row per block. Every block in that table holds at least one
-    line, so the ``depth`` blocks before always suffice. Both branches read the same exchange.
+    line, so the ``depth`` blocks before always suffice. Both branches read the same exchange, which
+    needs the same null filters on both: :func:`clean_lines` sets them before the join would.
     """
     keys = ["file_id", "block"]
     in_block = Window.partitionBy(*keys).orderBy("line_no")
-    blocked = lines.withColumn("block", F.floor(F.col("line_no") / lines_per_block)).select(
+    blocked = cleaned.withColumn("block", F.floor(F.col("line_no") / lines_per_block)).select(
         *keys,
         "line",
         *[F.lag("line", j).over(in_block).alias(f"prev_{j}") for j in range(1, depth + 1)],
@@ -34,8 +42,10 @@ def _previous_lines(lines: DataFrame, depth: int, lines_per_block: int) -> DataF
         F.lead("line_no").over(in_block).isNull().alias("is_last"),
     )
 
+    # Only files longer than a block need tails; without any, the branch is dropped at run time.
+    long_files = lines.where(F.col("line_no") >= lines_per_block).select("file_id").distinct()
     tail = F.array_compact(F.array("line", *[f"prev_{j}" for j in range(1, depth)]))
-    tails = blocked.where("is_last").select(*keys, tail.alias("tail"))
+    tails = blocked.where("is_last").select(*keys, tail.alias("tail")).join(long_files, "file_id", "left_semi")
     over_blocks = Window.partitionBy("file_id").orderBy("block")
     earlier = F.array_compact(F.array(*[F.lag("tail", j).over(over_blocks) for j in range(1, depth + 1)]))
     carry = tails.select(*keys, F.slice(F.flatten(earlier), 1, depth).alias("carry")).where(F.size("carry") > 0)
@@ -66,7 +76,7 @@ def line_examples(
     def in_range(c: str) -> Column:
         return F.length(c).between(min_length, max_length)
 
-    paired = _previous_lines(clean_lines(lines), num_extra_contexts + 1, lines_per_block)
+    paired = _previous_lines(lines, clean_lines(lines), num_extra_contexts + 1, lines_per_block)
     return paired.where(in_range("line") & in_range("prev_1")).select(
         "file_id",
         F.col("prev_1").alias("context"),

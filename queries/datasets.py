@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convspark.functions.split import split_label
-from convspark.functions.text import is_trimmed, preprocess_line, trim, word_count
+from convspark.functions.text import is_trimmed, trim, word_count
+from convspark.operators.lines import clean_lines
 from convspark.operators.lines import line_examples as build_line_examples
 from convspark.operators.ordering import shard_lines
 from convspark.operators.qa import dedup_qa, flatten_qa
@@ -49,8 +50,7 @@ def line_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {inputs.LINES_SQL}, {inputs.CLEAN_SQL} SELECT file_id, line_no, line FROM clean")
 def line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = inputs.lines(spark, sf_dir).withColumn("line", preprocess_line("line"))
-    return cleaned.where(F.col("line") != "")
+    return clean_lines(inputs.lines(spark, sf_dir))
 
 
 @query(
