@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from convspark.functions.text import tokens
@@ -44,13 +45,19 @@ def bm25_idf(df: Column, n_docs: int) -> Column:
     return F.log((F.lit(n_docs + 0.5) - df) / (df + 0.5))
 
 
-def tfidf_weights(docs: DataFrame, terms: DataFrame, n_docs: int, *key: str) -> DataFrame:
+def tfidf_weights(
+    docs: DataFrame, terms: DataFrame, n_docs: int, *key: str, together: Sequence[str] = ()
+) -> DataFrame:
     """``(key.., term, df, weight)``: TF-IDF scaled to length one per document.
 
     No term is out of vocabulary: one unseen in training has df 0. Joined by term; the term table
     is broadcast only if its written size is below the session's threshold.
+
+    Texts are moved once, by key (or by ``together``, a part of it that bounds a group). Counts and
+    norms are then taken in place, and the far more numerous terms do not move for them.
     """
-    known = term_counts(docs, *key).join(terms, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    placed = docs.repartition(*(together or key))
+    known = term_counts(placed, *key).join(terms, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     raw = known.withColumn("raw", F.col("tf") * smoothed_idf(F.col("df"), n_docs))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*key)))
     return raw.select(*key, "term", "df", (F.col("raw") / norm).alias("weight"))
@@ -63,7 +70,7 @@ def average_length(examples: DataFrame, terms: DataFrame, n_docs: int) -> float:
     """
     texts = documents(examples).groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
     keyed = texts.select("text", F.md5("text").alias("doc"), "copies")
-    weights = tfidf_weights(keyed, terms, n_docs, "doc", "copies")
+    weights = tfidf_weights(keyed, terms, n_docs, "doc", "copies", together=["doc"])
     total = weights.agg(F.sum(F.col("copies") * F.col("weight"))).first()[0]
     return (total or 0.0) / n_docs
 
@@ -75,9 +82,10 @@ class KeywordModel:
     terms: DataFrame
     n_docs: int
 
-    def weights(self, docs: DataFrame, *key: str) -> DataFrame:
+    def weights(self, docs: DataFrame, *key: str, together: Sequence[str] = ()) -> DataFrame:
         """``(key.., term, weight)`` for documents ``(key.., text)``."""
-        return tfidf_weights(docs, self.terms, self.n_docs, *key).select(*key, "term", "weight")
+        weighted = tfidf_weights(docs, self.terms, self.n_docs, *key, together=together)
+        return weighted.select(*key, "term", "weight")
 
     def rank_responses(self, batches: DataFrame) -> DataFrame:
         """Rank the N responses of each batch for each of its contexts."""
@@ -90,7 +98,8 @@ class KeywordModel:
                 )
             ),
         )
-        weights = self.weights(sides, "batch_id", "is_context", "pos").withColumn("term", F.xxhash64("term"))
+        weights = self.weights(sides, "batch_id", "is_context", "pos", together=["batch_id"])
+        weights = weights.withColumn("term", F.xxhash64("term"))  # a number is cheaper to hand over
 
         def rank(places: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
             return rank_scores(places, sparse_scores(len(places), pieces), "batch")
@@ -108,8 +117,8 @@ class Bm25Model(KeywordModel):
     k1: float
     b: float
 
-    def weights(self, docs: DataFrame, *key: str) -> DataFrame:
-        weighted = tfidf_weights(docs, self.terms, self.n_docs, *key)
+    def weights(self, docs: DataFrame, *key: str, together: Sequence[str] = ()) -> DataFrame:
+        weighted = tfidf_weights(docs, self.terms, self.n_docs, *key, together=together)
         length = F.sum("weight").over(Window.partitionBy(*key))
         damping = self.k1 * (1.0 - self.b + self.b * length / self.average_length)
         saturated = F.col("weight") * (self.k1 + 1.0) / (F.col("weight") + damping)
@@ -119,7 +128,11 @@ class Bm25Model(KeywordModel):
 
 
 def _fit_terms(examples: DataFrame) -> tuple[DataFrame, int]:
-    return materialise(document_frequency(documents(examples)), "terms"), 2 * examples.count()
+    """The term table and the number of documents, from one pass."""
+    counted = Observation()
+    docs = documents(examples.observe(counted, F.count(F.lit(1)).alias("examples")))
+    terms = materialise(document_frequency(docs), "terms")
+    return terms, 2 * counted.get.get("examples", 0)
 
 
 class TfIdf:

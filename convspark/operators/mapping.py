@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from convspark.operators.ordering import dense_index
 from convspark.operators.scoring import stack, unit_rows
 from convspark.operators.vector import Encoder, MappingModel
-from convspark.workspace import materialise
+from convspark.workspace import materialise, materialise_counting
 
 # Fixed values of the published training set-up.
 LEARNING_RATES = (10.0, 3.0, 1.0, 0.3, 0.01)
@@ -117,8 +117,8 @@ class VectorMapping:
     def _packed_batches(self, examples: DataFrame) -> DataFrame:
         """One row per batch of at most 256 (train) or 100 (dev) unit vectors."""
         pairs = self.encoder.encode(examples.select("context", "response"))
-        indexed = materialise(dense_index(pairs, self.seed), "vectors")
-        n_dev = int(np.ceil(DEV_SHARE * indexed.count()))
+        indexed, n = materialise_counting(dense_index(pairs, self.seed), "vectors")
+        n_dev = int(np.ceil(DEV_SHARE * n))
         is_dev = F.col("ordinal") < n_dev
         batch = F.when(is_dev, F.floor(F.col("ordinal") / DEV_BATCH_SIZE)).otherwise(
             F.floor((F.col("ordinal") - n_dev) / TRAIN_BATCH_SIZE)

@@ -20,15 +20,20 @@ def row_digest(columns: Sequence[str], seed: int = 0) -> Column:
     return F.md5(F.concat_ws(_SEPARATOR, F.lit(str(seed)), *[F.col(f"`{c}`").cast("string") for c in columns]))
 
 
-def _expand_copies(rows: DataFrame) -> DataFrame:
-    """One row per copy, with its ``ordinal``. Rows with very many copies are cut into blocks that
-    are spread over the cluster before they unfold."""
+def _expand_copies(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """One row per copy, with its ``ordinal``.
+
+    Rows with very many copies are cut into blocks that are spread over the cluster before they
+    unfold. ``hot`` lists those rows ahead of the ranking: when there are none, which is the rule,
+    that branch is dropped at run time and nothing is ranked twice.
+    """
     few = rows.where(F.col("_copies") <= _COPIES_PER_BLOCK).withColumn(
         "ordinal", F.explode(F.sequence("_start", F.col("_start") + F.col("_copies") - 1))
     )
     end = F.col("_start") + F.col("_copies") - 1
     many = (
         rows.where(F.col("_copies") > _COPIES_PER_BLOCK)
+        .join(hot, ["_bucket", "_digest"], "left_semi")
         .withColumn("_block", F.explode(F.sequence("_start", end, F.lit(_COPIES_PER_BLOCK).cast("long"))))
         .repartition("_digest", "_block")
         .withColumn(
@@ -81,7 +86,8 @@ def dense_index(
             ranked = ranked.where(F.col("_start") < limit).withColumn(
                 "_copies", F.least("_copies", F.lit(limit) - F.col("_start"))
             )
-        indexed = _expand_copies(ranked)
+        hot = grouped.where(F.col("_copies") > _COPIES_PER_BLOCK).select("_bucket", "_digest")
+        indexed = _expand_copies(ranked, hot)
     if limit is not None:
         indexed = indexed.where(F.col("ordinal") < limit)
     return indexed.select(*quoted, "ordinal")

@@ -16,7 +16,7 @@ from convspark.functions.examples import extra_context_columns
 from convspark.functions.text import is_trimmed, normalise_id, trim
 from convspark.params import check_positive
 from convspark.schema import RAW_COMMENT
-from convspark.workspace import materialise
+from convspark.workspace import materialise, materialise_counting
 
 # Bodies that stand for a comment taken away.
 DELETED_BODIES = ("[deleted]", "[removed]")
@@ -71,22 +71,22 @@ def roots(comments: DataFrame) -> DataFrame:
     return comments.join(_as_parent(comments), ["thread_id", "parent_id"], "left_anti")
 
 
-def _unreachable(unresolved: DataFrame) -> DataFrame:
-    """Nodes on a loop or hanging off one, from (thread, id, ptr) with ``ptr`` a far ancestor.
+def _unreachable(unresolved: DataFrame, remaining: int) -> tuple[DataFrame, int]:
+    """Nodes on a loop or hanging off one, from (thread, id, ptr) with ``ptr`` a far ancestor, and
+    their number.
 
     Each round keeps the nodes whose pointer is itself unresolved and doubles the pointer. A node
     that has a root above it drops out after a logarithmic number of rounds; when a round drops
     nothing, only loops are left.
     """
-    remaining = unresolved.count()
     while remaining:
         targets = unresolved.select("thread_id", F.col("id").alias("ptr"), F.col("ptr").alias("next"))
         following = unresolved.join(targets, ["thread_id", "ptr"]).select(*NODE, F.col("next").alias("ptr"))
-        unresolved = materialise(following, "loops")
-        before, remaining = remaining, unresolved.count()
+        before = remaining
+        unresolved, remaining = materialise_counting(following, "loops")
         if before == remaining:
             break
-    return unresolved
+    return unresolved, remaining
 
 
 def linear_paths(comments: DataFrame, parent_depth: int = 10) -> DataFrame:
@@ -100,29 +100,29 @@ def linear_paths(comments: DataFrame, parent_depth: int = 10) -> DataFrame:
     check_positive(parent_depth=parent_depth)
     edges = comments.select("thread_id", "id", "parent_id")
     replies = edges.join(_as_parent(edges), ["thread_id", "parent_id"])
-    links = replies.select(*NODE, F.col("parent_id").alias("ptr"))
-    # A parent that is a root has no row in ``links``: the left join leaves its pointer null.
-    state = materialise(links.withColumn("ancestors", F.array("ptr")), "paths")
+    # A parent that is a root has no row here: the left join below leaves its pointer null.
+    state = replies.select(*NODE, F.col("parent_id").alias("ptr"), F.array("parent_id").alias("ancestors"))
+    if parent_depth == 1:
+        state, n_open = materialise_counting(state, "paths")
+    is_open = F.col("ptr").isNotNull()
     for _ in range(math.ceil(math.log2(parent_depth))):
         targets = state.select(
             "thread_id", F.col("id").alias("ptr"), F.col("ancestors").alias("more"), F.col("ptr").alias("next")
         )
-        open_nodes = state.where(F.col("ptr").isNotNull())
-        doubled = open_nodes.join(targets, ["thread_id", "ptr"], "left").select(
+        doubled = state.where(is_open).join(targets, ["thread_id", "ptr"], "left").select(
             *NODE,
             F.col("next").alias("ptr"),
             F.slice(
                 F.concat("ancestors", F.coalesce("more", F.array().cast("array<string>"))), 1, parent_depth
             ).alias("ancestors"),
         )
-        state = materialise(doubled.unionByName(state.where(F.col("ptr").isNull())), "paths")
-        if state.where(F.col("ptr").isNotNull()).isEmpty():
-            return state.drop("ptr")
+        state, n_open = materialise_counting(doubled.unionByName(state.where(~is_open)), "paths", is_open)
+        if not n_open:
+            break
 
-    open_nodes = state.where(F.col("ptr").isNotNull()).select(*NODE, "ptr")
+    looped, n_looped = _unreachable(state.where(is_open).select(*NODE, "ptr"), n_open)
     paths = state.drop("ptr")
-    looped = _unreachable(open_nodes)
-    return paths if looped.isEmpty() else paths.join(looped, NODE, "left_anti")
+    return paths.join(looped, NODE, "left_anti") if n_looped else paths
 
 
 def thread_examples(

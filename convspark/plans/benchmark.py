@@ -14,7 +14,7 @@ from convspark.operators.keyword import Bm25, TfIdf
 from convspark.operators.mapping import VectorMapping
 from convspark.operators.vector import Encoder, VectorSimilarity
 from convspark.params import EvalOptions
-from convspark.workspace import materialise
+from convspark.workspace import materialise_counting
 
 #: Batches for methods whose encoder is slow.
 SLOW_EVAL_NUM_BATCHES = 100
@@ -41,15 +41,14 @@ def evaluate(
     ranker: Ranker, train: DataFrame, test: DataFrame, options: EvalOptions = EvalOptions(), seed: int = 0
 ) -> DataFrame:
     """Fit on a sample of ``train``, rank batches of ``test``: one row with sizes and accuracy."""
-    fitted_on = materialise(load_examples(train, options.train_size, seed), "train")
-    evaluated_on = materialise(
-        load_examples(test, options.n_candidates * options.eval_num_batches, seed, options.deduplicate_eval), "test"
-    )
+    wanted = options.n_candidates * options.eval_num_batches
+    fitted_on, train_size = materialise_counting(load_examples(train, options.train_size, seed), "train")
+    evaluated_on, test_size = materialise_counting(load_examples(test, wanted, seed, options.deduplicate_eval), "test")
     model = ranker.fit(fitted_on.drop("ordinal"))
     ranked = model.rank_responses(eval_batches(evaluated_on, options.n_candidates, seed))
     return accuracy(ranked).select(
-        F.lit(fitted_on.count()).cast("long").alias("train_size"),
-        F.lit(evaluated_on.count()).cast("long").alias("test_size"),
+        F.lit(train_size).cast("long").alias("train_size"),
+        F.lit(test_size).cast("long").alias("test_size"),
         F.lit(options.n_candidates).cast("long").alias("recall_k"),
         "accuracy",
     )

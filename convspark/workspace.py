@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -42,3 +43,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_counting(df: DataFrame, label: str, condition: Column | None = None) -> tuple[DataFrame, int]:
+    """:func:`materialise`, and the number of rows (that meet the condition), from the same job."""
+    counted = Observation()
+    counter = F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    table = materialise(df.observe(counted, counter.alias("n")), label)
+    return table, counted.get.get("n", 0)
