@@ -30,7 +30,9 @@ def corpus_stats(inputs: DataFrame, group: str, examples: DataFrame) -> DataFram
     """Input rows, input groups (threads, files, products), examples, train, test, as one row."""
     groups = inputs.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
     before = groups.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("inputs"), F.count(F.lit(1)).alias("groups"))
-    return before.join(split_stats(examples))  # one row by one row
+    names = ["inputs", "groups", "examples", "train", "test"]
+    both = before.unionByName(split_stats(examples), allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in names])
 
 
 def observe_splits(examples: DataFrame, observation: Observation) -> DataFrame:

@@ -8,6 +8,7 @@ adaptive execution splits.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,36 +93,45 @@ def _unreachable(unresolved: DataFrame, remaining: int) -> tuple[DataFrame, int]
 def linear_paths(comments: DataFrame, parent_depth: int = 10) -> DataFrame:
     """``(thread_id, id, ancestors)`` for every reply that hangs below a root.
 
-    ``ancestors`` holds up to ``parent_depth`` ids, the parent first. Pointer doubling: after round
-    r each node knows 2**r ancestors and points to the last of them, so ``ceil(log2(depth))`` joins
-    fill the arrays. A node whose pointer is null has met its root and takes no part in later
-    joins. What still has a pointer at the end is checked for loops, and loops yield nothing.
+    ``ancestors`` holds up to ``parent_depth`` ids, the parent first. Pointer doubling: before round
+    r an open node knows 2**r ancestors and points to the last of them. When that one is in the
+    thread, the node takes over its list and its pointer; when it is not, the last id is struck off
+    and the node is finished. A round reads all nodes, but writes only those that were open. Each
+    round is one join of two exchanges, so a hot ancestor can be split at run time. What is still
+    open after the arrays are full is checked for loops, and loops yield nothing.
     """
     check_positive(parent_depth=parent_depth)
-    edges = comments.select("thread_id", "id", "parent_id")
-    replies = edges.join(_as_parent(edges), ["thread_id", "parent_id"])
-    # A parent that is a root has no row here: the left join below leaves its pointer null.
-    state = replies.select(*NODE, F.col("parent_id").alias("ptr"), F.array("parent_id").alias("ancestors"))
-    if parent_depth == 1:
-        state, n_open = materialise_counting(state, "paths")
+    none = F.array().cast("array<string>")
     is_open = F.col("ptr").isNotNull()
-    for _ in range(math.ceil(math.log2(parent_depth))):
-        targets = state.select(
+    known = F.when(F.col("parent_id").isNull(), none).otherwise(F.array("parent_id"))
+    current = comments.select(*NODE, F.col("parent_id").alias("ptr"), known.alias("ancestors"))
+    finished: list[DataFrame] = []
+
+    for r in range(math.floor(math.log2(parent_depth)) + 1):
+        finished.append(current.where(~is_open))
+        everyone = reduce(DataFrame.unionByName, finished, current.where(is_open))
+        targets = everyone.select(
             "thread_id", F.col("id").alias("ptr"), F.col("ancestors").alias("more"), F.col("ptr").alias("next")
         )
-        doubled = state.where(is_open).join(targets, ["thread_id", "ptr"], "left").select(
-            *NODE,
-            F.col("next").alias("ptr"),
-            F.slice(
-                F.concat("ancestors", F.coalesce("more", F.array().cast("array<string>"))), 1, parent_depth
-            ).alias("ancestors"),
+        found = F.col("more").isNotNull()
+        # the pointer is the last id of a list of 2**r, unless the list was cut off before it
+        struck = F.slice("ancestors", 1, 2**r - 1) if 2**r <= parent_depth else F.col("ancestors")
+        doubled = (
+            current.where(is_open)
+            .join(targets, ["thread_id", "ptr"], "left")
+            .select(
+                *NODE,
+                F.col("next").alias("ptr"),
+                F.when(found, F.slice(F.concat("ancestors", "more"), 1, parent_depth)).otherwise(struck).alias("ancestors"),
+            )
         )
-        state, n_open = materialise_counting(doubled.unionByName(state.where(~is_open)), "paths", is_open)
+        current, n_open = materialise_counting(doubled, "paths", is_open)
         if not n_open:
             break
 
-    looped, n_looped = _unreachable(state.where(is_open).select(*NODE, "ptr"), n_open)
-    paths = state.drop("ptr")
+    everyone = reduce(DataFrame.unionByName, finished, current)
+    paths = everyone.where(F.size("ancestors") > 0).select(*NODE, "ancestors")
+    looped, n_looped = _unreachable(current.where(is_open).select(*NODE, "ptr"), n_open)
     return paths.join(looped, NODE, "left_anti") if n_looped else paths
 
 

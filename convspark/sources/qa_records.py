@@ -16,9 +16,11 @@ CORRUPT = "_corrupt"
 
 @F.pandas_udf(QA_RECORD)
 def _evaluate(lines: pd.Series) -> pd.DataFrame:
-    """Read dict literals the JSON reader cannot; a line that is none gives nulls."""
+    """Read dict literals the JSON reader cannot; anything else gives nulls."""
 
-    def record(line: str) -> dict:
+    def record(line: str | None) -> dict:
+        if line is None:
+            return {}
         try:
             value = ast.literal_eval(line)
         except (ValueError, SyntaxError, MemoryError, RecursionError):
@@ -34,22 +36,26 @@ def parse_qa_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
     Literals without a backslash that also read as JSON with single quotes stay in the JVM; only the
     rest (escapes, ``u''`` strings, ``True``, ``None``, tuples) goes to Python, in Arrow batches.
+    Every line is read once.
     """
     with_corrupt = T.StructType([*QA_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
     plain = F.when(~F.contains(F.col(column), F.lit("\\")), F.from_json(column, with_corrupt, options))
-    parsed = lines.withColumn("_plain", plain)
-    is_plain = F.col("_plain").isNotNull() & F.col(f"_plain.{CORRUPT}").isNull() & F.col("_plain.asin").isNotNull()
-
-    native = parsed.where(is_plain).select(
-        *[F.col(f"_plain.{f.name}") for f in QA_RECORD.fields], F.lit(None).cast("string").alias(CORRUPT)
+    known = F.col("_plain").isNotNull() & F.col(f"_plain.{CORRUPT}").isNull() & F.col("_plain.asin").isNotNull()
+    parsed = (
+        lines.select(column, plain.alias("_plain"))
+        .withColumn("_is_plain", known)
+        .withColumn("_literal", _evaluate(F.when(~F.col("_is_plain"), F.col(column))))
     )
-    literal = parsed.where(~is_plain).withColumn("_record", _evaluate(column))
-    usable = F.col("_record.question").isNotNull() | F.col("_record.questions").isNotNull() | F.col("_record.asin").isNotNull()
-    rest = literal.select(
-        *[F.col(f"_record.{f.name}") for f in QA_RECORD.fields], F.when(~usable, F.col(column)).alias(CORRUPT)
-    )
-    return native.unionByName(rest)
+
+    names = [f.name for f in QA_RECORD.fields]
+    chosen = [
+        F.when(F.col("_is_plain"), F.col(f"_plain.{n}")).otherwise(F.col(f"_literal.{n}")).alias(n) for n in names
+    ]
+    usable = F.coalesce(F.col("_is_plain"), F.lit(False))
+    for n in names:
+        usable = usable | F.col(f"_literal.{n}").isNotNull()
+    return parsed.select(*chosen, F.when(~usable, F.col(column)).alias(CORRUPT))
 
 
 def read_qa_records(spark: SparkSession, pattern: str) -> DataFrame:

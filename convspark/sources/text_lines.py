@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from convspark.workspace import materialise
+from convspark.workspace import broadcast_if_small, materialise, materialise_counting
 
 
 def numbered_lines(spark: SparkSession, pattern: str) -> DataFrame:
@@ -35,6 +35,7 @@ def numbered_lines(spark: SparkSession, pattern: str) -> DataFrame:
     splits = pinned.groupBy("path", "start").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
     offsets = splits.select("path", "start", "first", (F.sum("n").over(before) - F.col("n")).alias("offset"))
-    return pinned.join(offsets, ["path", "start"]).select(
+    offsets, n = materialise_counting(offsets, "offsets")
+    return pinned.join(broadcast_if_small(offsets, n), ["path", "start"]).select(
         "file_id", (F.col("row") - F.col("first") + F.col("offset")).alias("line_no"), "line"
     )

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: A table of counts is broadcast up to this many rows, a few dozen megabytes at most.
+BROADCAST_ROWS = 200_000
+
 _local_roots: dict[str, str] = {}
 
 
@@ -45,6 +48,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a table of known size for broadcast, or leave the join to the optimiser beyond the limit."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def materialise_counting(df: DataFrame, label: str, condition: Column | None = None) -> tuple[DataFrame, int]:
     """:func:`materialise`, and the number of rows (that meet the condition), from the same job."""
     counted = Observation()
