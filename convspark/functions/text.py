@@ -10,7 +10,7 @@ ID_PREFIX = r"^t[0-9]_"
 SPEAKER = r"(?:^|(?:[.!?][ \t\n\x0B\f\r]))([a-zA-Z0-9_]+):"
 BRACKETED = r"[\[(]([^\n]*?)[\])]"
 EDGE_CHARACTERS = " -\n"
-TOKEN = r"[\p{L}\p{N}_]{2,}"
+TOKEN = r"[\p{L}\p{N}_]{2,}+"
 
 # Everything up to the last place where a letter or digit meets something else.
 _LAST_WORD_BOUNDARY = (
@@ -81,3 +81,28 @@ def word_count_between(c: Column | str, min_words: int, max_words: int) -> Colum
 def tokens(c: Column | str) -> Column:
     """Lower-case words of two or more characters, in order, as ``array<string>``."""
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(TOKEN), 0)
+
+
+def token_counts(c: Column | str) -> Column:
+    """``array<struct<term, tf>>``: each distinct token of one text and how often it occurs.
+
+    Sorts the tokens and measures the runs, so a text is counted where it lies: no row per token, no
+    aggregation. One-element arrays bind the sorted tokens and the run starts to a name.
+    """
+
+    def runs(words: Column) -> Column:
+        starts = F.array_compact(
+            F.transform(words, lambda w, i: F.when(~w.eqNullSafe(F.get(words, i - 1)), i))
+        )
+        return F.get(F.transform(F.array(starts), lambda at: counted(words, at)), F.lit(0))
+
+    def counted(words: Column, at: Column) -> Column:
+        return F.transform(
+            at,
+            lambda start, i: F.struct(
+                F.get(words, start).alias("term"),
+                (F.coalesce(F.get(at, i + 1), F.size(words)) - start).cast("long").alias("tf"),
+            ),
+        )
+
+    return F.get(F.transform(F.array(F.sort_array(tokens(c))), runs), F.lit(0))

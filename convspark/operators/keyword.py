@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from convspark.functions.text import tokens
+from convspark.functions.text import token_counts, tokens
 from convspark.operators.scoring import RANKED, rank_scores, sparse_scores
 from convspark.workspace import materialise
 
@@ -30,9 +30,7 @@ def document_frequency(docs: DataFrame) -> DataFrame:
 
 def term_counts(docs: DataFrame, *key: str) -> DataFrame:
     """``(key.., term, tf)``: how often a term occurs in a document."""
-    return docs.select(*key, F.explode(tokens("text")).alias("term")).groupBy(*key, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    return docs.select(*key, F.inline(token_counts("text")))
 
 
 def smoothed_idf(df: Column, n_docs: int) -> Column:
@@ -45,20 +43,25 @@ def bm25_idf(df: Column, n_docs: int) -> Column:
     return F.log((F.lit(n_docs + 0.5) - df) / (df + 0.5))
 
 
+def raw_weights(docs: DataFrame, terms: DataFrame, n_docs: int, *key: str) -> DataFrame:
+    """``(key.., term, df, raw)``: term count times smoothed IDF.
+
+    No term is out of vocabulary: one unseen in training has df 0. Joined by term; the term table
+    is broadcast only if its written size is below the session's threshold.
+    """
+    known = term_counts(docs, *key).join(terms, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    return known.select(*key, "term", "df", (F.col("tf") * smoothed_idf(F.col("df"), n_docs)).alias("raw"))
+
+
 def tfidf_weights(
     docs: DataFrame, terms: DataFrame, n_docs: int, *key: str, together: Sequence[str] = ()
 ) -> DataFrame:
     """``(key.., term, df, weight)``: TF-IDF scaled to length one per document.
 
-    No term is out of vocabulary: one unseen in training has df 0. Joined by term; the term table
-    is broadcast only if its written size is below the session's threshold.
-
-    Texts are moved once, by key (or by ``together``, a part of it that bounds a group). Counts and
-    norms are then taken in place, and the far more numerous terms do not move for them.
+    Texts are moved once, by key (or by ``together``, a part of it that bounds a group). Norms are
+    then taken in place, and the far more numerous terms do not move for them.
     """
-    placed = docs.repartition(*(together or key))
-    known = term_counts(placed, *key).join(terms, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    raw = known.withColumn("raw", F.col("tf") * smoothed_idf(F.col("df"), n_docs))
+    raw = raw_weights(docs.repartition(*(together or key)), terms, n_docs, *key)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*key)))
     return raw.select(*key, "term", "df", (F.col("raw") / norm).alias("weight"))
 
@@ -66,12 +69,17 @@ def tfidf_weights(
 def average_length(examples: DataFrame, terms: DataFrame, n_docs: int) -> float:
     """Mean over all documents of the sum of their TF-IDF weights; documents without terms count.
 
-    Equal texts have equal weights, so each distinct text is weighed once.
+    Equal texts have equal weights, so each distinct text is weighed once. A text's sum is the sum of
+    its raw weights over their norm, one aggregate row per text.
     """
     texts = documents(examples).groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
-    keyed = texts.select("text", F.md5("text").alias("doc"), "copies")
-    weights = tfidf_weights(keyed, terms, n_docs, "doc", "copies", together=["doc"])
-    total = weights.agg(F.sum(F.col("copies") * F.col("weight"))).first()[0]
+    keyed = texts.select("text", F.md5("text").alias("doc"), "copies").repartition("doc")
+    lengths = (
+        raw_weights(keyed, terms, n_docs, "doc", "copies")
+        .groupBy("doc", "copies")
+        .agg((F.sum("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")))).alias("length"))
+    )
+    total = lengths.agg(F.sum(F.col("copies") * F.col("length"))).first()[0]
     return (total or 0.0) / n_docs
 
 
