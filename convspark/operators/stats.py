@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -26,13 +28,21 @@ def split_stats(examples: DataFrame) -> DataFrame:
     return examples.agg(*_split_counts())
 
 
-def corpus_stats(inputs: DataFrame, group: str, examples: DataFrame) -> DataFrame:
-    """Input rows, input groups (threads, files, products), examples, train, test, as one row."""
+def corpus_stats(
+    inputs: DataFrame, group: str, examples: DataFrame, tuples: DataFrame | None = None
+) -> DataFrame:
+    """Input rows, input groups (threads, files, products), examples, train, test, as one row.
+
+    With ``tuples``, the accepted QA tuples before de-duplication, also their number.
+    """
     groups = inputs.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
     before = groups.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("inputs"), F.count(F.lit(1)).alias("groups"))
-    names = ["inputs", "groups", "examples", "train", "test"]
-    both = before.unionByName(split_stats(examples), allowMissingColumns=True)
-    return both.agg(*[F.max(name).alias(name) for name in names])
+    parts = [before, split_stats(examples)]
+    if tuples is not None:
+        parts.insert(1, tuples.agg(F.count(F.lit(1)).alias("tuples")))
+    names = [name for part in parts for name in part.columns]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.agg(*[F.max(name).alias(name) for name in names])
 
 
 def observe_splits(examples: DataFrame, observation: Observation) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import Protocol
@@ -16,6 +17,8 @@ from convspark.operators.vector import Encoder, VectorSimilarity
 from convspark.params import EvalOptions
 from convspark.workspace import materialise_counting
 
+_log = logging.getLogger(__name__)
+
 #: Batches for methods whose encoder is slow.
 SLOW_EVAL_NUM_BATCHES = 100
 
@@ -44,6 +47,9 @@ def evaluate(
     wanted = options.n_candidates * options.eval_num_batches
     fitted_on, train_size = materialise_counting(load_examples(train, options.train_size, seed), "train")
     evaluated_on, test_size = materialise_counting(load_examples(test, wanted, seed, options.deduplicate_eval), "test")
+    for side, size, asked in (("train", train_size, options.train_size), ("test", test_size, wanted)):
+        if size < asked:
+            _log.warning("%d %s examples were requested, but there are only %d", asked, side, size)
     model = ranker.fit(fitted_on.drop("ordinal"))
     ranked = model.rank_responses(eval_batches(evaluated_on, options.n_candidates, seed))
     return accuracy(ranked).select(

@@ -17,6 +17,14 @@ def _check_format(dataset_format: str) -> None:
         raise ValueError(f"dataset_format must be one of {FORMATS}, got {dataset_format!r}")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path without scheme lies on the cluster's default file system, as for Spark's own formats."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if "://" in path or path.startswith("file:") or default.startswith("file:"):
+        return path
+    return default.rstrip("/") + path
+
+
 def write_examples(
     examples: DataFrame, path: str, dataset_format: str = "tfrecord", shards_train: int = 1000, shards_test: int = 100
 ) -> None:
@@ -38,7 +46,7 @@ def write_examples(
         .mode("append")
         .option("train", shards_train)
         .option("test", shards_test)
-        .save(path)
+        .save(_qualified(examples.sparkSession, path))
     )
 
 
@@ -49,13 +57,13 @@ def read_examples(
     num_extra_contexts: int = 10,
     other_features: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Examples below a folder, absent features null. Raises when there is nothing to read."""
+    """Examples at a folder or file pattern, absent features null. Raises when there is nothing to read."""
     _check_format(dataset_format)
     schema = example_schema(num_extra_contexts, other_features)
     reader = spark.read.schema(schema)
     if dataset_format == "tfrecord":
         tfrecord.register(spark)
-        return reader.format("tfrecord").load(path)
+        return reader.format("tfrecord").load(_qualified(spark, path))
     found = reader.format(dataset_format).load(path)
     if not found.inputFiles():
         raise FileNotFoundError(f"no example files below {path}")

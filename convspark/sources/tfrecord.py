@@ -7,6 +7,8 @@ the job commits all files at once.
 
 from __future__ import annotations
 
+import fnmatch
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -149,11 +151,28 @@ def parse_example(record: bytes) -> dict[str, str]:
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
+    """The file system of a path and the path in it; a path without scheme is local."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    if "://" in path:
+        return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
     return pafs.LocalFileSystem(), path
 
 
+def _record_files(path: str) -> list[str]:
+    """Record files below a folder, or those that a pattern such as ``set/train-*`` matches."""
+    folder = path
+    if re.search(r"[*?\[]", path):
+        folder = re.split(r"[*?\[]", path, maxsplit=1)[0].rpartition("/")[0] or "."
+    filesystem, root = _filesystem(folder)
+    infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
+    files = sorted(i.path for i in infos if i.type == pafs.FileType.File and "/_attempts/" not in i.path)
+    if folder == path:
+        return [f for f in files if f.endswith(".tfrecord")]
+    pattern = root + path[len(folder) :]
+    return [f for f in files if fnmatch.fnmatchcase(f, pattern)]
+
+
 @dataclass
 class _FilePartition(InputPartition):
     path: str
@@ -165,11 +184,9 @@ class _Reader(DataSourceReader):
         self.schema = schema
 
     def partitions(self) -> list[_FilePartition]:
-        filesystem, root = _filesystem(self.path)
-        infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
-        files = sorted(i.path for i in infos if i.type == pafs.FileType.File and i.path.endswith(".tfrecord"))
+        files = _record_files(self.path)
         if not files:
-            raise FileNotFoundError(f"no record files below {self.path}")
+            raise FileNotFoundError(f"no record files at {self.path}")
         return [_FilePartition(f) for f in files]
 
     def read(self, partition: _FilePartition) -> Iterator[pa.RecordBatch]:

@@ -11,6 +11,7 @@ from convspark.functions.split import assign_split, split_label, split_value
 from convspark.operators.ordering import dense_index as add_ordinal
 from convspark.operators.ordering import sample_n as sample
 from convspark.operators.ordering import shuffle_into_shards
+from convspark.operators.qa import flatten_qa
 from convspark.operators.stats import corpus_stats as count_corpus
 from convspark.operators.stats import count_examples, split_stats as count_splits
 from convspark.schema import LINE_FEATURES, QA_FEATURES
@@ -64,6 +65,22 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_corpus(inputs.lines(spark, sf_dir), "file_id", split_lines(spark, sf_dir))
 
 
+QA_LABEL_SQL = inputs.split_label_sql("product_id", 0.9)
+
+
+@query(
+    f"""WITH {QA_EXAMPLES_CTE}, split_qa AS (SELECT {QA_LABEL_SQL} AS split FROM qa_examples),
+records AS (SELECT conv_id % 50 AS asin FROM conversations GROUP BY conv_id, turn // 4
+            UNION ALL SELECT doc_id % 50 FROM documents)
+SELECT (SELECT count(*) FROM records) AS inputs, (SELECT count(DISTINCT asin) FROM records) AS "groups",
+       (SELECT count(*) FROM tuples WHERE {inputs.QA_ACCEPTED_SQL}) AS tuples, {COUNTS_SQL} FROM split_qa"""
+)
+def qa_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = inputs.qa_records(spark, sf_dir)
+    tuples = flatten_qa(records, inputs.QA_MIN_WORDS, inputs.QA_MAX_WORDS)
+    return count_corpus(records, "asin", qa_examples(spark, sf_dir), tuples)
+
+
 @query(f"WITH {QA_EXAMPLES_CTE} SELECT count(*) AS examples FROM qa_examples")
 def example_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_examples(qa_examples(spark, sf_dir))

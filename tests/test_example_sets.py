@@ -11,6 +11,7 @@ from convspark.params import EvalOptions, LineOptions, QaOptions, ThreadOptions
 from convspark.plans.datasets import line_dataset, write_dataset
 from convspark.schema import LINES, example_schema
 from convspark.sources import tfrecord
+from convspark.sources.comments import union_months
 from convspark.sources.example_sets import append_results, read_examples, write_examples
 
 COLUMNS = "context string, response string, `context/0` string, `context/1` string, file_id string, split string"
@@ -46,6 +47,20 @@ def test_record_files_are_named_by_split_and_shard(spark, tmp_path, examples):
     assert sorted(os.listdir(path)) == names
 
 
+def test_file_patterns(spark, tmp_path, examples):
+    path = str(tmp_path / "patterns")
+    write_examples(examples, path, "tfrecord", 3, 1)
+    write_examples(examples, path + "-json", "json", 3, 1)
+    for found in (
+        read_examples(spark, path + "/train-*", "tfrecord"),
+        read_examples(spark, "file://" + path + "/train-0000?-of-*.tfrecord", "tfrecord"),
+        read_examples(spark, path + "-json/split=train/*.json", "json"),
+    ):
+        assert sorted(r.context for r in found.collect()) == ["c1", "c2 é中", "c4"]
+    with pytest.raises(Exception, match="no record files"):
+        read_examples(spark, path + "/dev-*", "tfrecord").count()
+
+
 def test_json_leaves_absent_features_out(spark, tmp_path, examples):
     path = str(tmp_path / "json")
     write_examples(examples, path, "json", 1, 1)
@@ -110,6 +125,16 @@ def test_mix_of_different_depths(spark, examples):
     assert mixed.count() == 5 and mixed.where("`context/5` is null").count() == 4
 
 
+def test_months_prune_partitions(spark, tmp_path):
+    months = ["2014_12", "2015_01", "2017_06", "2018_12", "2019_01", "2015_012"]
+    spark.createDataFrame([(m, i) for i, m in enumerate(months)], "month string, id int").write.partitionBy(
+        "month"
+    ).parquet(str(tmp_path / "m"))
+    found = union_months(spark.read.parquet(str(tmp_path / "m")))
+    assert sorted(r.month for r in found.collect()) == ["2015_01", "2017_06", "2018_12"]
+    assert "PartitionFilters: [isnotnull(month" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_render(spark):
     schema = example_schema(3, ("thread_id", "subreddit"))
     df = spark.createDataFrame([("a\nb", "r", "x0", "x1", None, "t", "s"), ("c", "r", None, "gap", None, "t", "s")], schema)

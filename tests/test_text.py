@@ -15,10 +15,10 @@ def column(spark, values, expression):
 @pytest.mark.parametrize(
     "value, limit, expected",
     [
-        ("Matthew Henderson", 7, "Matthew"),
-        ("Matthew Henderson", 9, "Matthew "),
-        ("Matthew", 9, "Matthew"),
-        ("Matthew", 2, ""),
+        ("Weather Forecasts", 7, "Weather"),
+        ("Weather Forecasts", 9, "Weather "),
+        ("Weather", 9, "Weather"),
+        ("Weather", 2, ""),
         ("ABC EFG HIJ KLM NOP", 16, "ABC EFG HIJ KLM "),
     ],
 )
