@@ -14,6 +14,7 @@ LINES_PER_BLOCK = 100_000
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Clean every line and drop those that become empty, so that they do not break adjacency.
 
+    A line without a file or a number has no neighbours and is left out.
     Unfolding a list of one or no line stands for the filter: a filter would be pushed below the
     projection and run all patterns a second time.
     """

@@ -158,8 +158,10 @@ def shuffle_into_shards(examples: DataFrame, shards_train: int, shards_test: int
     check_positive(shards_train=shards_train, shards_test=shards_test)
     by_hash = F.xxhash64(*[f"`{c}`" for c in examples.columns])
     draw = F.xxhash64(F.monotonically_increasing_id())
-    target = F.when(F.col("split") == TRAIN, F.pmod(draw, F.lit(shards_train))).when(
-        F.col("split") == TEST, shards_train + F.pmod(draw, F.lit(shards_test))
+    target = (
+        F.when(F.col("split") == TRAIN, F.pmod(draw, F.lit(shards_train)))
+        .when(F.col("split") == TEST, shards_train + F.pmod(draw, F.lit(shards_test)))
+        .otherwise(F.raise_error(F.lit("split must be train or test")))
     )
     return (
         examples.sortWithinPartitions(by_hash)
