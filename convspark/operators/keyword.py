@@ -43,6 +43,12 @@ def bm25_idf(df: Column, n_docs: int) -> Column:
     return F.log((F.lit(n_docs + 0.5) - df) / (df + 0.5))
 
 
+def _spread(docs: DataFrame, *columns: str) -> DataFrame:
+    """Texts by key over all shuffle partitions. The number is fixed, as a text is small next to the
+    work of counting its terms: adaptive execution would judge by bytes and merge the partitions."""
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def raw_weights(docs: DataFrame, terms: DataFrame, n_docs: int, *key: str) -> DataFrame:
     """``(key.., term, df, raw)``: term count times smoothed IDF.
 
@@ -61,7 +67,7 @@ def tfidf_weights(
     Texts are moved once, by key (or by ``together``, a part of it that bounds a group). Norms are
     then taken in place, and the far more numerous terms do not move for them.
     """
-    raw = raw_weights(docs.repartition(*(together or key)), terms, n_docs, *key)
+    raw = raw_weights(_spread(docs, *(together or key)), terms, n_docs, *key)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*key)))
     return raw.select(*key, "term", "df", (F.col("raw") / norm).alias("weight"))
 
@@ -73,7 +79,7 @@ def average_length(examples: DataFrame, terms: DataFrame, n_docs: int) -> float:
     its raw weights over their norm, one aggregate row per text.
     """
     texts = documents(examples).groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
-    keyed = texts.select("text", F.md5("text").alias("doc"), "copies").repartition("doc")
+    keyed = _spread(texts.select("text", F.md5("text").alias("doc"), "copies"), "doc")
     lengths = (
         raw_weights(keyed, terms, n_docs, "doc", "copies")
         .groupBy("doc", "copies")
