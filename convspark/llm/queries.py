@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convspark.llm.bpe import build_lexicon, round_trip
 from convspark.llm.hash_tree import Topology, shard_documents
 from convspark.llm.licences import scan_licences
 from convspark.llm.line_dedup import drop_repeated_lines
 from convspark.llm.mixing import mix_sources
+from convspark.llm.quality_rules import judge_documents
+from convspark.llm.toxicity import fit_toxicity, fold, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,6 +34,16 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+#: Vocabulary of the BPE query.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return round_trip(docs, build_lexicon(docs, VOCABULARY)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query()
 def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir, "doc_id", "text"), Topology.uniform(2, 2, 4))
@@ -42,6 +56,14 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, sf_dir, "doc_id", "text"))
@@ -52,3 +74,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+@query()
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_documents(documents(spark, sf_dir, "doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "ratio", "n_chunks", "n_bad_chunks",
+    )
