@@ -31,14 +31,14 @@ class Band:
 DOCUMENT_BANDS = (
     Band(0, None, None),
     Band(128, 0.42, None),
-    Band(256, 0.40, 0.95),
-    Band(512, 0.36, 0.85),
-    Band(1024, 0.33, 0.78),
-    Band(4096, 0.28, 0.74),
-    Band(16384, 0.24, 0.72),
+    Band(256, 0.40, 0.90),
+    Band(512, 0.36, 0.80),
+    Band(1024, 0.33, 0.72),
+    Band(4096, 0.28, 0.68),
+    Band(16384, 0.24, 0.66),
 )
 #: A chunk is judged alone, so its limits are those of its own length, wider at the lower end.
-CHUNK_BANDS = (Band(0, None, None), Band(1024, 0.20, 0.85), Band(4096, 0.16, 0.80))
+CHUNK_BANDS = (Band(0, None, None), Band(1024, 0.20, 0.80), Band(4096, 0.16, 0.72))
 
 
 @dataclass(frozen=True)

@@ -15,34 +15,37 @@ from pyspark.sql import types as T
 from convspark.llm.batches import map_rows, struct_of
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Lengths of the beginnings of words that are features.
+BEGINNINGS = (4, 5, 6)
 #: Hashed weights that a worker remembers by word.
 _REMEMBERED = 200_000
 
 
 @dataclass(frozen=True)
 class ToxicityOptions:
-    """``max_positive`` and ``max_unlabelled`` bound the sample that the classifiers are fitted on.
+    """``max_positive`` and ``max_unlabelled`` bound the sample that the classifier is fitted on.
 
     ``prior`` is the share of toxic texts; None takes the share among labelled rows of the fold that
-    may be learnt from.
+    may be learnt from. A feature takes part if at least ``min_texts`` and ``min_share`` of the
+    confirmed texts have it, ``min_lift`` times the share of unlabelled texts that do.
     """
 
-    bits: int = 18
+    bits: int = 20
     max_positive: int = 4000
     max_unlabelled: int = 16000
     prior: float | None = None
-    min_positives: int = 3
-    classifiers: int = 3
-    epochs: int = 30
-    batch: int = 512
+    min_texts: int = 5
+    min_share: float = 0.01
+    min_lift: float = 3.0
+    steps: int = 300
     rate: float = 0.05
-    l1: float = 2e-4
+    l1: float = 1e-4
     seed: int = 5
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Average of linear classifiers over the set of a text's hashed words."""
+    """A linear classifier over the set of a text's hashed features."""
 
     bits: int
     weights: np.ndarray
@@ -54,77 +57,62 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
-def word_set(text: str, bits: int) -> list[int]:
-    """Hashes of a text's distinct words."""
+def word_features(word: str, bits: int) -> list[int]:
+    """Hashes of a word and of its beginnings, so that other endings of a known word are known too."""
     mask = (1 << bits) - 1
-    return sorted({zlib.crc32(w.encode("utf-8", "surrogatepass")) & mask for w in set(_WORD.findall(text.lower()))})
+    parts = [word, *(f"^{word[:k]}" for k in BEGINNINGS if k <= len(word))]
+    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) & mask for p in parts]
 
 
-class _Rows:
-    """Sets of features, one after another."""
-
-    def __init__(self, rows: list[np.ndarray]) -> None:
-        self.ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
-        self.values = np.concatenate(rows).astype(np.int64) if rows else np.empty(0, np.int64)
-
-    def pick(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Features of the rows, and for each the row's place in ``rows``."""
-        lengths = self.ends[rows + 1] - self.ends[rows]
-        place = np.repeat(np.arange(len(rows)), lengths)
-        first = np.repeat(self.ends[rows] - (np.cumsum(lengths) - lengths), lengths)
-        return self.values[np.arange(len(place)) + first], place
+def text_features(text: str, bits: int) -> list[int]:
+    """Distinct features of a text's words, ascending."""
+    return sorted({f for w in set(_WORD.findall(text.lower())) for f in word_features(w, bits)})
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all rows, and the row of each."""
+    values = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
+    return values, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+
 def fit_classifier(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n_features: int, options: ToxicityOptions, seed: int
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n_features: int, options: ToxicityOptions
 ) -> tuple[np.ndarray, float]:
     """Minimise the non-negative risk estimate with logistic loss.
 
     With class prior p, the risk is p * R_P(+) + max(0, R_U(-) - p * R_P(-)): unlabelled texts stand
-    for clean ones after the share that toxic ones among them would add is taken out. In a batch where
-    that difference is negative the model has begun to fit the toxic share of the unlabelled texts,
-    and the step goes up on the difference instead. Adam steps; an L1 shrinkage keeps words without a
-    signal at nought. ``p`` must be in (0, 1).
+    for clean ones after the share that toxic ones among them would add is taken out. Where that
+    difference is negative the model has begun to fit the toxic share of the unlabelled texts, and the
+    step goes up on the difference instead. Adam steps over the whole sample, as the difference of two
+    means is too noisy in small batches; an L1 shrinkage keeps features without a signal at nought.
+    Weights are not negative: evidence adds up, and the many harmless words of a long text cannot talk
+    it away. ``p`` must be in (0, 1).
     """
-    random = np.random.default_rng(seed)
-    P, U = _Rows(positive), _Rows(unlabelled)
+    (pf, pp), (uf, up) = _flat(positive), _flat(unlabelled)
+    n_p, n_u = len(positive), len(unlabelled)
     weights, bias = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(n_features + 1), np.zeros(n_features + 1)
-    step = 0
-    n_p, n_u = len(positive), len(unlabelled)
-    batches = max(1, -(-n_u // options.batch))
-    share = max(1, min(n_p, options.batch))
-    for _ in range(options.epochs):
-        order = random.permutation(n_u)
-        for k in range(batches):
-            u = order[k * options.batch : (k + 1) * options.batch]
-            p = random.integers(0, n_p, share) if n_p > share else np.arange(n_p)
-            (pf, pp), (uf, up) = P.pick(p), U.pick(u)
-            ps = _sigmoid(np.bincount(pp, weights[pf], len(p)) + bias)
-            us = _sigmoid(np.bincount(up, weights[uf], len(u)) + bias)
-            risk = -np.log1p(-np.minimum(us, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(ps, 1 - 1e-12)).mean()
-            # derivatives by the score: of the loss as positive s - 1, as negative s
-            dp, du = np.zeros(len(p)), np.zeros(len(u))
-            if risk >= 0:
-                dp += prior * (ps - 1) / len(p) - prior * ps / len(p)
-                du += us / len(u)
-            else:
-                dp += prior * ps / len(p)
-                du -= us / len(u)
-            gradient = np.bincount(pf, dp[pp], n_features) + np.bincount(uf, du[up], n_features)
-            gradient = np.append(gradient, dp.sum() + du.sum())
-            step += 1
-            first = 0.9 * first + 0.1 * gradient
-            second = 0.999 * second + 0.001 * gradient**2
-            scale = options.rate / (np.sqrt(second / (1 - 0.999**step)) + 1e-6)
-            move = scale * first / (1 - 0.9**step)
-            weights -= move[:-1]
-            weights = np.sign(weights) * np.maximum(np.abs(weights) - scale[:-1] * options.l1, 0)
-            bias -= move[-1]
+    for step in range(1, options.steps + 1):
+        toxic = _sigmoid(np.bincount(pp, weights[pf], n_p) + bias)
+        other = _sigmoid(np.bincount(up, weights[uf], n_u) + bias)
+        clean = -np.log1p(-np.minimum(other, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(toxic, 1 - 1e-12)).mean()
+        # derivatives by the score: of the loss as toxic s - 1, as clean s
+        if clean >= 0:
+            by_toxic, by_other = prior * (toxic - 1) / n_p - prior * toxic / n_p, other / n_u
+        else:
+            by_toxic, by_other = prior * toxic / n_p, -other / n_u
+        gradient = np.bincount(pf, by_toxic[pp], n_features) + np.bincount(uf, by_other[up], n_features)
+        gradient = np.append(gradient, by_toxic.sum() + by_other.sum())
+        first = 0.9 * first + 0.1 * gradient
+        second = 0.999 * second + 0.001 * gradient**2
+        scale = options.rate / (np.sqrt(second / (1 - 0.999**step)) + 1e-6)
+        move = scale * first / (1 - 0.9**step)
+        weights = np.maximum(weights - move[:-1] - scale[:-1] * options.l1, 0)
+        bias -= move[-1]
     return weights, bias
 
 
@@ -143,11 +131,11 @@ def fit_toxicity(
     text_column: str = "text",
     label_column: str = "toxic",
 ) -> ToxicityModel:
-    """Fit classifiers from confirmed toxic texts and unlabelled ones outside the held-out fold.
+    """Fit a classifier from confirmed toxic texts and unlabelled ones outside the held-out fold.
 
     Confirmed are ids with a label of 1 in any row; every document of the fold, labelled or not, can
     be drawn as unlabelled. Both samples are bounded by the options, drawn by a hash of the id. Texts
-    become sets of hashed words on the executors and only these reach the driver (about 1.5 KB per
+    become sets of hashed features on the executors and only these reach the driver (a few KB per
     text), where numpy fits. Null ids and labels are ignored. Without confirmed texts, or without
     documents, the model gives each text the prior (0 if there is none to take).
     """
@@ -181,7 +169,7 @@ def fit_toxicity(
     bits = options.bits
 
     def features(values: pa.Array) -> list[pa.Array]:
-        return [pa.array([word_set(t or "", bits) for t in values.to_pylist()], pa.list_(pa.int32()))]
+        return [pa.array([text_features(t or "", bits) for t in values.to_pylist()], pa.list_(pa.int32()))]
 
     # the sample is bounded by the options, so its ids may be broadcast
     sample = texts.join(F.broadcast(chosen), "_id")
@@ -191,17 +179,16 @@ def fit_toxicity(
     is_p, is_u = (found.column(c).to_numpy() for c in ("_p", "_u"))
     rows_p = [w for w, p in zip(words, is_p, strict=True) if p]
     rows_u = [w for w, u in zip(words, is_u, strict=True) if u]
-    # words that some confirmed texts have, numbered from 0
-    held = np.bincount(np.concatenate(rows_p), minlength=1 << bits)
-    known = np.flatnonzero(held >= min(options.min_positives, len(rows_p)))
+    # features that confirmed texts have often, and more often than others, numbered from 0
+    held, common = (np.bincount(_flat(rows)[0], minlength=1 << bits) for rows in (rows_p, rows_u))
+    often = held >= max(min(options.min_texts, len(rows_p)), options.min_share * len(rows_p))
+    known = np.flatnonzero(often & (held * max(1, len(rows_u)) >= options.min_lift * common * len(rows_p)))
     number = np.full(1 << bits, -1, np.int64)
     number[known] = np.arange(len(known))
     rows_p, rows_u = ([x[x >= 0] for x in (number[w] for w in rows)] for rows in (rows_p, rows_u))
-    fitted = [
-        fit_classifier(rows_p, rows_u, prior, len(known), options, options.seed + k) for k in range(options.classifiers)
-    ]
-    none[known] = np.mean([w for w, _ in fitted], axis=0)
-    return ToxicityModel(bits, none, float(np.mean([b for _, b in fitted])))
+    weights, bias = fit_classifier(rows_p, rows_u, prior, len(known), options)
+    none[known] = weights
+    return ToxicityModel(bits, none, bias)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
@@ -211,26 +198,21 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "te
     shuffle; input columns of these names are replaced. The model has a fixed size and is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    remembered: dict[str, float] = {}
+    remembered: dict[str, list[int]] = {}
 
     def work(texts: pa.Array) -> list[pa.Array]:
         m = shared.value
-        mask = (1 << m.bits) - 1
         sums = np.empty(len(texts))
         for k, text in enumerate(texts.to_pylist()):
-            hashes: dict[int, float] = {}
-            total = 0.0
+            found: set[int] = set()
             for w in set(_WORD.findall((text or "").lower())):
-                h = remembered.get(w)
-                if h is None:
+                weighty = remembered.get(w)
+                if weighty is None:
                     if len(remembered) >= _REMEMBERED:
                         remembered.clear()
-                    h = remembered[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) & mask
-                weight = m.weights[h]
-                if weight:
-                    hashes[h] = float(weight)
-            total = sum(hashes[h] for h in sorted(hashes))
-            sums[k] = total + m.bias
+                    weighty = remembered[w] = [h for h in word_features(w, m.bits) if m.weights[h]]
+                found.update(weighty)
+            sums[k] = sum(float(m.weights[h]) for h in sorted(found)) + m.bias
         scores = _sigmoid(sums)
         return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
 
