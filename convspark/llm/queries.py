@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from convspark.llm.bpe import build_lexicon, round_trip
 from convspark.llm.hash_tree import Topology, shard_documents
+from convspark.llm.jaccard_join import jaccard_components
 from convspark.llm.licences import scan_licences
 from convspark.llm.line_dedup import drop_repeated_lines
 from convspark.llm.mixing import mix_sources
@@ -70,6 +71,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+@query()
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir, "doc_id", "text"), width=3, percent=90)
+
+
 @query()
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))

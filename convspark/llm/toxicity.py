@@ -34,7 +34,7 @@ class ToxicityOptions:
     max_positive: int = 4000
     max_unlabelled: int = 16000
     prior: float | None = None
-    min_texts: int = 5
+    min_texts: int = 3
     min_share: float = 0.01
     min_lift: float = 3.0
     steps: int = 300
