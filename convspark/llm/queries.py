@@ -14,6 +14,7 @@ from convspark.llm.jaccard_join import jaccard_components
 from convspark.llm.licences import scan_licences
 from convspark.llm.line_dedup import drop_repeated_lines
 from convspark.llm.mixing import mix_sources
+from convspark.llm.multi_index import near_vectors
 from convspark.llm.quality_rules import judge_documents
 from convspark.llm.toxicity import fit_toxicity, fold, score_toxicity
 
@@ -89,3 +90,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "ratio", "n_chunks", "n_bad_chunks",
     )
+
+
+@query()
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    return near_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
