@@ -6,7 +6,6 @@ import hashlib
 import heapq
 import json
 import re
-import sys
 import unicodedata
 import uuid
 from collections import Counter
@@ -129,15 +128,24 @@ class Coder:
         self.pattern = regex.compile(PATTERN)
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.merged: dict[str, list[int]] = {}
+        self.characters: set[str] = set()
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text. Characters younger than this Python's tables are split by the library's own tables."""
-        if not text.isascii() and _unknown().search(text):
+        if not text.isascii() and not self._known(text):
             from tokenizers.pre_tokenizers import ByteLevel
 
             return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
         return self.pattern.findall(text)
 
+    def _known(self, text: str) -> bool:
+        """Whether Python's tables know all characters: those of other libraries may be younger or older."""
+        new = set(text) - self.characters
+        if any(unicodedata.category(c) == "Cn" for c in new):
+            return False
+        self.characters |= new
+        return True
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the offsets of each text."""
         places: dict[str, int] = {}
@@ -145,7 +153,7 @@ class Coder:
         counts = []
         for text in texts:
             before = len(codes)
-            if self.cut is not None and self.cut.search(text):
+            if any(x in text for x in self.special):
                 at = 0
                 for found in self.cut.finditer(text):
                     codes += [places.setdefault(p, len(places)) for p in self.pieces(text[at : found.start()])]
@@ -202,20 +210,6 @@ class Coder:
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
 
 
-@lru_cache(1)
-def _unknown() -> re.Pattern:
-    """Characters that Python's tables do not know: other libraries' tables may be younger or older."""
-    ranges, start = [], None
-    for c in range(0x80, sys.maxunicode + 2):
-        new = c <= sys.maxunicode and unicodedata.category(chr(c)) == "Cn"
-        if new and start is None:
-            start = c
-        elif not new and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-            start = None
-    return re.compile("[" + "".join(ranges) + "]")
-
-
 @lru_cache(4)
 def _coder(name: str) -> Coder:
     return Coder(open_packed(SparkFiles.get(name)))

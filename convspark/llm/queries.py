@@ -15,6 +15,7 @@ from convspark.llm.licences import scan_licences
 from convspark.llm.line_dedup import drop_repeated_lines
 from convspark.llm.mixing import mix_sources
 from convspark.llm.multi_index import near_vectors
+from convspark.llm.perplexity import judge_perplexity
 from convspark.llm.quality_rules import judge_documents
 from convspark.llm.toxicity import fit_toxicity, fold, score_toxicity
 
@@ -58,6 +59,12 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return judge_perplexity(documents(spark, sf_dir, "doc_id", "text", "lang"), labels.where("quality = 1"))
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")

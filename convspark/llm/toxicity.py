@@ -73,14 +73,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all rows, and the row of each."""
-    values = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
-    return values, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+@dataclass(frozen=True)
+class Sets:
+    """Sets of features: all features one after another, and the set that each belongs to."""
+
+    features: np.ndarray
+    owner: np.ndarray
+    n: int
 
 
 def fit_classifier(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n_features: int, options: ToxicityOptions
+    positive: Sets, unlabelled: Sets, prior: float, n_features: int, options: ToxicityOptions
 ) -> tuple[np.ndarray, float]:
     """Minimise the non-negative risk estimate with logistic loss.
 
@@ -92,8 +95,8 @@ def fit_classifier(
     Weights are not negative: evidence adds up, and the many harmless words of a long text cannot talk
     it away. ``p`` must be in (0, 1).
     """
-    (pf, pp), (uf, up) = _flat(positive), _flat(unlabelled)
-    n_p, n_u = len(positive), len(unlabelled)
+    pf, pp, n_p = positive.features, positive.owner, positive.n
+    uf, up, n_u = unlabelled.features, unlabelled.owner, unlabelled.n
     weights, bias = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, options.steps + 1):
@@ -175,18 +178,23 @@ def fit_toxicity(
     sample = texts.join(F.broadcast(chosen), "_id")
     table = map_rows(sample, "text", struct_of(words=T.ArrayType(T.IntegerType())), features).select("_id", "words", "_p", "_u")
     found = table.toArrow().sort_by("_id")
-    words = [np.asarray(x, np.int64) for x in found.column("words").to_pylist()]
+    lists = found.column("words").combine_chunks()
+    values = lists.flatten().to_numpy()
+    lengths = np.asarray(lists.value_lengths())
     is_p, is_u = (found.column(c).to_numpy() for c in ("_p", "_u"))
-    rows_p = [w for w, p in zip(words, is_p, strict=True) if p]
-    rows_u = [w for w, u in zip(words, is_u, strict=True) if u]
+    n_p, n_u = int(is_p.sum()), int(is_u.sum())
     # features that confirmed texts have often, and more often than others, numbered from 0
-    held, common = (np.bincount(_flat(rows)[0], minlength=1 << bits) for rows in (rows_p, rows_u))
-    often = held >= max(min(options.min_texts, len(rows_p)), options.min_share * len(rows_p))
-    known = np.flatnonzero(often & (held * max(1, len(rows_u)) >= options.min_lift * common * len(rows_p)))
-    number = np.full(1 << bits, -1, np.int64)
+    held, common = (np.bincount(values[np.repeat(x, lengths)], minlength=1 << bits) for x in (is_p, is_u))
+    often = held >= max(min(options.min_texts, n_p), options.min_share * n_p)
+    known = np.flatnonzero(often & (held * max(1, n_u) >= options.min_lift * common * n_p))
+    number = np.full(1 << bits, -1, np.int32)
     number[known] = np.arange(len(known))
-    rows_p, rows_u = ([x[x >= 0] for x in (number[w] for w in rows)] for rows in (rows_p, rows_u))
-    weights, bias = fit_classifier(rows_p, rows_u, prior, len(known), options)
+    kept = number[values] >= 0
+    values, owner = number[values[kept]], np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[kept]
+    chosen_p, chosen_u = (
+        Sets(values[x[owner]], (np.cumsum(x) - 1)[owner[x[owner]]], n) for x, n in ((is_p, n_p), (is_u, n_u))
+    )
+    weights, bias = fit_classifier(chosen_p, chosen_u, prior, len(known), options)
     none[known] = weights
     return ToxicityModel(bits, none, bias)
 
