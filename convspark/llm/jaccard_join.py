@@ -42,9 +42,16 @@ class Scheme:
         return self.exact + self.deleted
 
 
-def largest_difference(total: int, percent: int) -> int:
-    """Most elements in only one of two linked sets whose sizes add up to ``total``."""
-    return total - 2 * -(-percent * total // (100 + percent))
+def largest_difference(total, percent: int):
+    """Most elements in only one of two linked sets whose sizes add up to ``total`` or less (a number or an array).
+
+    A difference is as odd or even as the sum of sizes, so the sum one less may allow more.
+    """
+
+    def exactly(total):
+        return total - 2 * -(-percent * total // (100 + percent))
+
+    return np.maximum(exactly(total), exactly(total - 1))
 
 
 def _scheme(low: int, high: int, percent: int, sets: float) -> Scheme:
@@ -55,7 +62,7 @@ def _scheme(low: int, high: int, percent: int, sets: float) -> Scheme:
     largest difference. Agreeing empty segments say nothing; ``slack`` makes up for as many as a set
     usually has. Cost: entries of the index, plus expected accidental candidates among ``sets`` sets.
     """
-    bound = largest_difference(2 * high, percent) + 1
+    bound = int(largest_difference(2 * high, percent)) + 1
     smallest = max(1, ceil(percent * low / 100))
     mean = sqrt(low * high)
     best = None
@@ -122,8 +129,7 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
             segments = np.array([s.segments for s in schemes])
             slack = np.array([s.slack for s in schemes])
             partner = np.minimum([s.high for s in schemes], 100 * sizes[live] // bands.percent)
-            total = sizes[live] + partner
-            credit = total - 2 * -(-bands.percent * total // (100 + bands.percent)) + 1 + slack
+            credit = largest_difference(sizes[live] + partner, bands.percent) + 1 + slack
             used = np.minimum(np.where(credit <= exact, credit, exact + -(-(credit - exact) // 2)), segments)
             first = np.concatenate([[0], np.cumsum(segments)])
             token = np.concatenate([sets[i] for i in live])
@@ -347,7 +353,8 @@ def jaccard_components(
     bounded pieces of members (pieces whose sizes cannot be linked are not compared), and only
     spanning edges of the links leave a task; their components are the result.
 
-    Result: one row per document: id, ``n_shingles``, ``component_id`` (the smallest id reachable). A null
+    Result: one row per document: id, ``n_shingles``, ``component_id`` (the smallest id reachable),
+    ``text_hash`` (xxhash64 of the text) and ``representative`` (the row of the smallest id and text hash). A null
     text or one without words has an empty set and is linked with nothing; a text of fewer words than
     ``width`` has one shingle. Repeated rows are in one component; a null id is larger than any other
     and is the component id only among null ids. ``percent`` must be 80 to 100. An empty table gives
@@ -413,12 +420,38 @@ def jaccard_components(
     packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_sets // 500)
     roots = components(_links(clusters, percent, packs), "jaccard-links")
     grouped = rows.join(roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
-    smallest = grouped.where("node IS NOT NULL").groupBy("_root").agg(F.min("_id").alias("_least"))
-    return (
-        grouped.join(smallest, "_root", "left")
-        .select(
-            F.col("_id").alias(id_column),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("_least")).alias("component_id"),
-        )
+    # the smallest id, null last; the text decides between rows of one id
+    place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("own").alias("own"))
+    smallest = grouped.where("node IS NOT NULL").groupBy("_root").agg(F.min(place).alias("_least"))
+    alone = F.col("node").isNull()
+    return grouped.join(smallest, "_root", "left").select(
+        F.col("_id").alias(id_column),
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("_id")).otherwise(F.col("_least.id")).alias("component_id"),
+        F.col("own").alias("text_hash"),
+        (alone | (place == F.col("_least"))).alias("representative"),
     )
+
+
+def drop_near_copies(
+    docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """One document of each component (see :func:`jaccard_components`) stays: the one with the smallest id.
+
+    All columns are kept. Texts are not shuffled as long as the counted table of the others is small.
+    Empty texts, and texts without words, all stay.
+    """
+    found = materialise(jaccard_components(docs, width, percent, id_column, text_column), "jaccard-result")
+    found = found.select(F.col(id_column).alias("_id"), F.col("text_hash").alias("_own"), "representative", "n_shingles")
+    others, n = materialise_counting(found.where("NOT representative").distinct(), "near-copies")
+    text = F.xxhash64(F.col(text_column).cast("string"))
+    mine = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (text == F.col("_own"))
+    kept = docs.join(broadcast_if_small(others, n), mine, "left_anti")
+    # rows that agree in id and text are equal copies too
+    again = found.where("representative AND n_shingles > 0").groupBy("_id", "_own").count().where("count > 1")
+    again, n = materialise_counting(again.select("_id", "_own"), "repeated-rows")
+    if not n:
+        return kept
+    repeated = kept.join(broadcast_if_small(again, n), mine, "left_semi")
+    once = repeated.withColumn("_own_text", text).dropDuplicates([id_column, "_own_text"]).drop("_own_text")
+    return kept.join(broadcast_if_small(again, n), mine, "left_anti").unionByName(once)

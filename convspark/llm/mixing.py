@@ -73,6 +73,7 @@ def mix_sources(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    carry: bool = False,
 ) -> DataFrame:
     """How many copies of each document a mix of sources takes.
 
@@ -88,8 +89,8 @@ def mix_sources(
     documents taken one by one, each that still fits. So a source ends below its target by less than
     any document left in that bucket.
 
-    Result: ``_row``-free table of id, ``source``, ``size``, ``source_size``, ``target``, ``copies``,
-    ``taken`` (copies x size). A null text has size 0, an empty table gives an empty table, repeated
+    Result: id, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken`` (copies x size), and
+    with ``carry`` the whole input row as ``document``. A null text has size 0, an empty table gives an empty table, repeated
     rows are documents of their own, and reruns agree. A null source is a source of its own.
     """
     weight = F.lit(1.0)
@@ -97,6 +98,7 @@ def mix_sources(
         weight = F.greatest(F.coalesce(F.col(weight_column).cast("double"), F.lit(0.0)), F.lit(0.0))
     text = F.col(text_column)
     source = F.col(source_column).cast("string")
+    carried = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")] if carry else []
     narrow = materialise(
         docs.select(
             F.col(id_column),
@@ -111,6 +113,7 @@ def mix_sources(
                 F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("string"),
             ).alias("_u"),
             F.monotonically_increasing_id().alias("_row"),
+            *carried,
         ),
         "mix-rows",
     )
@@ -176,7 +179,7 @@ def mix_sources(
             ),
         ).otherwise(state),
     )["rows"]
-    last, _ = materialise_counting(
+    last, n_last = materialise_counting(
         near.join(broadcast_if_small(edge, n_sources), ["_none", "_source", "_fine"])
         .groupBy("_none", "_source", "_fine")
         .agg(fitted.alias("_rows_taken")),
@@ -184,6 +187,7 @@ def mix_sources(
     )
     edges = last.select("_none", "_source", F.col("_fine").alias("_last"))
     marks = last.select(F.explode("_rows_taken").alias("_row"), F.lit(1).alias("_marked"))
+    marks = broadcast_if_small(marks, n_last * 4 * _GROUP)
     # without a boundary all that have a chance are taken, or none where nothing is lacking
     before = F.col("_fine") < F.coalesce("_last", F.when(F.col("_lack") > 0, F.col("_b1") * F.col("_b2")).otherwise(0))
     extra = F.coalesce("_marked", before.cast("int"), F.lit(0))
@@ -193,6 +197,12 @@ def mix_sources(
         .join(marks, "_row", "left")
         .select(
             id_column, "source", "size", "source_size", "target", copies.alias("copies"),
-            (copies * F.col("size")).alias("taken"), "_row",
-        )
+            (copies * F.col("size")).alias("taken"), *["document"] * carry,
+        )
     )
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: every input row as often as :func:`mix_sources` takes it, with its own columns."""
+    mix = mix_sources(docs, carry=True, **options).where("copies > 0")
+    return mix.select(F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))), "document").select("document.*")

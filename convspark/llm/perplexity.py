@@ -26,7 +26,8 @@ _HELD = 4_000_000
 @dataclass(frozen=True)
 class PerplexityOptions:
     """A text is kept if its log perplexity lies within ``spread`` times the way from the median of its
-    language's trusted texts to their ``low`` and ``high`` quantiles.
+    language's trusted texts to their ``low`` and ``high`` quantiles; the mean of few characters varies
+    more, so both limits give way by ``short`` / sqrt(characters).
 
     ``broadcast_grams`` is the largest table of scored grams that is sent to the workers (12 bytes
     each); beyond it grams are joined per document.
@@ -34,7 +35,8 @@ class PerplexityOptions:
 
     low: float = 0.005
     high: float = 0.995
-    spread: float = 2.0
+    spread: float = 4.0
+    short: float = 1.0
     broadcast_grams: int = 4_000_000
 
 
@@ -311,7 +313,8 @@ def judge_perplexity(
         ),
         "limits",
     )
-    inside = F.col("_log").between(F.col("_low"), F.col("_high"))
+    give = options.short / F.sqrt(F.col("_count"))
+    inside = F.col("_log").between(F.col("_low") - give, F.col("_high") + give)
     return scored.join(broadcast_if_small(limits, n_limits), "lang", "left").select(
         F.col("_id").alias(id_column),
         F.when(F.col("lang") != "", F.substring("lang", 2, 1 << 30)).alias("lang"),

@@ -81,7 +81,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir, "doc_id", "text"), width=3, percent=90)
+    found = jaccard_components(documents(spark, sf_dir, "doc_id", "text"), width=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query()

@@ -1,0 +1,148 @@
+"""Line de-duplication, hash tree, licence join and mixing against plain restatements, with odd rows."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from convspark.llm.hash_tree import Topology, shard_documents
+from convspark.llm.licences import PHRASES, TEMPLATES, scan_licences
+from convspark.llm.line_dedup import drop_repeated_lines
+from convspark.llm.mixing import mix_sources, mixed_documents
+from tests.llm import brute
+
+SCHEMA = "doc_id long, text string, source string, score double, n_lines long"
+LONG = "A line that is certainly longer than forty characters, more or less"
+
+
+def rows():
+    rnd = random.Random(3)
+    words = "the of License under apache version 2 cc by nc mit rights all reserved été λόγος 李 a1 x-y".split()
+    out = []
+    for i in range(60):
+        lines = [" ".join(rnd.choice(words) for _ in range(rnd.randrange(14))) for _ in range(rnd.randrange(1, 5))]
+        if i % 3 == 0:
+            lines.insert(rnd.randrange(len(lines) + 1), f"\t {LONG.upper() if i % 2 else LONG} \r")
+        if i % 7 == 0:
+            lines.append("Licensed under the Apache License, Version 2.0. cc by nc")
+        if i % 11 == 0:
+            lines.append("this work is licensed\nunder the GNU General\nPublic License (version 3)")
+        out.append((i, "\n".join(lines), f"s{i % 5}" if i % 6 else None, 0.5, 7))
+    out += [(60, None, "s1", None, None), (61, "", None, 1.0, 1), (62, "word " * 30_000 + "\n" + LONG, "s2", 0.0, 0)]
+    out += [out[0], (None, LONG, "s1", 0.0, 0), (None, "x", None, 0.0, 0), (63, "\n\n", "s0", 0.0, 0)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_lines_agree_with_brute_force(docs):
+    found = drop_repeated_lines(docs)
+    assert found.columns == ["doc_id", "text", "source", "score", "n_lines", "n_dropped"]
+    mine = [(r.doc_id, r.n_lines, r.n_dropped, brute.sha256(r.text)) for r in found.collect()]
+    assert sorted(mine, key=str) == brute.line_dedup([r[:2] for r in rows()])
+
+
+def test_threshold_and_largest_holder(spark):
+    five = spark.createDataFrame([(i, LONG + "\nown") for i in range(5)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in drop_repeated_lines(five).collect()) == [
+        *[(i, "own") for i in range(4)], (4, LONG + "\nown")
+    ]
+    assert all(r.n_dropped == 0 for r in drop_repeated_lines(five.where("doc_id < 4")).collect())
+
+
+def test_tree_shards(docs):
+    found = shard_documents(docs, Topology.uniform(2, 2, 4), slot_buckets=4).collect()
+    texts = defaultdict(list)
+    for i, text, *_ in rows():
+        texts[i].append((len((text or "").encode()) + 1, brute.crc(text)))
+    slots = defaultdict(list)
+    for r in found:
+        assert (r["size"], r.text_crc32) in texts[r.doc_id] and r.law == "key"
+        assert r.grown_shard in (r.shard, 16) and 0 <= r.shard < 16
+        slots[r.shard].append(r.slot)
+    assert len(found) == len(rows()) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r.shard for r in found if r.doc_id is None}) == 1
+
+
+def test_tree_moves_only_below_changed_weights(spark):
+    ids = spark.range(4000).selectExpr("id doc_id", "'' text")
+    even = {r.doc_id: r.shard for r in shard_documents(ids, Topology.uniform(2, 2, 2)).collect()}
+    heavier = Topology((((1.0, 1.0), (1.0, 3.0)), ((1.0, 1.0), (1.0, 1.0))))
+    after = {r.doc_id: r.shard for r in shard_documents(ids, heavier).collect()}
+    counts = Counter(after.values())
+    assert all(abs(counts[s] / 4000 - w / 10) < 0.03 for s, w in enumerate([1, 1, 1, 3, 1, 1, 1, 1]))
+    # nothing moves between subtrees whose weights stay: rows that leave a rack go towards the grown one
+    for i, s in even.items():
+        if after[i] != s:
+            assert after[i] < 4 and (s >= 4 or after[i] >= 2 or s >= 2)
+            assert not (s < 2 and after[i] < 2)
+
+
+def test_topology_is_checked():
+    for regions in ((), ((),), (((),),), (((0.0,),),)):
+        with pytest.raises(ValueError):
+            Topology(regions)
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.6])
+def test_licences_agree_with_brute_force(docs, threshold):
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    found = scan_licences(docs, threshold)
+    assert "source" in found.columns and found.columns.count("score") == 1
+    mine = sorted((tuple(r[c] for c in columns) for r in found.collect()), key=str)
+    assert mine == brute.licences([r[:2] for r in rows()], PHRASES, TEMPLATES, threshold)
+
+
+def test_licence_joins_without_templates_or_phrases(docs):
+    assert {r.labels for r in scan_licences(docs, templates=(), phrases={}).collect()} == {""}
+
+
+def test_targets_and_copies(docs):
+    mix = mix_sources(docs, weights=(3, 1, 2)).collect()
+    sizes, texts = Counter(), rows()
+    for _, text, source, *_ in texts:
+        sizes[source] += len(brute.WORD.findall(text or ""))
+    wanted = brute.targets(sizes)
+    taken = Counter()
+    for r in mix:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(wanted[r.source])
+        assert r.taken == r.copies * r["size"] and 0 <= r.copies <= 2
+        taken[r.source] += r.taken
+    largest = defaultdict(int)
+    for _, text, source, *_ in texts:
+        largest[source] = max(largest[source], len(brute.WORD.findall(text or "")))
+    assert all(0 <= wanted[s] - taken[s] <= max(largest[s], 1) + 1e-6 for s in sizes)
+    again = mix_sources(docs.repartition(5), weights=(3, 1, 2)).collect()
+    assert Counter(map(tuple, mix)) == Counter(map(tuple, again))
+    assert mixed_documents(docs).count() == sum(r.copies for r in mix)
+    assert mixed_documents(docs).columns == docs.columns
+
+
+def test_large_sources_hit_their_targets(spark):
+    many = spark.range(30_000).selectExpr(
+        "id doc_id", "repeat('w ', cast(1 + id % 37 as int)) text", "if(id % 3 = 0, 'a', concat('b', id % 4)) source"
+    )
+    mix = mix_sources(many).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
+    assert all(r["max(target)"] - 40 <= r["sum(taken)"] <= r["max(target)"] for r in mix)
+
+
+def test_weighted_documents_are_taken_more_often(spark):
+    rows = spark.range(4000).selectExpr("id doc_id", "'a b' text", "'s' source", "if(id % 2 = 0, 3.0, 1.0) weight")
+    mix = mix_sources(rows, share=0.5, weight_column="weight").groupBy("doc_id").agg({"copies": "sum"}).collect()
+    even, odd = (sum(r["sum(copies)"] for r in mix if r.doc_id % 2 == k) for k in (0, 1))
+    assert even + odd == 2000 and 2.5 < even / odd < 3.5
+
+
+def test_empty_tables(nothing):
+    for df in (
+        drop_repeated_lines(nothing), shard_documents(nothing, Topology.uniform(1, 1, 2)), scan_licences(nothing), mix_sources(nothing)
+    ):
+        assert df.count() == 0
