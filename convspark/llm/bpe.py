@@ -338,8 +338,8 @@ def decode_documents(encoded: DataFrame, lexicon: Lexicon, ids_column: str = "id
     return map_rows(encoded, ids_column, struct_of(decoded=T.StringType()), work)
 
 
-def round_trip(docs: DataFrame, lexicon: Lexicon, text_column: str = "text") -> DataFrame:
-    """All columns plus ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: encoded and decoded in one pass.
+def round_trip(docs: DataFrame, lexicon: Lexicon, text_column: str = "text", with_ids: bool = False) -> DataFrame:
+    """All columns plus ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` (and ``ids``): encoded and decoded in one pass.
 
     Digests are of the ids as little-endian unsigned 32-bit integers and of the decoded text in UTF-8,
     in lower-case hex. For rows see :func:`encode_documents`.
@@ -351,11 +351,13 @@ def round_trip(docs: DataFrame, lexicon: Lexicon, text_column: str = "text") ->
         ids, offsets = coder.encode([t or "" for t in texts.to_pylist()])
         raw, at = ids.astype("<u4").tobytes(), (4 * offsets).tolist()
         digest = lambda data: hashlib.sha256(data).hexdigest()
-        return [
+        lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))] if with_ids else []
+        return lists + [
             pa.array(np.diff(offsets), pa.int64()),
             pa.array([digest(raw[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.string()),
             pa.array([digest(t.encode()) for t in coder.decode(ids, offsets)], pa.string()),
         ]
 
-    extra = struct_of(n_tokens=T.LongType(), ids_sha256=T.StringType(), decoded_sha256=T.StringType())
+    wanted = {"ids": T.ArrayType(T.IntegerType())} if with_ids else {}
+    extra = struct_of(**wanted, n_tokens=T.LongType(), ids_sha256=T.StringType(), decoded_sha256=T.StringType())
     return map_rows(docs, text_column, extra, work)
