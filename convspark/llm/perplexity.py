@@ -111,8 +111,8 @@ def _discounts(counts: DataFrame) -> DataFrame:
     """
     of = [F.count_if(F.col("a") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
     n1, n2, n3, n4 = (F.col(f"n{k}").cast("double") for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+    y = F.try_divide(n1, n1 + 2 * n2)
+    raw = (1 - 2 * y * F.try_divide(n2, n1), 2 - 3 * y * F.try_divide(n3, n2), 3 - 4 * y * F.try_divide(n4, n3))
     safe = [
         F.when((n > 0) & (d > 0) & (d < k), d).otherwise(F.lit(k / 2)).alias(f"d{k}")
         for k, d, n in zip((1, 2, 3), raw, (n1, n2, n3), strict=True)
@@ -301,7 +301,7 @@ def judge_perplexity(
     scores = materialise(gram_scores(model, counts), "gram-scores")
     add = _sum_broadcast if n_grams <= options.broadcast_grams else _sum_joined
     carried = materialise(add(marked, scores), "perplexities")
-    score = -F.col("_sum") / F.col("_count")
+    score = -F.try_divide("_sum", "_count")
     scored = carried.withColumn("_log", F.when(F.col("_count") > 0, score))
     q = F.percentile_approx("_log", [options.low, 0.5, options.high], 10000)
     middle, low, high = F.col("_q")[1], F.col("_q")[0], F.col("_q")[2]
@@ -313,7 +313,7 @@ def judge_perplexity(
         ),
         "limits",
     )
-    give = options.short / F.sqrt(F.col("_count"))
+    give = F.try_divide(F.lit(options.short), F.sqrt("_count"))
     inside = F.col("_log").between(F.col("_low") - give, F.col("_high") + give)
     return scored.join(broadcast_if_small(limits, n_limits), "lang", "left").select(
         F.col("_id").alias(id_column),

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from convspark.llm import bpe, perplexity, toxicity
 from convspark.llm.lexicon import compile_words, find_words, open_packed, pack
@@ -139,7 +140,7 @@ def toxic_table(spark, n=1200):
 def test_toxicity_on_held_out_texts(spark):
     docs, labels, truth = toxic_table(spark)
     model = toxicity.fit_toxicity(docs, labels)
-    found = toxicity.score_toxicity(docs, model).withColumn("held", toxicity.fold(docs.doc_id) == 0).collect()
+    found = toxicity.score_toxicity(docs, model).withColumn("held", toxicity.fold(F.col("doc_id")) == 0).collect()
     assert len(found) == len(truth) + 3 and found[0].asDict().keys() == {"doc_id", "text", "words", "score", "predicted", "held"}
     held = [r for r in found if r.held and r.doc_id in truth]
     assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.97
