@@ -21,8 +21,9 @@ def split_value(key: Column | str) -> Column:
 
 
 def split_label(key: Column | str, train_split: float = 0.9) -> Column:
-    """``train`` where the split value is strictly below ``train_split``, else ``test``."""
-    return F.when(split_value(key) < F.lit(float(train_split)), TRAIN).otherwise(TEST)
+    """``train`` where the split value is strictly below ``train_split``, else ``test``; a null key is an error."""
+    value = F.coalesce(split_value(key), F.raise_error(F.lit("a split key is null")).cast("double"))
+    return F.when(value < F.lit(float(train_split)), TRAIN).otherwise(TEST)
 
 
 def assign_split(df: DataFrame, key: str, train_split: float = 0.9) -> DataFrame:

@@ -15,8 +15,10 @@ def dedup_contexts(examples: DataFrame, seed: int = 0) -> DataFrame:
     return examples.withColumn("_seen", F.row_number().over(order)).where("_seen = 1").drop("_seen")
 
 
-def load_examples(examples: DataFrame, n: int, seed: int = 0, deduplicate: bool = False) -> DataFrame:
-    """Up to n random ``(context, response, ordinal)`` rows, ``ordinal`` dense from 0."""
+def load_examples(
+    examples: DataFrame, n: int | None = None, seed: int = 0, deduplicate: bool = False
+) -> DataFrame:
+    """All, or up to n random ``(context, response, ordinal)`` rows, ``ordinal`` dense from 0."""
     pairs = examples.select("context", "response")
     if deduplicate:
         pairs = dedup_contexts(pairs, seed)

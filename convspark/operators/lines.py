@@ -14,16 +14,21 @@ LINES_PER_BLOCK = 100_000
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Clean every line and drop those that become empty, so that they do not break adjacency.
 
-    A line without a file or a number has no neighbours and is left out.
+    A line without a file or a number has no neighbours, and a null line is none; they are left out.
     Unfolding a list of one or no line stands for the filter: a filter would be pushed below the
     projection and run all patterns a second time.
     """
     others = [c for c in lines.columns if c != "line"]
-    known = lines.where(F.col("file_id").isNotNull() & F.col("line_no").isNotNull())
+    known = lines.where(F.col("file_id").isNotNull() & F.col("line_no").isNotNull() & F.col("line").isNotNull())
     cleaned = known.select(*others, preprocess_line("line").alias("line"))
     return cleaned.select(*others, F.explode(F.array_remove(F.array("line"), "")).alias("line"))
 
 
+def _file_key(lines: DataFrame) -> str:
+    """The column that tells files apart: the path, where it is known."""
+    return "path" if "path" in lines.columns else "file_id"
+
+
 def _previous_lines(lines: DataFrame, cleaned: DataFrame, depth: int, lines_per_block: int) -> DataFrame:
     """The cleaned lines with ``prev_1 .. prev_depth``, the lines before them in the same file.
 
@@ -33,10 +38,13 @@ def _previous_lines(lines: DataFrame, cleaned: DataFrame, depth: int, lines_per_
     line, so the ``depth`` blocks before always suffice. Both branches read the same exchange, which
     needs the same null filters on both: :func:`clean_lines` sets them before the join would.
     """
-    keys = ["file_id", "block"]
+    file = _file_key(lines)
+    keys = [file, "block"]
+    label = ["file_id"] if file != "file_id" else []
     in_block = Window.partitionBy(*keys).orderBy("line_no")
     blocked = cleaned.withColumn("block", F.floor(F.col("line_no") / lines_per_block)).select(
         *keys,
+        *label,
         "line",
         *[F.lag("line", j).over(in_block).alias(f"prev_{j}") for j in range(1, depth + 1)],
         F.row_number().over(in_block).alias("position"),
@@ -44,10 +52,10 @@ def _previous_lines(lines: DataFrame, cleaned: DataFrame, depth: int, lines_per_
     )
 
     # Only files longer than a block need tails; without any, the branch is dropped at run time.
-    long_files = lines.where(F.col("line_no") >= lines_per_block).select("file_id").distinct()
+    long_files = lines.where(F.col("line_no") >= lines_per_block).select(file).distinct()
     tail = F.array_compact(F.array("line", *[f"prev_{j}" for j in range(1, depth)]))
-    tails = blocked.where("is_last").select(*keys, tail.alias("tail")).join(long_files, "file_id", "left_semi")
-    over_blocks = Window.partitionBy("file_id").orderBy("block")
+    tails = blocked.where("is_last").select(*keys, tail.alias("tail")).join(long_files, file, "left_semi")
+    over_blocks = Window.partitionBy(file).orderBy("block")
     earlier = F.array_compact(F.array(*[F.lag("tail", j).over(over_blocks) for j in range(1, depth + 1)]))
     carry = tails.select(*keys, F.slice(F.flatten(earlier), 1, depth).alias("carry")).where(F.size("carry") > 0)
 

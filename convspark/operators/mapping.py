@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +35,7 @@ _ADAGRAD_START = 0.1
 
 # Sums travel in pieces of this many numbers, so that no group grows with the square of the dimension.
 _PIECE = 16_384
-_PARTIAL = "setting int, piece int, total array<double>"
+_PARTIAL = "setting int, piece int, part int, total array<double>"
 
 
 def batch_gradient(
@@ -99,7 +99,10 @@ class MappingFit:
 
 
 class VectorMapping:
-    """Learns ``weights`` and ``residual`` over a grid; the best dev accuracy wins."""
+    """Learns ``weights`` and ``residual`` over a grid; the best dev accuracy wins.
+
+    ``sample`` bounds the random examples that the map is fitted on; None takes all.
+    """
 
     def __init__(
         self,
@@ -108,16 +111,19 @@ class VectorMapping:
         regularizers: tuple[float, ...] = REGULARIZERS,
         max_epochs: int = MAX_EPOCHS,
         seed: int = 0,
+        sample: int | None = None,
     ):
         self.encoder = encoder
+        self.sample = sample
         self.grid = list(itertools.product(learning_rates, regularizers))
         self.max_epochs = max_epochs
         self.seed = seed
 
     def _packed_batches(self, examples: DataFrame) -> DataFrame:
         """One row per batch of at most 256 (train) or 100 (dev) unit vectors."""
-        pairs = self.encoder.encode(examples.select("context", "response"))
-        indexed, n = materialise_counting(dense_index(pairs, self.seed), "vectors")
+        numbered = dense_index(examples.select("context", "response"), self.seed, limit=self.sample)
+        numbered, n = materialise_counting(numbered, "pairs")
+        indexed = self.encoder.encode(numbered)  # once per text: the batches are written
         n_dev = int(np.ceil(DEV_SHARE * n))
         is_dev = F.col("ordinal") < n_dev
         batch = F.when(is_dev, F.floor(F.col("ordinal") / DEV_BATCH_SIZE)).otherwise(
@@ -135,6 +141,9 @@ class VectorMapping:
             {i: (s.weights, s.residual) for i, s in running.items()}
         )
 
+        # sums are added by groups of tasks first, so that no group grows with the number of tasks
+        spread = max(1, int(batches.rdd.getNumPartitions() ** 0.5))
+
         def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             # per setting: the gradient by the map, then by the residual, loss, batches, hits, rows
             totals = {i: np.zeros(w.size + 5) for i, (w, _) in maps.value.items()}
@@ -150,14 +159,16 @@ class VectorMapping:
                             totals[i][-5:-2] += by_residual, loss, 1
             for i, total in totals.items():
                 pieces = [total[at : at + _PIECE] for at in range(0, len(total), _PIECE)]
-                yield pd.DataFrame({"setting": i, "piece": range(len(pieces)), "total": pieces})
+                part = TaskContext.get().partitionId() % spread
+                yield pd.DataFrame({"setting": i, "piece": range(len(pieces)), "part": part, "total": pieces})
 
         def add(group: pd.DataFrame) -> pd.DataFrame:
             first = group.iloc[[0]].reset_index(drop=True)
             first.at[0, "total"] = np.sum(np.stack(group["total"].to_numpy()), axis=0)
             return first
 
-        partial = batches.mapInPandas(sums, _PARTIAL)
+        partial = batches.mapInPandas(sums, _PARTIAL).groupBy("setting", "piece", "part").applyInPandas(add, _PARTIAL)
+        # of the size of the models: settings x (d * d + 5) numbers
         summed = partial.groupBy("setting", "piece").applyInPandas(add, _PARTIAL).toPandas()
         maps.unpersist()
         out = {}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from convspark.functions.split import TEST, TRAIN
 from convspark.params import check_positive
-from convspark.workspace import new_path
+from convspark.workspace import materialise, new_path
 
 _SEPARATOR = "\x1f"
 _COPIES_PER_BLOCK = 10_000
@@ -60,12 +60,18 @@ def dense_index(
     shuffle, so a small sample of a huge table moves little more than the sample.
 
     Identical rows are counted before they are shuffled and unfolded afterwards, unless the caller
-    promises that the key is ``unique``.
+    promises that the key is ``unique``. Without a limit the rows are written once with their hash, so
+    the input is run once; with one, counting and fetching each run it, and only the sample is moved.
     """
     columns = df.columns
+    if not 1 <= prefix_digits <= 5:
+        raise ValueError("prefix_digits must be from 1 to 5: a million buckets are broadcast at most")
     keyed = df.withColumn("_digest", row_digest(key or columns, seed)).withColumn(
         "_bucket", F.conv(F.left("_digest", F.lit(prefix_digits)), 16, 10).cast("int")
     )
+    if limit is None:
+        # counted, ranked and checked for copies from here: the input runs once
+        keyed = materialise(keyed, "keyed")
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     through = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
     offsets = counts.select("_bucket", (through - F.col("_n")).alias("_offset"))
@@ -125,13 +131,24 @@ def ordered_index(df: DataFrame, *order: str) -> DataFrame:
 
 
 def shard_lines(
-    lines: DataFrame, *order: str, lines_per_shard: int = 100_000, suffix_length: int = 3, prefix: str = "lines-"
+    lines: DataFrame,
+    *order: str,
+    lines_per_shard: int = 100_000,
+    suffix_length: int | None = None,
+    prefix: str = "lines-",
 ) -> DataFrame:
     """Cut an ordered corpus into named shards: adds ``file_id`` (``lines-aaa``, ...) and ``line_no``.
 
-    The names feed the train/test split, so they count in base 26 from ``aaa``. Running out of
-    names is an error; a larger corpus takes a longer suffix.
+    The names feed the train/test split, so they count in base 26 from ``aaa``. The suffix has three
+    letters, or as many as the number of shards needs; running out of letters with a given length is an
+    error.
     """
+    indexed = ordered_index(lines, *order)
+    if suffix_length is None:
+        last = indexed.agg(F.max("ordinal")).first()[0] or 0
+        suffix_length = 3
+        while 26**suffix_length <= last // lines_per_shard:
+            suffix_length += 1
     check_positive(lines_per_shard=lines_per_shard, suffix_length=suffix_length)
     shard = F.floor(F.col("ordinal") / lines_per_shard)
     letters = [
@@ -141,10 +158,10 @@ def shard_lines(
         F.raise_error(F.lit("more shards than names: raise suffix_length"))
     )
     return (
-        ordered_index(lines, *order)
+        indexed
         .withColumn("file_id", name)
         .withColumn("line_no", F.col("ordinal") % lines_per_shard)
-        .drop("ordinal")
+        .drop("ordinal", "path")  # a shard is a file of its own
     )
 
 

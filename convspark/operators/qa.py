@@ -16,9 +16,9 @@ def flatten_qa(records: DataFrame, min_words: int | None = None, max_words: int
     """
 
     def accepted(c: Column) -> Column:
-        if min_words is None or max_words is None:
+        if min_words is None and max_words is None:
             return c.isNotNull()
-        return word_count_between(c, min_words, max_words)
+        return word_count_between(c, 0 if min_words is None else min_words, 2**31 - 1 if max_words is None else max_words)
 
     def pair(question: Column, answer: Column) -> Column:
         return F.struct(question.alias("question"), answer.alias("answer"))

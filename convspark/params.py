@@ -16,7 +16,8 @@ def check_positive(**values: int) -> None:
 
 class _Checked:
     def __post_init__(self) -> None:
-        check_positive(**{f.name: getattr(self, f.name) for f in fields(self) if f.type == "int"})
+        numbers = {f.name: getattr(self, f.name) for f in fields(self) if f.type in ("int", "int | None")}
+        check_positive(**{name: value for name, value in numbers.items() if value is not None})
         dataset_format = getattr(self, "dataset_format", FORMATS[0])
         if dataset_format not in FORMATS:
             raise ValueError(f"dataset_format must be one of {FORMATS}, got {dataset_format!r}")
@@ -62,9 +63,9 @@ class QaOptions(_Checked):
 
 @dataclass(frozen=True)
 class EvalOptions(_Checked):
-    """1-of-N evaluation; ``n_candidates`` is N."""
+    """1-of-N evaluation; ``n_candidates`` is N. Without sizes, all training rows and all full batches are used."""
 
     n_candidates: int = 100
-    train_size: int = 10_000
-    eval_num_batches: int = 500
+    train_size: int | None = None
+    eval_num_batches: int | None = None
     deduplicate_eval: bool = False

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping
 from functools import reduce
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +19,6 @@ from convspark.workspace import materialise_counting
 
 _log = logging.getLogger(__name__)
 
-#: Batches for methods whose encoder is slow.
-SLOW_EVAL_NUM_BATCHES = 100
-
 
 class Model(Protocol):
     def rank_responses(self, batches: DataFrame) -> DataFrame: ...
@@ -40,40 +37,66 @@ def methods(encoders: Mapping[str, Encoder] | None = None) -> dict[str, Callable
     return registry
 
 
-def evaluate(
-    ranker: Ranker, train: DataFrame, test: DataFrame, options: EvalOptions = EvalOptions(), seed: int = 0
-) -> DataFrame:
-    """Fit on a sample of ``train``, rank batches of ``test``: one row with sizes and accuracy."""
-    wanted = options.n_candidates * options.eval_num_batches
-    fitted_on, train_size = materialise_counting(load_examples(train, options.train_size, seed), "train")
-    evaluated_on, test_size = materialise_counting(load_examples(test, wanted, seed, options.deduplicate_eval), "test")
-    for side, size, asked in (("train", train_size, options.train_size), ("test", test_size, wanted)):
-        if size < asked:
-            _log.warning("%d %s examples were requested, but there are only %d", asked, side, size)
-    model = ranker.fit(fitted_on.drop("ordinal"))
-    ranked = model.rank_responses(eval_batches(evaluated_on, options.n_candidates, seed))
+class _Side(NamedTuple):
+    rows: DataFrame
+    size: int
+
+
+def _load(examples: DataFrame, wanted: int | None, label: str, seed: int, deduplicate: bool = False) -> _Side:
+    """Sample a side once, into a table; the order is random, so a prefix is a smaller sample."""
+    rows, size = materialise_counting(load_examples(examples, wanted, seed, deduplicate), label)
+    if wanted is not None and size < wanted:
+        _log.warning("%d %s examples were requested, but there are only %d", wanted, label, size)
+    return _Side(rows, size)
+
+
+def _test_rows(options: EvalOptions) -> int | None:
+    return None if options.eval_num_batches is None else options.n_candidates * options.eval_num_batches
+
+
+def _evaluated(ranker: Ranker, train: _Side, test: _Side, n_candidates: int, seed: int) -> DataFrame:
+    model = ranker.fit(train.rows.drop("ordinal"))
+    ranked = model.rank_responses(eval_batches(test.rows, n_candidates, seed))
     return accuracy(ranked).select(
-        F.lit(train_size).cast("long").alias("train_size"),
-        F.lit(test_size).cast("long").alias("test_size"),
-        F.lit(options.n_candidates).cast("long").alias("recall_k"),
+        F.lit(train.size).cast("long").alias("train_size"),
+        F.lit(test.size).cast("long").alias("test_size"),
+        F.lit(n_candidates).cast("long").alias("recall_k"),
         "accuracy",
     )
 
 
+def evaluate(
+    ranker: Ranker, train: DataFrame, test: DataFrame, options: EvalOptions = EvalOptions(), seed: int = 0
+) -> DataFrame:
+    """Fit on ``train``, rank batches of ``test``: one row with sizes and accuracy."""
+    fitted_on = _load(train, options.train_size, "train", seed)
+    evaluated_on = _load(test, _test_rows(options), "test", seed, options.deduplicate_eval)
+    return _evaluated(ranker, fitted_on, evaluated_on, options.n_candidates, seed)
+
+
 def sweep(
     datasets: Mapping[str, tuple[DataFrame, DataFrame]],
     rankers: Mapping[str, Callable[[], Ranker]],
     options: EvalOptions = EvalOptions(),
-    slow: frozenset[str] = frozenset(),
+    batches: Mapping[str, int] | None = None,
+    seed: int = 0,
 ) -> DataFrame:
-    """One result row per data set and method; ``slow`` methods get fewer batches."""
+    """One result row per data set and method. Each set is sampled once, for all methods.
+
+    ``batches`` gives a slow method a number of batches of its own: it ranks the first ones of the
+    same random order.
+    """
     rows = []
     for dataset, (train, test) in datasets.items():
+        fitted_on = _load(train, options.train_size, "train", seed)
+        evaluated_on = _load(test, _test_rows(options), "test", seed, options.deduplicate_eval)
         for method, ranker in rankers.items():
-            batches = min(options.eval_num_batches, SLOW_EVAL_NUM_BATCHES) if method in slow else options.eval_num_batches
-            used = EvalOptions(options.n_candidates, options.train_size, batches, options.deduplicate_eval)
+            used = evaluated_on
+            if method in (batches or {}):
+                limit = options.n_candidates * batches[method]
+                used = _Side(used.rows.where(F.col("ordinal") < limit), min(used.size, limit))
             rows.append(
-                evaluate(ranker(), train, test, used).select(
+                _evaluated(ranker(), fitted_on, used, options.n_candidates, seed).select(
                     F.lit(method).alias("method"),
                     F.lit(f"{dataset}-train").alias("train"),
                     F.lit(f"{dataset}-test").alias("test"),

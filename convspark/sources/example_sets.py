@@ -50,6 +50,14 @@ def write_examples(
     )
 
 
+def _required(examples: DataFrame) -> DataFrame:
+    """A missing context or response is an error."""
+    checked = {
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"an example has no {c}")).cast("string")) for c in ("context", "response")
+    }
+    return examples.withColumns(checked)
+
+
 def read_examples(
     spark: SparkSession,
     path: str,
@@ -57,17 +65,22 @@ def read_examples(
     num_extra_contexts: int = 10,
     other_features: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Examples at a folder or file pattern, absent features null. Raises when there is nothing to read."""
+    """Examples at a folder or file pattern, absent extra features null.
+
+    Raises when there is nothing to read, and when a line or record is no example with a context and a
+    response.
+    """
     _check_format(dataset_format)
     schema = example_schema(num_extra_contexts, other_features)
-    reader = spark.read.schema(schema)
+    # a line that is no example stops the job
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if dataset_format == "tfrecord":
         tfrecord.register(spark)
-        return reader.format("tfrecord").load(_qualified(spark, path))
+        return _required(spark.read.schema(schema).format("tfrecord").load(_qualified(spark, path)))
     found = reader.format(dataset_format).load(path)
     if not found.inputFiles():
         raise FileNotFoundError(f"no example files below {path}")
-    return found.select(*[F.col(f"`{name}`") for name in schema.fieldNames()])
+    return _required(found.select(*[F.col(f"`{name}`") for name in schema.fieldNames()]))
 
 
 def append_results(results: DataFrame, path: str) -> None:

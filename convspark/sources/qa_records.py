@@ -14,18 +14,31 @@ from convspark.schema import QA_RECORD
 CORRUPT = "_corrupt"
 
 
+def _fitting(value, kind: T.DataType):
+    """The value, if it has the type at every level; text with its surrogate pairs joined. Else a ValueError."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StringType) and isinstance(value, str):
+        return value.encode("utf-16", "surrogatepass").decode("utf-16")  # a lone surrogate is no text
+    if isinstance(kind, T.ArrayType) and isinstance(value, (list, tuple)):
+        return [_fitting(v, kind.elementType) for v in value]
+    if isinstance(kind, T.StructType) and isinstance(value, dict):
+        return {f.name: _fitting(value.get(f.name), f.dataType) for f in kind.fields}
+    raise ValueError(f"{value!r} is not of type {kind.simpleString()}")
+
+
 @F.pandas_udf(QA_RECORD)
 def _evaluate(lines: pd.Series) -> pd.DataFrame:
-    """Read dict literals the JSON reader cannot; anything else gives nulls."""
+    """Read dict literals the JSON reader cannot; anything else, a value of a wrong type too, gives nulls."""
 
     def record(line: str | None) -> dict:
         if line is None:
             return {}
         try:
             value = ast.literal_eval(line)
+            return {f.name: _fitting(value.get(f.name), f.dataType) for f in QA_RECORD.fields} if isinstance(value, dict) else {}
         except (ValueError, SyntaxError, MemoryError, RecursionError):
             return {}
-        return value if isinstance(value, dict) else {}
 
     fields = [f.name for f in QA_RECORD.fields]
     return pd.DataFrame([[r.get(name) for name in fields] for r in map(record, lines)], columns=fields)

@@ -9,7 +9,10 @@ from convspark.workspace import broadcast_if_small, materialise, materialise_cou
 
 
 def numbered_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    """``(file_id, line_no, line)`` for every line of the matching files; line_no is dense from 0.
+    """``(path, file_id, line_no, line)`` for every line of the matching files; line_no is dense from 0.
+
+    ``path`` tells files apart; ``file_id``, the last part of it as it is on disk, is the label of
+    the examples and may be the same in several folders.
 
     Files stay splittable. Within one split the reader numbers rows consecutively, so a line's
     number is its distance from the first row of the split plus the lines of the splits before it:
@@ -25,7 +28,8 @@ def numbered_lines(spark: SparkSession, pattern: str) -> DataFrame:
     pinned = materialise(
         raw.select(
             F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("file_id"),
+            # file names come URL-encoded, but for the plus sign
+            F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file_id"),
             F.col("_metadata.file_block_start").alias("start"),
             F.monotonically_increasing_id().alias("row"),
             text.alias("line"),
@@ -37,5 +41,5 @@ def numbered_lines(spark: SparkSession, pattern: str) -> DataFrame:
     offsets = splits.select("path", "start", "first", (F.sum("n").over(before) - F.col("n")).alias("offset"))
     offsets, n = materialise_counting(offsets, "offsets")
     return pinned.join(broadcast_if_small(offsets, n), ["path", "start"]).select(
-        "file_id", (F.col("row") - F.col("first") + F.col("offset")).alias("line_no"), "line"
+        "path", "file_id", (F.col("row") - F.col("first") + F.col("offset")).alias("line_no"), "line"
     )

@@ -12,6 +12,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ from pyspark.sql.datasource import (
 RECORD = T.StructType([T.StructField("record", T.BinaryType())])
 _RECORDS_PER_BATCH = 2_000
 _BYTES_PER_BATCH = 16 << 20
+_READ_BUFFER = 8 << 20
+_RENAMES = 32
 
 # Fixed values of the file format: reflected CRC-32C polynomial and the mask added to a checksum.
 _POLYNOMIAL = 0x82F63B78
@@ -100,7 +103,11 @@ def unframe(stream) -> Iterator[list[bytes]]:
         if len(header) != 8:
             raise ValueError("truncated record file")
         (length_crc,) = struct.unpack("<I", take(4))
-        record = take(struct.unpack("<Q", header)[0])
+        (length,) = struct.unpack("<Q", header)
+        # before memory is asked for by a damaged length
+        if length > _BYTES_PER_BATCH and masked_crc32c([header])[0] != length_crc:
+            raise ValueError("checksum mismatch in record file")
+        record = take(length)
         (crc,) = struct.unpack("<I", take(4))
         headers.append(header)
         records.append(record)
@@ -166,7 +173,9 @@ def _record_files(path: str) -> list[str]:
         folder = re.split(r"[*?\[]", path, maxsplit=1)[0].rpartition("/")[0] or "."
     filesystem, root = _filesystem(folder)
     infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
-    files = sorted(i.path for i in infos if i.type == pafs.FileType.File and "/_attempts/" not in i.path)
+    if any(i.type == pafs.FileType.Directory and i.path.endswith("/_attempts") for i in infos):
+        raise ValueError(f"{folder} has unfinished attempts: its write did not end")
+    files = sorted(i.path for i in infos if i.type == pafs.FileType.File)
     if folder == path:
         return [f for f in files if f.endswith(".tfrecord")]
     pattern = root + path[len(folder) :]
@@ -192,7 +201,7 @@ class _Reader(DataSourceReader):
     def read(self, partition: _FilePartition) -> Iterator[pa.RecordBatch]:
         filesystem, _ = _filesystem(self.path)
         names = self.schema.fieldNames()
-        with filesystem.open_input_stream(partition.path) as stream:
+        with filesystem.open_input_stream(partition.path, buffer_size=_READ_BUFFER) as stream:
             for records in unframe(stream):
                 if names == RECORD.fieldNames():
                     columns = [pa.array(records, pa.binary())]
@@ -214,7 +223,10 @@ class _Writer(DataSourceWriter):
         self.path = path
         self.shards = {k: int(options[k]) for k in ("train", "test") if k in options}
         if overwrite:
-            raise ValueError("record files are only appended to a fresh folder")
+            raise ValueError("record files are only written to a fresh folder")
+        filesystem, root = _filesystem(path)
+        if filesystem.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            raise FileExistsError(f"{path} is not empty: record files are only written to a fresh folder")
 
     def _name(self, split: str, partition: int) -> str:
         if split in self.shards:
@@ -256,10 +268,12 @@ class _Writer(DataSourceWriter):
 
     def commit(self, messages: list[_Written | None]) -> None:
         filesystem, root = _filesystem(self.path)
-        for message in messages:
-            for attempt, final in message.renames if message else []:
-                filesystem.move(attempt, final)
+        renames = [r for message in messages if message for r in message.renames]
+        with ThreadPoolExecutor(_RENAMES) as pool:
+            list(pool.map(lambda r: filesystem.move(*r), renames))
+        # a folder that still has attempts is refused on reading; the marker comes last
         filesystem.delete_dir(f"{root}/_attempts")
+        filesystem.open_output_stream(f"{root}/_SUCCESS").close()
 
     def abort(self, messages: list[_Written | None]) -> None:
         """Nothing was published; unfinished attempts stay under ``_attempts`` and are never read."""

@@ -55,10 +55,11 @@ def line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {inputs.LINES_SQL}, numbered AS (
-  SELECT file_id AS source, line, row_number() OVER (ORDER BY file_id, line_no) - 1 AS n FROM lines)
-SELECT source, line, n % 100 AS line_no,
-  'lines-' || chr((97 + n // 100 // 676 % 26)::INT) || chr((97 + n // 100 // 26 % 26)::INT)
-           || chr((97 + n // 100 % 26)::INT) AS file_id FROM numbered"""
+  SELECT file_id AS source, line, row_number() OVER (ORDER BY file_id, line_no) - 1 AS n FROM lines),
+letters AS (SELECT list_max([3] || list_filter(range(1, 13), lambda k: 26::HUGEINT ** (k - 1) <= max(n) // 100)) AS k
+            FROM numbered)
+SELECT source, line, n % 100 AS line_no, 'lines-' || array_to_string(list_transform(range(k - 1, -1, -1),
+  lambda p: chr((97 + n // 100 // (26 ** p)::BIGINT % 26)::INT)), '') AS file_id FROM numbered, letters"""
 )
 def line_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = inputs.lines(spark, sf_dir).withColumnsRenamed({"file_id": "source", "line_no": "at"})

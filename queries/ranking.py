@@ -252,7 +252,7 @@ def eval_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     many = inputs.table(spark, sf_dir, "documents").select(
         F.concat_ws(" ", "lang", "source").alias("context"), F.col("text").alias("response")
     )
-    return evaluate.load_examples(many, 50_000, deduplicate=True)
+    return evaluate.load_examples(many, deduplicate=True)
 
 
 # ---- vectors --------------------------------------------------------------------------------
@@ -318,7 +318,7 @@ def vec_map_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def vec_map_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = inputs.vector_pairs(spark, sf_dir).select("context", "response")
-    fit = VectorMapping(PRECOMPUTED, max_epochs=3).search(pairs)
+    fit = VectorMapping(PRECOMPUTED).search(pairs)
     rows = [(float(lr), float(reg), epoch, accuracy) for lr, reg, epoch, accuracy in fit.trials]
     return spark.createDataFrame(
         rows, "learning_rate double, regularizer double, best_epoch int, dev_accuracy double"
@@ -334,17 +334,10 @@ train AS (SELECT context, response FROM qa_examples WHERE {QA_HALF} = 'train'),
 test AS (SELECT context, response FROM qa_examples WHERE {QA_HALF} = 'test')"""
 
 
-def _sampled_cte(side: str, n: int) -> str:
-    digest = inputs.digest_sql(0, "context", "response")
-    return f"{side}_n AS (SELECT * FROM {side} ORDER BY {digest}, context, response LIMIT {n})"
-
-
 def _sweep_sql(dataset: str, splits: str, method: str) -> str:
-    o = SWEEP_OPTIONS
-    return f"""SELECT * FROM (WITH {splits}, {_sampled_cte('train', o.train_size)},
-{_sampled_cte('test', o.n_candidates * o.eval_num_batches)}, {keyword_ctes('train_n', 'test_n', method)}
+    return f"""SELECT * FROM (WITH {splits}, {keyword_ctes('train', 'test', method)}
 SELECT '{method}' AS method, '{dataset}-train' AS train, '{dataset}-test' AS test,
-  (SELECT count(*) FROM train_n) AS train_size, (SELECT count(*) FROM test_n) AS test_size,
+  (SELECT count(*) FROM train) AS train_size, (SELECT count(*) FROM test) AS test_size,
   {N}::BIGINT AS recall_k, accuracy FROM ({accuracy_sql()}))"""
 
 

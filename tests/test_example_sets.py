@@ -44,7 +44,7 @@ def test_record_files_are_named_by_split_and_shard(spark, tmp_path, examples):
         *[f"test-{i:05d}-of-00002.tfrecord" for i in range(2)],
         *[f"train-{i:05d}-of-00003.tfrecord" for i in range(3)],
     ]
-    assert sorted(os.listdir(path)) == names
+    assert sorted(os.listdir(path)) == ["_SUCCESS", *names]
 
 
 def test_file_patterns(spark, tmp_path, examples):
