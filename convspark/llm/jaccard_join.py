@@ -305,30 +305,33 @@ def _compare(percent: int):
 def _links(clusters: DataFrame, percent: int, packs: int) -> DataFrame:
     """Verified links inside candidate clusters: rows of (cluster, node, n, band, shingles) to edges that span them."""
     weight = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("_members"), F.sum("n").alias("_weight"))
-    small = (F.col("_members") <= _MEMBERS) & (F.col("_weight") <= _SHINGLES)
-    sized = clusters.join(weight, "cluster")
+    large = weight.where((F.col("_members") > _MEMBERS) | (F.col("_weight") > _SHINGLES))
+    large, n_large = materialise_counting(large.select("cluster", F.lit(True).alias("_large")), "jaccard-large")
+    sized = clusters.join(broadcast_if_small(large, n_large), "cluster", "left")
     pack = F.pmod(F.xxhash64("cluster"), F.lit(packs))
-    whole = sized.where(small).select(
+    whole = sized.where("_large IS NULL").select(
         pack.alias("task"), F.lit(-1).alias("pair"), F.col("cluster").alias("group"), F.lit(0).alias("side"), "node", "shingles"
     )
     # larger ones: pieces by band and hash; only pieces of partner bands are compared
-    pieces = (
-        sized.where(~small)
+    pieces, n_pieces = materialise_counting(
+        sized.where("_large")
         .groupBy("cluster", "band")
         .agg(F.count(F.lit(1)).alias("_count"), F.sum("n").alias("_load"))
-        .withColumn("_parts", F.greatest(F.ceil(F.col("_count") / _MEMBERS), F.ceil(F.col("_load") / _SHINGLES)))
+        .withColumn("_parts", F.greatest(F.ceil(F.col("_count") / _MEMBERS), F.ceil(F.col("_load") / _SHINGLES))),
+        "jaccard-pieces",
     )
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_parts"))
-    cut = sized.where(~small).join(pieces, ["cluster", "band"]).withColumn("part", part)
+    cut = sized.where("_large").join(broadcast_if_small(pieces, n_pieces), ["cluster", "band"]).withColumn("part", part)
     listed = pieces.select("cluster", "band", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"))
     other = listed.select("cluster", F.col("band").alias("band2"), F.col("part").alias("part2"))
     same = (F.col("band") == F.col("band2")) & (F.col("part") <= F.col("part2"))
     pairs = listed.join(other, "cluster").where(same | (F.col("band2") == F.col("band") + 1))
     pairs = pairs.withColumn("task", F.xxhash64("cluster", "band", "part", "band2", "part2"))
-    here = cut.join(pairs, ["cluster", "band", "part"]).select("task", F.lit(0).alias("side"), "node", "shingles")
+    pairs, n_pairs = materialise_counting(pairs, "jaccard-pairs")
+    here = cut.join(broadcast_if_small(pairs, n_pairs), ["cluster", "band", "part"]).select("task", F.lit(0).alias("side"), "node", "shingles")
     apart = pairs.where(~((F.col("band") == F.col("band2")) & (F.col("part") == F.col("part2"))))
     apart = apart.select("cluster", F.col("band2").alias("band"), F.col("part2").alias("part"), "task")
-    there = cut.join(apart, ["cluster", "band", "part"]).select("task", F.lit(1).alias("side"), "node", "shingles")
+    there = cut.join(broadcast_if_small(apart, n_pairs), ["cluster", "band", "part"]).select("task", F.lit(1).alias("side"), "node", "shingles")
     split = here.unionByName(there).select(
         "task", F.lit(0).alias("pair"), F.col("task").alias("group"), "side", "node", "shingles"
     )

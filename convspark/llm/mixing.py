@@ -110,7 +110,7 @@ def mix_sources(
             _uniform(
                 F.lit(str(seed)),
                 F.coalesce(F.col(id_column).cast("string"), F.lit("")),
-                F.crc32(F.coalesce(text, F.lit("")).cast("binary")).cast("string"),
+                F.md5(F.coalesce(text, F.lit(""))),
             ).alias("_u"),
             F.monotonically_increasing_id().alias("_row"),
             *carried,

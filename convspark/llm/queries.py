@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convspark.llm import sql
 from convspark.llm.bpe import build_lexicon, round_trip
 from convspark.llm.hash_tree import Topology, shard_documents
 from convspark.llm.jaccard_join import jaccard_components
@@ -23,11 +24,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(statement: str | None = None):
     def add(function):
         QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
+        if statement is not None:
+            SQL[function.__name__] = statement
         return function
 
     return add
@@ -52,7 +53,7 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir, "doc_id", "text"), Topology.uniform(2, 2, 4))
 
 
-@query()
+@query(sql.LICENCES)
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(documents(spark, sf_dir, "doc_id", "text")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
@@ -73,7 +74,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
 
 
-@query()
+@query(sql.LINE_DEDUP)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, sf_dir, "doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -85,7 +86,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
-@query()
+@query(sql.MIXING)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
