@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convspark.functions.text import token_counts, tokens
 from convspark.operators.scoring import RANKED, rank_scores, sparse_scores
-from convspark.workspace import materialise
+from convspark.workspace import BROADCAST_ROWS, broadcast_if_small, materialise_counting
 
 
 def documents(examples: DataFrame) -> DataFrame:
@@ -95,10 +95,12 @@ class KeywordModel:
 
     terms: DataFrame
     n_docs: int
+    n_terms: int
 
     def weights(self, docs: DataFrame, *key: str, together: Sequence[str] = ()) -> DataFrame:
         """``(key.., term, weight)`` for documents ``(key.., text)``."""
-        weighted = tfidf_weights(docs, self.terms, self.n_docs, *key, together=together)
+        terms = batch_terms(self.terms, self.n_terms, docs)
+        weighted = tfidf_weights(docs, terms, self.n_docs, *key, together=together)
         return weighted.select(*key, "term", "weight")
 
     def rank_responses(self, batches: DataFrame) -> DataFrame:
@@ -132,7 +134,8 @@ class Bm25Model(KeywordModel):
     b: float
 
     def weights(self, docs: DataFrame, *key: str, together: Sequence[str] = ()) -> DataFrame:
-        weighted = tfidf_weights(docs, self.terms, self.n_docs, *key, together=together)
+        terms = batch_terms(self.terms, self.n_terms, docs)
+        weighted = tfidf_weights(docs, terms, self.n_docs, *key, together=together)
         length = F.sum("weight").over(Window.partitionBy(*key))
         damping = self.k1 * (1.0 - self.b + self.b * length / self.average_length)
         saturated = F.col("weight") * (self.k1 + 1.0) / (F.col("weight") + damping)
@@ -141,19 +144,35 @@ class Bm25Model(KeywordModel):
         )
 
 
-def _fit_terms(examples: DataFrame) -> tuple[DataFrame, int]:
-    """The term table and the number of documents, from one pass."""
-    counted = Observation()
-    docs = documents(examples.observe(counted, F.count(F.lit(1)).alias("examples")))
-    terms = materialise(document_frequency(docs), "terms")
-    return terms, 2 * counted.get.get("examples", 0)
+def _fit_terms(examples: DataFrame) -> tuple[DataFrame, int, int]:
+    """The term table, the number of documents and that of terms, from one pass.
+
+    Every document also holds the empty term, whose frequency is the number of documents: read from
+    the written table, so a task that runs again counts nothing twice.
+    """
+    held = F.coalesce(F.array_distinct(tokens("text")), F.array().cast("array<string>"))
+    every = documents(examples).select(F.explode(F.array_append(held, F.lit(""))).alias("term"))
+    counts, n = materialise_counting(every.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
+    whole = counts.where("term = ''").first()
+    return counts.where("term <> ''"), whole["df"] if whole else 0, max(0, n - 1)
+
+
+def batch_terms(terms: DataFrame, n_terms: int, docs: DataFrame) -> DataFrame:
+    """The term table for a join with ``docs``: broadcast if it is small, else cut to the terms of the
+    documents first and broadcast if that is small. Only beyond both are terms joined by a shuffle."""
+    if n_terms <= BROADCAST_ROWS:
+        return broadcast_if_small(terms, n_terms)
+    wanted = docs.select(F.explode(F.array_distinct(tokens("text"))).alias("term")).distinct()
+    cut, n_terms = materialise_counting(terms.join(wanted, "term", "left_semi"), "batch-terms")
+    return broadcast_if_small(cut, n_terms)
 
 
 class TfIdf:
     """Cosine of TF-IDF vectors."""
 
     def fit(self, examples: DataFrame) -> KeywordModel:
-        return KeywordModel(*_fit_terms(examples))
+        terms, n_docs, n_terms = _fit_terms(examples)
+        return KeywordModel(terms, n_docs, n_terms)
 
 
 class Bm25:
@@ -163,5 +182,6 @@ class Bm25:
         self.k1, self.b = k1, b
 
     def fit(self, examples: DataFrame) -> Bm25Model:
-        terms, n_docs = _fit_terms(examples)
-        return Bm25Model(terms, n_docs, average_length(examples, terms, n_docs), self.k1, self.b)
+        terms, n_docs, n_terms = _fit_terms(examples)
+        shared = batch_terms(terms, n_terms, documents(examples))
+        return Bm25Model(terms, n_docs, n_terms, average_length(examples, shared, n_docs), self.k1, self.b)

@@ -104,7 +104,8 @@ def linear_paths(comments: DataFrame, parent_depth: int = 10) -> DataFrame:
     none = F.array().cast("array<string>")
     is_open = F.col("ptr").isNotNull()
     known = F.when(F.col("parent_id").isNull(), none).otherwise(F.array("parent_id"))
-    current = comments.select(*NODE, F.col("parent_id").alias("ptr"), known.alias("ancestors"))
+    edges = materialise(comments.select(*NODE, "parent_id"), "edges")
+    current = edges.select(*NODE, F.col("parent_id").alias("ptr"), known.alias("ancestors"))
     finished: list[DataFrame] = []
 
     for r in range(math.floor(math.log2(parent_depth)) + 1):
@@ -157,7 +158,8 @@ def thread_examples(
         "context",
         F.col("body").alias("response"),
     )
-    pairs = pairs.join(paths, NODE)
+    # written, as both the texts and the further ancestors come from these pairs
+    pairs = materialise(pairs.join(paths, NODE), "pairs")
 
     further = pairs.where(F.size("ancestors") > 1).select(
         *NODE, F.posexplode(F.slice("ancestors", 2, parent_depth)).alias("i", "ancestor")

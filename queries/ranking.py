@@ -65,8 +65,9 @@ FROM terms, size"""
 )
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = inputs.pairs(spark, sf_dir)
-    n_docs = 2 * pairs.count()
-    return document_frequency(documents(pairs)).select(
+    model = TfIdf().fit(pairs)
+    n_docs = model.n_docs
+    return model.terms.select(
         "term",
         F.round(smoothed_idf(F.col("df"), n_docs), 6).alias("smoothed_idf"),
         F.round(bm25_idf(F.col("df"), n_docs), 6).alias("bm25_idf"),

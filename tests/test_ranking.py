@@ -209,3 +209,25 @@ def test_registry_and_sweep(spark):
     ]
     assert rows[0].accuracy == 100.0 and rows[1].accuracy < 50
     assert evaluate(Bm25(), pairs, pairs, options).first().accuracy == 100.0
+
+
+def test_large_term_tables_are_cut_to_the_batch(spark, monkeypatch):
+    """Beyond the size for a broadcast, terms are joined with those of the documents first; weights stay the same."""
+    from convspark.operators import keyword
+    from convspark.operators.keyword import Bm25, batch_terms
+
+    examples = spark.range(60).selectExpr("concat('common word', id) context", "concat('reply common', id % 7) response")
+    docs = spark.createDataFrame([(1, "common word3 unseen"), (2, None), (3, "reply")], "doc int, text string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        model = Bm25().fit(examples)
+        assert model.n_docs == 120 and model.n_terms == model.terms.count()
+        plain = sorted(map(tuple, model.weights(docs, "doc").collect()))
+        monkeypatch.setattr(keyword, "BROADCAST_ROWS", 0)
+        assert sorted(r.term for r in batch_terms(model.terms, model.n_terms, docs).collect()) == ["common", "reply", "word3"]
+        cut = sorted(map(tuple, model.weights(docs, "doc").collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert [r[:2] for r in cut] == [r[:2] for r in plain] and all(abs(a[2] - b[2]) < 1e-12 for a, b in zip(cut, plain))
