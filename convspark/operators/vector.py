@@ -79,8 +79,10 @@ class VectorSimilarity:
         return self
 
     def rank_responses(self, batches: DataFrame) -> DataFrame:
+        normalise = self.normalise  # the encoder itself must not travel with the function
+
         def score(contexts: np.ndarray, responses: np.ndarray) -> np.ndarray:
-            return dense_scores(contexts, unit_rows(responses) if self.normalise else responses)
+            return dense_scores(contexts, unit_rows(responses) if normalise else responses)
 
         return rank_vectors(batches, self.encoder, score)
 

@@ -48,6 +48,12 @@ def line_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_line_examples(inputs.lines(spark, sf_dir), EXTRA)
 
 
+@query(f"WITH {LINE_EXAMPLES_CTE} SELECT * FROM line_examples")
+def line_examples_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files far longer than a block: most lines take their contexts from the blocks before."""
+    return build_line_examples(inputs.lines(spark, sf_dir), EXTRA, lines_per_block=7)
+
+
 @query(f"WITH {inputs.LINES_SQL}, {inputs.CLEAN_SQL} SELECT file_id, line_no, line FROM clean")
 def line_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(inputs.lines(spark, sf_dir))
@@ -119,6 +125,18 @@ def thread_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {inputs.COMMENTS_SQL}, twice AS (SELECT * FROM comments UNION ALL
+  SELECT id, link_id, parent_id, 'M ' || body, author, subreddit FROM comments)
+SELECT regexp_replace(link_id, '^t[0-9]_', '') AS thread_id, id, min(body) AS body FROM twice GROUP BY ALL"""
+)
+def thread_unique_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of a comment that differ: the first by content stays."""
+    once = normalise_comments(inputs.comments(spark, sf_dir), 2**30)
+    other = once.withColumn("body", F.concat(F.lit("M "), "body"))
+    return unique_comments(once.unionByName(other)).select("thread_id", "id", "body")
+
+
 @query(
     f"""SELECT doc_id, {trim_sql('text', 127)} AS trimmed_text, length(text) > 127 AS is_trimmed FROM documents
 UNION ALL SELECT item_id, {trim_sql('text', 127)}, length(text) > 127 FROM benchmark"""

@@ -218,3 +218,17 @@ SELECT product_id, context, response, {_delimited_sql('0A', 'x')} AS record FROM
 def serialize_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = ["context", "response", *QA_FEATURES]
     return qa_examples(spark, sf_dir).select(*features, F.hex(serialize_example(features)).alias("record"))
+
+
+@query(
+    """SELECT event_id, user_id, strftime(ts, 'd%Y_%m_%d') AS day FROM events
+WHERE regexp_matches(strftime(ts, 'd%Y_%m_%d'), '^d2024_01_0[1-9]$')"""
+)
+def day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of a partitioned table: only their folders are read."""
+    events = inputs.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.date_format("ts", "'d'yyyy_MM_dd").alias("day")
+    )
+    path = new_path(spark, "events-by-day")
+    events.write.partitionBy("day").parquet(path)
+    return union_months(spark.read.parquet(path), "^d2024_01_0[1-9]$", "day")

@@ -21,10 +21,13 @@ from convspark.operators.keyword import (
 )
 from convspark.operators.mapping import VectorMapping
 from convspark.operators.ordering import dense_index
-from convspark.operators.vector import PRECOMPUTED, MappingModel, VectorSimilarity
+from convspark.operators.vector import PRECOMPUTED, MappingModel, VectorSimilarity, model_encoder
 from convspark.params import EvalOptions
+from convspark.plans.benchmark import evaluate as run_evaluation
+from convspark.plans.benchmark import methods
 from convspark.plans.benchmark import sweep as run_sweep
-from convspark.workspace import materialise
+from convspark.sources.example_sets import append_results
+from convspark.workspace import materialise, new_path
 from queries import inputs
 from queries.datasets import QA_EXAMPLES_CTE, qa_examples
 from queries.registry import query
@@ -326,6 +329,29 @@ def vec_map_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LETTERS = "aeinorst"
+LETTERS_SQL = f"""list_append(list_transform({list(LETTERS)}, lambda l: (length({{0}})
+  - length(replace({{0}}, l, '')))::DOUBLE), 1.0::DOUBLE)"""
+
+
+def _letter_counts(texts: list[str]) -> np.ndarray:
+    return np.array([[*(t.count(c) for c in LETTERS), 1] for t in texts], dtype="float32")
+
+
+@query(
+    f"""WITH {SPLIT_CTE}, {batches_cte('test', inputs.digest_sql(0, 'context', 'response'), 'context, response')},
+c AS (SELECT batch_id, ctx_pos, {LETTERS_SQL.format('context')} AS v FROM placed),
+u AS (SELECT batch_id, true_pos AS resp_pos, {LETTERS_SQL.format('response')} AS v FROM placed),
+r AS (SELECT batch_id, resp_pos, {unit_sql('v')} AS v FROM u),
+scored AS (SELECT batch_id, ctx_pos, resp_pos, {dot_sql('c.v', 'r.v')} AS score FROM c JOIN r USING (batch_id)),
+{RANKED_CTE} {RANKED_SQL}"""
+)
+def encoder_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts through a user's encoder, here counts of letters."""
+    batches = evaluate.eval_batches(dense_index(inputs.split_pairs(spark, sf_dir, "test")), N)
+    return _rounded_score(VectorSimilarity(model_encoder(_letter_counts)).rank_responses(batches))
+
+
 # ---- data sets by methods -------------------------------------------------------------------
 
 SWEEP_OPTIONS = EvalOptions(n_candidates=N)
@@ -358,3 +384,18 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     datasets: dict[str, tuple] = {"turns": tuple(turns), "qa": tuple(qa)}
     rankers: dict[str, Callable] = {"TF_IDF": TfIdf, "BM25": Bm25}
     return _rounded_accuracy(run_sweep(datasets, rankers, SWEEP_OPTIONS))
+
+
+@query(
+    f"""WITH {SPLIT_CTE}, {keyword_ctes('train', 'test', 'BM25')}
+SELECT 'BM25' AS method, (SELECT count(*) FROM train) AS train_size, (SELECT count(*) FROM test) AS test_size,
+  accuracy FROM ({accuracy_sql()})"""
+)
+def results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A method of the registry, evaluated, its row appended to a file of results and read again."""
+    train, test = (inputs.split_pairs(spark, sf_dir, label) for label in ("train", "test"))
+    result = run_evaluation(methods()["BM25"](), train, test, SWEEP_OPTIONS)
+    path = new_path(spark, "results")
+    append_results(result.select(F.lit("BM25").alias("method"), "train_size", "test_size", "accuracy"), path)
+    schema = "method string, train_size long, test_size long, accuracy double"
+    return _rounded_accuracy(spark.read.schema(schema).option("header", True).csv(path))
