@@ -32,7 +32,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Words over this length are never compiled; they are merged.
 LONGEST_WORD = 48
 #: Merged words that a worker remembers.
-_REMEMBERED = 200_000
+_REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)

@@ -20,7 +20,7 @@ from convspark.workspace import broadcast_if_small, materialise, materialise_cou
 #: Sizes of a band: the largest is this many times the smallest.
 _BAND = 1.25
 #: Entries that a task holds before it hands them on, and entries of one block of the index.
-_FLUSH, _BLOCK = 2_000_000, 2_000_000
+_FLUSH, _BLOCK = 1_000_000, 2_000_000
 #: Members and shingles of one side of a comparison.
 _MEMBERS, _SHINGLES = 1024, 1_000_000
 #: Share of a set that unrelated sets have in common, and the cost of a candidate in index entries.
