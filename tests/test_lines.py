@@ -8,6 +8,7 @@ from convspark.operators.lines import line_examples
 from convspark.schema import LINES
 from convspark.sources.text_lines import numbered_lines
 
+# A golden case that the published results must agree with.
 TRAIN = ["matt: AAAA", "[skip]", "BBBB", "", "", "CCCC", "(all laughing)", "c3po:", "- DDDD (boom!)", "123", "12345"]
 TEST = ["", "aaaa", "bbbb", "cccc", "dddd"]
 

@@ -14,6 +14,7 @@ from convspark.operators.vector import PRECOMPUTED, Encoder, MappingModel, Vecto
 from convspark.params import EvalOptions
 from convspark.plans.benchmark import evaluate, methods, sweep
 
+# A golden case that the published results must agree with.
 TRAIN = [("hello how are you", "hello how"), ("hello how are", "hello")]
 PAIRS = "context string, response string"
 

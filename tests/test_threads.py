@@ -17,6 +17,7 @@ from convspark.schema import RAW_COMMENT
 
 EDGES = "thread_id string, id string, parent_id string"
 
+# A golden case that the published results must agree with.
 SIMPLE = [
     ("id-A", "top-level", "AAAA", "author-A"),
     ("id-B", "t2_id-A", "BBBB", "author-B"),
