@@ -16,7 +16,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     nodes follow; loops and repeated edges vanish. A node with many edges is only a key of a minimum,
     which is taken before the shuffle, and of joins with one row per node on the other side, which
     adaptive execution may split. Each round is written to the shared folder. Rows with a null end are
-    ignored; nodes without an edge to another node need not appear.
+    ignored; nodes without an edge to another node need not appear. ``edges`` is read twice: it should be
+    a table.
     """
     given = edges.where("a IS NOT NULL AND b IS NOT NULL")
     roots = materialise(

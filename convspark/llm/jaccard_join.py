@@ -180,14 +180,14 @@ def star_edges(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return edges[0], edges[1], order[start]
 
 
-_INDEX = "kind byte, _id long, own long, n long, node long, other long, block int, keys binary, nodes binary"
+_INDEX = "kind byte, _id long, own long, n long, node long, other long, block int, keys binary, nodes binary, places binary"
 
 
 def _index(bands: Bands, width: int, blocks: int):
     """Documents to three kinds of rows: 0 document, size and set; 1 candidate edge; 2 entries of a block."""
 
     def columns(kind: int, rows: int, **given) -> pa.RecordBatch:
-        kinds = {"_id": pa.int64(), "own": pa.int64(), "n": pa.int64(), "node": pa.int64(), "other": pa.int64(), "block": pa.int32(), "keys": pa.binary(), "nodes": pa.binary()}
+        kinds = {"_id": pa.int64(), "own": pa.int64(), "n": pa.int64(), "node": pa.int64(), "other": pa.int64(), "block": pa.int32(), "keys": pa.binary(), "nodes": pa.binary(), "places": pa.binary()}
         arrays = [pa.array(np.full(rows, kind, np.int8))]
         arrays += [pa.array(given[c], t) if c in given else pa.nulls(rows, t) for c, t in kinds.items()]
         return pa.RecordBatch.from_arrays(arrays, ["kind", *kinds])
@@ -213,9 +213,10 @@ def _index(bands: Bands, width: int, blocks: int):
             ends = np.append(start[1:], len(block))
             for a in range(0, len(start), 64):
                 cut = list(zip(start[a : a + 64].tolist(), ends[a : a + 64].tolist(), strict=True))
+                named = [_named(nodes[x:y]) for x, y in cut]
                 yield columns(
                     2, len(cut), block=block[start[a : a + 64]].astype(np.int32),
-                    keys=[keys[x:y].tobytes() for x, y in cut], nodes=[nodes[x:y].tobytes() for x, y in cut],
+                    keys=[keys[x:y].tobytes() for x, y in cut], nodes=[n for n, _ in named], places=[p for _, p in named],
                 )
 
         for batch in batches:
@@ -243,9 +244,20 @@ def _index(bands: Bands, width: int, blocks: int):
     return run
 
 
+def _named(nodes: np.ndarray) -> tuple[bytes, bytes]:
+    """The distinct nodes, and for each entry the place of its node among them in as few bytes as will do."""
+    distinct, places = np.unique(nodes, return_inverse=True)
+    return distinct.tobytes(), places.astype(np.uint16 if len(distinct) <= 1 << 16 else np.uint32).tobytes()
+
+
+def _nodes(distinct: bytes, places: bytes, entries: int) -> np.ndarray:
+    return np.frombuffer(distinct, np.int64)[np.frombuffer(places, np.uint16 if len(places) == 2 * entries else np.uint32)]
+
+
 def _join_block(table: pa.Table) -> pa.Table:
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()])
-    nodes = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("nodes").to_pylist()])
+    packed = zip(*(table.column(c).to_pylist() for c in ("nodes", "places", "keys")), strict=True)
+    nodes = np.concatenate([_nodes(n, p, len(k) // 8) for n, p, k in packed])
     a, b, _ = star_edges(keys, nodes)
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -390,12 +402,12 @@ def jaccard_components(
     rows = index.where("kind = 0").select("_id", "own", "n", "node")
     met = (
         index.where("kind = 2")
-        .select("block", "keys", "nodes")
+        .select("block", "keys", "nodes", "places")
         .groupBy("block")
         .applyInArrow(_join_block, "a long, b long")
         .unionByName(index.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")))
     )
-    candidates = components(met, "jaccard-candidates")
+    candidates = components(materialise(met, "jaccard-met"), "jaccard-candidates")
     # one document stands for each set; texts of candidates are read again
     first = rows.join(candidates, "node").groupBy("node", "root").agg(F.min_by(F.struct("_id", "own"), "own").alias("_first"))
     chosen, n_chosen = materialise_counting(first.select("node", "root", "_first._id", "_first.own"), "jaccard-chosen")
@@ -421,13 +433,16 @@ def jaccard_components(
         "jaccard-sets",
     )
     packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_sets // 500)
-    roots = components(_links(clusters, percent, packs), "jaccard-links")
+    roots = components(materialise(_links(clusters, percent, packs), "jaccard-linked"), "jaccard-links")
     grouped = rows.join(roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
     # the smallest id, null last; the text decides between rows of one id
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("own").alias("own"))
-    smallest = grouped.where("node IS NOT NULL").groupBy("_root").agg(F.min(place).alias("_least"))
+    # written, so that the rows are joined with it by exchanges of their own, which can be split at a hot component
+    smallest, n_smallest = materialise_counting(
+        grouped.where("node IS NOT NULL").groupBy("_root").agg(F.min(place).alias("_least")), "jaccard-smallest"
+    )
     alone = F.col("node").isNull()
-    return grouped.join(smallest, "_root", "left").select(
+    return grouped.join(broadcast_if_small(smallest, n_smallest), "_root", "left").select(
         F.col("_id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.when(alone, F.col("_id")).otherwise(F.col("_least.id")).alias("component_id"),
