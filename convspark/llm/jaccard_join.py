@@ -204,7 +204,7 @@ def _index(bands: Bands, width: int, blocks: int):
             # what meets inside the task is joined here: one entry per signature leaves it
             a, b, rest = star_edges(keys, nodes)
             if len(a):
-                yield columns(1, len(a), node=a, other=b)
+                yield columns(1, len(a), node=a, other=b, block=_aside(len(a), blocks))
             keys, nodes = keys[rest], nodes[rest]
             block = ((keys >> np.uint64(1)) % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
@@ -226,7 +226,7 @@ def _index(bands: Bands, width: int, blocks: int):
                 nodes = np.array([digest(s) if len(s) else 0 for s in sets], np.int64)
                 yield columns(
                     0, b - a, _id=ids.slice(a, b - a), own=own.slice(a, b - a), n=np.array([len(s) for s in sets], np.int64),
-                    node=pa.array(nodes, mask=np.array([not len(s) for s in sets])),
+                    node=pa.array(nodes, mask=np.array([not len(s) for s in sets])), block=_aside(b - a, blocks),
                 )
                 # equal sets of a slice are indexed once
                 first = np.sort(np.unique(nodes, return_index=True)[1])
@@ -254,12 +254,22 @@ def _nodes(distinct: bytes, places: bytes, entries: int) -> np.ndarray:
     return np.frombuffer(distinct, np.int64)[np.frombuffer(places, np.uint16 if len(places) == 2 * entries else np.uint32)]
 
 
+def _aside(rows: int, blocks: int) -> np.ndarray:
+    """Negative blocks for rows that only pass through, spread evenly."""
+    return -1 - (np.arange(rows) % blocks).astype(np.int32)
+
+
 def _join_block(table: pa.Table) -> pa.Table:
+    """Star edges of a block of entries; rows of documents and edges as they are."""
+    narrow = ["kind", "_id", "own", "n", "node", "other"]
+    if table.column("block")[0].as_py() < 0:
+        return table.select(narrow)
     keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()])
     packed = zip(*(table.column(c).to_pylist() for c in ("nodes", "places", "keys")), strict=True)
     nodes = np.concatenate([_nodes(n, p, len(k) // 8) for n, p, k in packed])
     a, b, _ = star_edges(keys, nodes)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    none = pa.nulls(len(a), pa.int64())
+    return pa.table([pa.array(np.full(len(a), 1, np.int8)), none, none, none, pa.array(a, pa.int64()), pa.array(b, pa.int64())], narrow)
 
 
 def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
@@ -398,16 +408,16 @@ def jaccard_components(
     entries = sum(n * 1.6 * bands.schemes[b].segments for b, n in populations.items())
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(entries / _BLOCK))
 
-    index = materialise(source.mapInArrow(_index(bands, width, blocks), _INDEX), "jaccard-index")
-    rows = index.where("kind = 0").select("_id", "own", "n", "node")
-    met = (
-        index.where("kind = 2")
-        .select("block", "keys", "nodes", "places")
+    # the entries exist in the shuffle only
+    index = materialise(
+        source.mapInArrow(_index(bands, width, blocks), _INDEX)
         .groupBy("block")
-        .applyInArrow(_join_block, "a long, b long")
-        .unionByName(index.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")))
+        .applyInArrow(_join_block, "kind byte, _id long, own long, n long, node long, other long"),
+        "jaccard-index",
     )
-    candidates = components(materialise(met, "jaccard-met"), "jaccard-candidates")
+    rows = index.where("kind = 0").select("_id", "own", "n", "node")
+    met = index.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    candidates = components(met, "jaccard-candidates")
     # one document stands for each set; texts of candidates are read again
     first = rows.join(candidates, "node").groupBy("node", "root").agg(F.min_by(F.struct("_id", "own"), "own").alias("_first"))
     chosen, n_chosen = materialise_counting(first.select("node", "root", "_first._id", "_first.own"), "jaccard-chosen")
