@@ -25,9 +25,8 @@ _HELD = 4_000_000
 
 @dataclass(frozen=True)
 class PerplexityOptions:
-    """A text is kept if its log perplexity lies within ``spread`` times the way from the median of its
-    language's trusted texts to their ``low`` and ``high`` quantiles; the mean of few characters varies
-    more, so both limits give way by ``short`` / sqrt(characters).
+    """A text is kept if its log perplexity lies between the ``low`` and ``high`` quantiles of its
+    language's trusted texts, each of them scored by a model that was fitted without it.
 
     ``broadcast_grams`` is the largest table of scored grams that is sent to the workers (12 bytes
     each); beyond it grams are joined per document.
@@ -35,8 +34,6 @@ class PerplexityOptions:
 
     low: float = 0.005
     high: float = 0.995
-    spread: float = 4.0
-    short: float = 1.0
     broadcast_grams: int = 4_000_000
 
 
@@ -194,7 +191,9 @@ def gram_scores(model: KneserNey, keys: DataFrame) -> DataFrame:
     return rows.select("lang", "key", F.ln(p).alias("score"))
 
 
-_SCORED = "_id long, lang string, _good boolean, _chars long, _sum double, _count long"
+#: A trusted text's half is written before its language: the model of "0=en" has not seen half 0.
+_HALVES = ("0", "1")
+_SCORED = "_id long, lang string, _good boolean, _chars long, _sum double, _count long, _held double"
 
 
 def _sum_broadcast(marked: DataFrame, scores: DataFrame) -> DataFrame:
@@ -210,23 +209,29 @@ def _sum_broadcast(marked: DataFrame, scores: DataFrame) -> DataFrame:
         for batch in batches:
             for a, b in slices(batch.column(3)):
                 part = batch.slice(a, b - a)
-                langs, strings = part.column(1).to_pylist(), part.column(3).to_pylist()
+                langs, strings, halves = (part.column(k).to_pylist() for k in (1, 3, 4))
                 sums, counts = np.zeros(b - a), np.zeros(b - a, np.int64)
-                rows: dict[str, list[int]] = defaultdict(list)
-                for k, (lang, text) in enumerate(zip(langs, strings, strict=True)):
+                held = np.full(b - a, np.nan)
+                rows: dict[tuple[str, bool], list[int]] = defaultdict(list)
+                for k, (lang, text, half) in enumerate(zip(langs, strings, halves, strict=True)):
                     if text and lang in shared.value:
-                        rows[lang].append(k)
-                for lang, places in rows.items():
+                        rows[lang, False].append(k)
+                    if text and half is not None and half + lang in shared.value:
+                        rows[half + lang, True].append(k)
+                for (lang, without), places in rows.items():
                     keys, values = shared.value[lang]
                     grams = [gram_keys(strings[k]) for k in places]
                     found = values[np.searchsorted(keys, np.concatenate(grams))].astype(np.float64)
                     ends = np.cumsum([len(g) for g in grams])
-                    sums[places] = np.add.reduceat(found, np.concatenate([[0], ends[:-1]]))
-                    counts[places] = np.diff(ends, prepend=0)
+                    totals = np.add.reduceat(found, np.concatenate([[0], ends[:-1]]))
+                    if without:
+                        held[places] = totals
+                    else:
+                        sums[places], counts[places] = totals, np.diff(ends, prepend=0)
                 chars = pa.array([len(t or "") for t in strings], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], chars, pa.array(sums), pa.array(counts)],
-                    ["_id", "lang", "_good", "_chars", "_sum", "_count"],
+                    [*part.columns[:3], chars, pa.array(sums), pa.array(counts), pa.array(held, mask=np.isnan(held))],
+                    ["_id", "lang", "_good", "_chars", "_sum", "_count", "_held"],
                 )
 
     return marked.mapInArrow(run, _SCORED)
@@ -239,19 +244,28 @@ def _sum_joined(marked: DataFrame, scores: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, lang, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for row, lang, text, half in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if text:
                     keys, n = np.unique(gram_keys(text), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row] * len(keys), pa.int64()), pa.array([lang] * len(keys)), pa.array(keys), pa.array(n)],
-                        ["_row", "lang", "key", "_n"],
-                    )
-
-    grams = rows.select("_row", "lang", "_text").mapInArrow(run, "_row long, lang string, key long, _n long")
+                    for without, model in ((False, lang), (True, half and half + lang)):
+                        if model is not None:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([row] * len(keys), pa.int64()), pa.array([model] * len(keys)), pa.array(keys), pa.array(n), pa.array([without] * len(keys))],
+                                ["_row", "lang", "key", "_n", "_without"],
+                            )
+
+    grams = rows.select("_row", "lang", "_text", "_half").mapInArrow(
+        run, "_row long, lang string, key long, _n long, _without boolean"
+    )
+    part = F.col("score") * F.col("_n")
     sums = (
         grams.join(scores, ["lang", "key"])
         .groupBy("_row")
-        .agg(F.sum(F.col("score") * F.col("_n")).alias("_sum"), F.sum("_n").alias("_count"))
+        .agg(
+            F.sum(F.when(~F.col("_without"), part)).alias("_sum"),
+            F.sum(F.when(~F.col("_without"), F.col("_n"))).alias("_count"),
+            F.sum(F.when(F.col("_without"), part)).alias("_held"),
+        )
     )
     chars = F.coalesce(F.char_length("_text"), F.lit(0)).cast("long").alias("_chars")
     return rows.select("_row", "_id", "lang", "_good", chars).join(sums, "_row", "left").drop("_row")
@@ -273,8 +287,10 @@ def judge_perplexity(
     grams that occur come from joins of these sharded tables; their number is bounded by the
     languages' character sequences, not by the documents. Documents then add up scores with the table
     in each worker if its counted size allows, or by a join per document. Limits are quantiles of the log
-    perplexity of a language's trusted texts, widened (see the options): high for noise, low for text that repeats
-    what is most common.
+    perplexity of a language's trusted texts: high for noise, low for text that repeats what is most common.
+    Trusted texts are cut into halves by a hash of the text, so copies stay together, and each is held
+    against the limits by the score of a model of the other half alone; ``perplexity`` shows that of the
+    model of all. Where the other half of a language is empty, the model of all stands in.
 
     Result: id, ``lang``, ``n_chars``, ``perplexity``, ``trusted``, ``low``, ``high`` (limits, as perplexities),
     ``kept``. Null or empty texts, and those of a language without trusted texts, have no perplexity and are
@@ -290,9 +306,13 @@ def judge_perplexity(
         F.coalesce(F.concat(F.lit("="), F.col(language_column)), F.lit("")).alias("lang"),
         F.col(text_column).cast("string").alias("_text"),
     ).join(broadcast_if_small(ids.withColumn("_good", F.lit(True)), n_ids), "_id", "left")
-    marked = marked.select("_id", "lang", F.coalesce("_good", F.lit(False)).alias("_good"), "_text")
+    half = F.when(F.col("_good"), F.pmod(F.xxhash64("_text"), F.lit(2)).cast("string"))
+    marked = marked.select("_id", "lang", F.coalesce("_good", F.lit(False)).alias("_good"), "_text", half.alias("_half"))
+    views = [F.struct("lang", F.col("_good").alias("learn"))]
+    views += [F.struct(F.concat(F.lit(h), "lang").alias("lang"), (F.col("_half") != h).alias("learn")) for h in _HALVES]
+    seen = marked.select("_text", F.explode(F.when(F.col("_good"), F.array(*views)).otherwise(F.array(views[0]))).alias("_as"))
     counts, n_grams = materialise_counting(
-        marked.select("lang", "_text", "_good").mapInArrow(_count_grams, "lang string, key long, good long, n long")
+        seen.select("_as.lang", "_text", "_as.learn").mapInArrow(_count_grams, "lang string, key long, good long, n long")
         .groupBy("lang", "key")
         .agg(F.sum("good").alias("good"), F.sum("n").alias("n")),
         "gram-counts",
@@ -302,19 +322,18 @@ def judge_perplexity(
     add = _sum_broadcast if n_grams <= options.broadcast_grams else _sum_joined
     carried = materialise(add(marked, scores), "perplexities")
     score = -F.try_divide("_sum", "_count")
-    scored = carried.withColumn("_log", F.when(F.col("_count") > 0, score))
-    q = F.percentile_approx("_log", [options.low, 0.5, options.high], 10000)
-    middle, low, high = F.col("_q")[1], F.col("_q")[0], F.col("_q")[2]
+    unseen = F.coalesce(-F.try_divide("_held", "_count"), score)
+    scored = carried.withColumns(
+        {"_log": F.when(F.col("_count") > 0, score), "_judged": F.when(F.col("_count") > 0, unseen)}
+    )
+    q = F.percentile_approx("_judged", [options.low, options.high], 10000)
     limits, n_limits = materialise_counting(
-        scored.where("_good AND _log IS NOT NULL").groupBy("lang").agg(q.alias("_q")).select(
-            "lang",
-            (middle - options.spread * (middle - low)).alias("_low"),
-            (middle + options.spread * (high - middle)).alias("_high"),
+        scored.where("_good AND _judged IS NOT NULL").groupBy("lang").agg(q.alias("_q")).select(
+            "lang", F.col("_q")[0].alias("_low"), F.col("_q")[1].alias("_high")
         ),
         "limits",
     )
-    give = F.try_divide(F.lit(options.short), F.sqrt("_count"))
-    inside = F.col("_log").between(F.col("_low") - give, F.col("_high") + give)
+    inside = F.col("_judged").between(F.col("_low"), F.col("_high"))
     return scored.join(broadcast_if_small(limits, n_limits), "lang", "left").select(
         F.col("_id").alias(id_column),
         F.when(F.col("lang") != "", F.substring("lang", 2, 1 << 30)).alias("lang"),
