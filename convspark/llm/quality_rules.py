@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convspark.llm.batches import ends_of, map_rows, struct_of
+from convspark.llm.batches import ends_of, map_rows, slices, struct_of
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -45,7 +46,7 @@ CHUNK_BANDS = (Band(0, None, None), Band(1024, 0.20, 0.80), Band(4096, 0.16, 0.7
 class CompressionRule:
     level: int = 3
     chunk_bytes: int = 4096
-    max_bad_share: float = 0.25
+    max_bad_share: float = 0.125
     document_bands: Sequence[Band] = DOCUMENT_BANDS
     chunk_bands: Sequence[Band] = CHUNK_BANDS
 
@@ -70,6 +71,72 @@ class CompressionRule:
         return ratio, len(chunks), bad, fine
 
 
+#: Quantiles of the ratio that are the limits of whole texts and, as a text has many, of chunks.
+DOCUMENT_TAIL, CHUNK_TAIL = 0.005, 0.001
+#: Texts or chunks that a band must have for quantiles of its own.
+MIN_IN_BAND = 100
+
+
+def _fitted(rows: Sequence[tuple[int, int, float, float]], otherwise: Sequence[Band]) -> tuple[Band, ...]:
+    """Bands from (band, count, low, high); two bands to a doubling of the length.
+
+    Ratios fall with the length, inside a band too. So a band takes the upper limit of the next shorter one
+    that has enough texts, and the lower limit of the next longer one (the longest its own); ``otherwise``
+    holds where there is none.
+    """
+    known = {k: (low, high) for k, n, low, high in rows if n >= MIN_IN_BAND}
+    if not known:
+        return tuple(otherwise)
+    bands = [Band(0, known[min(known)][0], None)]
+    starts = {int(np.ceil(2 ** (k / 2))): k for k in range(min(known), max(known) + 2)}
+    for start in sorted({*starts, *(b.min_bytes for b in otherwise if b.min_bytes)}):
+        at = max((k for s, k in starts.items() if s <= start), default=min(known) - 1)
+        given = max((b for b in otherwise if b.min_bytes <= start), key=lambda b: b.min_bytes)
+        longer = [k for k in known if k > at] or [k for k in known if k == at]
+        shorter = [k for k in known if k < at]
+        low = known[min(longer)][0] if longer else given.low
+        bands.append(Band(start, low, known[max(shorter)][1] if shorter else given.high))
+    return tuple(bands)
+
+
+def fit_bands(trusted: DataFrame, rule: CompressionRule | None = None, text_column: str = "text") -> CompressionRule:
+    """The rule with bands that are quantiles of the ratios of trusted texts and of their chunks, by length.
+
+    Only the quantiles of at most some sixty bands reach the driver. Null and empty texts tell nothing;
+    without texts, or with fewer than ``MIN_IN_BAND`` in every band, the rule stays as it is.
+    """
+    rule = rule or CompressionRule()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=rule.level).compress
+        for batch in batches:
+            for a, b in slices(batch.column(0)):
+                rows = []
+                for text in batch.column(0).slice(a, b - a).to_pylist():
+                    data = (text or "").encode()
+                    parts = [data[c : c + rule.chunk_bytes] for c in range(0, len(data), rule.chunk_bytes)]
+                    rows += [(False, len(data), len(compress(data)))] if data else []
+                    rows += [(True, len(c), len(compress(c))) for c in parts]
+                kinds, sizes, packed = (np.array([r[k] for r in rows], t) for k, t in enumerate((bool, np.int64, np.int64)))
+                band = np.floor(2 * np.log2(np.maximum(sizes, 1)) + 1e-9).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(kinds), pa.array(band), pa.array(packed / np.maximum(sizes, 1))], ["chunk", "band", "ratio"]
+                )
+
+    ratios = trusted.select(F.col(text_column).cast("string")).mapInArrow(run, "chunk boolean, band int, ratio double")
+    tails = [DOCUMENT_TAIL, 1 - DOCUMENT_TAIL, CHUNK_TAIL, 1 - CHUNK_TAIL]
+    found = ratios.groupBy("chunk", "band").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", tails, 10000).alias("q")
+    ).collect()
+    whole = [(r.band, r.n, r.q[0], r.q[1]) for r in found if not r.chunk]
+    chunks = [(r.band, r.n, r.q[2], r.q[3]) for r in found if r.chunk]
+    return replace(
+        rule,
+        document_bands=_fitted(whole, rule.document_bands),
+        chunk_bands=_fitted(chunks, rule.chunk_bands),
+    )
+
+
 def _repeated_words(codes: np.ndarray, offsets: np.ndarray, width: int = 5) -> np.ndarray:
     """Per text, words inside windows of ``width`` words that the text has twice or more. Codes of texts are disjoint."""
     n = len(codes)
@@ -97,8 +164,9 @@ def judge_documents(docs: DataFrame, rule: CompressionRule | None = None, text_c
     Words are runs without blanks. Base rules fail texts of under 10 words and those of which over a
     fifth of the words lie in repeated 5-word windows. The compression rule takes zstandard's ratio of
     the whole UTF-8 text and of fixed chunks of it: under a band's lower limit the text repeats
-    itself, above its upper one it is noise; limits depend on the length. A text is rejected if the
-    whole lies outside, or more than ``max_bad_share`` of its chunks.
+    itself, above its upper one it is noise; limits depend on the length, and :func:`fit_bands` takes them
+    from trusted texts. A text is rejected if the whole lies outside, or more than ``max_bad_share`` of
+    its chunks, the last one by the band of its own length.
 
     Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
     ``base_failed``, ``ratio`` (null for an empty text), ``n_chunks``, ``n_bad_chunks``, ``kept``;

@@ -17,7 +17,7 @@ from convspark.llm.line_dedup import drop_repeated_lines
 from convspark.llm.mixing import mix_sources
 from convspark.llm.multi_index import near_vectors
 from convspark.llm.perplexity import judge_perplexity
-from convspark.llm.quality_rules import judge_documents
+from convspark.llm.quality_rules import fit_bands, judge_documents
 from convspark.llm.toxicity import fit_toxicity, fold, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,7 +94,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge_documents(documents(spark, sf_dir, "doc_id", "text"))
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id")
+    judged = judge_documents(docs, fit_bands(docs.join(trusted, "doc_id", "left_semi")))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "ratio", "n_chunks", "n_bad_chunks",
