@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from convspark.functions.split import assign_split
 from convspark.operators.lines import line_examples
@@ -11,6 +12,7 @@ from convspark.operators.stats import observe_splits
 from convspark.operators.threads import thread_examples
 from convspark.params import LineOptions, QaOptions, ThreadOptions
 from convspark.sources.example_sets import write_examples
+from convspark.sources.qa_records import CORRUPT, refuse_corrupt
 
 
 def thread_dataset(comments: DataFrame, options: ThreadOptions = ThreadOptions()) -> DataFrame:
@@ -25,8 +27,19 @@ def line_dataset(lines: DataFrame, options: LineOptions = LineOptions()) -> Data
     return assign_split(examples, "file_id", options.train_split)
 
 
-def qa_dataset(records: DataFrame, options: QaOptions = QaOptions()) -> DataFrame:
-    """QA records -> split examples; the surviving product id decides the split."""
+def qa_dataset(
+    records: DataFrame, options: QaOptions = QaOptions(), unreadable: Observation | None = None
+) -> DataFrame:
+    """QA records -> split examples; the surviving product id decides the split.
+
+    A line that could not be read (``_corrupt``) ends the job, unless ``unreadable`` is given: then
+    such lines are left out and counted there, as ``corrupt``, by the job that writes the set.
+    """
+    if CORRUPT in records.columns:
+        if unreadable is None:
+            records = refuse_corrupt(records)
+        else:
+            records = records.observe(unreadable, F.count(CORRUPT).alias("corrupt"))
     return assign_split(qa_examples(records, options.min_words, options.max_words), "product_id", options.train_split)
 
 

@@ -71,6 +71,13 @@ def parse_qa_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select(*chosen, F.when(~usable, F.col(column)).alias(CORRUPT))
 
 
+def refuse_corrupt(records: DataFrame) -> DataFrame:
+    """The records without ``_corrupt``; a line that could not be read is an error that shows its beginning."""
+    error = F.raise_error(F.concat(F.lit("unreadable record: "), F.substring(CORRUPT, 1, 200)))
+    fine = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(error.cast("boolean"))
+    return records.where(fine).drop(CORRUPT)
+
+
 def read_qa_records(spark: SparkSession, pattern: str) -> DataFrame:
     """Records of all matching text files, plain or compressed."""
     return parse_qa_lines(spark.read.option("lineSep", "\n").text(pattern))

@@ -283,4 +283,15 @@ def qa_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             ", 'answers': [{'answerText': ", _literal(F.col("role")), "}]}]}",
         ).alias("value")
     )
-    return flatten_qa(parse_qa_lines(flat.unionByName(nested)))
+    # lines that are no record, have a value of a wrong type or a lone surrogate: none may give a row
+    broken = inputs.table(spark, sf_dir, "documents").select(
+        F.explode(
+            F.array(
+                F.lit("{'asin': 'p', 'question': 'q', 'answer'"),
+                pieces("{'asin': u'p', 'question': ", _literal(F.col("text")), ", 'answer': 5}"),
+                pieces("{'asin': u'p', 'questions': [{'questionText': ", _literal(F.col("source")), ", 'answers': [7]}]}"),
+                F.lit("{'asin': 'p', 'question': u'\\ud800', 'answer': 'yes'}"),
+            )
+        ).alias("value")
+    )
+    return flatten_qa(parse_qa_lines(flat.unionByName(nested).unionByName(broken)))
