@@ -43,16 +43,31 @@ def ends_of(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
 
+def free_name(taken: list[str], wish: str) -> str:
+    """``wish``, with as many underscores behind it as no taken name, in any letter case, is like."""
+    lower = {c.lower() for c in taken}
+    while wish.lower() in lower:
+        wish += "_"
+    return wish
+
+
 def map_rows(
-    df: DataFrame, column: str, extra: T.StructType, work: Callable[[pa.Array], list[pa.Array]], rows: int = 256
+    df: DataFrame,
+    column: str,
+    extra: T.StructType,
+    work: Callable[[pa.Array], list[pa.Array]],
+    rows: int = 256,
+    keep_input: bool = True,
 ) -> DataFrame:
     """All columns of ``df`` and those that ``work`` makes of one column, slice by slice.
 
     Texts are cut by their bytes, other values into runs of ``rows``. Input columns that ``extra``
-    names are replaced.
+    names are replaced; without ``keep_input`` the column that is worked on does not come back.
     """
-    keep = [c for c in df.columns if c not in extra.names]
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias("_input"))
+    keep = [c for c in df.columns if c not in extra.names and (keep_input or c != column)]
+    source = df.select(
+        *[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias(free_name(df.columns, "_input"))
+    )
     fields = [source.schema[c] for c in keep] + list(extra)
     names = [*keep, *extra.names]
 

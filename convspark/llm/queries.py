@@ -16,8 +16,11 @@ from convspark.llm.licences import scan_licences
 from convspark.llm.line_dedup import drop_repeated_lines
 from convspark.llm.mixing import mix_sources
 from convspark.llm.multi_index import near_vectors
+from convspark.llm.packing import pack_documents
 from convspark.llm.perplexity import judge_perplexity
 from convspark.llm.quality_rules import fit_bands, judge_documents
+from convspark.llm.resampling import resample
+from convspark.llm.spelling import spelling_variants
 from convspark.llm.toxicity import fit_toxicity, fold, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +110,27 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
     return near_vectors(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query(sql.RESAMPLING)
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
+    drawn = resample(documents(spark, sf_dir, "doc_id", "text"), target)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(sql.SPELLING)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir, "doc_id", "text"))
+
+
+#: Vocabulary of the packing query.
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(documents(spark, sf_dir, "doc_id", "text"), WORD_VOCABULARY)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

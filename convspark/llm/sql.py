@@ -107,3 +107,73 @@ x AS (SELECT f.*, (certain + CASE WHEN fit.taken THEN 1
                                   WHEN fine < coalesce(last, CASE WHEN lack > 0 THEN b ELSE 0 END) THEN 1 ELSE 0 END)::BIGINT AS copies
       FROM f LEFT JOIN edge USING (none, src) LEFT JOIN fit ON fit.row = f.row AND fit.taken)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies, source FROM x"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, byte by byte; ``codes`` of :data:`CRC_TABLE` must be in scope."""
+    digits = f"hex(encode({text}))"
+    byte = "instr('0123456789ABCDEF', substr({0}, 2 * i + {1}, 1)) - 1"
+    high, low = byte.format(digits, 1), byte.format(digits, 2)
+    value = f"list_transform(range(0, strlen({text})), lambda i: (16 * ({high}) + {low})::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {value}), {step}), 4294967295::BIGINT)"
+
+
+CRC_TABLE = """crc_table AS (SELECT list_transform(range(0, 256), lambda x: list_reduce(
+    [x::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS codes)"""
+
+_WORD_LIST = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
+
+
+def _runs_of_words(table: str, key: str) -> str:
+    """(key, feature) of all runs of one to three words."""
+    return " UNION ALL ".join(
+        f"SELECT {key}, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS feature"
+        f" FROM {table} WHERE len(w) >= {k}"
+        for k in (1, 2, 3)
+    )
+
+
+RESAMPLING = f"""WITH {CRC_TABLE},
+docs AS (SELECT doc_id, {_WORD_LIST} AS w FROM documents),
+target AS (SELECT item_id, {_WORD_LIST} AS w FROM benchmark),
+features AS ({_runs_of_words('docs', 'doc_id')}),
+wanted AS ({_runs_of_words('target', 'item_id')}),
+hashed AS (SELECT feature, {_crc32('feature')} % 10000 AS bucket
+           FROM (SELECT feature FROM features UNION SELECT feature FROM wanted), crc_table),
+raw AS (SELECT bucket, count(*) AS s FROM features JOIN hashed USING (feature) GROUP BY bucket),
+good AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (feature) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM features) AS s_all, (SELECT count(*) FROM wanted) AS t_all),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)
+                                         / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain
+          FROM raw FULL JOIN good USING (bucket) CROSS JOIN totals),
+weights AS (SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+            FROM features JOIN hashed USING (feature) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w) AS n, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+   + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score FROM docs LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS place,
+                  count(*) OVER (PARTITION BY n >= 20) AS able FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n >= 20 AND place <= 5 * able // 100 THEN place END::BIGINT AS rank FROM ranked"""
+
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+found AS (SELECT doc_id, run, count(*) AS times FROM (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), '{UPPER}', '{LOWER}') AS run
+  FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, times, {_crc32("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM found, crc_table),
+written AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                   times FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM written WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+gaps AS (SELECT word, n, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM places),
+near AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b USING (head, tail) WHERE a.word <> b.word
+         UNION SELECT g.word, g.n, w.word, w.n FROM gaps g JOIN words w ON w.word = g.head || g.tail
+         UNION SELECT w.word, w.n, g.word, g.n FROM gaps g JOIN words w ON w.word = g.head || g.tail),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -other_n, 'other': other}}) AS first FROM near GROUP BY word),
+formed AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+                  CASE WHEN -first.less >= 2 * n THEN first.other END AS form,
+                  CASE WHEN -first.less >= 2 * n THEN -first.less END::BIGINT AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS reached, 0 AS steps FROM formed UNION ALL
+          SELECT chain.word, formed.form, steps + 1 FROM chain JOIN formed ON formed.word = chain.reached WHERE formed.form IS NOT NULL)
+SELECT word, form, (SELECT arg_max(reached, steps) FROM chain WHERE chain.word = formed.word) AS root, n, n_near, form_n FROM formed"""

@@ -1,0 +1,138 @@
+"""Packing against a plain dynamic program, the tokenizers library, and odd rows."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from convspark.llm.packing import ChunkEncoder, Costs, choose_cuts, cut_places, pack_documents
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def stretch(length, window):
+    return 0 if length & (length - 1) == 0 else window - length
+
+
+def least_cost(places, fees, window, inside, closing):
+    """Every way of cutting, from the left."""
+    best = [0] + [None] * (len(places) - 1)
+    for j in range(1, len(places)):
+        for i in range(j):
+            length = places[j] - places[i]
+            if length > window or best[i] is None:
+                continue
+            cost = best[i] + stretch(length, window) + fees[j]
+            if closing and j == len(places) - 1:
+                cost = min(cost, best[i] + inside * (bin(length).count("1") - 1) + fees[j])
+            best[j] = cost if best[j] is None else min(best[j], cost)
+    return best[-1]
+
+
+@pytest.mark.parametrize("closing", [True, False])
+def test_cuts_cost_no_more_than_any_others(closing):
+    rnd = random.Random(7)
+    for _ in range(300):
+        window = rnd.choice([8, 13, 16, 32])
+        costs = Costs(sentence=rnd.randrange(4), inside=rnd.randrange(6), longest=rnd.randrange(1, 9), step=rnd.randrange(1, 5))
+        doc_ends = np.cumsum([rnd.randrange(1, 25) for _ in range(rnd.randrange(1, 8))])
+        ends = np.array(sorted(rnd.sample(range(1, int(doc_ends[-1]) + 1), rnd.randrange(int(doc_ends[-1])))), np.int64)
+        places, fees = cut_places(doc_ends, ends, costs, window)
+        cuts, cost = choose_cuts(places, fees, window, costs.inside, closing)
+        assert cost == least_cost(places.tolist(), fees.tolist(), window, costs.inside, closing)
+        assert cuts[0] == 0 and cuts[-1] == doc_ends[-1] and all(0 < n <= window for n in np.diff(cuts))
+        fee = dict(zip(places.tolist(), fees.tolist(), strict=True))
+        padding = sum(stretch(b - a, window) for a, b in zip(cuts, cuts[1:], strict=False))
+        assert closing or cost == padding + sum(fee[c] for c in cuts[1:])  # the cuts that close a task all cost the same
+
+
+def test_places_follow_documents_sentences_and_long_stretches():
+    places, fees = cut_places(np.array([4, 30]), np.array([2, 4, 6]), Costs(3, 9, 10, 8), 16)
+    assert places.tolist() == [0, 2, 4, 6, 14, 22, 30] and fees.tolist() == [0, 3, 0, 3, 9, 9, 0]
+
+
+def test_ids_are_those_of_the_library(library):
+    rnd = random.Random(1)
+    letters = [*"aB 'stdmlrev.,!?9\n\t\x0b\x1cÇß–“…«»<|>", "<|endoftext|>", "é", "́", "Σ", "ſ", "K", " ", "١", "日", "。", "²", "\x85"]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(40))) for _ in range(4000)]
+    texts += ["Don't SHE'LL ''s 'something ,'s 3.14 ﬁ İ", "<|endoftext|> a<|startoftext|>b", "x" * 5000 + " é" * 300, None, ""]
+    encoder = ChunkEncoder(VOCABULARY)
+    expected = library.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    for text, (ids, stops), wanted in zip(texts, encoder.encode(texts), expected, strict=True):
+        assert ids.tolist() == wanted.ids, text
+        assert all(0 < s <= len(ids) for s in stops)
+
+
+def test_sentences_end_at_enders_before_a_blank():
+    [(ids, stops)] = ChunkEncoder(VOCABULARY).encode(['It is 3.14 now. "Is it?" Yes!'])
+    assert len(stops) == 2 and stops[-1] < len(ids)  # the end of the text is the end of its document
+
+
+def rows():
+    rnd = random.Random(4)
+    words = "the cat sat. on a mat! été Größe 日本。 42 it's".split()
+    out = [(i, " ".join(rnd.choice(words) for _ in range(rnd.choice([0, 3, 60, 900])))) for i in range(120)]
+    return out + [(120, None), (121, ""), (None, "no id."), out[3], out[3], (122, "word " * 40_000), (123, "x1" * 30_000)]
+
+
+@pytest.mark.parametrize("window", [64, 4096])
+def test_every_id_lies_in_one_piece(spark, library, window):
+    docs = spark.createDataFrame([(*r, "o", 1, 2) for r in rows()], "doc_id long, text string, id string, ids int, start long")
+    pieces = pack_documents(docs.coalesce(3), VOCABULARY, window=window, block_tokens=8 * window).collect()
+    sequences, documents = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        assert p.length > 0 and len(p.ids) == 4 * p.length
+        sequences[p.sequence_id].append(p)
+        documents[p.doc_id].append(p)
+    padding = 0
+    for members in sequences.values():
+        members.sort(key=lambda p: p.offset)
+        assert [p.offset for p in members] == np.cumsum([0] + [p.length for p in members])[:-1].tolist()
+        total = sum(p.length for p in members)
+        assert total <= window and {p.sequence_tokens for p in members} == {total}
+        padding += stretch(total, window)
+    wanted = defaultdict(list)
+    for key, text in rows():
+        wanted[key].append(library.encode(text or "", add_special_tokens=False).ids + [2])
+    for key, texts in wanted.items():
+        found = sorted(documents[key], key=lambda p: (p.sequence_id, p.offset))
+        ids = np.frombuffer(b"".join(p.ids for p in found), "<u4").tolist()
+        assert ids == [i for t in texts for i in t]
+        assert {p.doc_tokens for p in found} == set(map(len, texts))
+        done = 0  # ids of the document that earlier pieces hold
+        for p in found:
+            assert p.start == done
+            done = (done + p.length) % p.doc_tokens
+    assert len(documents) == len(wanted)
+    assert padding < (0.05 if window == 64 else 0.01) * sum(p.length for p in pieces)
+
+
+def test_runs_agree_and_order_is_kept(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}. " * (i % 50)) for i in range(500)], "doc_id long, text string")
+    first, second = (
+        pack_documents(docs.repartition(7), VOCABULARY, window=128, block_tokens=512, order_by=["doc_id"]).drop("ids").collect()
+        for _ in range(2)
+    )
+    assert sorted(first) == sorted(second)
+    order = [p.doc_id for p in sorted(first, key=lambda p: (p.sequence_id, p.offset))]
+    assert order == sorted(order)
+
+
+def test_nothing_and_bad_options(spark):
+    nothing = spark.createDataFrame([], "doc_id long, text string")
+    assert pack_documents(nothing, VOCABULARY).collect() == []
+    only = spark.createDataFrame([(None, None)], "doc_id string, text string")
+    [piece] = pack_documents(only, VOCABULARY).collect()
+    assert (piece.doc_id, piece.length, piece.doc_tokens, bytes(piece.ids)) == (None, 1, 1, b"\x02\0\0\0")
+    with pytest.raises(ValueError):
+        pack_documents(nothing, VOCABULARY, window=64, block_tokens=32)
+    with pytest.raises(ValueError):
+        Costs(sentence=-1)
