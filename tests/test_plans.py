@@ -13,7 +13,7 @@ from convspark.plans.datasets import line_dataset, qa_dataset, thread_dataset, w
 from convspark.schema import QA_FEATURES, THREAD_FEATURES
 from convspark.sources.example_sets import read_examples
 from convspark.sources.text_lines import numbered_lines
-from tests.test_qa import EXPECTED, RECORDS
+from tests.test_qa import EXPECTED, RECORDS, tuples
 from tests.test_threads import simple
 
 
@@ -41,11 +41,15 @@ def test_qa_to_files(spark, tmp_path):
     records = spark.createDataFrame(RECORDS, QA_RECORD)
     dataset = qa_dataset(records, options)
     path = str(tmp_path / "qa")
-    assert write_dataset(dataset, path, options) == {"examples": 5, "train": 4, "test": 1}
+    of_split = {split: sum(e[3] == split for e in EXPECTED) for split in (TRAIN, TEST)}
+    counts = {"examples": len(EXPECTED), **of_split}
+    assert write_dataset(dataset, path, options) == counts
     found = read_examples(spark, path, "json", 0, QA_FEATURES).collect()
     assert sorted((r.product_id, r.context, r.response) for r in found) == [e[:3] for e in EXPECTED]
     stats = corpus_stats(records, "asin", dataset, flatten_qa(records, 3, 5)).first().asDict()
-    assert stats == {"inputs": 5, "groups": 4, "tuples": 6, "examples": 5, "train": 4, "test": 1}
+    assert stats == {
+        "inputs": len(RECORDS), "groups": len({r["asin"] for r in RECORDS}), "tuples": len(tuples(RECORDS, 3, 5)), **counts
+    }
 
 
 def test_one_long_file_is_cut_into_shards_first(spark, tmp_path):

@@ -5,20 +5,22 @@ from convspark.operators.qa import flatten_qa, qa_examples
 from convspark.schema import QA_RECORD
 from convspark.sources.qa_records import parse_qa_lines, read_qa_records
 
-# Own records: a pair sold under two products, a question of too many words, answers of too few, nested and flat shapes.
+# Own records: one nested record with every number of answers, copies inside and across products, holes everywhere.
 RECORDS = [
-    {"asin": "mug-2", "question": "Is it blue", "answer": "Yes, dark blue"},
-    {"asin": "mug-10", "question": "Is it blue", "answer": "Yes, dark blue"},
-    {"asin": "mug-10", "question": "Does the handle stay cool in use", "answer": "Yes, dark blue"},
     {
-        "asin": "lamp",
+        "asin": "kettle",
         "questions": [
-            {"questionText": "How tall is it",
-             "answers": [{"answerText": "Forty five centimetres"}, {"answerText": "About knee high"}, {"answerText": "Tall enough"}]},
-            {"questionText": "Which bulb fits", "answers": [{"answerText": "Any small one"}]},
+            {"questionText": "does it whistle", "answers": [{"answerText": t} for t in ("it does so", "no", "a b c d e f", "five words are just enough")]},
+            {"questionText": "why", "answers": [{"answerText": "because water can boil"}]},
+            {"questionText": "is there no answer", "answers": []},
         ],
     },
-    {"asin": "desk", "questions": [{"questionText": "Are tools needed", "answers": [{"answerText": "One screwdriver only"}]}]},
+    {"asin": "rug-b", "question": "can I wash it", "answer": "with cold water only"},
+    {"asin": "rug-b", "question": "can I wash it", "answer": "with cold water only"},
+    {"asin": "rug-a", "questions": [{"questionText": "can I wash it", "answers": [{"answerText": "with cold water only"}, {"answerText": "better do not"}]}]},
+    {"asin": "vase", "questions": []},
+    {"asin": "shelf", "answer": "nobody has asked this"},
+    {"asin": "hat", "question": "is  it wool", "answer": "mostly yes I think"},
 ]
 
 
@@ -27,16 +29,30 @@ def half(product):
     return "train" if (1 + int(hashlib.md5(product.encode()).hexdigest()[-3:], 16)) / 4096 < 0.5 else "test"
 
 
-EXPECTED = sorted(
-    (product, question, answer, half(product))
-    for product, question, answer in [
-        ("mug-10", "Is it blue", "Yes, dark blue"),
-        ("lamp", "How tall is it", "Forty five centimetres"),
-        ("lamp", "How tall is it", "About knee high"),
-        ("lamp", "Which bulb fits", "Any small one"),
-        ("desk", "Are tools needed", "One screwdriver only"),
-    ]
-)
+def tuples(records, low, high):
+    """All (product, question, answer) with an accepted number of words, one record at a time."""
+    out = []
+    for record in records:
+        pairs = [(q["questionText"], a["answerText"]) for q in record.get("questions") or [] for a in q["answers"]]
+        if "question" in record:
+            pairs = [(record["question"], record["answer"])]
+        out += [(record["asin"], *p) for p in pairs if all(low <= t.count(" ") + 1 <= high for t in p)]
+    return out
+
+
+def examples(records, low, high):
+    """One example per pair, with the smallest product."""
+    best = {}
+    for product, *pair in tuples(records, low, high):
+        best[tuple(pair)] = min(product, best.get(tuple(pair), product))
+    return sorted((product, *pair, half(product)) for pair, product in best.items())
+
+
+EXPECTED = examples(RECORDS, 3, 5)
+
+
+def test_the_case_is_not_trivial():
+    assert len(EXPECTED) == 5 < len(tuples(RECORDS, 3, 5)) < len(tuples(RECORDS, 0, 99)) and {e[3] for e in EXPECTED} == {"train", "test"}
 
 
 def rows(df):
@@ -53,9 +69,9 @@ def test_flatten_shapes(spark):
     both = {"asin": "9", "question": "flat", "answer": "wins",
             "questions": [{"questionText": "q", "answers": [{"answerText": "a"}]}]}
     neither = {"asin": "8"}
-    df = spark.createDataFrame([both, neither, RECORDS[4]], QA_RECORD)
+    df = spark.createDataFrame([both, neither, *RECORDS], QA_RECORD)
     found = sorted(tuple(r) for r in flatten_qa(df).collect())
-    assert found == [("9", "flat", "wins"), ("desk", "Are tools needed", "One screwdriver only")]
+    assert found == sorted([("9", "flat", "wins"), *tuples(RECORDS, 0, 99)])
 
 
 def test_literals_that_are_not_json(spark):

@@ -74,11 +74,12 @@ def test_golden_simple_thread(spark, dicts):
 
 
 def test_normalise_comment(spark):
-    df = raw(spark, [("DDDDD", "t3_BBBBB", "t1_CCCCC", "ABC EFG HIJ KLM NOP", "FFFFF", "EEEEE")])
-    assert normalise_comments(df, 16).first().asDict() == {
-        "id": "DDDDD", "thread_id": "BBBBB", "parent_id": "CCCCC", "body": "ABC EFG HIJ KLM ",
-        "body_is_trimmed": True, "author": "FFFFF", "subreddit": "EEEEE",
-    }
+    df = raw(spark, [("n1", "t3_th", "t1_up", "what a long, long comment", None, "sub")])
+    assert normalise_comments(df, 12).first().asDict() == {
+        "id": "n1", "thread_id": "th", "parent_id": "up", "body": "what a long", "body_is_trimmed": True, "author": None,
+        "subreddit": "sub",
+    }
+    assert normalise_comments(df).first().body_is_trimmed is False
 
 
 def test_rows_without_text_are_dropped(spark):
@@ -90,16 +91,6 @@ def test_self_loop_gives_nothing(spark):
     assert paths(edges(spark, [(1, 1)])) == []
 
 
-def test_loop_and_what_hangs_off_it_give_nothing(spark):
-    assert paths(edges(spark, [(1, 3), (2, 1), (3, 2), (4, 2), (5, 4)])) == []
-
-
-def test_stranded_threads_start_at_their_first_comment(spark):
-    df = edges(spark, [(1, "unseen"), (2, 1), (3, "unseen 2"), (4, 3)])
-    assert paths(df, 100) == [("1", "2"), ("3", "4")]
-    assert sorted(r.id for r in roots(df).collect()) == ["1", "3"]
-
-
 def test_same_ids_in_two_threads_do_not_meet(spark):
     df = edges(spark, [(1, "x"), (2, 1)], "t").union(edges(spark, [(2, 1), (3, 2)], "u"))
     assert paths(df) == [("1", "2"), ("2", "3")]
@@ -131,11 +122,16 @@ def test_random_graphs_against_walking(spark, depth):
     rows, wanted = [], []
     for thread in range(40):
         n = rng.randint(1, 40)
+        # one in five comments answers a later or an unseen one: loops, and trees that hang off them or off nothing
         pairs = [(str(i), str(rng.randint(max(0, i - 3), n + 1) if rng.random() < 0.2 else i - 1)) for i in range(n)]
         rows += [(f"t{thread}", i, p) for i, p in pairs]
         wanted += [(f"t{thread}", *p) for p in paths_by_walking(pairs, depth)]
-    found = linear_paths(spark.createDataFrame(rows, EDGES), depth).collect()
+    graph = spark.createDataFrame(rows, EDGES)
+    found = linear_paths(graph, depth).collect()
     assert sorted((r.thread_id, *reversed(r.ancestors), r.id) for r in found) == sorted(wanted)
+    # a thread starts at a comment whose parent nobody has
+    known = {(t, i) for t, i, _ in rows}
+    assert sorted((r.thread_id, r.id) for r in roots(graph).collect()) == sorted((t, i) for t, i, p in rows if (t, p) not in known)
 
 
 def test_extra_contexts_are_trimmed_but_not_filtered(spark):
