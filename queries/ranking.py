@@ -19,7 +19,7 @@ from convspark.operators.keyword import (
     smoothed_idf,
     term_counts,
 )
-from convspark.operators.mapping import VectorMapping
+from convspark.operators.mapping import VectorMapping, mapping_gradient, pack_batches
 from convspark.operators.ordering import dense_index
 from convspark.operators.vector import PRECOMPUTED, MappingModel, VectorSimilarity, model_encoder
 from convspark.params import EvalOptions
@@ -314,11 +314,42 @@ scored AS (SELECT batch_id, ctx_pos, resp_pos, {dot_sql('c.v', 'r.v')} AS score
 {RANKED_CTE} {RANKED_SQL}"""
 )
 def vec_map_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, j = np.indices((DIM, DIM))
-    model = MappingModel(PRECOMPUTED, ((i * 7 + j * 3) % 11 - 5) / 10.0, RESIDUAL)
+    model = MappingModel(PRECOMPUTED, FIXED_MAP, RESIDUAL)
     return _rounded_score(model.rank_responses(_vector_batches(spark, sf_dir)))
 
 
+FIXED_MAP = ((np.indices((DIM, DIM))[0] * 7 + np.indices((DIM, DIM))[1] * 3) % 11 - 5) / 10.0
+
+# One pass of the fit at the fixed map: softmax within batches of 256, a fifth of the pairs kept apart in batches of 100.
+GRADIENT_SQL = f"""WITH {inputs.VECTOR_PAIRS_SQL},
+ordered AS (SELECT {unit_sql('context')} AS c, {unit_sql('response')} AS u,
+  row_number() OVER (ORDER BY {inputs.digest_sql(0, 'pair')}) - 1 AS ordinal, ceil(0.2 * count(*) OVER ())::BIGINT AS n_dev FROM vpairs),
+dealt AS (SELECT c, u, {MAPPED_SQL} AS m, ordinal, ordinal < n_dev AS dev,
+  CASE WHEN ordinal < n_dev THEN ordinal // 100 ELSE (ordinal - n_dev) // 256 END AS batch FROM ordered),
+scored AS (SELECT a.dev, a.batch, a.ordinal AS x, b.ordinal AS y, a.c, b.u, {dot_sql('a.c', 'b.m')} AS s
+           FROM dealt a JOIN dealt b ON a.dev = b.dev AND a.batch = b.batch),
+soft AS (SELECT *, count(*) OVER (PARTITION BY batch, x) AS n, s - ln(sum(exp(s)) OVER (PARTITION BY batch, x)) AS share
+         FROM scored WHERE NOT dev),
+aimed AS (SELECT *, 0.2::DOUBLE / n + CASE WHEN x = y THEN 0.8::DOUBLE ELSE 0 END AS target FROM soft),
+pulled AS (SELECT batch, y, j, any_value(u) AS u, sum((exp(share) - target) / n * c[j]) AS g
+           FROM aimed, (SELECT unnest(range(1, {DIM + 1})) AS j) GROUP BY batch, y, j),
+size AS (SELECT count(DISTINCT batch)::DOUBLE AS batches FROM soft),
+best AS (SELECT x, arg_max(y, (s, -y)) = x AS hit FROM scored WHERE dev GROUP BY x)
+SELECT 'weights' AS kind, (i - 1)::INT AS row, (j - 1)::INT AS col, round(sum(u[i] * g) / any_value(batches), 7) AS value
+FROM pulled, (SELECT unnest(range(1, {DIM + 1})) AS i), size GROUP BY i, j
+UNION ALL SELECT 'residual', 0, 0, round(sum(u[j] * g) / any_value(batches), 7) FROM pulled, size
+UNION ALL SELECT 'loss', 0, 0, round(sum(-target * share / n) / any_value(batches), 7) FROM aimed, size
+UNION ALL SELECT 'dev_accuracy', 0, 0, round(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 7) FROM best"""
+
+
+@query(GRADIENT_SQL)
+def vec_map_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = dense_index(inputs.vector_pairs(spark, sf_dir), key=["pair"], unique=True)
+    batches, _ = pack_batches(numbered, PRECOMPUTED)
+    found = mapping_gradient(batches, FIXED_MAP, RESIDUAL)
+    return found.withColumn("value", F.round("value", 7) + 0.0)
+
+
 @query()
 def vec_map_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = inputs.vector_pairs(spark, sf_dir).select("context", "response")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from convspark.operators.evaluate import accuracy, dedup_contexts, eval_batches, load_examples, recall_at_k
 from convspark.operators.keyword import Bm25, TfIdf, document_frequency, documents
-from convspark.operators.mapping import VectorMapping, batch_gradient
+from convspark.operators.mapping import VectorMapping, _Map, _Setting, batch_gradient, dev_hits, mapping_gradient, pack_batches
 from convspark.operators.ordering import dense_index
 from convspark.operators.scoring import sparse_scores, unit_rows
 from convspark.operators.vector import PRECOMPUTED, Encoder, MappingModel, VectorSimilarity, model_encoder
@@ -149,6 +149,77 @@ def test_map_learns_a_planted_rotation(spark):
     assert best > 0.8 and all(1 <= t[2] <= 25 for t in fit.trials)
 
 
+def rotated_pairs(n, dim, noise):
+    """Responses are rotated contexts with noise."""
+    rng = np.random.default_rng(11)
+    turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+    x = rng.normal(size=(n, dim))
+    return x, x @ turn + noise * rng.normal(size=(n, dim))
+
+
+def full_gradient_fit(contexts, responses, start, learning_rate, epochs):
+    """Plain restatement: one Adagrad step per epoch on the mean gradient of all batches; dev accuracy of every epoch."""
+    n_dev = -(-len(contexts) // 5)
+    cuts = range(n_dev, len(contexts), 256)
+    dev = [slice(a, min(a + 100, n_dev)) for a in range(0, n_dev, 100)]
+    w, r, squares, r_squares, found = start.copy(), 1.0, np.full_like(start, 0.1), 0.1, []
+    for _ in range(epochs):
+        parts = [batch_gradient(contexts[a : a + 256], responses[a : a + 256], w, r)[:2] for a in cuts]
+        by_w, by_r = (sum(p[k] for p in parts) / len(parts) for k in (0, 1))
+        squares += by_w**2
+        r_squares += by_r**2
+        w, r = w - learning_rate * by_w / np.sqrt(squares), r - learning_rate * by_r / r_squares**0.5
+        found.append(sum(dev_hits(contexts[d], responses[d], w, r) for d in dev) / n_dev)
+    return found
+
+
+@pytest.mark.parametrize("streams", [1, 4, None])
+def test_local_steps_do_no_worse_than_full_gradients(spark, streams):
+    x, y = rotated_pairs(6000, 12, 0.9)
+    pairs = spark.createDataFrame([(a.tolist(), b.tolist()) for a, b in zip(x, y, strict=True)], "context array<double>, response array<double>")
+    numbered = dense_index(pairs, 0).orderBy("ordinal").collect()
+    contexts, responses = (unit_rows(np.array([r[c] for r in numbered])) for c in ("context", "response"))
+    start = np.linalg.qr(np.random.default_rng(0).normal(size=(12, 12)))[0]
+    whole = full_gradient_fit(contexts, responses, start, 0.3, 8)
+    fit = VectorMapping(PRECOMPUTED, (0.3,), (0.0,), max_epochs=8, streams=streams).search(pairs)
+    again = VectorMapping(PRECOMPUTED, (0.3,), (0.0,), max_epochs=8, streams=streams).search(pairs.repartition(5))
+    assert fit.trials == again.trials  # neither the cluster nor the input's partitions change the fit
+    assert fit.trials[0][3] >= max(whole) - 1e-9
+
+
+def test_one_stream_is_stochastic_descent(spark):
+    x, y = rotated_pairs(900, 5, 0.5)
+    pairs = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(unit_rows(x), unit_rows(y), strict=True))], "ordinal long, context array<double>, response array<double>")
+    batches, n_train = pack_batches(pairs, PRECOMPUTED)
+    assert n_train == 3 and batches.count() == 5
+    now = _Map.start(5, 0)
+    contexts, responses = unit_rows(x), unit_rows(y)
+    for a in (180, 436, 692):
+        by_w, by_r, _ = batch_gradient(contexts[a : a + 256], responses[a : a + 256], now.weights, now.residual)
+        now.step(by_w, by_r, 0.5, 0.01)
+    stream = batches.repartitionById(1, F.lit(0)).sortWithinPartitions("is_dev", "batch")
+    _, after = VectorMapping(PRECOMPUTED)._epoch(stream, {0: _Setting(0.5, 0.01, _Map.start(5, 0))})[0]
+    assert np.allclose(after.numbers, now.numbers)
+
+
+def test_one_pass_gradient(spark):
+    x, y = rotated_pairs(700, 4, 0.5)
+    contexts, responses = unit_rows(x), unit_rows(y)
+    pairs = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(x, y, strict=True))], "ordinal long, context array<double>, response array<double>")
+    weights = np.arange(16.0).reshape(4, 4) / 10
+    found = {(r.kind, r["row"], r.col): r.value for r in mapping_gradient(pack_batches(pairs, PRECOMPUTED)[0], weights, 0.5).collect()}
+    parts = [batch_gradient(contexts[a : a + 256], responses[a : a + 256], weights, 0.5) for a in (140, 396, 652)]
+    for i in range(4):
+        for j in range(4):
+            assert found["weights", i, j] == pytest.approx(np.mean([p[0][i, j] for p in parts]))
+    assert found["residual", 0, 0] == pytest.approx(np.mean([p[1] for p in parts]))
+    assert found["loss", 0, 0] == pytest.approx(np.mean([p[2] for p in parts]))
+    hits = sum(dev_hits(contexts[a:b], responses[a:b], weights, 0.5) for a, b in ((0, 100), (100, 140)))
+    assert found["dev_accuracy", 0, 0] == pytest.approx(hits / 140) and len(found) == 19
+    empty = mapping_gradient(pack_batches(pairs.limit(0), PRECOMPUTED)[0], weights, 0.5)
+    assert {r.value for r in empty.collect()} == {0.0}
+
+
 def test_gradient_against_differences():
     rng = np.random.default_rng(3)
     x, y, w = unit_rows(rng.normal(size=(7, 4))), unit_rows(rng.normal(size=(7, 4))), rng.normal(size=(4, 4))
