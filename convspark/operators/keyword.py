@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convspark.functions.text import token_counts, tokens
-from convspark.operators.scoring import RANKED, rank_scores, sparse_scores
+from convspark.operators.scoring import BLOCK, RANKED, in_blocks, merge_blocks, partial_ranks, rank_scores, sparse_scores
 from convspark.workspace import BROADCAST_ROWS, broadcast_if_small, materialise_counting
 
 
@@ -103,8 +104,10 @@ class KeywordModel:
         weighted = tfidf_weights(docs, terms, self.n_docs, *key, together=together)
         return weighted.select(*key, "term", "weight")
 
-    def rank_responses(self, batches: DataFrame) -> DataFrame:
-        """Rank the N responses of each batch for each of its contexts."""
+    def rank_responses(
+        self, batches: DataFrame, n_candidates: int | None = None, block: int = BLOCK
+    ) -> DataFrame:
+        """Rank the N responses of each batch for each of its contexts; blocks of them where N is large."""
         sides = batches.select(
             "batch_id",
             F.inline(
@@ -120,10 +123,52 @@ class KeywordModel:
         def rank(places: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
             return rank_scores(places, sparse_scores(len(places), pieces), "batch")
 
+        if n_candidates is not None and n_candidates > block:
+            return self._rank_in_blocks(batches, weights, n_candidates, block)
         # a new name keeps the two sides of the cogroup apart
         places = batches.select(F.col("batch_id").alias("batch"), "ctx_pos", "true_pos")
         return places.groupBy("batch").cogroup(weights.groupBy("batch_id")).applyInPandas(rank, RANKED)
 
+    @staticmethod
+    def _rank_in_blocks(batches: DataFrame, weights: DataFrame, n_candidates: int, block: int) -> DataFrame:
+        """One row per example with the weights of both its texts, dealt to pairs of blocks."""
+        listed = weights.groupBy("batch_id", "is_context", "pos").agg(
+            F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights")
+        )
+        examples = batches.select("batch_id", "ctx_pos", "true_pos")
+        for is_context, pos, side in ((True, "ctx_pos", "context"), (False, "true_pos", "response")):
+            one = listed.where(F.col("is_context") == is_context).select(
+                "batch_id", F.col("pos").alias(pos), F.struct("terms", "weights").alias(side)
+            )
+            examples = examples.join(one, ["batch_id", pos], "left")
+        flat = examples.select(
+            "batch_id", "ctx_pos", "true_pos",
+            *[F.coalesce(f"{side}.{part}", F.array().cast(f"array<{kind}>")).alias(f"{side}_{part}")
+              for side in ("context", "response") for part, kind in (("terms", "long"), ("weights", "double"))],
+        )
+
+        def entries(rows: pd.DataFrame, side: str, is_context: bool) -> pd.DataFrame:
+            """Terms and weights of one side, by the row's place."""
+            counts = rows[f"{side}_terms"].map(len).to_numpy()
+            return pd.DataFrame(
+                {
+                    "is_context": is_context,
+                    "pos": np.repeat(np.arange(len(rows)), counts),
+                    "term": np.concatenate([*rows[f"{side}_terms"], np.empty(0, np.int64)]).astype(np.int64),
+                    "weight": np.concatenate([*rows[f"{side}_weights"], np.empty(0)]),
+                }
+            )
+
+        def rank_block(rows: pd.DataFrame) -> pd.DataFrame:
+            mine, others = rows[rows["is_context"]], rows[~rows["is_context"]]
+            contexts = entries(mine, "context", True)
+            both = contexts.merge(entries(mine, "response", False), on=["pos", "term"])
+            own = np.bincount(both["pos"], both["weight_x"] * both["weight_y"], len(mine))
+            scores = sparse_scores((len(mine), len(others)), pd.concat([contexts, entries(others, "response", False)]))
+            return partial_ranks(mine, others["true_pos"].to_numpy(), scores, own)
+
+        return merge_blocks(in_blocks(flat, n_candidates, block), rank_block)
+
 
 @dataclass(frozen=True)
 class Bm25Model(KeywordModel):

@@ -1,14 +1,24 @@
 """Scoring all candidates of a batch: one matrix product per batch of N, inside a task.
 
 A batch holds exactly N contexts and N responses, so a group is bounded by construction, and no
-(context, response) pair ever becomes a row: only one row per context leaves the task.
+(context, response) pair ever becomes a row: only one row per context leaves the task. Where N is larger
+than :data:`BLOCK`, the product is cut into blocks of contexts times blocks of candidates, each a group of its
+own; one row per context and block of candidates is merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Contexts, and candidates, of one matrix product at most: 32 MB of scores.
+BLOCK = 2048
 
+PARTIAL = "batch_id long, ctx_pos int, true_pos int, best_pos int, best double, ahead long"
 RANKED = "batch_id long, ctx_pos int, true_pos int, predicted_pos int, true_rank int, score double"
 
 # Scores are compared after rounding to this many digits, so that sums taken in another order tie
@@ -42,26 +52,88 @@ def rank_scores(places: pd.DataFrame, scores: np.ndarray, batch: str = "batch_id
     )
 
 
-def sparse_scores(size: int, weights: pd.DataFrame) -> np.ndarray:
+def in_blocks(batches: DataFrame, n_candidates: int | None, block: int = BLOCK) -> DataFrame | None:
+    """Rows of batches dealt to all pairs of blocks they belong to, or None if a batch is one block.
+
+    Each row goes as a context (``is_context``) to all blocks of candidates, and as a candidate to all
+    blocks of contexts: columns ``ctx_block`` and ``cand_block``.
+    """
+    if n_candidates is None or n_candidates <= block:
+        return None
+    every = F.sequence(F.lit(0), F.lit((n_candidates - 1) // block))
+    own = {c: F.floor(F.col(c) / block).cast("int") for c in ("ctx_pos", "true_pos")}
+    contexts = batches.select(
+        "*", F.lit(True).alias("is_context"), own["ctx_pos"].alias("ctx_block"), F.explode(every).alias("cand_block")
+    )
+    candidates = batches.select(
+        "*", F.lit(False).alias("is_context"), F.explode(every).alias("ctx_block"), own["true_pos"].alias("cand_block")
+    )
+    return contexts.unionByName(candidates)
+
+
+def partial_ranks(contexts: pd.DataFrame, positions: np.ndarray, scores: np.ndarray, own: np.ndarray) -> pd.DataFrame:
+    """Best candidate of one block for each context, and how many of the block come before the true one.
+
+    ``contexts`` has batch_id, ctx_pos and true_pos, ``positions`` are those of the block's candidates, ``own``
+    the scores of the true responses.
+    """
+    order = np.argsort(positions, kind="stable")
+    positions, scores = positions[order], np.round(scores[:, order], SCORE_DIGITS) + 0.0
+    own = (np.round(own, SCORE_DIGITS) + 0.0)[:, None]
+    true = contexts["true_pos"].to_numpy()[:, None]
+    ahead = ((scores > own) | ((scores == own) & (positions < true))) & (positions != true)
+    best = scores.argmax(axis=1)
+    return pd.DataFrame(
+        {
+            "batch_id": contexts["batch_id"].to_numpy(),
+            "ctx_pos": contexts["ctx_pos"].to_numpy(),
+            "true_pos": contexts["true_pos"].to_numpy(),
+            "best_pos": positions[best].astype("int32"),
+            "best": scores[np.arange(len(scores)), best],
+            "ahead": ahead.sum(axis=1),
+        }
+    )
+
+
+def merge_blocks(blocks: DataFrame, rank_block: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """Ranks over all candidates from those of each block; the first of equally good candidates is best."""
+    partial = blocks.groupBy("batch_id", "ctx_block", "cand_block").applyInPandas(rank_block, PARTIAL)
+    merged = partial.groupBy("batch_id", "ctx_pos", "true_pos").agg(
+        F.min(F.struct((-F.col("best")).alias("minus"), "best_pos")).alias("_best"), F.sum("ahead").alias("_ahead")
+    )
+    return merged.select(
+        "batch_id",
+        "ctx_pos",
+        "true_pos",
+        F.col("_best.best_pos").alias("predicted_pos"),
+        (F.col("_ahead") + 1).cast("int").alias("true_rank"),
+        (-F.col("_best.minus") + 0.0).alias("score"),
+    )
+
+
+def sparse_scores(size: int | tuple[int, int], weights: pd.DataFrame) -> np.ndarray:
     """Dot products of sparse context and response rows ``(is_context, pos, term, weight)``.
 
-    Terms are taken in blocks, so memory stays at ``size * block`` whatever the vocabulary.
+    ``size`` is the number of contexts and of responses, or both. Terms are taken in blocks, so memory stays at
+    ``size * block`` whatever the vocabulary.
     """
-    scores = np.zeros((size, size))
+    rows, columns = size if isinstance(size, tuple) else (size, size)
+    scores = np.zeros((rows, columns))
     if weights.empty:
         return scores
     terms, column = np.unique(weights["term"].to_numpy(), return_inverse=True)
     order = np.argsort(column, kind="stable")
     column = column[order]
-    side = weights["is_context"].to_numpy()[order]
+    side = weights["is_context"].to_numpy()[order].astype(bool)
     pos = weights["pos"].to_numpy()[order]
     weight = weights["weight"].to_numpy()[order]
-    for start in range(0, len(terms), _TERM_BLOCK):
-        low, high = np.searchsorted(column, [start, start + _TERM_BLOCK])
-        block = slice(low, high)
-        matrices = np.zeros((2, size, _TERM_BLOCK))
-        matrices[side[block].astype(int), pos[block], column[block] - start] = weight[block]
-        scores += matrices[1] @ matrices[0].T
+    step = min(_TERM_BLOCK, max(256, _TERM_BLOCK * 1024 // max(rows, columns, 1)))
+    for start in range(0, len(terms), step):
+        low, high = np.searchsorted(column, [start, start + step])
+        left, right = np.zeros((rows, step)), np.zeros((columns, step))
+        for matrix, chosen in ((left, side[low:high]), (right, ~side[low:high])):
+            matrix[pos[low:high][chosen], column[low:high][chosen] - start] = weight[low:high][chosen]
+        scores += left @ right.T
     return scores
 
 

@@ -21,10 +21,11 @@ from convspark.operators.keyword import (
 )
 from convspark.operators.mapping import VectorMapping, mapping_gradient, pack_batches
 from convspark.operators.ordering import dense_index
-from convspark.operators.vector import PRECOMPUTED, MappingModel, VectorSimilarity, model_encoder
+from convspark.operators.scoring import BLOCK
+from convspark.operators.vector import PRECOMPUTED, LookupEncoder, MappingModel, VectorSimilarity, model_encoder
 from convspark.params import EvalOptions
+from convspark.plans.benchmark import VectorMethod, methods
 from convspark.plans.benchmark import evaluate as run_evaluation
-from convspark.plans.benchmark import methods
 from convspark.plans.benchmark import sweep as run_sweep
 from convspark.sources.example_sets import append_results
 from convspark.workspace import materialise, new_path
@@ -195,10 +196,10 @@ train AS (SELECT context, response FROM pairs WHERE {HALF} = 'train'),
 test AS (SELECT context, response FROM pairs WHERE {HALF} = 'test')"""
 
 
-def _keyword_ranked(spark: SparkSession, sf_dir: str, ranker: TfIdf | Bm25) -> DataFrame:
+def _keyword_ranked(spark: SparkSession, sf_dir: str, ranker: TfIdf | Bm25, block: int = BLOCK) -> DataFrame:
     model = ranker.fit(inputs.split_pairs(spark, sf_dir, "train"))
     test = dense_index(inputs.split_pairs(spark, sf_dir, "test"))
-    return model.rank_responses(materialise(evaluate.eval_batches(test, N), "batches"))
+    return model.rank_responses(materialise(evaluate.eval_batches(test, N), "batches"), N, block)
 
 
 def _rounded_score(ranked: DataFrame) -> DataFrame:
@@ -227,6 +228,12 @@ def bm25_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_score(_keyword_ranked(spark, sf_dir, Bm25()))
 
 
+@query(f"WITH {SPLIT_CTE}, {keyword_ctes('train', 'test', 'BM25')} {RANKED_SQL}")
+def bm25_rank_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranks from blocks of three contexts and three candidates, merged."""
+    return _rounded_score(_keyword_ranked(spark, sf_dir, Bm25(), block=3))
+
+
 @query(f"WITH {SPLIT_CTE}, {keyword_ctes('train', 'test', 'TF_IDF')} {accuracy_sql()}")
 def tfidf_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_accuracy(evaluate.accuracy(_keyword_ranked(spark, sf_dir, TfIdf())))
@@ -293,6 +300,13 @@ def vec_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_score(VectorSimilarity(PRECOMPUTED).rank_responses(_vector_batches(spark, sf_dir)))
 
 
+@query(f"WITH {vector_ctes('context', unit_sql('response'))} {RANKED_SQL}")
+def vec_rank_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ranks from products of four contexts by four candidates, merged."""
+    ranked = VectorSimilarity(PRECOMPUTED).rank_responses(_vector_batches(spark, sf_dir), N, block=4)
+    return _rounded_score(ranked)
+
+
 @query(f"WITH {vector_ctes('context', 'response')} {accuracy_sql()}")
 def vec_dot_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = VectorSimilarity(PRECOMPUTED, normalise=False).rank_responses(_vector_batches(spark, sf_dir))
@@ -301,8 +315,19 @@ def vec_dot_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A fixed map, so that both sides compute the same scores.
 DIM, RESIDUAL = 64, 0.5
-MAPPED_SQL = f"""list_transform(range(1, {DIM + 1}), lambda j: {RESIDUAL} * u[j] + list_sum(list_transform(
-  range(1, {DIM + 1}), lambda i: u[i] * ((((i - 1) * 7 + (j - 1) * 3) % 11 - 5) / 10.0::DOUBLE))))"""
+
+
+def mapped_sql(dim: int) -> str:
+    return f"""list_transform(range(1, {dim + 1}), lambda j: {RESIDUAL} * u[j] + list_sum(list_transform(
+  range(1, {dim + 1}), lambda i: u[i] * ((((i - 1) * 7 + (j - 1) * 3) % 11 - 5) / 10.0::DOUBLE))))"""
+
+
+def fixed_map(dim: int) -> np.ndarray:
+    i, j = np.indices((dim, dim))
+    return ((i * 7 + j * 3) % 11 - 5) / 10.0
+
+
+MAPPED_SQL = mapped_sql(DIM)
 
 
 @query(
@@ -314,12 +339,10 @@ scored AS (SELECT batch_id, ctx_pos, resp_pos, {dot_sql('c.v', 'r.v')} AS score
 {RANKED_CTE} {RANKED_SQL}"""
 )
 def vec_map_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = MappingModel(PRECOMPUTED, FIXED_MAP, RESIDUAL)
+    model = MappingModel(PRECOMPUTED, fixed_map(DIM), RESIDUAL)
     return _rounded_score(model.rank_responses(_vector_batches(spark, sf_dir)))
 
 
-FIXED_MAP = ((np.indices((DIM, DIM))[0] * 7 + np.indices((DIM, DIM))[1] * 3) % 11 - 5) / 10.0
-
 # One pass of the fit at the fixed map: softmax within batches of 256, a fifth of the pairs kept apart in batches of 100.
 GRADIENT_SQL = f"""WITH {inputs.VECTOR_PAIRS_SQL},
 ordered AS (SELECT {unit_sql('context')} AS c, {unit_sql('response')} AS u,
@@ -346,7 +369,7 @@ UNION ALL SELECT 'dev_accuracy', 0, 0, round(avg(CASE WHEN hit THEN 1.0 ELSE 0.0
 def vec_map_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = dense_index(inputs.vector_pairs(spark, sf_dir), key=["pair"], unique=True)
     batches, _ = pack_batches(numbered, PRECOMPUTED)
-    found = mapping_gradient(batches, FIXED_MAP, RESIDUAL)
+    found = mapping_gradient(batches, fixed_map(DIM), RESIDUAL)
     return found.withColumn("value", F.round("value", 7) + 0.0)
 
 
@@ -383,6 +406,32 @@ def encoder_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_score(VectorSimilarity(model_encoder(_letter_counts)).rank_responses(batches))
 
 
+# A table of embeddings by text, without one for every sixteenth text; such texts have the zero vector.
+LOOKUP_CTE = f"""{SPLIT_CTE}, {batches_cte('test', inputs.digest_sql(0, 'context', 'response'), 'context, response')},
+known AS (SELECT text, embedding::DOUBLE[] AS vector FROM (SELECT DISTINCT text FROM conversations WHERE left(md5(text), 1) <> '0') t
+  JOIN embeddings ON vec_id = ('0x' || right(md5(text), 6))::BIGINT % (SELECT count(*) FROM embeddings)),
+c AS (SELECT batch_id, ctx_pos, vector AS v FROM placed JOIN known ON text = context),
+r AS (SELECT batch_id, true_pos AS resp_pos, {unit_sql('vector')} AS v FROM placed JOIN known ON text = response),
+scored AS (SELECT batch_id, ctx_pos, resp_pos, {dot_sql('c.v', 'r.v')} AS score FROM c JOIN r USING (batch_id)),
+{RANKED_CTE}"""
+
+
+def _embeddings_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = inputs.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    digest = F.md5("text")
+    texts = inputs.table(spark, sf_dir, "conversations").select("text").distinct().where(~digest.startswith("0"))
+    number = F.conv(F.right(digest, F.lit(6)), 16, 10).cast("long") % vectors.count()
+    return texts.withColumn("vec_id", number).join(vectors, "vec_id").select("text", "embedding")
+
+
+@query(f"WITH {LOOKUP_CTE} {RANKED_SQL}")
+def encoder_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts by a table of embeddings; a third of all turns may share one text."""
+    batches = evaluate.eval_batches(dense_index(inputs.split_pairs(spark, sf_dir, "test")), N)
+    encoder = LookupEncoder(_embeddings_by_text(spark, sf_dir), missing="zero")
+    return _rounded_score(VectorSimilarity(encoder).rank_responses(materialise(batches, "batches")))
+
+
 # ---- data sets by methods -------------------------------------------------------------------
 
 SWEEP_OPTIONS = EvalOptions(n_candidates=N)
@@ -399,6 +448,50 @@ SELECT '{method}' AS method, '{dataset}-train' AS train, '{dataset}-test' AS tes
   {N}::BIGINT AS recall_k, accuracy FROM ({accuracy_sql()}))"""
 
 
+def _sweep_data(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, DataFrame]]:
+    from convspark.functions.split import split_label
+
+    turns = [inputs.split_pairs(spark, sf_dir, label) for label in ("train", "test")]
+    built = materialise(qa_examples(spark, sf_dir).withColumn("split", split_label("product_id", 0.5)), "qa")
+    qa = [built.where(F.col("split") == label).select("context", "response") for label in ("train", "test")]
+    return {"turns": (turns[0], turns[1]), "qa": (qa[0], qa[1])}
+
+
+def _vector_sweep_sql(dataset: str, splits: str, method: str) -> str:
+    """Accuracy of counts of letters, as they are or with both sides scaled and the responses mapped."""
+    context, response = ("v", "u") if method == "LETTERS_SIM" else (unit_sql("v"), mapped_sql(len(LETTERS) + 1))
+    return f"""SELECT * FROM (WITH {splits},
+{batches_cte('test', inputs.digest_sql(0, 'context', 'response'), 'context, response')},
+cv AS (SELECT batch_id, ctx_pos, {LETTERS_SQL.format('context')} AS v FROM placed),
+c AS (SELECT batch_id, ctx_pos, {context} AS v FROM cv),
+rv AS (SELECT batch_id, true_pos AS resp_pos, {LETTERS_SQL.format('response')} AS w FROM placed),
+units AS (SELECT batch_id, resp_pos, {unit_sql('w')} AS u FROM rv),
+r AS (SELECT batch_id, resp_pos, {response} AS v FROM units),
+scored AS (SELECT batch_id, ctx_pos, resp_pos, {dot_sql('c.v', 'r.v')} AS score FROM c JOIN r USING (batch_id)),
+{RANKED_CTE}
+SELECT '{method}' AS method, '{dataset}-train' AS train, '{dataset}-test' AS test,
+  (SELECT count(*) FROM train) AS train_size, (SELECT count(*) FROM test) AS test_size,
+  {N}::BIGINT AS recall_k, accuracy FROM ({accuracy_sql()}))"""
+
+
+@query(
+    " UNION ALL ".join(
+        _vector_sweep_sql(dataset, splits, method)
+        for dataset, splits in (("turns", SPLIT_CTE), ("qa", QA_SPLIT_CTE))
+        for method in ("LETTERS_SIM", "LETTERS_FIXED_MAP")
+    )
+)
+def sweep_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two methods over one encoder, which sees each distinct text of a data set once."""
+    letters = model_encoder(_letter_counts)
+    weights = fixed_map(len(LETTERS) + 1)
+    rankers = {
+        "LETTERS_SIM": VectorMethod(letters, VectorSimilarity),
+        "LETTERS_FIXED_MAP": VectorMethod(letters, lambda encoder: MappingModel(encoder, weights, RESIDUAL)),
+    }
+    return _rounded_accuracy(run_sweep(_sweep_data(spark, sf_dir), rankers, SWEEP_OPTIONS))
+
+
 @query(
     " UNION ALL ".join(
         _sweep_sql(dataset, splits, method)
@@ -407,14 +500,8 @@ SELECT '{method}' AS method, '{dataset}-train' AS train, '{dataset}-test' AS tes
     )
 )
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from convspark.functions.split import split_label
-
-    turns = [inputs.split_pairs(spark, sf_dir, label) for label in ("train", "test")]
-    built = materialise(qa_examples(spark, sf_dir).withColumn("split", split_label("product_id", 0.5)), "qa")
-    qa = [built.where(F.col("split") == label).select("context", "response") for label in ("train", "test")]
-    datasets: dict[str, tuple] = {"turns": tuple(turns), "qa": tuple(qa)}
     rankers: dict[str, Callable] = {"TF_IDF": TfIdf, "BM25": Bm25}
-    return _rounded_accuracy(run_sweep(datasets, rankers, SWEEP_OPTIONS))
+    return _rounded_accuracy(run_sweep(_sweep_data(spark, sf_dir), rankers, SWEEP_OPTIONS))
 
 
 @query(
