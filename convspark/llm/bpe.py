@@ -45,7 +45,7 @@ class Vocabulary:
     special: dict[str, int]
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary file: visible Latin-1 as it is, others from 256 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = iter(range(256, 512))
@@ -57,7 +57,7 @@ def load_vocabulary(path: str) -> Vocabulary:
     with open(path, encoding="utf-8") as f:
         content = json.load(f)
     ids = content["model"]["vocab"]
-    letters = _byte_letters()
+    letters = byte_letters()
     value = {c: b for b, c in enumerate(letters)}
     added = {t["content"]: t["id"] for t in content["added_tokens"]}
     token_bytes = [b""] * (1 + max([*ids.values(), *added.values()]))

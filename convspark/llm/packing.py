@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convspark.llm.batches import ends_of, gather, slices
+from convspark.llm.bpe import byte_letters
 
 #: Blanks of ASCII: no token of the vocabulary files reaches over one.
 _CHUNK = re.compile(r"[^ \t-\r]+")
@@ -47,6 +48,14 @@ class Costs:
             raise ValueError("costs must not be negative, lengths positive")
 
 
+_BLANKS = " \t\n\r\x0b\x0c"
+
+
+def _is_plain(text: str) -> bool:
+    """Only plain characters, and no beginning of a special token."""
+    return _PLAIN.fullmatch(text) is not None and "<|" not in text
+
+
 class _Places(dict):
     """Place of each piece seen; unseen ones get the next place and wait in ``fresh``."""
 
@@ -61,7 +70,7 @@ class _Places(dict):
 
 
 class ChunkEncoder:
-    """Ids of texts by the tokenizers library, which sees every distinct piece once.
+    """Ids of texts by the tokenizers library, which sees a distinct piece once, until a bounded memory of them is full.
 
     Only for vocabularies that drop white space and never join two chunks between blanks. Plain texts in
     lower case are cut into the words that the vocabulary's own pattern finds; of other texts, and of those
@@ -75,6 +84,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.letters = byte_letters()
         self._forget()
 
     def _forget(self) -> None:
@@ -82,23 +92,32 @@ class ChunkEncoder:
         self.flat, self.offsets = np.empty(0, np.int32), np.zeros(1, np.int64)
         self.closing = np.empty(0, bool)
 
+    def _ids(self, piece: str) -> list[int]:
+        """A word of a plain text needs the merges only, on the letters that stand for its bytes; others the whole library."""
+        if not _is_plain(piece):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        word = piece.rstrip(_BLANKS)
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word.encode()))
+        return [token.id for token in self.tokenizer.model.tokenize(word)]
+
     def _learn(self) -> None:
         fresh, self.places.fresh = self.places.fresh, []
-        found = [e.ids for e in self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
+        found = list(map(self._ids, fresh))
         ends = self.offsets[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)
         self.flat = np.concatenate([self.flat, np.array([i for x in found for i in x], np.int32)])
         self.offsets = np.concatenate([self.offsets, ends])
-        closing = np.array([_ENDS_SENTENCE.search(c) is not None for c in fresh], bool)
+        closing = np.array([(p[-1] in _BLANKS or not _is_plain(p)) and _ENDS_SENTENCE.search(p) is not None for p in fresh], bool)
         self.closing = np.concatenate([self.closing, closing])
         self.size += sum(map(len, fresh))
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        if _PLAIN.fullmatch(text) and "<|" not in text:
+        if _is_plain(text):
             return _PIECE.findall(text.lower())
         found = []
         for chunk in _CHUNK.findall(text):
-            if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            if _is_plain(chunk):
                 found += _PIECE.findall(chunk.lower() + " ")
             else:
                 found.append(chunk)
