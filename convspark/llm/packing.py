@@ -97,7 +97,7 @@ class ChunkEncoder:
         if not _is_plain(piece):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
         word = piece.rstrip(_BLANKS)
-        if not word.isascii():
+        if not (word.isascii() and word.isprintable()):
             word = "".join(map(self.letters.__getitem__, word.encode()))
         return [token.id for token in self.tokenizer.model.tokenize(word)]
 
