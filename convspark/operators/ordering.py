@@ -13,6 +13,9 @@ from convspark.workspace import materialise, new_path
 
 _SEPARATOR = "\x1f"
 _COPIES_PER_BLOCK = 10_000
+#: Up to this many rows, a sample is cut in every task first, so that its input runs once.
+ONE_PASS_ROWS = 100_000
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def row_digest(columns: Sequence[str], seed: int = 0) -> Column:
@@ -44,6 +47,22 @@ def _expand_copies(rows: DataFrame, hot: DataFrame) -> DataFrame:
     return few.unionByName(many)
 
 
+def _lowest_of_each_task(keyed: DataFrame, n: int) -> DataFrame:
+    """A table with the n rows of lowest digest of every task, copies included: all that a sample of n can hold.
+
+    Rows are ranked and cut inside their task, ahead of the only shuffle; it moves n rows per task at most.
+    """
+    spark = keyed.sparkSession
+    in_task = Window.partitionBy("_task").orderBy("_digest")
+    placed = keyed.withColumn("_task", F.spark_partition_id()).withColumn("_place", F.row_number().over(in_task))
+    before = spark.conf.get(_GROUP_LIMIT)
+    spark.conf.set(_GROUP_LIMIT, str(max(n, int(before))))  # for the plan of this one job
+    try:
+        return materialise(placed.where(F.col("_place") <= n).drop("_task", "_place"), "lowest")
+    finally:
+        spark.conf.set(_GROUP_LIMIT, before)
+
+
 def dense_index(
     df: DataFrame,
     seed: int = 0,
@@ -60,8 +79,9 @@ def dense_index(
     shuffle, so a small sample of a huge table moves little more than the sample.
 
     Identical rows are counted before they are shuffled and unfolded afterwards, unless the caller
-    promises that the key is ``unique``. Without a limit the rows are written once with their hash, so
-    the input is run once; with one, counting and fetching each run it, and only the sample is moved.
+    promises that the key is ``unique``. The input runs once: without a limit the rows are written with
+    their hash, and with one of :data:`ONE_PASS_ROWS` at most the lowest rows of each task are. Beyond
+    that, counting and fetching each run it, and only the sample is moved.
     """
     columns = df.columns
     if not 1 <= prefix_digits <= 5:
@@ -69,9 +89,11 @@ def dense_index(
     keyed = df.withColumn("_digest", row_digest(key or columns, seed)).withColumn(
         "_bucket", F.conv(F.left("_digest", F.lit(prefix_digits)), 16, 10).cast("int")
     )
+    # counted, ranked and checked for copies from here: the input runs once
     if limit is None:
-        # counted, ranked and checked for copies from here: the input runs once
         keyed = materialise(keyed, "keyed")
+    elif limit <= ONE_PASS_ROWS:
+        keyed = _lowest_of_each_task(keyed, limit)
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     through = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
     offsets = counts.select("_bucket", (through - F.col("_n")).alias("_offset"))

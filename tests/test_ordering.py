@@ -81,3 +81,32 @@ def test_shards_are_even_even_for_copies(spark):
     assert min(hot.values()) > 800
     plan = shuffled._jdf.queryExecution().executedPlan().toString()
     assert plan[plan.index("Initial Plan"):].count("Exchange ") == 1
+
+
+@pytest.mark.parametrize("n", [0, 1, 250, 299, 900, 5000])
+def test_cutting_in_every_task_changes_no_sample(spark, monkeypatch, n):
+    rows = [("hot", 1)] * 300 + [(f"t{i}", i) for i in range(700)] + [(None, 0)] * 3
+    df = spark.createDataFrame(rows, "t string, i int").repartition(6)
+    once = sorted(map(tuple, dense_index(df, 3, limit=n).collect()), key=str)
+    monkeypatch.setattr(ordering, "ONE_PASS_ROWS", -1)
+    assert once == sorted(map(tuple, dense_index(df, 3, limit=n).collect()), key=str) and len(once) == min(n, 1003)
+
+
+def test_a_sample_runs_its_input_once_and_moves_little(spark, monkeypatch):
+    runs, plans = spark.sparkContext.accumulator(0), []
+    whole = ordering.materialise
+    monkeypatch.setattr(
+        ordering, "materialise", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), whole(df, label))[1]
+    )
+
+    @F.udf("long")
+    def counted(i):
+        runs.add(1)
+        return i
+
+    df = spark.range(0, 40_000, 1, 8).select(counted("id").alias("n"))
+    assert sample_n(df, 1500, seed=4).count() == 1500
+    assert runs.value == 40_000
+    [plan] = plans
+    assert plan.count("WindowGroupLimit") >= 2 and plan.rindex("WindowGroupLimit") > plan.index("Exchange ")
+    assert spark.conf.get(ordering._GROUP_LIMIT) == "1000"
