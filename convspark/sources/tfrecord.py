@@ -1,18 +1,18 @@
 """TFRecord files as a Spark data source: ``spark.read.format("tfrecord")`` and back.
 
-Reading gives ``record binary``, or the string features named by the schema. Writing takes a
-``record binary`` column and an optional ``split`` column; each task writes one file per split and
-the job commits all files at once.
+Reading gives ``record binary``, or the string features named by the schema. A file is cut into byte ranges,
+a task each: ``splitBytes`` sets their size, 0 leaves files whole. Writing takes a ``record binary`` column
+and an optional ``split`` column; each task writes one file per split, under the name it will keep.
 """
 
 from __future__ import annotations
 
 import fnmatch
+import io
 import re
 import struct
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,11 +33,15 @@ RECORD = T.StructType([T.StructField("record", T.BinaryType())])
 _RECORDS_PER_BATCH = 2_000
 _BYTES_PER_BATCH = 16 << 20
 _READ_BUFFER = 8 << 20
-_RENAMES = 32
+_SPLIT_BYTES = 128 << 20
+_SEARCH_BYTES = 1 << 20
+_UNFINISHED = "_unfinished"
 
 # Fixed values of the file format: reflected CRC-32C polynomial and the mask added to a checksum.
 _POLYNOMIAL = 0x82F63B78
 _MASK = 0xA282EAD8
+#: Bytes of a frame besides its data.
+_FRAME_BYTES = 16
 
 
 def _crc_table() -> np.ndarray:
@@ -80,8 +84,11 @@ def frame(records: list[bytes]) -> bytes:
     return b"".join(pieces)
 
 
-def unframe(stream) -> Iterator[list[bytes]]:
-    """Lists of records from an open file, with all checksums verified."""
+def unframe(stream, length: int | None = None) -> Iterator[list[bytes]]:
+    """Lists of records from an open file, with all checksums verified.
+
+    With ``length``, only records whose frame starts in the next so many bytes; the stream then stands behind them.
+    """
 
     def take(n: int) -> bytes:
         data = stream.read(n)
@@ -98,17 +105,18 @@ def unframe(stream) -> Iterator[list[bytes]]:
     headers: list[bytes] = []
     records: list[bytes] = []
     expected: list[int] = []
-    size = 0
-    while header := stream.read(8):
+    size = done = 0
+    while (length is None or done < length) and (header := stream.read(8)):
         if len(header) != 8:
             raise ValueError("truncated record file")
         (length_crc,) = struct.unpack("<I", take(4))
-        (length,) = struct.unpack("<Q", header)
+        (record_length,) = struct.unpack("<Q", header)
         # before memory is asked for by a damaged length
-        if length > _BYTES_PER_BATCH and masked_crc32c([header])[0] != length_crc:
+        if record_length > _BYTES_PER_BATCH and masked_crc32c([header])[0] != length_crc:
             raise ValueError("checksum mismatch in record file")
-        record = take(length)
+        record = take(record_length)
         (crc,) = struct.unpack("<I", take(4))
+        done += record_length + _FRAME_BYTES
         headers.append(header)
         records.append(record)
         expected += [length_crc, crc]
@@ -120,6 +128,35 @@ def unframe(stream) -> Iterator[list[bytes]]:
         yield verified(headers, records, expected)
 
 
+def next_frame(stream, start: int, size: int) -> int:
+    """Where the first frame that starts at ``start`` or behind it does, or ``size``.
+
+    A place counts as a frame if the checksums of its length and of its data are right. Lengths whose upper three
+    bytes are not zero are never tried: no record has a terabyte.
+    """
+    at = start
+    while at < size:
+        stream.seek(at)
+        window = np.frombuffer(stream.read(_SEARCH_BYTES), np.uint8)
+        here = np.flatnonzero((window[5:-6] | window[6:-5] | window[7:-4]) == 0) if len(window) >= 12 else []
+        if len(here):
+            headers = [window[k : k + 8].tobytes() for k in here]
+            stored = np.array([struct.unpack("<I", window[k + 8 : k + 12].tobytes())[0] for k in here], np.uint64)
+            for k in np.flatnonzero(masked_crc32c(headers) == stored).tolist():
+                (length,) = struct.unpack("<Q", headers[k])
+                place = at + int(here[k])
+                if place + length + _FRAME_BYTES > size:
+                    continue
+                stream.seek(place + 12)
+                data, (crc,) = stream.read(length), struct.unpack("<I", stream.read(4))
+                if masked_crc32c([data])[0] == crc:
+                    return place
+        if at + len(window) >= size:
+            break
+        at += len(window) - 11  # a header may reach into the next window
+    return size
+
+
 def _fields(data: memoryview) -> Iterator[tuple[int, memoryview]]:
     """(field number, payload) of the length-delimited fields of one message."""
     at = 0
@@ -166,58 +203,75 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
-def _record_files(path: str) -> list[str]:
-    """Record files below a folder, or those that a pattern such as ``set/train-*`` matches."""
+def _record_files(path: str) -> list[tuple[str, int]]:
+    """Record files below a folder, or those that a pattern such as ``set/train-*`` matches, with their sizes."""
     folder = path
     if re.search(r"[*?\[]", path):
         folder = re.split(r"[*?\[]", path, maxsplit=1)[0].rpartition("/")[0] or "."
     filesystem, root = _filesystem(folder)
     infos = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
-    if any(i.type == pafs.FileType.Directory and i.path.endswith("/_attempts") for i in infos):
-        raise ValueError(f"{folder} has unfinished attempts: its write did not end")
-    files = sorted(i.path for i in infos if i.type == pafs.FileType.File)
+    if any(i.path.endswith("/" + _UNFINISHED) for i in infos):
+        raise ValueError(f"{folder} is unfinished: its write did not end")
+    files = sorted((i.path, i.size) for i in infos if i.type == pafs.FileType.File and "/." not in i.path[len(root) :])
     if folder == path:
-        return [f for f in files if f.endswith(".tfrecord")]
+        return [f for f in files if f[0].endswith(".tfrecord")]
     pattern = root + path[len(folder) :]
-    return [f for f in files if fnmatch.fnmatchcase(f, pattern)]
+    return [f for f in files if fnmatch.fnmatchcase(f[0], pattern)]
 
 
 @dataclass
-class _FilePartition(InputPartition):
+class _Range(InputPartition):
+    """The records of a file whose frames start from ``start`` on and before ``end``."""
+
     path: str
+    start: int
+    end: int
+    size: int
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, schema: T.StructType):
+    def __init__(self, path: str, schema: T.StructType, split_bytes: int):
         self.path = path
         self.schema = schema
+        self.split_bytes = split_bytes
 
-    def partitions(self) -> list[_FilePartition]:
+    def partitions(self) -> list[_Range]:
         files = _record_files(self.path)
         if not files:
             raise FileNotFoundError(f"no record files at {self.path}")
-        return [_FilePartition(f) for f in files]
-
-    def read(self, partition: _FilePartition) -> Iterator[pa.RecordBatch]:
+        ranges = []
+        for path, size in files:
+            step = self.split_bytes or max(size, 1)
+            ranges += [_Range(path, a, min(a + step, size), size) for a in range(0, max(size, 1), step)]
+        return ranges
+
+    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+        """A range begins at the first frame found behind its start, and must end where the next one will begin."""
         filesystem, _ = _filesystem(self.path)
         names = self.schema.fieldNames()
-        with filesystem.open_input_stream(partition.path, buffer_size=_READ_BUFFER) as stream:
-            for records in unframe(stream):
+        start, end, size = partition.start, partition.end, partition.size
+        with io.BufferedReader(filesystem.open_input_file(partition.path), _READ_BUFFER) as stream:
+            begin = next_frame(stream, start, size) if start else 0
+            stream.seek(begin)
+            for records in unframe(stream, max(end - begin, 0)):
                 if names == RECORD.fieldNames():
                     columns = [pa.array(records, pa.binary())]
                 else:
                     examples = [parse_example(r) for r in records]
                     columns = [pa.array([e.get(n) for e in examples], pa.string()) for n in names]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-
-
-@dataclass
-class _Written(WriterCommitMessage):
-    renames: list[tuple[str, str]]
+            # a record that holds frames itself could be taken for some of the file's
+            behind = stream.tell()
+            if begin < end < size and next_frame(stream, end, size) != behind:
+                raise ValueError(f"records of {partition.path} around byte {behind} hold records: read it with splitBytes 0")
 
 
 class _Writer(DataSourceWriter):
-    """Tasks write under names no other attempt uses; the commit renames the winners."""
+    """Each task writes its own files, whole and under their final names.
+
+    A shard is sorted, so a task that runs again writes the same bytes over them. A marker tells an
+    unfinished set until all tasks are done.
+    """
 
     def __init__(self, path: str, options: dict, overwrite: bool):
         self.path = path
@@ -227,6 +281,8 @@ class _Writer(DataSourceWriter):
         filesystem, root = _filesystem(path)
         if filesystem.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
             raise FileExistsError(f"{path} is not empty: record files are only written to a fresh folder")
+        filesystem.create_dir(root, recursive=True)
+        filesystem.open_output_stream(f"{root}/{_UNFINISHED}").close()
 
     def _name(self, split: str, partition: int) -> str:
         if split in self.shards:
@@ -234,18 +290,17 @@ class _Writer(DataSourceWriter):
             return f"{split}-{partition - first:05d}-of-{self.shards[split]:05d}.tfrecord"
         return f"{split or 'part'}-{partition:05d}.tfrecord"
 
-    def write(self, iterator: Iterator) -> _Written:
+    def write(self, iterator: Iterator) -> WriterCommitMessage:
         filesystem, root = _filesystem(self.path)
         partition = TaskContext.get().partitionId()
-        filesystem.create_dir(f"{root}/_attempts", recursive=True)
         open_files: dict[str, tuple] = {}
         pending: dict[str, list[bytes]] = {}
         pending_bytes: dict[str, int] = {}
 
         def flush(split: str) -> None:
             if split not in open_files:
-                attempt = f"{root}/_attempts/{uuid.uuid4().hex}"
-                open_files[split] = (attempt, filesystem.open_output_stream(attempt))
+                hidden = f"{root}/.{uuid.uuid4().hex}"
+                open_files[split] = (hidden, filesystem.open_output_stream(hidden))
             open_files[split][1].write(frame(pending.pop(split, [])))
             pending_bytes[split] = 0
 
@@ -260,23 +315,18 @@ class _Writer(DataSourceWriter):
             flush(split)
         if self.shards and not open_files:  # an empty shard is still a shard
             flush("train" if partition < self.shards.get("train", 0) else "test")
-        renames = []
-        for split, (attempt, stream) in open_files.items():
+        for split, (hidden, stream) in open_files.items():
             stream.close()
-            renames.append((attempt, f"{root}/{self._name(split, partition)}"))
-        return _Written(renames)
+            filesystem.move(hidden, f"{root}/{self._name(split, partition)}")
+        return WriterCommitMessage()
 
-    def commit(self, messages: list[_Written | None]) -> None:
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         filesystem, root = _filesystem(self.path)
-        renames = [r for message in messages if message for r in message.renames]
-        with ThreadPoolExecutor(_RENAMES) as pool:
-            list(pool.map(lambda r: filesystem.move(*r), renames))
-        # a folder that still has attempts is refused on reading; the marker comes last
-        filesystem.delete_dir(f"{root}/_attempts")
         filesystem.open_output_stream(f"{root}/_SUCCESS").close()
+        filesystem.delete_file(f"{root}/{_UNFINISHED}")
 
-    def abort(self, messages: list[_Written | None]) -> None:
-        """Nothing was published; unfinished attempts stay under ``_attempts`` and are never read."""
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        """The marker stays: the folder is refused on reading."""
 
 
 class TfRecordSource(DataSource):
@@ -288,7 +338,7 @@ class TfRecordSource(DataSource):
         return RECORD
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], schema)
+        return _Reader(self.options["path"], schema, int(self.options.get("splitBytes", _SPLIT_BYTES)))
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
         return _Writer(self.options["path"], dict(self.options), overwrite)

@@ -1,5 +1,6 @@
 import glob
 import os
+import random
 
 import pytest
 
@@ -170,3 +171,56 @@ def test_options():
                 lambda: LineOptions(dataset_format="xml")):
         with pytest.raises(ValueError):
             bad()
+
+
+def framed(path, records):
+    with open(path, "wb") as f:
+        f.write(tfrecord.frame(records))
+    return os.path.getsize(path)
+
+
+def loaded(spark, path, split_bytes):
+    tfrecord.register(spark)
+    return spark.read.format("tfrecord").option("splitBytes", split_bytes).load(str(path))
+
+
+@pytest.mark.parametrize("split_bytes", [0, 1, 7, 64, 1000, 10**9])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, split_bytes):
+    rng = random.Random(split_bytes)
+    records = [rng.randbytes(rng.choice([0, 1, 8, 30, 300])) for _ in range(40)] + [bytes(50), b"\0" * 12, b""]
+    size = framed(tmp_path / "a.tfrecord", records)
+    framed(tmp_path / "b.tfrecord", [])
+    found = loaded(spark, tmp_path, split_bytes)
+    assert sorted(bytes(r.record) for r in found.collect()) == sorted(records)
+    # an empty file is a range too
+    assert found.rdd.getNumPartitions() == (-(-size // split_bytes) if split_bytes else 1) + 1
+
+
+def test_a_large_file_is_spread_over_tasks(spark, tmp_path):
+    rng = random.Random(1)
+    records = [b"%08d" % i + rng.randbytes(2_000) * rng.choice([1, 1, 1, 60]) for i in range(4_000)]
+    size = framed(tmp_path / "large.tfrecord", records)
+    found = loaded(spark, tmp_path, 4 << 20).select(F.substring("record", 1, 8).cast("string").cast("int").alias("n"), F.length("record").alias("size"))
+    assert found.rdd.getNumPartitions() == -(-size // (4 << 20)) > 15
+    per_task = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 15
+    assert found.agg(F.count("*"), F.count_distinct("n"), F.sum("size")).first() == (4_000, 4_000, sum(map(len, records)))
+
+
+def test_records_that_hold_records(spark, tmp_path):
+    """Frames inside a record look like those of the file: either they are not met, or that is an error."""
+    inner = tfrecord.frame([b"x" * 40] * 5)
+    framed(tmp_path / "nested.tfrecord", [inner, inner, b"plain" * 20])
+    assert loaded(spark, tmp_path, 0).count() == 3
+    with pytest.raises(Exception, match="splitBytes 0"):
+        loaded(spark, tmp_path, 70).count()
+
+
+@pytest.mark.parametrize("split_bytes", [0, 100])
+def test_damage_is_found_in_any_range(spark, tmp_path, split_bytes):
+    framed(tmp_path / "x.tfrecord", [b"abc" * 30] * 20)
+    data = bytearray((tmp_path / "x.tfrecord").read_bytes())
+    data[1000] ^= 1
+    (tmp_path / "x.tfrecord").write_bytes(data)
+    with pytest.raises(Exception, match="checksum|hold records"):
+        loaded(spark, tmp_path, split_bytes).count()

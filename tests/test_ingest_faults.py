@@ -90,11 +90,37 @@ def test_record_files_go_to_a_fresh_folder_only(spark, tmp_path):
     with pytest.raises(Exception, match="not empty"):
         write_examples(examples, path, "tfrecord", 3, 1)
     assert read_examples(spark, path, "tfrecord").count() == 2
-    os.mkdir(path + "/_attempts")
+    open(path + "/_unfinished", "w").close()
     with pytest.raises(Exception, match="unfinished"):
         read_examples(spark, path, "tfrecord").count()
 
 
+def test_a_failed_write_is_not_read_and_a_repeated_task_does_no_harm(spark, tmp_path):
+    failing = spark.createDataFrame([("c", "r", "train")], "context string, response string, split string").withColumn(
+        "response", F.raise_error(F.lit("broken on purpose")).cast("string")
+    )
+    path = str(tmp_path / "failed")
+    with pytest.raises(Exception, match="broken on purpose"):
+        write_examples(failing, path, "tfrecord", 2, 1)
+    with pytest.raises(Exception, match="unfinished|No such file"):
+        read_examples(spark, path, "tfrecord").count()
+    from pyspark import TaskContext
+
+    from convspark.sources import tfrecord
+
+    folder = str(tmp_path / "again")
+    writer = tfrecord._Writer(folder, {}, False)
+    TaskContext._taskContext = TaskContext()
+    TaskContext._taskContext._partitionId = 3
+    try:
+        for _ in range(2):
+            writer.write(iter([{"record": b"one"}, {"record": b"two"}]))
+    finally:
+        TaskContext._taskContext = None
+    writer.commit([])
+    assert sorted(os.listdir(folder)) == ["_SUCCESS", "part-00003.tfrecord"]
+
+
 def test_the_index_runs_its_input_once(spark):
     runs = spark.sparkContext.accumulator(0)
 
