@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convspark.llm.batches import ends_of, map_rows, slices, struct_of
+from convspark.llm.batches import ends_of, map_rows, struct_of
+from convspark.workspace import materialise
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -51,24 +52,21 @@ class CompressionRule:
     chunk_bands: Sequence[Band] = CHUNK_BANDS
 
     @staticmethod
-    def outside(size: int, ratio: float, bands: Sequence[Band]) -> int:
-        """-1 repetitive, 1 incompressible, 0 within the limits for this size."""
-        band = max((b for b in bands if b.min_bytes <= size), key=lambda b: b.min_bytes, default=None)
-        if band is None:
-            return 0
-        if band.low is not None and ratio < band.low:
-            return -1
-        return int(band.high is not None and ratio > band.high)
-
-    def verdict(self, data: bytes, compress) -> tuple[float | None, int, int, bool]:
-        """Ratio of the whole, chunks, chunks outside their limits, and whether the text is accepted."""
-        if not data:
-            return None, 0, 0, True
-        ratio = len(compress(data)) / len(data)
-        chunks = [data[a : a + self.chunk_bytes] for a in range(0, len(data), self.chunk_bytes)]
-        bad = sum(self.outside(len(c), len(compress(c)) / len(c), self.chunk_bands) != 0 for c in chunks)
-        fine = self.outside(len(data), ratio, self.document_bands) == 0 and bad <= self.max_bad_share * len(chunks)
-        return ratio, len(chunks), bad, fine
+    def outside(size: Column, ratio: Column, bands: Sequence[Band]) -> Column:
+        """Whether a ratio lies below or above the limits for a size."""
+        beyond = F.lit(False)
+        for band in sorted(bands, key=lambda b: b.min_bytes):
+            low = F.lit(False) if band.low is None else ratio < band.low
+            high = F.lit(False) if band.high is None else ratio > band.high
+            beyond = F.when(size >= band.min_bytes, low | high).otherwise(beyond)
+        return beyond
+
+    def bad_chunks(self, size: Column, ratios: Column) -> Column:
+        """Chunks outside their limits; the last one has a length of its own."""
+        n = F.size(ratios)
+        whole = F.filter(F.slice(ratios, 1, F.greatest(n - 1, F.lit(0))), lambda r: self.outside(F.lit(self.chunk_bytes), r, self.chunk_bands))
+        last = self.outside(size - (n - 1) * self.chunk_bytes, F.get(ratios, n - 1), self.chunk_bands)
+        return F.size(whole) + F.when(n > 0, last.cast("int")).otherwise(0)
 
 
 #: Quantiles of the ratio that are the limits of whole texts and, as a text has many, of chunks.
@@ -99,6 +97,33 @@ def _fitted(rows: Sequence[tuple[int, int, float, float]], otherwise: Sequence[B
     return tuple(bands)
 
 
+def fit_measured(trusted: DataFrame, rule: CompressionRule) -> CompressionRule:
+    """:func:`fit_bands` from what :func:`measure_documents` adds: ``n_bytes``, ``ratio``, ``chunk_ratios``."""
+    last = F.col("n_bytes") - (F.size("chunk_ratios") - 1) * rule.chunk_bytes
+    chunks = F.transform(
+        "chunk_ratios",
+        lambda r, i: F.struct(
+            F.lit(True).alias("chunk"),
+            F.when(i == F.size("chunk_ratios") - 1, last).otherwise(rule.chunk_bytes).alias("size"),
+            r.alias("ratio"),
+        ),
+    )
+    whole = F.struct(F.lit(False).alias("chunk"), F.col("n_bytes").alias("size"), F.col("ratio"))
+    parts = trusted.where("n_bytes > 0").select(F.inline(F.array_append(chunks, whole)))
+    tails = [DOCUMENT_TAIL, 1 - DOCUMENT_TAIL, CHUNK_TAIL, 1 - CHUNK_TAIL]
+    band = F.floor(2 * F.log2(F.col("size")) + 1e-9).cast("int")
+    found = parts.groupBy("chunk", band.alias("band")).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", tails, 10000).alias("q")
+    ).collect()
+    documents = [(r.band, r.n, r.q[0], r.q[1]) for r in found if not r.chunk]
+    pieces = [(r.band, r.n, r.q[2], r.q[3]) for r in found if r.chunk]
+    return replace(
+        rule,
+        document_bands=_fitted(documents, rule.document_bands),
+        chunk_bands=_fitted(pieces, rule.chunk_bands),
+    )
+
+
 def fit_bands(trusted: DataFrame, rule: CompressionRule | None = None, text_column: str = "text") -> CompressionRule:
     """The rule with bands that are quantiles of the ratios of trusted texts and of their chunks, by length.
 
@@ -106,35 +131,8 @@ def fit_bands(trusted: DataFrame, rule: CompressionRule | None = None, text_colu
     without texts, or with fewer than ``MIN_IN_BAND`` in every band, the rule stays as it is.
     """
     rule = rule or CompressionRule()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstandard.ZstdCompressor(level=rule.level).compress
-        for batch in batches:
-            for a, b in slices(batch.column(0)):
-                rows = []
-                for text in batch.column(0).slice(a, b - a).to_pylist():
-                    data = (text or "").encode()
-                    parts = [data[c : c + rule.chunk_bytes] for c in range(0, len(data), rule.chunk_bytes)]
-                    rows += [(False, len(data), len(compress(data)))] if data else []
-                    rows += [(True, len(c), len(compress(c))) for c in parts]
-                kinds, sizes, packed = (np.array([r[k] for r in rows], t) for k, t in enumerate((bool, np.int64, np.int64)))
-                band = np.floor(2 * np.log2(np.maximum(sizes, 1)) + 1e-9).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds), pa.array(band), pa.array(packed / np.maximum(sizes, 1))], ["chunk", "band", "ratio"]
-                )
-
-    ratios = trusted.select(F.col(text_column).cast("string")).mapInArrow(run, "chunk boolean, band int, ratio double")
-    tails = [DOCUMENT_TAIL, 1 - DOCUMENT_TAIL, CHUNK_TAIL, 1 - CHUNK_TAIL]
-    found = ratios.groupBy("chunk", "band").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", tails, 10000).alias("q")
-    ).collect()
-    whole = [(r.band, r.n, r.q[0], r.q[1]) for r in found if not r.chunk]
-    chunks = [(r.band, r.n, r.q[2], r.q[3]) for r in found if r.chunk]
-    return replace(
-        rule,
-        document_bands=_fitted(whole, rule.document_bands),
-        chunk_bands=_fitted(chunks, rule.chunk_bands),
-    )
+    only = trusted.select(F.col(f"`{text_column}`").cast("string").alias("text"))
+    return fit_measured(measure_documents(only, rule, keep_text=False), rule)
 
 
 def _repeated_words(codes: np.ndarray, offsets: np.ndarray, width: int = 5) -> np.ndarray:
@@ -158,27 +156,20 @@ def _repeated_words(codes: np.ndarray, offsets: np.ndarray, width: int = 5) -> n
     return marked[offsets[1:]] - marked[offsets[:-1]]
 
 
-def judge_documents(docs: DataFrame, rule: CompressionRule | None = None, text_column: str = "text") -> DataFrame:
-    """Count what quality rules ask for and judge each text by its compression.
+def measure_documents(
+    docs: DataFrame, rule: CompressionRule | None = None, text_column: str = "text", keep_text: bool = True
+) -> DataFrame:
+    """All that the rules look at, in one pass over the texts: counts, and ratios of the text and of its chunks.
 
-    Words are runs without blanks. Base rules fail texts of under 10 words and those of which over a
-    fifth of the words lie in repeated 5-word windows. The compression rule takes zstandard's ratio of
-    the whole UTF-8 text and of fixed chunks of it: under a band's lower limit the text repeats
-    itself, above its upper one it is noise; limits depend on the length, and :func:`fit_bands` takes them
-    from trusted texts. A text is rejected if the whole lies outside, or more than ``max_bad_share`` of
-    its chunks, the last one by the band of its own length.
-
-    Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
-    ``base_failed``, ``ratio`` (null for an empty text), ``n_chunks``, ``n_bad_chunks``, ``kept``;
-    input columns of these names are replaced. A null text counts as empty: no words, base_failed. Each
-    row is judged alone, so repeated rows, ties and empty tables need no care; no shuffle.
+    Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``n_bytes``,
+    ``ratio`` (null for an empty text) and ``chunk_ratios``; input columns of these names are replaced.
     """
     rule = rule or CompressionRule()
 
     def work(texts: pa.Array) -> list[pa.Array]:
         compress = zstandard.ZstdCompressor(level=rule.level).compress
         codes: list[int] = []
-        base, rows, counts, judged = 0, [], [], []
+        base, rows, counts, ratios, chunk_ratios = 0, [], [], [], []
         for text in texts.to_pylist():
             text = text or ""
             data = text.encode()
@@ -187,31 +178,93 @@ def judge_documents(docs: DataFrame, rule: CompressionRule | None = None, text_c
             codes += [places.setdefault(w, base + len(places)) for w in data.split()]
             base += len(places)
             counts.append(len(codes) - before)
-            seen: set[str] = set()
             lines = [x for x in text.split("\n") if x.strip(BLANKS)]
-            seen.update(lines)
             rows.append(
                 (
                     len(text) - sum(text.count(c) for c in BLANKS),
                     sum(text.count(c) for c in SYMBOLS),
-                    len(lines) - len(seen),
+                    len(lines) - len(set(lines)),
+                    len(data),
                 )
             )
-            judged.append(rule.verdict(data, compress))
+            ratios.append(len(compress(data)) / len(data) if data else None)
+            chunks = [data[a : a + rule.chunk_bytes] for a in range(0, len(data), rule.chunk_bytes)]
+            # a text of one chunk is not compressed twice
+            chunk_ratios.append([len(compress(c)) / len(c) for c in chunks] if len(chunks) > 1 else ratios[-1:] * len(chunks))
         n_words = np.array(counts, np.int64)
         repeated = _repeated_words(np.array(codes, np.int64), ends_of(n_words))
         failed = (n_words < 10) | (100 * repeated > 20 * n_words)
-        chars, symbols, duplicates = (pa.array([r[k] for r in rows], pa.int64()) for k in range(3))
-        ratio, chunks, bad, fine = zip(*judged, strict=True)
+        chars, symbols, duplicates, size = (pa.array([r[k] for r in rows], pa.int64()) for k in range(4))
         return [
-            pa.array(n_words), chars, symbols, duplicates, pa.array(repeated, pa.int64()), pa.array(failed),
-            pa.array(ratio, pa.float64()), pa.array(chunks, pa.int64()), pa.array(bad, pa.int64()),
-            pa.array(~failed & np.array(fine)),
+            pa.array(n_words), chars, symbols, duplicates, pa.array(repeated, pa.int64()), pa.array(failed), size,
+            pa.array(ratios, pa.float64()), pa.array(chunk_ratios, pa.list_(pa.float64())),
         ]
 
     long = T.LongType()
     extra = struct_of(
-        n_words=long, word_chars=long, n_symbols=long, n_dup_lines=long, n_repeat_words=long,
-        base_failed=T.BooleanType(), ratio=T.DoubleType(), n_chunks=long, n_bad_chunks=long, kept=T.BooleanType(),
+        n_words=long, word_chars=long, n_symbols=long, n_dup_lines=long, n_repeat_words=long, base_failed=T.BooleanType(),
+        n_bytes=long, ratio=T.DoubleType(), chunk_ratios=T.ArrayType(T.DoubleType()),
     )
-    return map_rows(docs, text_column, extra, work)
+    return map_rows(docs, text_column, extra, work, keep_input=keep_text)
+
+
+def judge_measured(measured: DataFrame, *rules: CompressionRule, turn: Column | None = None) -> DataFrame:
+    """``n_chunks``, ``n_bad_chunks`` and ``kept`` instead of ``n_bytes`` and ``chunk_ratios``; ``turn`` picks each row's rule."""
+    size, ratios = F.col("n_bytes"), F.col("chunk_ratios")
+    chosen = [
+        F.struct(
+            rule.bad_chunks(size, ratios).cast("long").alias("bad"),
+            rule.outside(size, F.col("ratio"), rule.document_bands).alias("outside"),
+            F.lit(rule.max_bad_share).alias("share"),
+        )
+        for rule in rules
+    ]
+    verdict = chosen[0] if turn is None else F.get(F.array(*chosen), turn)
+    fine = (size == 0) | (~verdict["outside"] & (verdict["bad"] <= verdict["share"] * F.size(ratios)))
+    added = {
+        "n_chunks": F.size(ratios).cast("long"),
+        "n_bad_chunks": verdict["bad"],
+        "kept": ~F.col("base_failed") & fine,
+    }
+    names = [c for c in measured.columns if c not in ("n_bytes", "chunk_ratios", *added)]
+    return measured.select(*[F.col(f"`{c}`") for c in names], *[c.alias(name) for name, c in added.items()])
+
+
+def judge_documents(docs: DataFrame, rule: CompressionRule | None = None, text_column: str = "text") -> DataFrame:
+    """Count what quality rules ask for and judge each text by its compression.
+
+    Words are runs without blanks. Base rules fail texts of under 10 words and those of which over a
+    fifth of the words lie in repeated 5-word windows. The compression rule takes zstandard's ratio of
+    the whole UTF-8 text and of fixed chunks of it: under a band's lower limit the text repeats
+    itself, above its upper one it is noise; limits depend on the length, and :func:`fit_bands` takes them
+    from trusted texts. A text is rejected if the whole lies outside, or more than ``max_bad_share`` of
+    its chunks, the last one by the band of its own length.
+
+    Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
+    ``base_failed``, ``ratio`` (null for an empty text), ``n_chunks``, ``n_bad_chunks``, ``kept``;
+    input columns of these names are replaced, and ones named ``n_bytes`` or ``chunk_ratios`` are dropped. A null text
+    counts as empty: no words, base_failed. Each row is judged alone, so repeated rows, ties and empty
+    tables need no care; no shuffle.
+    """
+    rule = rule or CompressionRule()
+    return judge_measured(measure_documents(docs, rule, text_column), rule)
+
+
+def judge_by_trusted(
+    docs: DataFrame, trusted: DataFrame, rule: CompressionRule | None = None, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """:func:`judge_documents` without texts, by bands from the texts whose ids ``trusted`` lists.
+
+    Texts are read and compressed once, into a narrow table of measures; that table is what meets the list of
+    ids. Ids fall into two halves by hash, and each text is judged by the bands of the other half, so that none
+    sets its own limits. A null id is not trusted and lies in the first half; repeated ids of the list count once.
+    """
+    rule = rule or CompressionRule()
+    id_name = F.col(f"`{id_column}`").alias(id_column)
+    narrow = docs.select(id_name, F.col(f"`{text_column}`").cast("string").alias(text_column))
+    measured = materialise(measure_documents(narrow, rule, text_column, keep_text=False), "measures")
+    listed = measured.join(trusted.select(id_name).distinct(), id_column, "left_semi")
+    half = F.pmod(F.xxhash64(F.col(f"`{id_column}`")), F.lit(2)).cast("int")
+    rules = [fit_measured(listed.where(half == other), rule) for other in (1, 0)]
+    turn = F.when(F.col(f"`{id_column}`").isNull(), F.lit(0)).otherwise(half)
+    return judge_measured(measured, *rules, turn=turn)

@@ -18,7 +18,7 @@ from convspark.llm.mixing import mix_sources
 from convspark.llm.multi_index import near_vectors
 from convspark.llm.packing import pack_documents
 from convspark.llm.perplexity import judge_perplexity
-from convspark.llm.quality_rules import fit_bands, judge_documents
+from convspark.llm.quality_rules import judge_by_trusted
 from convspark.llm.resampling import resample
 from convspark.llm.spelling import spelling_variants
 from convspark.llm.toxicity import fit_toxicity, fold, score_toxicity
@@ -99,7 +99,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id")
-    judged = judge_documents(docs, fit_bands(docs.join(trusted, "doc_id", "left_semi")))
+    judged = judge_by_trusted(docs, trusted)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "ratio", "n_chunks", "n_bad_chunks",
