@@ -23,8 +23,10 @@ _BAND = 1.25
 _FLUSH, _BLOCK = 1_000_000, 2_000_000
 #: Members and shingles of one side of a comparison.
 _MEMBERS, _SHINGLES = 1024, 1_000_000
-#: Share of a set that unrelated sets have in common, and the cost of a candidate in index entries.
-_COMMON, _VERIFY = 0.02, 20.0
+#: The cost of a candidate in index entries.
+_VERIFY = 20.0
+#: Documents of the sample that tells how much unrelated sets share, their bytes at most, and the share without a sample.
+_SAMPLE, _SAMPLE_BYTES, _COMMON = 500, 100_000, 0.0005
 
 
 @dataclass(frozen=True)
@@ -54,48 +56,85 @@ def largest_difference(total, percent: int):
     return np.maximum(exactly(total), exactly(total - 1))
 
 
-def _scheme(low: int, high: int, percent: int, sets: float) -> Scheme:
+def _cut(bound: int, share: float, smallest: int) -> tuple[int, int, int]:
+    """Exact and deleted segments, and slack, for a largest difference of ``bound - 1``: exact + 2 deleted = bound + slack.
+
+    Slack makes up for as many empty segments as a set usually has; where more segments for that only mean more
+    empty ones, as for the smallest sets, there is none, and empty segments are indexed like others.
+    """
+    slack = 0
+    for _ in range(64):
+        deleted = int(share * (bound + slack)) // 2
+        exact = bound + slack - 2 * deleted
+        empty = exact * exp(-smallest / (exact + deleted))
+        wanted = ceil(empty + 3 * sqrt(empty)) if empty > 0.01 else 0
+        if wanted <= slack:
+            return exact, deleted, slack
+        slack = wanted
+    deleted = int(share * bound) // 2
+    return bound - 2 * deleted, deleted, 0
+
+
+def _scheme(low: int, high: int, percent: int, sets: float, common: float) -> Scheme:
     """The cheapest split of a band's credit into exact segments and segments with one deletion.
 
     By the pigeonhole principle two linked sets agree, up to one element in ``deleted`` segments, in
     segments with more credit together than ``slack`` when all credit is ``H + 1 + slack``, H the
     largest difference. Agreeing empty segments say nothing; ``slack`` makes up for as many as a set
-    usually has. Cost: entries of the index, plus expected accidental candidates among ``sets`` sets.
+    usually has. Cost: entries of the index, plus expected accidental candidates among ``sets`` sets that share
+    ``common`` of their elements.
     """
     bound = int(largest_difference(2 * high, percent)) + 1
     smallest = max(1, ceil(percent * low / 100))
     mean = sqrt(low * high)
     best = None
     for share in (0.0, 0.25, 0.5, 0.75, 1.0):
-        slack = 0
-        for _ in range(8):
-            deleted = int(share * (bound + slack)) // 2
-            exact = bound + slack - 2 * deleted
-            empty = exact * exp(-smallest / (exact + deleted))
-            wanted = ceil(empty + 3 * sqrt(empty)) if empty > 0.01 else 0
-            if wanted <= slack:
-                break
-            slack = wanted
+        exact, deleted, slack = _cut(bound, share, smallest)
         held = mean / (exact + deleted)
         entries = exact + deleted * (1 + held)
-        apart = 2 * held * (1 - _COMMON)
-        chance = exp(-apart) * (exact * (1 - exp(-held * _COMMON)) + deleted * (1 + apart))
+        apart = 2 * held * (1 - common)
+        chance = exp(-apart) * (exact * (1 - exp(-held * common)) + deleted * (1 + apart))
+        if not slack:
+            chance += exact * exp(-2 * smallest / (exact + deleted))  # both empty
         cost = entries + _VERIFY * chance * sets / 2
         if best is None or cost < best[0]:
             best = (cost, Scheme(low, high, exact, deleted, slack))
     return best[1]
 
 
+def shared_by_unrelated(sets: list[np.ndarray]) -> float:
+    """Mean share of the smaller set that two sets have in common, over pairs that have less than half of it."""
+    sets = [s for s in sets if len(s)]
+    if len(sets) < 2:
+        return _COMMON
+    value = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    counts = np.diff(np.append(start, len(value)))
+    shared = np.zeros((len(sets), len(sets)))
+    for a, n in zip(start[counts > 1].tolist(), counts[counts > 1].tolist(), strict=True):
+        mine = owner[a : a + n]
+        shared[mine[:, None], mine] += 1
+    sizes = np.array([len(s) for s in sets])
+    share = (shared / np.minimum(sizes[:, None], sizes))[np.triu_indices(len(sets), 1)]
+    unrelated = share[share < 0.5]
+    return float(unrelated.mean()) if len(unrelated) else _COMMON
+
+
 class Bands:
     """Schemes for all sizes up to a largest one."""
 
-    def __init__(self, largest: int, percent: int, sets_by_band: dict[int, float] | None = None) -> None:
+    def __init__(
+        self, largest: int, percent: int, sets_by_band: dict[int, float] | None = None, common: float = _COMMON
+    ) -> None:
         self.percent = percent
         self.schemes: list[Scheme] = []
         low = 1
         while low <= largest or not self.schemes:
             high = max(low, floor(low * _BAND))
-            self.schemes.append(_scheme(low, high, percent, (sets_by_band or {}).get(len(self.schemes), 0.0)))
+            self.schemes.append(_scheme(low, high, percent, (sets_by_band or {}).get(len(self.schemes), 0.0), common))
             low = high + 1
         self.lows = np.array([s.low for s in self.schemes])
 
@@ -360,6 +399,14 @@ def _links(clusters: DataFrame, percent: int, packs: int) -> DataFrame:
     return whole.unionByName(split).groupBy("pair", "task").applyInArrow(_compare(percent), "a long, b long")
 
 
+def _common_share(source: DataFrame, n: int, width: int) -> float:
+    """:func:`shared_by_unrelated` for a sample by hash of the text, of bounded size. It sets costs only, never results."""
+    chosen = F.pmod(F.xxhash64("_text", F.lit(11)), F.lit(max(1, n // _SAMPLE))) == 0
+    short = F.octet_length("_text").between(1, _SAMPLE_BYTES)
+    texts = [r["_text"] for r in source.where(short & chosen).select("_text").limit(2 * _SAMPLE).toLocalIterator()]
+    return shared_by_unrelated(shingle_sets(texts, width))
+
+
 def jaccard_components(
     docs: DataFrame, width: int = 3, percent: int = 90, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -390,7 +437,7 @@ def jaccard_components(
     spark = docs.sparkSession
     text = F.col(text_column).cast("string")
     source = docs.select(F.col(id_column).cast("long").alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_own"))
-    # sizes of the table by length of text decide bands, costs and blocks; results never depend on them
+    # sizes of the table by length of text, and a sample, decide bands, costs and blocks; results never depend on them
     size = F.greatest(F.octet_length("_text") / 6.0, F.lit(1.0))
     census = (
         source.where("octet_length(_text) > 0")
@@ -404,7 +451,7 @@ def jaccard_components(
     for r in census:
         band = int(plain.band(np.array([max(1, int(_BAND ** (r["step"] + 0.5)))]))[0])
         populations[band] = populations.get(band, 0.0) + r["n"]
-    bands = Bands(largest, percent, populations)
+    bands = Bands(largest, percent, populations, _common_share(source, sum(r["n"] for r in census), width))
     entries = sum(n * 1.6 * bands.schemes[b].segments for b, n in populations.items())
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(entries / _BLOCK))
 

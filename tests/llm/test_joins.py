@@ -71,6 +71,36 @@ def test_linked_sets_always_share_a_signature(percent, population):
             assert jaccard_join.linked([a], [b], percent)[0, 0]
 
 
+@pytest.mark.parametrize("percent", range(80, 101, 5))
+@pytest.mark.parametrize("common", [0.0, 0.001, 0.05])
+def test_credit_is_never_short(percent, common):
+    """Exact and deleted segments together outnumber the largest difference, slack included, for any number of sets."""
+    for population in (0.0, 3.0, 8.0, 100.0, 1e4, 1e6, 1e9, 1e12):
+        bands = jaccard_join.Bands(3000, percent, {k: population for k in range(60)}, common)
+        for s in bands.schemes:
+            furthest = int(jaccard_join.largest_difference(2 * s.high, percent))
+            assert s.exact + 2 * s.deleted >= furthest + 1 + s.slack and s.segments <= 4 * (furthest + 1) + 8
+        assert [s.low for s in bands.schemes[1:]] == [s.high + 1 for s in bands.schemes[:-1]]
+
+
+def test_sets_that_need_empty_segments(spark):
+    """Texts of a few shingles, where most segments are empty."""
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice("abcde") for _ in range(rnd.randrange(1, 14)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 80).collect()}
+    assert found == brute.jaccard_components(rows, 3, 80)
+
+
+def test_overlap_of_unrelated_sets():
+    words = np.arange(1, 2001, dtype=np.uint64)
+    sets = [words[k * 100 : k * 100 + 102] for k in range(19)] + [words[:101], np.empty(0, np.uint64)]
+    shared = jaccard_join.shared_by_unrelated(sets)
+    plain = [len(np.intersect1d(a, b)) / min(len(a), len(b)) for i, a in enumerate(sets[:20]) for b in sets[i + 1 : 20]]
+    assert shared == pytest.approx(np.mean([x for x in plain if x < 0.5]))
+    assert jaccard_join.shared_by_unrelated([]) == jaccard_join.shared_by_unrelated(sets[:1]) == jaccard_join._COMMON
+
+
 def test_repeated_rows_and_ids(spark):
     long = " ".join(f"w{k}" for k in range(50))
     rows = [(5, long), (5, long), (7, long + " end"), (None, long), (2, "x y z"), (2, "p q r"), (None, None), (9, None), (9, None)]
