@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from convspark.functions.examples import extra_context_columns
@@ -137,15 +137,25 @@ def linear_paths(comments: DataFrame, parent_depth: int = 10) -> DataFrame:
 
 
 def thread_examples(
-    raw: DataFrame, parent_depth: int = 10, min_length: int = 9, max_length: int = 127
+    raw: DataFrame,
+    parent_depth: int = 10,
+    min_length: int = 9,
+    max_length: int = 127,
+    counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """One example per reply where the reply and its parent are both usable.
 
     Extra contexts are the further ancestors, trimmed but never filtered. The pair filter runs
-    before the ancestors' bodies are fetched, so only surviving examples pay for that join.
+    before the ancestors' bodies are fetched, so only surviving examples pay for that join. ``raw`` is
+    read once; ``counts``, when given, gets the number of its rows as ``inputs``, from the same job, and that of
+    its threads with a readable comment as ``groups``, from one column of the table that job writes.
     """
     num_extra_contexts = parent_depth - 1
-    comments = materialise(unique_comments(normalise_comments(raw, max_length)), "comments")
+    read = Observation()
+    seen = raw if counts is None else raw.observe(read, F.count(F.lit(1)).alias("inputs"))
+    comments = materialise(unique_comments(normalise_comments(seen, max_length)), "comments")
+    if counts is not None:
+        counts |= {"inputs": read.get.get("inputs", 0), "groups": comments.agg(F.count_distinct("thread_id")).first()[0]}
     paths = linear_paths(comments, parent_depth)
 
     candidates = comments.where(usable(min_length))

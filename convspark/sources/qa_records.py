@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from convspark.schema import QA_RECORD
 
 CORRUPT = "_corrupt"
+NO_RECORD = "no record"
+#: Columns of numbered lines that tell where a line stands.
+PLACE = ("path", "file_id", "line_no")
 
 
 def _fitting(value, kind: T.DataType):
@@ -49,14 +52,15 @@ def parse_qa_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
     Literals without a backslash that also read as JSON with single quotes stay in the JVM; only the
     rest (escapes, ``u''`` strings, ``True``, ``None``, tuples) goes to Python, in Arrow batches.
-    Every line is read once.
+    Every line is read once. Columns that say where the line stands (:data:`PLACE`) stay with the record.
     """
     with_corrupt = T.StructType([*QA_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
     plain = F.when(~F.contains(F.col(column), F.lit("\\")), F.from_json(column, with_corrupt, options))
     known = F.col("_plain").isNotNull() & F.col(f"_plain.{CORRUPT}").isNull() & F.col("_plain.asin").isNotNull()
+    places = [c for c in PLACE if c in lines.columns]
     parsed = (
-        lines.select(column, plain.alias("_plain"))
+        lines.select(column, *places, plain.alias("_plain"))
         .withColumn("_is_plain", known)
         .withColumn("_literal", _evaluate(F.when(~F.col("_is_plain"), F.col(column))))
     )
@@ -68,7 +72,7 @@ def parse_qa_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     usable = F.coalesce(F.col("_is_plain"), F.lit(False))
     for n in names:
         usable = usable | F.col(f"_literal.{n}").isNotNull()
-    return parsed.select(*chosen, F.when(~usable, F.col(column)).alias(CORRUPT))
+    return parsed.select(*chosen, F.when(~usable, F.col(column)).alias(CORRUPT), *places)
 
 
 def refuse_corrupt(records: DataFrame) -> DataFrame:
@@ -78,6 +82,13 @@ def refuse_corrupt(records: DataFrame) -> DataFrame:
     return records.where(fine).drop(CORRUPT)
 
 
+def corrupt_lines(records: DataFrame) -> DataFrame:
+    """The lines of a placed record table that are no record: where each stands, why, and its bytes."""
+    return records.where(F.col(CORRUPT).isNotNull()).select(
+        *PLACE, F.lit(NO_RECORD).alias("reason"), F.col(CORRUPT).cast("binary").alias("raw")
+    )
+
+
 def read_qa_records(spark: SparkSession, pattern: str) -> DataFrame:
     """Records of all matching text files, plain or compressed."""
     return parse_qa_lines(spark.read.option("lineSep", "\n").text(pattern))

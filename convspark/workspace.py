@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -33,7 +36,32 @@ def work_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below :func:`work_dir`."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark's own readers and writers see them."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def job_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, so results must be written inside, too.
+
+    Scopes may be nested; each deletes its own tables. After an error the tables are deleted as well.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target, filesystem = hadoop_path(spark, path)
+            filesystem.delete(target, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -36,12 +36,16 @@ lines AS (
                generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
         FROM documents))"""
 
-CLEAN_SQL = r"""
+def clean_line_sql(c: str) -> str:
+    return rf"""trim(regexp_replace(regexp_replace({c},
+             '(?:^|(?:[.!?][ \t\n\x0B\f\r]))([a-zA-Z0-9_]+):', '', 'g'),
+             '[\[(]([^\n]*?)[\])]', '', 'g'), ' -' || chr(10))"""
+
+
+CLEAN_SQL = f"""
 clean AS (
   SELECT * FROM (
-    SELECT file_id, line_no, trim(regexp_replace(regexp_replace(line,
-             '(?:^|(?:[.!?][ \t\n\x0B\f\r]))([a-zA-Z0-9_]+):', '', 'g'),
-             '[\[(]([^\n]*?)[\])]', '', 'g'), ' -' || chr(10)) AS line
+    SELECT file_id, line_no, {clean_line_sql('line')} AS line
     FROM lines) WHERE line <> '')"""
 
 
