@@ -27,8 +27,20 @@ def extra_context_names(columns: Sequence[str]) -> list[str]:
     return sorted(found, key=lambda c: int(c[len("context/"):]))
 
 
+def required(examples: DataFrame) -> DataFrame:
+    """The examples, where a missing context or response is an error."""
+    checked = {
+        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"an example has no {c}")).cast("string")) for c in ("context", "response")
+    }
+    return examples.withColumns(checked)
+
+
 def fixed_width(df: DataFrame, num_extra_contexts: int) -> DataFrame:
-    """``context``, ``response`` and exactly n extra contexts, absent ones as the empty string."""
+    """``context``, ``response`` and exactly n extra contexts, absent ones as the empty string.
+
+    Only extra contexts may be absent: an example without a context or a response is an error.
+    """
+    df = required(df)
     present = set(df.columns)
     extras = [
         (F.coalesce(quoted(name), F.lit("")) if name in present else F.lit("")).alias(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convspark.functions.examples import serialize_example
+from convspark.functions.examples import required, serialize_example
 from convspark.operators.ordering import shuffle_into_shards
 from convspark.params import FORMATS
 from convspark.schema import example_schema
@@ -50,14 +50,6 @@ def write_examples(
     )
 
 
-def _required(examples: DataFrame) -> DataFrame:
-    """A missing context or response is an error."""
-    checked = {
-        c: F.coalesce(F.col(c), F.raise_error(F.lit(f"an example has no {c}")).cast("string")) for c in ("context", "response")
-    }
-    return examples.withColumns(checked)
-
-
 def read_examples(
     spark: SparkSession,
     path: str,
@@ -76,11 +68,11 @@ def read_examples(
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if dataset_format == "tfrecord":
         tfrecord.register(spark)
-        return _required(spark.read.schema(schema).format("tfrecord").load(_qualified(spark, path)))
+        return required(spark.read.schema(schema).format("tfrecord").load(_qualified(spark, path)))
     found = reader.format(dataset_format).load(path)
     if not found.inputFiles():
         raise FileNotFoundError(f"no example files below {path}")
-    return _required(found.select(*[F.col(f"`{name}`") for name in schema.fieldNames()]))
+    return required(found.select(*[F.col(f"`{name}`") for name in schema.fieldNames()]))
 
 
 def append_results(results: DataFrame, path: str) -> None:

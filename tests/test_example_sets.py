@@ -120,6 +120,12 @@ def test_fixed_width_fills_with_empty_text(examples):
     assert sorted(map(tuple, rows.collect()))[0] == ("c1", "r1", "", "", "")
 
 
+@pytest.mark.parametrize("column", ["context", "response"])
+def test_fixed_width_needs_a_context_and_a_response(examples, column):
+    with pytest.raises(Exception, match=f"no {column}"):
+        fixed_width(examples.withColumn(column, F.nullif(column, F.lit("c1" if column == "context" else "r1"))), 2).collect()
+
+
 def test_mix_of_different_depths(spark, examples):
     deeper = spark.createDataFrame([("c", "r", "z", "p")], "context string, response string, `context/5` string, product_id string")
     mixed = mix(examples, deeper)
