@@ -16,6 +16,8 @@ from convspark.workspace import materialise, materialise_counting
 
 #: Vectors of one side of a comparison.
 _MEMBERS = 1024
+#: Codewords of one half at most, and bytes of the sample that all codebooks are fitted on.
+_CODEWORDS, _SAMPLE_BYTES = 4096, 1 << 26
 
 
 @dataclass(frozen=True)
@@ -106,7 +108,7 @@ def fit_index(units: np.ndarray, total: int, options: IndexOptions) -> MultiInde
     """
     random = np.random.default_rng(options.seed)
     half = units.shape[1] // 2
-    k = options.codewords or int(np.clip(np.sqrt(total / options.cell_size), 1, 256))
+    k = options.codewords or int(np.clip(np.sqrt(total / options.cell_size), 1, _CODEWORDS))
     k = max(1, min(k, len(units)))
     books = tuple(_codebook(x, k, options.iterations, random) for x in (units[:, :half], units[:, half:]))
     index = MultiIndex(books, 0.0)
@@ -121,8 +123,14 @@ def fit_index(units: np.ndarray, total: int, options: IndexOptions) -> MultiInde
     return MultiIndex(books, float(np.quantile(excess, options.target_recall)) if len(units) else 0.0)
 
 
-def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).astype(np.float64).reshape(-1, dimension)
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square overflows or vanishes; cosines stay what they are."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    rows = column.to_pylist()
+    return _scaled(np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -134,8 +142,8 @@ def _links(a: np.ndarray, b: np.ndarray, min_cosine: float) -> np.ndarray:
     return cosine >= min_cosine
 
 
-def _verify(dimension: int, min_cosine: float):
-    """Per task: links between side 0 and side 1, or inside side 0; counts of links and spanning edges."""
+def _verify(min_cosine: float):
+    """Per task, of one label and dimension: links between side 0 and side 1, or inside side 0; counts of links and spanning edges."""
 
     def run(table: pa.Table) -> pa.Table:
         task, side, node, copies = (table.column(c).to_numpy() for c in ("task", "side", "node", "copies"))
@@ -147,8 +155,8 @@ def _verify(dimension: int, min_cosine: float):
             within = not len(sides[1])
             if not len(sides[0]) or (within and len(sides[0]) < 2):
                 continue
-            left = _matrix(vectors.take(pa.array(sides[0])), dimension)
-            right = left if within else _matrix(vectors.take(pa.array(sides[1])), dimension)
+            left = _matrix(vectors.take(pa.array(sides[0])))
+            right = left if within else _matrix(vectors.take(pa.array(sides[1])))
             links = _links(left, right, min_cosine)
             if within:
                 np.fill_diagonal(links, False)
@@ -172,6 +180,28 @@ def _verify(dimension: int, min_cosine: float):
     return run
 
 
+def _fit_all(distinct: DataFrame, options: IndexOptions) -> dict[int, MultiIndex]:
+    """An index per dimension, fitted on a sample of distinct vectors that is shared out by their numbers.
+
+    The sample has ``options.sample`` rows and 64 MB at most; a dimension without a row in it is one cell.
+    """
+    counts = distinct.groupBy(F.size("_vector").alias("size")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    mean = sum(r["n"] * r["size"] for r in counts) / max(total, 1)
+    share = min(1.0, min(options.sample, _SAMPLE_BYTES / (8 * max(mean, 1))) / max(total, 1))
+    chosen = F.pmod(F.xxhash64("node", F.lit(options.seed)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+    drawn = distinct.where(chosen).select("node", "_vector").toArrow().sort_by("node").column("_vector").to_pylist()
+    indexes = {}
+    for r in counts:
+        rows = [x for x in drawn if len(x) == r["size"]]
+        if rows and r["size"] > 1:
+            indexes[r["size"]] = fit_index(_unit(_scaled(np.array(rows, np.float64))), r["n"], options)
+        else:
+            half = r["size"] // 2
+            indexes[r["size"]] = MultiIndex((np.zeros((1, half)), np.zeros((1, r["size"] - half))), 0.0)
+    return indexes
+
+
 def near_vectors(
     vectors: DataFrame,
     options: IndexOptions | None = None,
@@ -193,56 +223,59 @@ def near_vectors(
     rows is many tasks; a piece returns counts per vector and spanning edges, never pairs.
 
     Result: one row per input row: id, ``n_links`` (other rows linked directly), ``component_id`` (the smallest
-    id reachable), ``kept`` (id = component_id). Null labels, null or empty vectors, zero ones, those with
-    null or non-finite components, and those whose dimension is not the commonest (the largest of
-    several) link with nothing. Repeated rows are linked copies. An empty table gives an empty table.
+    id reachable), ``kept`` (id = component_id). Null labels, null or empty vectors, zero ones and those with
+    null or non-finite components link with nothing. Vectors of another dimension are another label: each dimension
+    has codebooks and cells of its own; of one component only the sign counts. Repeated rows are linked copies. An
+    empty table gives an empty table.
     """
     options = options or IndexOptions()
     spark = vectors.sparkSession
     value = F.col(vector_column)
     broken = F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     nonzero = F.exists(value, lambda x: x != 0)
-    fine = F.col(label_column).isNotNull() & value.isNotNull() & (F.size(value) > 1) & ~broken & nonzero
-    single = value.cast("array<float>")
+    fine = F.col(label_column).isNotNull() & value.isNotNull() & (F.size(value) > 0) & ~broken & nonzero
+    # one component: all that a cosine sees is its sign
+    given = value.cast("array<double>")
+    seen = F.when(F.size(value) == 1, F.transform(given, F.signum)).otherwise(given)
     rows = materialise(
         vectors.select(
             F.col(id_column).alias("_id"),
-            F.col(label_column).cast("string").alias("_label"),
-            F.when(F.coalesce(fine, F.lit(False)), single).alias("_vector"),
-            F.when(F.coalesce(fine, F.lit(False)), F.size(value)).alias("_size"),
-            F.when(F.coalesce(fine, F.lit(False)), F.xxhash64(label_column, vector_column)).alias("node"),
-        ),
+            F.concat_ws("/", F.size(value), F.col(label_column).cast("string")).alias("_label"),
+            F.when(F.coalesce(fine, F.lit(False)), seen).alias("_vector"),
+        ).withColumn("node", F.when(F.col("_vector").isNotNull(), F.xxhash64("_label", "_vector"))),
         "vectors",
     )
-    sizes = rows.where("_size IS NOT NULL").groupBy("_size").agg(F.count(F.lit(1)).alias("n"))
-    common = sizes.orderBy(F.desc("n"), F.desc("_size")).first()
-    dimension, total = (common["_size"], common["n"]) if common else (2, 0)
-    usable = rows.where(F.col("_size") == dimension)
-    share = min(1.0, options.sample / max(total, 1))
-    drawn = usable.where(F.pmod(F.xxhash64("_id", F.lit(options.seed)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
-    sample = drawn.select("_id", "_vector").toArrow().sort_by("_id")
-    points = sample.column("_vector").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dimension)
-    index = fit_index(_unit(points) if len(points) else np.eye(dimension)[:1], total, options)
-    shared = spark.sparkContext.broadcast(index)
+    distinct = materialise(
+        rows.where("node IS NOT NULL")
+        .groupBy("node", "_label")
+        .agg(F.count(F.lit(1)).alias("copies"), F.first("_vector").alias("_vector")),
+        "distinct-vectors",
+    )
+    shared = spark.sparkContext.broadcast(_fit_all(distinct, options))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                flat = part.column(3).flatten().to_numpy().astype(np.float32).reshape(-1, dimension)
-                units = _unit(flat.astype(np.float64))
-                own = shared.value.cells(units)
-                others = [[c for c in cells if c > mine] for cells, mine in zip(shared.value.visits(units), own.tolist(), strict=True)]
+                lists = [np.array(x, np.float64) for x in part.column(3).to_pylist()]
+                sizes = np.array([len(x) for x in lists])
+                own, others = np.zeros(len(lists), np.int64), [[]] * len(lists)
+                for dimension in np.unique(sizes).tolist():
+                    where = np.flatnonzero(sizes == dimension)
+                    units = _unit(_scaled(np.stack([lists[i] for i in where])))
+                    index = shared.value[dimension]
+                    own[where] = index.cells(units)
+                    for i, cells in zip(where.tolist(), index.visits(units), strict=True):
+                        others[i] = [c for c in cells if c > own[i]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), part.column(2),
-                        pa.array([x.tobytes() for x in flat], pa.binary()),
+                        pa.array([x.tobytes() for x in lists], pa.binary()),
                         pa.array(own, pa.int64()), pa.array(others, pa.list_(pa.int64())),
                     ],
                     ["node", "_label", "copies", "vector", "cell", "others"],
                 )
 
-    distinct = usable.groupBy("node", "_label").agg(F.count(F.lit(1)).alias("copies"), F.first("_vector").alias("_vector"))
     placed = materialise(
         distinct.mapInArrow(
             place, "node long, _label string, copies long, vector binary, cell long, others array<long>"
@@ -286,7 +319,7 @@ def near_vectors(
     found = materialise(
         inner.unionByName(seats).unionByName(visits)
         .groupBy(F.pmod(F.xxhash64("task"), F.lit(packs)).alias("pack"))
-        .applyInArrow(_verify(dimension, options.min_cosine), "a long, b long, n long"),
+        .applyInArrow(_verify(options.min_cosine), "a long, b long, n long"),
         "vector-links",
     )
     degree = found.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("_links")).withColumnRenamed("a", "node")
@@ -297,7 +330,7 @@ def near_vectors(
         .join(roots, "node", "left")
         .select("node", "copies", F.coalesce("_links", F.lit(0)).alias("_links"), F.coalesce("root", "node").alias("_root"))
     )
-    named = rows.select("_id", F.when(F.col("_size") == dimension, F.col("node")).alias("node")).join(classes, "node", "left")
+    named = rows.select("_id", "node").join(classes, "node", "left")
     smallest = named.where("_root IS NOT NULL").groupBy("_root").agg(F.min("_id").alias("_least"))
     component = F.coalesce("_least", "_id")
     return named.join(smallest, "_root", "left").select(

@@ -205,3 +205,53 @@ def test_pieces_of_hot_cells(spark, monkeypatch):
     found = near_vectors(table, IndexOptions(codewords=2, target_recall=1.0)).collect()
     degree = np.bincount(np.array(brute_vectors(rows, 0.93)).ravel(), minlength=len(rows))
     assert sum(r.n_links for r in found) >= 0.99 * degree.sum()
+
+
+def cosine_links(rows, least=0.93):
+    """Pairs of places whose vectors have one label, one dimension and a cosine in double precision of ``least``."""
+    out = []
+    for i, (_, a, x) in enumerate(rows):
+        for j, (_, b, y) in enumerate(rows[:i]):
+            if None in (a, b, x, y) or x != y or len(a) != len(b) or None in a or None in b:
+                continue
+            u, v = np.array(a, np.longdouble), np.array(b, np.longdouble)
+            if np.isfinite(u).all() and np.isfinite(v).all() and u.any() and v.any():
+                if u @ v / np.sqrt(u @ u) / np.sqrt(v @ v) >= least:
+                    out.append((j, i))
+    return out
+
+
+def test_vectors_of_all_dimensions_and_sizes(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for d in (1, 2, 3, 3, 8, 17):
+        for _ in range(30):
+            base = rng.normal(size=d)
+            rows += [(base * s + 0.1 * rng.normal(size=d) * s).tolist() for s in (1.0, -2.0, 1e-200, 1e200, 3e38)]
+    rows = [(i, v, ("x", "y")[i % 7 == 0]) for i, v in enumerate(rows)]
+    n = len(rows)
+    odd = [[1.0, 0.0], [1.0, 0.0], [1.0, 0.0, 0.0], [2.0], [3.0], [-1.0], [], None, [0.0], [0.0, 0.0], [None, 1.0], [float("nan")], [float("inf"), 1.0], [5e-324]]
+    rows += [(n + i, v, "x") for i, v in enumerate(odd)] + [(n + 50, [1.0, 0.0], None), (n + 51, [2.0], "")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    links = cosine_links(rows)
+    degree = np.bincount(np.array(links).ravel(), minlength=len(rows))
+    group = brute.components(range(len(rows)), links)
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(table, IndexOptions(codewords=1)).collect()}
+    assert found == {
+        rows[k][0]: (degree[k], rows[group[k]][0], group[k] == k) for k in range(len(rows))
+    } and degree.sum() > 1000
+
+
+def test_doubles_are_not_rounded_to_floats(spark):
+    """Two pairs on either side of the threshold by less than a float can tell."""
+    angle = np.arccos(0.93)
+    rows = [(0, [1.0, 0.0], "a"), (1, [float(np.cos(angle - 1e-10)), float(np.sin(angle - 1e-10))], "a")]
+    rows += [(2, [1.0, 0.0], "b"), (3, [float(np.cos(angle + 1e-10)), float(np.sin(angle + 1e-10))], "b")]
+    found = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    assert sorted((r.vec_id, r.n_links) for r in found.collect()) == [(0, 1), (1, 1), (2, 0), (3, 0)]
+
+
+def test_one_repeated_vector_fills_no_sample(spark):
+    rows = spark.range(30_000).selectExpr("id vec_id", "array(1.0D, cast(if(id < 29000, 0, id) as double)) embedding", "'l' label")
+    found = near_vectors(rows, IndexOptions(sample=100))
+    assert found.where("vec_id < 29000").agg({"n_links": "min"}).first()[0] == 28_999
