@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convspark.llm.batches import map_rows, slices, struct_of
+from convspark.llm.batches import ends_of, map_rows, slices, struct_of
 from convspark.llm.components import components, forest
 from convspark.llm.shingles import digest, mix, shingle_sets
 from convspark.workspace import broadcast_if_small, materialise, materialise_counting
@@ -21,8 +21,9 @@ from convspark.workspace import broadcast_if_small, materialise, materialise_cou
 _BAND = 1.25
 #: Entries that a task holds before it hands them on, and entries of one block of the index.
 _FLUSH, _BLOCK = 1_000_000, 2_000_000
-#: Members and shingles of one side of a comparison.
+#: Members and shingles of one side of a comparison, and of one of shingles cut to 32 bits.
 _MEMBERS, _SHINGLES = 1024, 1_000_000
+_SHORT_MEMBERS, _SHORT_SHINGLES = 2048, 4_000_000
 #: The cost of a candidate in index entries.
 _VERIFY = 20.0
 #: Documents of the sample that tells how much unrelated sets share, their bytes at most, and the share without a sample.
@@ -311,14 +312,21 @@ def _join_block(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(np.full(len(a), 1, np.int8)), none, none, none, pa.array(a, pa.int64()), pa.array(b, pa.int64())], narrow)
 
 
-def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which sets of two lists are linked: 100 * shared >= percent * united, by counting shared elements."""
+def linked(
+    left: list[np.ndarray], right: list[np.ndarray], percent: int, given: tuple[np.ndarray, np.ndarray] | None = None
+) -> np.ndarray:
+    """Which sets of two lists are linked: 100 * shared >= percent * united, by counting shared elements.
+
+    ``given`` are the sizes of the sets that these stand for, where elements that fell together are listed once. At most
+    so many as either side has lost are shared besides; then all links are among those found, and seldom others.
+    """
     sizes = [np.array([len(s) for s in side], np.int64) for side in (left, right)]
+    whole = sizes if given is None else given
     shared = np.zeros((len(left), len(right)), np.int64)
     if min(len(left), len(right)) <= 4:
         for i, a in enumerate(left):
             for j, b in enumerate(right):
-                if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                if 100 * min(whole[0][i], whole[1][j]) >= percent * max(whole[0][i], whole[1][j]):
                     shared[i, j] = len(np.intersect1d(a, b, assume_unique=True))
     else:
         both = [np.concatenate(side) for side in (left, right)]
@@ -334,7 +342,9 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.
         for k in np.flatnonzero(~alone):
             rows = owner[0][span[0][0][k] : span[0][1][k]]
             shared[rows[:, None], owner[1][span[1][0][k] : span[1][1][k]]] += 1
-    united = sizes[0][:, None] + sizes[1] - shared
+    if given is not None:
+        shared += np.minimum((whole[0] - sizes[0])[:, None], whole[1] - sizes[1])
+    united = whole[0][:, None] + whole[1] - shared
     return 100 * shared >= percent * united
 
 
@@ -343,16 +353,17 @@ def _compare(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         group, side = (table.column(c).to_numpy() for c in ("group", "side"))
-        nodes = table.column("node").to_numpy()
+        nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
         lists = table.column("shingles").combine_chunks()
-        values, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+        raw = lists.values.to_numpy()
+        values, ends = raw.view(np.uint32 if raw.dtype == np.int32 else np.uint64), lists.offsets.to_numpy()
         out = [np.empty((2, 0), np.int64)]
         for name in np.unique(group):
             sides = [np.flatnonzero((group == name) & (side == k)) for k in (0, 1)]
             within = not len(sides[1])
             left = [values[ends[i] : ends[i + 1]] for i in sides[0]]
             right = left if within else [values[ends[i] : ends[i + 1]] for i in sides[1]]
-            links = linked(left, right, percent)
+            links = linked(left, right, percent, (n[sides[0]], n[sides[0] if within else sides[1]]))
             if within:
                 np.fill_diagonal(links, False)
             a, b = forest(links)
@@ -363,22 +374,22 @@ def _compare(percent: int):
     return run
 
 
-def _links(clusters: DataFrame, percent: int, packs: int) -> DataFrame:
+def _links(clusters: DataFrame, percent: int, packs: int, members: int, shingles: int) -> DataFrame:
     """Verified links inside candidate clusters: rows of (cluster, node, n, band, shingles) to edges that span them."""
     weight = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("_members"), F.sum("n").alias("_weight"))
-    large = weight.where((F.col("_members") > _MEMBERS) | (F.col("_weight") > _SHINGLES))
+    large = weight.where((F.col("_members") > members) | (F.col("_weight") > shingles))
     large, n_large = materialise_counting(large.select("cluster", F.lit(True).alias("_large")), "jaccard-large")
     sized = clusters.join(broadcast_if_small(large, n_large), "cluster", "left")
     pack = F.pmod(F.xxhash64("cluster"), F.lit(packs))
     whole = sized.where("_large IS NULL").select(
-        pack.alias("task"), F.lit(-1).alias("pair"), F.col("cluster").alias("group"), F.lit(0).alias("side"), "node", "shingles"
+        pack.alias("task"), F.lit(-1).alias("pair"), F.col("cluster").alias("group"), F.lit(0).alias("side"), "node", "n", "shingles"
     )
     # larger ones: pieces by band and hash; only pieces of partner bands are compared
     pieces, n_pieces = materialise_counting(
         sized.where("_large")
         .groupBy("cluster", "band")
         .agg(F.count(F.lit(1)).alias("_count"), F.sum("n").alias("_load"))
-        .withColumn("_parts", F.greatest(F.ceil(F.col("_count") / _MEMBERS), F.ceil(F.col("_load") / _SHINGLES))),
+        .withColumn("_parts", F.greatest(F.ceil(F.col("_count") / members), F.ceil(F.col("_load") / shingles))),
         "jaccard-pieces",
     )
     part = F.pmod(F.xxhash64("node", F.lit(7)), F.col("_parts"))
@@ -389,12 +400,12 @@ def _links(clusters: DataFrame, percent: int, packs: int) -> DataFrame:
     pairs = listed.join(other, "cluster").where(same | (F.col("band2") == F.col("band") + 1))
     pairs = pairs.withColumn("task", F.xxhash64("cluster", "band", "part", "band2", "part2"))
     pairs, n_pairs = materialise_counting(pairs, "jaccard-pairs")
-    here = cut.join(broadcast_if_small(pairs, n_pairs), ["cluster", "band", "part"]).select("task", F.lit(0).alias("side"), "node", "shingles")
+    here = cut.join(broadcast_if_small(pairs, n_pairs), ["cluster", "band", "part"]).select("task", F.lit(0).alias("side"), "node", "n", "shingles")
     apart = pairs.where(~((F.col("band") == F.col("band2")) & (F.col("part") == F.col("part2"))))
     apart = apart.select("cluster", F.col("band2").alias("band"), F.col("part2").alias("part"), "task")
-    there = cut.join(broadcast_if_small(apart, n_pairs), ["cluster", "band", "part"]).select("task", F.lit(1).alias("side"), "node", "shingles")
+    there = cut.join(broadcast_if_small(apart, n_pairs), ["cluster", "band", "part"]).select("task", F.lit(1).alias("side"), "node", "n", "shingles")
     split = here.unionByName(there).select(
-        "task", F.lit(0).alias("pair"), F.col("task").alias("group"), "side", "node", "shingles"
+        "task", F.lit(0).alias("pair"), F.col("task").alias("group"), "side", "node", "n", "shingles"
     )
     return whole.unionByName(split).groupBy("pair", "task").applyInArrow(_compare(percent), "a long, b long")
 
@@ -421,9 +432,10 @@ def jaccard_components(
     Equal sets are one node. Entries that agree inside a task are joined there and one entry per
     signature leaves it, so a signature that a third of all sets have costs one entry per task. Blocks
     of packed entries meet by signature and give star edges, not pairs; their components are candidate
-    clusters, supersets of the true ones. Each cluster's sets are then compared exactly, within
-    bounded pieces of members (pieces whose sizes cannot be linked are not compared), and only
-    spanning edges of the links leave a task; their components are the result.
+    clusters, supersets of the true ones. Each cluster's sets are then compared, within bounded pieces of
+    members (pieces whose sizes cannot be linked are not compared), first by 32 bits of each shingle, counting
+    in favour of a link what these cannot tell; the clusters that this leaves are compared by all 64. Only
+    spanning edges leave a task; their components are the result.
 
     Result: one row per document: id, ``n_shingles``, ``component_id`` (the smallest id reachable),
     ``text_hash`` (xxhash64 of the text) and ``representative`` (the row of the smallest id and text hash). A null
@@ -468,29 +480,40 @@ def jaccard_components(
     # one document stands for each set; texts of candidates are read again
     first = rows.join(candidates, "node").groupBy("node", "root").agg(F.min_by(F.struct("_id", "own"), "own").alias("_first"))
     chosen, n_chosen = materialise_counting(first.select("node", "root", "_first._id", "_first.own"), "jaccard-chosen")
-    mine = (source["_own"] == chosen["own"]) & source["_id"].eqNullSafe(chosen["_id"])
-    texts = source.join(broadcast_if_small(chosen, n_chosen), mine).select(
-        "node", F.col("root").alias("cluster"), "_text"
-    )
     lows = bands.lows
 
-    def sets(values: pa.Array) -> list[pa.Array]:
+    def sets(values: pa.Array, short: bool) -> list[pa.Array]:
         found = shingle_sets(values.to_pylist(), width)
-        n = np.array([len(s) for s in found], np.int64)
-        flat = np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)
+        named = [digest(s) for s in found]
+        n = [len(s) for s in found]
+        if short:
+            found = [np.unique(s.astype(np.uint32)) for s in found]
+        flat = np.concatenate([*found, np.empty(0, np.uint32 if short else np.uint64)])
         return [
-            pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat)),
-            pa.array(n), pa.array(np.searchsorted(lows, n, "right") - 1, pa.int64()),
-            pa.array([digest(s) for s in found], pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends_of(np.array([len(s) for s in found], np.int64)), pa.int32()), pa.array(flat.view(np.int32 if short else np.int64))),
+            pa.array(n, pa.int64()), pa.array(np.searchsorted(lows, n, "right") - 1, pa.int64()),
+            pa.array(named, pa.int64()),
         ]
 
-    extra = struct_of(shingles=T.ArrayType(T.LongType()), n=T.LongType(), band=T.LongType(), _named=T.LongType())
-    clusters, n_sets = materialise_counting(
-        map_rows(texts, "_text", extra, sets).where("node = _named").drop("_text", "_named").dropDuplicates(["node"]),
-        "jaccard-sets",
-    )
-    packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_sets // 500)
-    roots = components(materialise(_links(clusters, percent, packs), "jaccard-linked"), "jaccard-links")
+    def verified(chosen: DataFrame, n_chosen: int, label: str, short: bool) -> DataFrame:
+        """Components of the links inside clusters, from the texts of (node, root, _id, own), read again."""
+        mine = (source["_own"] == chosen["own"]) & source["_id"].eqNullSafe(chosen["_id"])
+        texts = source.join(broadcast_if_small(chosen, n_chosen), mine).select("node", F.col("root").alias("cluster"), "_text")
+        kind = T.ArrayType(T.IntegerType() if short else T.LongType())
+        extra = struct_of(shingles=kind, n=T.LongType(), band=T.LongType(), _named=T.LongType())
+        listed = map_rows(texts, "_text", extra, lambda values: sets(values, short), keep_input=False)
+        clusters, n_sets = materialise_counting(
+            listed.where("node = _named").drop("_named").dropDuplicates(["node"]), f"jaccard-{label}"
+        )
+        packs = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_sets // 500)
+        size = (_SHORT_MEMBERS, _SHORT_SHINGLES) if short else (_MEMBERS, _SHINGLES)
+        links = materialise(_links(clusters, percent, packs, *size), f"jaccard-{label}-linked")
+        return components(links, f"jaccard-{label}-links")
+
+    # shingles of 32 bits part what has only met by accident; what is left is small, and is compared whole
+    likely = verified(chosen, n_chosen, "short", True)
+    again, n_again = materialise_counting(chosen.drop("root").join(likely, "node"), "jaccard-likely")
+    roots = verified(again, n_again, "sets", False)
     grouped = rows.join(roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
     # the smallest id, null last; the text decides between rows of one id
     place = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("own").alias("own"))

@@ -40,6 +40,7 @@ def test_jaccard_agrees_with_brute_force(spark, width, percent):
 
 def test_pieces_of_large_clusters_and_the_smallest_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "_MEMBERS", 7)
+    monkeypatch.setattr(jaccard_join, "_SHORT_MEMBERS", 11)
     monkeypatch.setattr(jaccard_join, "_BLOCK", 500)
     rows = near_copies(9, 120)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -92,6 +93,24 @@ def test_sets_that_need_empty_segments(spark):
     assert found == brute.jaccard_components(rows, 3, 80)
 
 
+def test_short_shingles_lose_no_link():
+    """Elements that fall together count in favour of a link."""
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        a = rng.choice(200, 40, replace=False).astype(np.uint64)
+        b = np.unique(np.concatenate([a[: rng.integers(30, 41)], rng.choice(200, 4).astype(np.uint64)]))
+        kinds = np.uint64(rng.choice([64, 97]))
+        short = [[np.unique(x % kinds)] for x in (a, b)]
+        sizes = tuple(np.array([len(x)]) for x in (a, b))
+        for many in (1, 5):  # one by one, and all at once
+            sides = [x * many for x in short]
+            found = jaccard_join.linked(*sides, 80, tuple(np.repeat(n, many) for n in sizes))
+            assert found.all() or not jaccard_join.linked([a], [b], 80)[0, 0]
+    one = [np.array([1, 2, 3, 4, 5], np.uint64)]
+    assert jaccard_join.linked(one, one, 100, (np.array([5]), np.array([5]))).all()
+    assert not jaccard_join.linked(one, one, 100, (np.array([6]), np.array([7]))).any()
+
+
 def test_overlap_of_unrelated_sets():
     words = np.arange(1, 2001, dtype=np.uint64)
     sets = [words[k * 100 : k * 100 + 102] for k in range(19)] + [words[:101], np.empty(0, np.uint64)]
