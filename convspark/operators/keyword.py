@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -189,7 +190,15 @@ class Bm25Model(KeywordModel):
         )
 
 
-def _fit_terms(examples: DataFrame) -> tuple[DataFrame, int, int]:
+class Terms(NamedTuple):
+    """Terms with the number of documents that hold them, and how many documents and terms there are."""
+
+    table: DataFrame
+    n_docs: int
+    n_terms: int
+
+
+def fit_terms(examples: DataFrame) -> Terms:
     """The term table, the number of documents and that of terms, from one pass.
 
     Every document also holds the empty term, whose frequency is the number of documents: read from
@@ -199,7 +208,7 @@ def _fit_terms(examples: DataFrame) -> tuple[DataFrame, int, int]:
     every = documents(examples).select(F.explode(F.array_append(held, F.lit(""))).alias("term"))
     counts, n = materialise_counting(every.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "terms")
     whole = counts.where("term = ''").first()
-    return counts.where("term <> ''"), whole["df"] if whole else 0, max(0, n - 1)
+    return Terms(counts.where("term <> ''"), whole["df"] if whole else 0, max(0, n - 1))
 
 
 def batch_terms(terms: DataFrame, n_terms: int, docs: DataFrame) -> DataFrame:
@@ -215,9 +224,9 @@ def batch_terms(terms: DataFrame, n_terms: int, docs: DataFrame) -> DataFrame:
 class TfIdf:
     """Cosine of TF-IDF vectors."""
 
-    def fit(self, examples: DataFrame) -> KeywordModel:
-        terms, n_docs, n_terms = _fit_terms(examples)
-        return KeywordModel(terms, n_docs, n_terms)
+    def fit(self, examples: DataFrame, terms: Terms | None = None) -> KeywordModel:
+        """``terms`` are those of the examples, where they have been counted already."""
+        return KeywordModel(*(terms or fit_terms(examples)))
 
 
 class Bm25:
@@ -226,7 +235,8 @@ class Bm25:
     def __init__(self, k1: float = 2.0, b: float = 0.75):
         self.k1, self.b = k1, b
 
-    def fit(self, examples: DataFrame) -> Bm25Model:
-        terms, n_docs, n_terms = _fit_terms(examples)
+    def fit(self, examples: DataFrame, terms: Terms | None = None) -> Bm25Model:
+        """``terms`` are those of the examples, where they have been counted already."""
+        terms, n_docs, n_terms = terms or fit_terms(examples)
         shared = batch_terms(terms, n_terms, documents(examples))
         return Bm25Model(terms, n_docs, n_terms, average_length(examples, shared, n_docs), self.k1, self.b)

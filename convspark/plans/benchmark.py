@@ -5,14 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import cache, partial, reduce
 from typing import NamedTuple, Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convspark.operators.evaluate import accuracy, eval_batches, load_examples
-from convspark.operators.keyword import Bm25, TfIdf
+from convspark.operators.keyword import Bm25, Terms, TfIdf, fit_terms
 from convspark.operators.mapping import VectorMapping
 from convspark.operators.ordering import ordered_index
 from convspark.operators.vector import PRECOMPUTED, Encoder, LookupEncoder, VectorSimilarity, encode_once
@@ -82,8 +82,12 @@ def _test_rows(options: EvalOptions) -> int | None:
     return None if options.eval_num_batches is None else options.n_candidates * options.eval_num_batches
 
 
-def _evaluated(ranker: Ranker, train: _Side, test: _Side, n_candidates: int, seed: int) -> DataFrame:
-    model = ranker.fit(train.rows.drop("ordinal"))
+def _evaluated(
+    ranker: Ranker, train: _Side, test: _Side, n_candidates: int, seed: int, terms: Callable[[], Terms] | None = None
+) -> DataFrame:
+    examples = train.rows.drop("ordinal")
+    by_terms = terms is not None and isinstance(ranker, (TfIdf, Bm25))
+    model = ranker.fit(examples, terms()) if by_terms else ranker.fit(examples)
     ranked = model.rank_responses(eval_batches(test.rows, n_candidates, seed), n_candidates)
     return accuracy(ranked).select(
         F.lit(train.size).cast("long").alias("train_size"),
@@ -112,7 +116,7 @@ def sweep(
     """One result row per data set and method. Each set is sampled once, for all methods.
 
     Methods that share an encoder also share its vectors: every distinct text of a data set is encoded once
-    per encoder. ``batches`` gives a slow method a number of batches of its own: it ranks the first ones of
+    per encoder. Keyword methods share the terms, counted once per data set. ``batches`` gives a slow method a number of batches of its own: it ranks the first ones of
     the same random order.
     """
     rows = []
@@ -120,6 +124,7 @@ def sweep(
         fitted_on = _load(train, options.train_size, "train", seed)
         evaluated_on = _load(test, _test_rows(options), "test", seed, options.deduplicate_eval)
         shared: dict[int, tuple[_Side, _Side]] = {}
+        terms = cache(partial(fit_terms, fitted_on.rows.drop("ordinal")))
         for method, ranker in rankers.items():
             learned_on, used = fitted_on, evaluated_on
             if isinstance(ranker, VectorMethod):
@@ -131,7 +136,7 @@ def sweep(
                 limit = options.n_candidates * batches[method]
                 used = _Side(used.rows.where(F.col("ordinal") < limit), min(used.size, limit))
             rows.append(
-                _evaluated(ranker(), learned_on, used, options.n_candidates, seed).select(
+                _evaluated(ranker(), learned_on, used, options.n_candidates, seed, terms).select(
                     F.lit(method).alias("method"),
                     F.lit(f"{dataset}-train").alias("train"),
                     F.lit(f"{dataset}-test").alias("test"),
