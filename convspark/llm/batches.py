@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,24 @@ def free_name(taken: list[str], wish: str) -> str:
     return wish
 
 
+def set_aside(docs: DataFrame, id_column: str, text_column: str, made: Sequence[str] = ()):
+    """``id``, ``text`` and all other columns as one struct, so that no name of theirs meets one of an operator's own.
+
+    Also a function that takes rows with these three back to the columns of ``docs``, without those in ``made``,
+    and columns that were made meanwhile.
+    """
+    others = [c for c in docs.columns if c not in (id_column, text_column, *made)]
+    row = F.struct(F.lit(True).alias(free_name(others, "is_row")), *[F.col(f"`{c}`") for c in others])
+    narrow = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"), row.alias("row"))
+
+    def back(rows: DataFrame, *added: Column) -> DataFrame:
+        known = {id_column: F.col("id"), text_column: F.col("text")}
+        kept = [c for c in docs.columns if c in known or c not in made]
+        return rows.select(*[(known[c] if c in known else F.col("row")[c]).alias(c) for c in kept], *added)
+
+    return narrow, back
+
+
 def map_rows(
     df: DataFrame,
     column: str,
@@ -65,11 +83,13 @@ def map_rows(
     names are replaced; without ``keep_input`` the column that is worked on does not come back.
     """
     keep = [c for c in df.columns if c not in extra.names and (keep_input or c != column)]
+    # numbers for names on the way: Spark looks the columns of a function's input up unquoted
+    passed = [f"c{k}" for k in range(len(keep))]
     source = df.select(
-        *[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias(free_name(df.columns, "_input"))
+        *[F.col(f"`{c}`").alias(p) for c, p in zip(keep, passed, strict=True)], F.col(f"`{column}`").alias("input")
     )
-    fields = [source.schema[c] for c in keep] + list(extra)
-    names = [*keep, *extra.names]
+    fields = [source.schema[p] for p in passed] + list(extra)
+    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,10 +97,11 @@ def map_rows(
             by_bytes = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
             cuts = slices(values) if by_bytes else ((a, min(a + rows, len(values))) for a in range(0, len(values), rows))
             for a, b in cuts:
-                old = [batch.column(k).slice(a, b - a) for k in range(len(keep))]
+                old = [batch.column(k).slice(a, b - a) for k in range(len(passed))]
                 yield pa.RecordBatch.from_arrays(old + work(values.slice(a, b - a)), names)
 
-    return source.mapInArrow(run, T.StructType(fields))
+    mapped = source.mapInArrow(run, T.StructType(fields))
+    return mapped.select(*[F.col(p).alias(c) for p, c in zip(passed, keep, strict=True)], *extra.names)
 
 
 def struct_of(**kinds: T.DataType) -> T.StructType:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convspark.llm.batches import ends_of, map_rows, slices, struct_of
+from convspark.llm.batches import ends_of, map_rows, set_aside, slices, struct_of
 from convspark.llm.components import components, forest
 from convspark.llm.shingles import digest, mix, shingle_sets
 from convspark.workspace import broadcast_if_small, materialise, materialise_counting
@@ -27,7 +27,7 @@ _SHORT_MEMBERS, _SHORT_SHINGLES = 2048, 4_000_000
 #: The cost of a candidate in index entries.
 _VERIFY = 20.0
 #: Documents of the sample that tells how much unrelated sets share, their bytes at most, and the share without a sample.
-_SAMPLE, _SAMPLE_BYTES, _COMMON = 500, 100_000, 0.0005
+_SAMPLE, _SAMPLE_BYTES, _COMMON = 200, 100_000, 0.0005
 
 
 @dataclass(frozen=True)
@@ -539,17 +539,18 @@ def drop_near_copies(
     All columns are kept. Texts are not shuffled as long as the counted table of the others is small.
     Empty texts, and texts without words, all stay.
     """
-    found = materialise(jaccard_components(docs, width, percent, id_column, text_column), "jaccard-result")
-    found = found.select(F.col(id_column).alias("_id"), F.col("text_hash").alias("_own"), "representative", "n_shingles")
+    rows, back = set_aside(docs, id_column, text_column)
+    found = materialise(jaccard_components(rows, width, percent, "id", "text"), "jaccard-result")
+    found = found.select(F.col("id").alias("_id"), F.col("text_hash").alias("_own"), "representative", "n_shingles")
     others, n = materialise_counting(found.where("NOT representative").distinct(), "near-copies")
-    text = F.xxhash64(F.col(text_column).cast("string"))
-    mine = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (text == F.col("_own"))
-    kept = docs.join(broadcast_if_small(others, n), mine, "left_anti")
+    text = F.xxhash64(F.col("text").cast("string"))
+    mine = F.col("id").cast("long").eqNullSafe(F.col("_id")) & (text == F.col("_own"))
+    kept = rows.join(broadcast_if_small(others, n), mine, "left_anti")
     # rows that agree in id and text are equal copies too
     again = found.where("representative AND n_shingles > 0").groupBy("_id", "_own").count().where("count > 1")
     again, n = materialise_counting(again.select("_id", "_own"), "repeated-rows")
     if not n:
-        return kept
+        return back(kept)
     repeated = kept.join(broadcast_if_small(again, n), mine, "left_semi")
-    once = repeated.withColumn("_own_text", text).dropDuplicates([id_column, "_own_text"]).drop("_own_text")
-    return kept.join(broadcast_if_small(again, n), mine, "left_anti").unionByName(once)
+    once = repeated.withColumn("_own_text", text).dropDuplicates(["id", "_own_text"]).drop("_own_text")
+    return back(kept.join(broadcast_if_small(again, n), mine, "left_anti").unionByName(once))

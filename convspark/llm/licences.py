@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convspark.llm.line_dedup import LOWER, UPPER
+from convspark.llm.batches import set_aside
 from convspark.workspace import materialise_counting
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -88,11 +89,11 @@ def scan_licences(
     table.
     """
     made = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    keep = [c for c in docs.columns if c not in made]
+    narrow, back = set_aside(docs, id_column, text_column, made)
     tokens = [(label, list(dict.fromkeys(_split(text))), len(_split(text))) for label, text in templates]
     tokens = [t for t in tokens if t[1]]
     vocabulary = sorted({w for _, distinct, _ in tokens for w in distinct})
-    base = docs.select(*keep, words(F.col(text_column)).alias("_words"))
+    base = narrow.withColumn("_words", words(F.col("text")))
 
     # base phrases, word by word; positions are worked out only where the joined words have the phrase
     joined = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
@@ -147,8 +148,8 @@ def scan_licences(
         blocks = (
             base.where(F.arrays_overlap("_words", prefixes))
             .select(
-                F.col(id_column).alias("_id"),
-                F.xxhash64(text_column).alias("_text"),
+                F.col("id").alias("_id"),
+                F.xxhash64("text").alias("_text"),
                 F.explode(F.concat(*map(_spans, least))).alias("_span"),
             )
             .select("_id", "_text", "_span.reach", F.array_intersect(_literal(ordered), "_span.words").alias("_held"))
@@ -172,14 +173,14 @@ def scan_licences(
             ),
             "licence-blocks",
         )
-        result = result.withColumn("_own", F.xxhash64(text_column)).join(
-            best, F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_text")), "left"
+        result = result.withColumn("_own", F.xxhash64("text")).join(
+            best, F.col("id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_text")), "left"
         )
     else:
         result = result.withColumn("_met", F.array().cast("array<string>")).withColumn("_best", F.lit(0.0))
     labels = F.array_sort(F.array_union("_base", F.coalesce("_met", F.array().cast("array<string>"))))
-    return result.select(
-        *keep,
+    return back(
+        result,
         F.size("_words").cast("long").alias("n_words"),
         F.size("_every").cast("long").alias("n_base"),
         F.array_min("_every").cast("long").alias("first_word"),

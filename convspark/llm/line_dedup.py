@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from convspark.llm.batches import set_aside
 from convspark.workspace import broadcast_if_small, materialise_counting
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -58,7 +59,8 @@ def drop_repeated_lines(
     one document when counting; rows with a null id are one document too, which never is the largest.
     Repeated rows stay repeated. An empty table gives an empty table.
     """
-    lines = _long_lines(docs, id_column, text_column, min_length)
+    narrow, back = set_aside(docs, id_column, text_column, ("n_lines", "n_dropped"))
+    lines = _long_lines(narrow, "id", "text", min_length)
     holders = lines.select("_h1", "_h2", "_doc").distinct()
     repeated, n = materialise_counting(
         holders.groupBy("_h1", "_h2")
@@ -73,20 +75,13 @@ def drop_repeated_lines(
         .groupBy("_doc", "_text")
         .agg(F.collect_list("_pos").alias("_dropped"))
     )
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rest = docs.select(
-        *keep,
-        F.xxhash64(F.col(text_column)).alias("_own"),
-        _lines(F.col(text_column)).alias("_lines"),
-    )
-    joined = rest.join(
-        dropped, F.col(id_column).eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_text")), "left"
-    )
+    rest = narrow.select("id", "row", F.xxhash64("text").alias("_own"), _lines(F.col("text")).alias("_lines"))
+    joined = rest.join(dropped, F.col("id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_text")), "left")
     positions = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_dropped")
     kept = F.array_join(F.transform(positions, lambda i: F.get(F.col("_lines"), i)), "\n")
     text = F.when(F.col("_dropped").isNull(), F.array_join("_lines", "\n")).otherwise(kept)
-    return joined.select(
-        *[text.alias(c) if c == text_column else F.col(c) for c in keep],
+    return back(
+        joined.withColumn("text", text),
         F.size("_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size(F.array_distinct("_dropped")), F.lit(0)).cast("long").alias("n_dropped"),
     )
