@@ -176,7 +176,7 @@ def fit_toxicity(
 
     # the sample is bounded by the options, so its ids may be broadcast
     sample = texts.join(F.broadcast(chosen), "_id")
-    table = map_rows(sample, "text", struct_of(words=T.ArrayType(T.IntegerType())), features).select("_id", "words", "_p", "_u")
+    table = map_rows(sample, "text", struct_of(words=T.ArrayType(T.IntegerType())), features, keep_input=False).select("_id", "words", "_p", "_u")
     found = table.toArrow().sort_by("_id")
     lists = found.column("words").combine_chunks()
     values = lists.flatten().to_numpy()
@@ -191,6 +191,8 @@ def fit_toxicity(
     number[known] = np.arange(len(known))
     kept = number[values] >= 0
     values, owner = number[values[kept]], np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[kept]
+    del found, lists
+    pa.default_memory_pool().release_unused()  # Arrow keeps what it has freed
     chosen_p, chosen_u = (
         Sets(values[x[owner]], (np.cumsum(x) - 1)[owner[x[owner]]], n) for x, n in ((is_p, n_p), (is_u, n_u))
     )
