@@ -24,6 +24,8 @@ _FLUSH, _BLOCK = 1_000_000, 2_000_000
 #: Members and shingles of one side of a comparison, and of one of shingles cut to 32 bits.
 _MEMBERS, _SHINGLES = 1024, 1_000_000
 _SHORT_MEMBERS, _SHORT_SHINGLES = 2048, 4_000_000
+#: Elements of both sides that a comparison sorts at once, and rows of its result that are decided at once.
+_RANGE, _ROWS = 500_000, 256
 #: The cost of a candidate in index entries.
 _VERIFY = 20.0
 #: Documents of the sample that tells how much unrelated sets share, their bytes at most, and the share without a sample.
@@ -213,11 +215,17 @@ def star_edges(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndar
     bucket = keys[order] >> np.uint64(1)
     start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
     lengths = np.diff(np.append(start, len(bucket)))
-    hub = np.repeat(nodes[order[start]], lengths)
+    kept = order[start]
+    del bucket
     other = nodes[order]
+    del order
+    hub = np.repeat(nodes[kept], lengths)
     apart = hub != other
-    edges = np.unique(np.stack([hub[apart], other[apart]]), axis=1) if apart.any() else np.empty((2, 0), np.int64)
-    return edges[0], edges[1], order[start]
+    hub, other = hub[apart], other[apart]
+    order = np.lexsort((other, hub))
+    hub, other = hub[order], other[order]
+    new = np.concatenate([[True], (hub[1:] != hub[:-1]) | (other[1:] != other[:-1])])[: len(hub)]
+    return hub[new], other[new], kept
 
 
 _INDEX = "kind byte, _id long, own long, n long, node long, other long, block int, keys binary, nodes binary, places binary"
@@ -312,6 +320,50 @@ def _join_block(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(np.full(len(a), 1, np.int8)), none, none, none, pa.array(a, pa.int64()), pa.array(b, pa.int64())], narrow)
 
 
+def _ranges(sets: list[np.ndarray], edges: np.ndarray) -> np.ndarray:
+    """For each ascending set where each range of values begins, and where the last one ends."""
+    cuts = np.zeros((len(sets), len(edges) + 2), np.int64)
+    for i, s in enumerate(sets):
+        cuts[i, 1:-1] = np.searchsorted(s, edges)
+        cuts[i, -1] = len(s)
+    return cuts
+
+
+def shared_elements(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of one list shares with each of the other; sets are ascending.
+
+    Values are taken range by range, so that besides the sets and the result only a range is held.
+    """
+    shared = np.zeros((len(left), len(right)), np.int32)
+    held = sum(map(len, left)) + sum(map(len, right))
+    if not held:
+        return shared
+    kind = np.result_type(*{s.dtype for s in left + right})
+    n = ceil(held / _RANGE)
+    edges = np.array([np.iinfo(kind).max // n * k for k in range(1, n)], kind)
+    cuts = [_ranges(left, edges)]
+    cuts.append(cuts[0] if right is left else _ranges(right, edges))
+
+    def sorted_range(sets: list[np.ndarray], cut: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        value = np.concatenate([s[x:y] for s, x, y in zip(sets, cut[:, k].tolist(), cut[:, k + 1].tolist(), strict=True)])
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), cut[:, k + 1] - cut[:, k])
+        order = np.argsort(value, kind="stable")
+        return value[order], owner[order]
+
+    for k in range(n):
+        one = sorted_range(left, cuts[0], k)
+        two = one if right is left else sorted_range(right, cuts[1], k)
+        common = np.intersect1d(one[0], two[0])
+        span = [(np.searchsorted(v, common, "left"), np.searchsorted(v, common, "right")) for v, _ in (one, two)]
+        wide = [hi - lo for lo, hi in span]
+        alone = (wide[0] == 1) & (wide[1] == 1)
+        np.add.at(shared, (one[1][span[0][0][alone]], two[1][span[1][0][alone]]), 1)
+        for j in np.flatnonzero(~alone):
+            rows = one[1][span[0][0][j] : span[0][1][j]]
+            shared[rows[:, None], two[1][span[1][0][j] : span[1][1][j]]] += 1
+    return shared
+
+
 def linked(
     left: list[np.ndarray], right: list[np.ndarray], percent: int, given: tuple[np.ndarray, np.ndarray] | None = None
 ) -> np.ndarray:
@@ -322,30 +374,29 @@ def linked(
     """
     sizes = [np.array([len(s) for s in side], np.int64) for side in (left, right)]
     whole = sizes if given is None else given
-    shared = np.zeros((len(left), len(right)), np.int64)
     if min(len(left), len(right)) <= 4:
+        shared = np.zeros((len(left), len(right)), np.int32)
         for i, a in enumerate(left):
             for j, b in enumerate(right):
                 if 100 * min(whole[0][i], whole[1][j]) >= percent * max(whole[0][i], whole[1][j]):
                     shared[i, j] = len(np.intersect1d(a, b, assume_unique=True))
     else:
-        both = [np.concatenate(side) for side in (left, right)]
-        owner = [np.repeat(np.arange(len(side)), n) for side, n in zip((left, right), sizes, strict=True)]
-        order = [np.argsort(x, kind="stable") for x in both]
-        value = [x[o] for x, o in zip(both, order, strict=True)]
-        owner = [x[o] for x, o in zip(owner, order, strict=True)]
-        common = np.intersect1d(value[0], value[1])
-        span = [(np.searchsorted(v, common, "left"), np.searchsorted(v, common, "right")) for v in value]
-        wide = [hi - lo for lo, hi in span]
-        alone = (wide[0] == 1) & (wide[1] == 1)
-        np.add.at(shared, (owner[0][span[0][0][alone]], owner[1][span[1][0][alone]]), 1)
-        for k in np.flatnonzero(~alone):
-            rows = owner[0][span[0][0][k] : span[0][1][k]]
-            shared[rows[:, None], owner[1][span[1][0][k] : span[1][1][k]]] += 1
-    if given is not None:
-        shared += np.minimum((whole[0] - sizes[0])[:, None], whole[1] - sizes[1])
-    united = whole[0][:, None] + whole[1] - shared
-    return 100 * shared >= percent * united
+        shared = shared_elements(left, right)
+    links = np.empty(shared.shape, bool)
+    lost = [w - n for w, n in zip(whole, sizes, strict=True)]
+    for a in range(0, len(left), _ROWS):
+        some = shared[a : a + _ROWS].astype(np.int64)
+        if given is not None:
+            some += np.minimum(lost[0][a : a + _ROWS, None], lost[1])
+        links[a : a + _ROWS] = 100 * some >= percent * (whole[0][a : a + _ROWS, None] + whole[1] - some)
+    return links
+
+
+def _views(lists: pa.ListArray) -> list[np.ndarray]:
+    """The lists of signed numbers as arrays of unsigned ones, not copied."""
+    raw, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    values = raw.view(np.uint32 if raw.dtype == np.int32 else np.uint64)
+    return [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 def _compare(percent: int):
@@ -354,15 +405,13 @@ def _compare(percent: int):
     def run(table: pa.Table) -> pa.Table:
         group, side = (table.column(c).to_numpy() for c in ("group", "side"))
         nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-        lists = table.column("shingles").combine_chunks()
-        raw = lists.values.to_numpy()
-        values, ends = raw.view(np.uint32 if raw.dtype == np.int32 else np.uint64), lists.offsets.to_numpy()
+        sets = [s for lists in table.column("shingles").chunks for s in _views(lists)]
         out = [np.empty((2, 0), np.int64)]
         for name in np.unique(group):
             sides = [np.flatnonzero((group == name) & (side == k)) for k in (0, 1)]
             within = not len(sides[1])
-            left = [values[ends[i] : ends[i + 1]] for i in sides[0]]
-            right = left if within else [values[ends[i] : ends[i + 1]] for i in sides[1]]
+            left = [sets[i] for i in sides[0]]
+            right = left if within else [sets[i] for i in sides[1]]
             links = linked(left, right, percent, (n[sides[0]], n[sides[0] if within else sides[1]]))
             if within:
                 np.fill_diagonal(links, False)

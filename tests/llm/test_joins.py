@@ -1,6 +1,7 @@
 """Jaccard join, components and vector index against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -274,3 +275,26 @@ def test_one_repeated_vector_fills_no_sample(spark):
     rows = spark.range(30_000).selectExpr("id vec_id", "array(1.0D, cast(if(id < 29000, 0, id) as double)) embedding", "'l' label")
     found = near_vectors(rows, IndexOptions(sample=100))
     assert found.where("vec_id < 29000").agg({"n_links": "min"}).first()[0] == 28_999
+
+
+def test_comparison_and_edges_hold_little_besides_their_input(monkeypatch):
+    """Ranges of values agree with one range, and memory beyond input and result is that of a range."""
+    rng = np.random.default_rng(4)
+    bases = [rng.integers(1 << 32, size=500, dtype=np.uint32) for _ in range(60)]
+
+    def some(n):
+        return [np.unique(np.concatenate([bases[rng.integers(60)][rng.integers(90) :], rng.integers(1 << 32, size=20, dtype=np.uint32)])) for _ in range(n)]
+
+    left, right = some(600), some(500)
+    monkeypatch.setattr(jaccard_join, "_RANGE", 10_000_000)
+    whole = [jaccard_join.shared_elements(left, x) for x in (right, left)]
+    plain = [[len(np.intersect1d(a, b)) for b in right[:50]] for a in left[:50]]
+    assert (whole[0][:50, :50] == plain).all()
+    monkeypatch.setattr(jaccard_join, "_RANGE", 20_000)
+    tracemalloc.start()
+    cut = [jaccard_join.shared_elements(left, x) for x in (right, left)]
+    links = jaccard_join.linked(left, right, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() for a, b in zip(whole, cut, strict=True)) and links.any() and not links.all()
+    assert peak < 10_000_000  # 24 million before
