@@ -12,7 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from convspark.functions.text import token_counts, tokens
-from convspark.operators.scoring import BLOCK, RANKED, in_blocks, merge_blocks, partial_ranks, rank_scores, sparse_scores
+from convspark.operators.scoring import (
+    BLOCK,
+    RANKED,
+    batches_together,
+    grouped_scores,
+    in_blocks,
+    merge_blocks,
+    pack_of,
+    partial_ranks,
+    rank_scores,
+    sparse_scores,
+)
 from convspark.workspace import BROADCAST_ROWS, broadcast_if_small, materialise_counting
 
 
@@ -109,44 +120,56 @@ class KeywordModel:
         self, batches: DataFrame, n_candidates: int | None = None, block: int = BLOCK
     ) -> DataFrame:
         """Rank the N responses of each batch for each of its contexts; blocks of them where N is large."""
+        whole = n_candidates is None or n_candidates <= block
+        together = batches_together(n_candidates if whole else block)
         sides = batches.select(
-            "batch_id",
+            pack_of(together), "batch_id", "ctx_pos", "true_pos",
             F.inline(
                 F.array(
-                    F.struct(F.lit(True).alias("is_context"), F.col("ctx_pos").alias("pos"), F.col("context").alias("text")),
-                    F.struct(F.lit(False).alias("is_context"), F.col("true_pos").alias("pos"), F.col("response").alias("text")),
+                    F.struct(F.lit(True).alias("is_context"), F.col("context").alias("text")),
+                    F.struct(F.lit(False).alias("is_context"), F.col("response").alias("text")),
                 )
             ),
-        )
-        weights = self.weights(sides, "batch_id", "is_context", "pos", together=["batch_id"])
+        )
+        weights = self.weights(sides, "pack", "batch_id", "is_context", "ctx_pos", "true_pos", together=["pack"])
         weights = weights.withColumn("term", F.xxhash64("term"))  # a number is cheaper to hand over
+        if not whole:
+            return self._rank_in_blocks(batches, weights, n_candidates, block, together)
 
         def rank(places: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
-            return rank_scores(places, sparse_scores(len(places), pieces), "batch")
-
-        if n_candidates is not None and n_candidates > block:
-            return self._rank_in_blocks(batches, weights, n_candidates, block)
-        # a new name keeps the two sides of the cogroup apart
-        places = batches.select(F.col("batch_id").alias("batch"), "ctx_pos", "true_pos")
-        return places.groupBy("batch").cogroup(weights.groupBy("batch_id")).applyInPandas(rank, RANKED)
+            if together == 1:
+                return rank_scores(places, sparse_scores(len(places), pieces), "batch")
+            names, number = np.unique(places["batch"].to_numpy(), return_inverse=True)
+            group = np.searchsorted(names, pieces["batch_id"].to_numpy())
+            side = pieces["is_context"].to_numpy().astype(bool)
+            listed = pieces.assign(group=group, pos=np.where(side, group * n_candidates, 0) + pieces["pos"])
+            scores = grouped_scores((len(names) * n_candidates, n_candidates), listed[side], listed[~side])
+            # a batch of fewer than n_candidates
+            scores[np.arange(n_candidates) >= np.repeat(np.bincount(number), n_candidates)[:, None]] = -np.inf
+            return rank_scores(places, scores, "batch", number * n_candidates + places["ctx_pos"].to_numpy())
+
+        # new names keep the two sides of the cogroup apart
+        places = batches.select(pack_of(together).alias("places"), F.col("batch_id").alias("batch"), "ctx_pos", "true_pos")
+        pos = F.when(F.col("is_context"), F.col("ctx_pos")).otherwise(F.col("true_pos")).alias("pos")
+        pieces = weights.select("pack", "batch_id", "is_context", pos, "term", "weight")
+        return places.groupBy("places").cogroup(pieces.groupBy("pack")).applyInPandas(rank, RANKED)
 
     @staticmethod
-    def _rank_in_blocks(batches: DataFrame, weights: DataFrame, n_candidates: int, block: int) -> DataFrame:
+    def _rank_in_blocks(batches: DataFrame, weights: DataFrame, n_candidates: int, block: int, together: int) -> DataFrame:
         """One row per example with the weights of both its texts, dealt to pairs of blocks."""
-        listed = weights.groupBy("batch_id", "is_context", "pos").agg(
-            F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights")
+        keys = ["batch_id", "ctx_pos", "true_pos"]
+        kinds = {f"{side}_{part}s": (side == "context", part, kind)
+                 for side in ("context", "response") for part, kind in (("term", "long"), ("weight", "double"))}
+        empty = {c: F.array().cast(f"array<{kind}>") for c, (_, _, kind) in kinds.items()}
+        listed = weights.groupBy("pack", *keys).agg(
+            *[F.collect_list(F.when(F.col("is_context") == side, F.col(part))).alias(c) for c, (side, part, _) in kinds.items()]
+        )
+        examples = batches.select(*keys).join(listed.drop("pack"), keys, "left")
+        flat = examples.select(*keys, *[F.coalesce(c, empty[c]).alias(c) for c in kinds])
+        # a candidate's context is of no use
+        dealt = in_blocks(flat, n_candidates, block).withColumns(
+            {c: F.when(F.col("is_context"), F.col(c)).otherwise(empty[c]) for c, (side, _, _) in kinds.items() if side}
         )
-        examples = batches.select("batch_id", "ctx_pos", "true_pos")
-        for is_context, pos, side in ((True, "ctx_pos", "context"), (False, "true_pos", "response")):
-            one = listed.where(F.col("is_context") == is_context).select(
-                "batch_id", F.col("pos").alias(pos), F.struct("terms", "weights").alias(side)
-            )
-            examples = examples.join(one, ["batch_id", pos], "left")
-        flat = examples.select(
-            "batch_id", "ctx_pos", "true_pos",
-            *[F.coalesce(f"{side}.{part}", F.array().cast(f"array<{kind}>")).alias(f"{side}_{part}")
-              for side in ("context", "response") for part, kind in (("terms", "long"), ("weights", "double"))],
-        )
 
         def entries(rows: pd.DataFrame, side: str, is_context: bool) -> pd.DataFrame:
             """Terms and weights of one side, by the row's place."""
@@ -165,10 +188,27 @@ class KeywordModel:
             contexts = entries(mine, "context", True)
             both = contexts.merge(entries(mine, "response", False), on=["pos", "term"])
             own = np.bincount(both["pos"], both["weight_x"] * both["weight_y"], len(mine))
-            scores = sparse_scores((len(mine), len(others)), pd.concat([contexts, entries(others, "response", False)]))
-            return partial_ranks(mine, others["true_pos"].to_numpy(), scores, own)
+            candidates = entries(others, "response", False)
+            if together == 1:
+                scores = sparse_scores((len(mine), len(others)), pd.concat([contexts, candidates]))
+                return partial_ranks(mine, others["true_pos"].to_numpy(), scores, own)
+            # candidates by place in the block, which is the same for all batches
+            first = int(rows["cand_block"].iloc[0]) * block
+            batch, place = others["batch_id"].to_numpy(), others["true_pos"].to_numpy() - first
+            names = np.unique(rows["batch_id"].to_numpy())
+            there = np.zeros((len(names), block), bool)
+            there[np.searchsorted(names, batch), place] = True
+            here = there[np.searchsorted(names, mine["batch_id"].to_numpy())]
+            scores = grouped_scores(
+                (len(mine), block),
+                contexts.assign(group=mine["batch_id"].to_numpy()[contexts["pos"]]),
+                candidates.assign(group=batch[candidates["pos"]], pos=place[candidates["pos"]]),
+            )
+            scores[~here] = -np.inf
+            met = here.any(axis=1)
+            return partial_ranks(mine[met], first + np.arange(block), scores[met], own[met])
 
-        return merge_blocks(in_blocks(flat, n_candidates, block), rank_block)
+        return merge_blocks(dealt, rank_block, together)
 
 
 @dataclass(frozen=True)

@@ -1,9 +1,10 @@
 """Scoring all candidates of a batch: one matrix product per batch of N, inside a task.
 
 A batch holds exactly N contexts and N responses, so a group is bounded by construction, and no
-(context, response) pair ever becomes a row: only one row per context leaves the task. Where N is larger
-than :data:`BLOCK`, the product is cut into blocks of contexts times blocks of candidates, each a group of its
-own; one row per context and block of candidates is merged.
+(context, response) pair ever becomes a row: only one row per context leaves the task. Small batches are
+ranked many to a group, as a call has a cost of its own. Where N is larger than :data:`BLOCK`, the product is cut
+into blocks of contexts times blocks of candidates, each a group of its own; one row per context and block of
+candidates is merged.
 """
 
 from __future__ import annotations
@@ -12,11 +13,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Contexts, and candidates, of one matrix product at most: 32 MB of scores.
 BLOCK = 2048
+#: Contexts that one call ranks together, where batches or blocks are smaller.
+TOGETHER = 1024
+#: Pairs of equal terms that are multiplied at once.
+_PAIRS = 1_000_000
 
 PARTIAL = "batch_id long, ctx_pos int, true_pos int, best_pos int, best double, ahead long"
 RANKED = "batch_id long, ctx_pos int, true_pos int, predicted_pos int, true_rank int, score double"
@@ -28,14 +33,27 @@ SCORE_DIGITS = 9
 _TERM_BLOCK = 4096
 
 
-def rank_scores(places: pd.DataFrame, scores: np.ndarray, batch: str = "batch_id") -> pd.DataFrame:
-    """Best candidate and rank of the true one for every context of one batch.
+def batches_together(size: int | None) -> int:
+    """How many batches, or blocks, of ``size`` contexts are one group; one if the size is not known."""
+    return 1 if size is None else max(1, TOGETHER // max(1, size))
 
-    ``scores`` is contexts by candidates; ``places`` has the batch number, ctx_pos and true_pos.
+
+def pack_of(together: int) -> Column:
+    """The number of the group of ``together`` batches that a batch is in."""
+    return F.floor(F.col("batch_id") / together).alias("pack")
+
+
+def rank_scores(
+    places: pd.DataFrame, scores: np.ndarray, batch: str = "batch_id", rows: np.ndarray | None = None
+) -> pd.DataFrame:
+    """Best candidate and rank of the true one for every context of one batch, or of several.
+
+    ``scores`` is contexts by candidates; ``places`` has the batch number, ctx_pos and true_pos. ``rows`` tells
+    the row of ``scores`` of each place where it is not its ctx_pos.
     """
     scores = np.round(scores, SCORE_DIGITS) + 0.0
     ctx, true = places["ctx_pos"].to_numpy(), places["true_pos"].to_numpy()
-    mine = scores[ctx]
+    mine = scores[ctx if rows is None else rows]
     own = mine[np.arange(len(ctx)), true][:, None]
     earlier = np.arange(scores.shape[1])[None, :] < true[:, None]
     ahead = (mine > own) | ((mine == own) & earlier)
@@ -75,7 +93,7 @@ def partial_ranks(contexts: pd.DataFrame, positions: np.ndarray, scores: np.ndar
     """Best candidate of one block for each context, and how many of the block come before the true one.
 
     ``contexts`` has batch_id, ctx_pos and true_pos, ``positions`` are those of the block's candidates, ``own``
-    the scores of the true responses.
+    the scores of the true responses. A candidate that is none has a score of minus infinity.
     """
     order = np.argsort(positions, kind="stable")
     positions, scores = positions[order], np.round(scores[:, order], SCORE_DIGITS) + 0.0
@@ -95,9 +113,14 @@ def partial_ranks(contexts: pd.DataFrame, positions: np.ndarray, scores: np.ndar
     )
 
 
-def merge_blocks(blocks: DataFrame, rank_block: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
-    """Ranks over all candidates from those of each block; the first of equally good candidates is best."""
-    partial = blocks.groupBy("batch_id", "ctx_block", "cand_block").applyInPandas(rank_block, PARTIAL)
+def merge_blocks(
+    blocks: DataFrame, rank_block: Callable[[pd.DataFrame], pd.DataFrame], together: int = 1
+) -> DataFrame:
+    """Ranks over all candidates from those of each block; the first of equally good candidates is best.
+
+    ``rank_block`` gets the same block of ``together`` batches.
+    """
+    partial = blocks.groupBy(pack_of(together), "ctx_block", "cand_block").applyInPandas(rank_block, PARTIAL)
     merged = partial.groupBy("batch_id", "ctx_pos", "true_pos").agg(
         F.min(F.struct((-F.col("best")).alias("minus"), "best_pos")).alias("_best"), F.sum("ahead").alias("_ahead")
     )
@@ -137,6 +160,42 @@ def sparse_scores(size: int | tuple[int, int], weights: pd.DataFrame) -> np.ndar
     return scores
 
 
+def grouped_scores(shape: tuple[int, int], left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+    """Dot products of sparse rows ``(group, pos, term, weight)``, within groups only.
+
+    A cell is that of a left and a right ``pos``; what is never together in a group scores 0. Made for many small
+    groups: equal terms of a group are paired, a bounded number of pairs at once.
+    """
+    rows, columns = shape
+    scores = np.zeros(rows * columns)
+    group, term = (np.concatenate([left[c].to_numpy(), right[c].to_numpy()]) for c in ("group", "term"))
+    if not len(left) or not len(right):
+        return scores.reshape(shape)
+    order = np.lexsort((term, group))
+    new = (np.diff(group[order]) != 0) | (np.diff(term[order]) != 0)
+    code = np.empty(len(order), np.int64)
+    code[order] = np.concatenate([[0], np.cumsum(new)])
+    mine, theirs = code[: len(left)], code[len(left) :]
+    by = np.argsort(theirs, kind="stable")
+    counts = np.bincount(theirs, minlength=code.max() + 1)
+    first = np.cumsum(counts) - counts
+    wide = counts[mine]
+    ends = np.cumsum(wide)
+    left_cell, right_cell = left["pos"].to_numpy().astype(np.int64) * columns, right["pos"].to_numpy()
+    left_weight, right_weight = left["weight"].to_numpy(), right["weight"].to_numpy()
+    start = 0
+    while start < len(mine):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + _PAIRS, "right")))
+        n = wide[start:stop]
+        inside = np.arange(ends[stop - 1] - done) - np.repeat(ends[start:stop] - n - done, n)
+        one = np.repeat(np.arange(start, stop), n)
+        two = by[np.repeat(first[mine[start:stop]], n) + inside]
+        scores += np.bincount(left_cell[one] + right_cell[two], left_weight[one] * right_weight[two], len(scores))
+        start = stop
+    return scores.reshape(shape)
+
+
 def dense_scores(contexts: np.ndarray, responses: np.ndarray) -> np.ndarray:
     """Dot products of dense context and response rows."""
     return contexts @ responses.T

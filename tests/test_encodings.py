@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from convspark.operators import scoring
 from convspark.operators.evaluate import eval_batches
 from convspark.operators.keyword import Bm25, TfIdf
 from convspark.operators.ordering import dense_index
@@ -147,3 +149,28 @@ def test_twenty_thousand_candidates(spark):
         scores = np.round(unit @ contexts[i], 9) + 0.0
         ahead = (scores > scores[i]) | ((scores == scores[i]) & (np.arange(n) < i))
         assert result[i] == (place[i], scores.argmax(), ahead.sum() + 1)
+
+
+def test_small_batches_are_ranked_many_to_a_call(spark, monkeypatch):
+    """A call a batch, or a block of one, took most of the time; ranks are those of the batches alone."""
+    rng = random.Random(6)
+    words = "a0 b1 c2 d3 e4 f5 same same".split()
+    texts = [(" ".join(rng.choices(words, k=rng.randrange(4))), " ".join(rng.choices(words, k=3))) for _ in range(300)]
+    examples = spark.createDataFrame(texts, PAIRS)
+    model = Bm25().fit(examples)
+    full = eval_batches(dense_index(examples), 10)
+    short = full.where("batch_id % 3 > 0 OR (ctx_pos < 4 AND true_pos < 4)").where("batch_id > 1 OR ctx_pos = true_pos")
+    renumbered = short.withColumns({c: F.expr(f"row_number() OVER (PARTITION BY batch_id ORDER BY {c}) - 1").cast("int") for c in ("ctx_pos", "true_pos")})
+    for batches in (full.cache(), renumbered.cache()):
+        alone, *together = (
+            {(r.batch_id, r.ctx_pos): (r.true_pos, r.predicted_pos, r.true_rank, round(r.score, 9)) for r in model.rank_responses(batches, n, block).collect()}
+            for n, block in ((None, 10), (10, 10), (10, 3))
+        )
+        assert alone and all(found == alone for found in together)
+    for found in (model.rank_responses(full, 10), model.rank_responses(full, 10, 3)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "pack" in plan
+    monkeypatch.setattr(scoring, "_PAIRS", 3)
+    left = pd.DataFrame({"group": [0, 0, 1, 1], "pos": [0, 1, 2, 2], "term": [5, 5, 5, 6], "weight": [1.0, 2.0, 3.0, 4.0]})
+    right = pd.DataFrame({"group": [0, 0, 1, 2], "pos": [0, 1, 0, 0], "term": [5, 5, 6, 6], "weight": [1.0, 10.0, 5.0, 7.0]})
+    assert scoring.grouped_scores((3, 2), left, right).tolist() == [[1, 10], [2, 20], [20, 0]]
