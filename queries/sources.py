@@ -37,15 +37,18 @@ def _renamed(spark: SparkSession, path: str, names: dict[str, str]) -> str:
 
 def _line_files(spark: SparkSession, sf_dir: str) -> str:
     """Every line of every document in six files: folder by id, three base names that both folders have."""
-    lines = inputs.table(spark, sf_dir, "documents").select(
+    documents = inputs.table(spark, sf_dir, "documents").select(
         (F.col("doc_id") % len(FOLDERS)).alias("folder"),
         (F.col("doc_id") % (len(FOLDERS) * FILES)).alias("file"),
         F.col("doc_id").alias("id"),
-        F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"),
+        "text",
     )
+    # one task for each file, and texts move whole
+    dealt = documents.repartitionById(len(FOLDERS) * FILES, F.col("file").cast("int"))
+    lines = dealt.select("folder", "file", "id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     broken = F.when(F.expr(BROKEN) & (F.col("pos") == 0), F.concat("line", F.unhex(F.lit("FF")).cast("string"))).otherwise(F.col("line"))
     path = new_path(spark, "line-files")
-    ordered = lines.withColumn("line", broken).repartition("file").sortWithinPartitions("folder", "file", "id", "pos")
+    ordered = lines.withColumn("line", broken).sortWithinPartitions("folder", "file", "id", "pos")
     ordered.select("folder", "file", "line").write.partitionBy("folder", "file").text(path)
     found = inputs.table(spark, sf_dir, "documents").select((F.col("doc_id") % (len(FOLDERS) * FILES)).alias("k")).distinct()
     files = sorted(r["k"] for r in found.collect())  # six at most

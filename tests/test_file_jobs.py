@@ -2,6 +2,7 @@
 
 import os
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from convspark.schema import QA_RECORD
 from convspark.sources.comments import read_catalog_tables, read_tables, reconcile
 from convspark.sources.text_lines import numbered_lines, read_lines
 from convspark.workspace import job_scope, materialise, work_dir
+from queries import sources
 from tests.test_qa import RECORDS
 from tests.test_threads import simple
 
@@ -150,3 +152,11 @@ def test_types_that_differ_become_one_that_holds_both():
     ]
     for a, b, common in cases:
         assert reconcile([schema(a), schema(b)])["x"].dataType == common == reconcile([schema(b), schema(a)])["x"].dataType
+
+
+def test_each_line_file_is_written_by_a_task_of_its_own(spark, monkeypatch):
+    """Two of six files, a third of the input, met in one task."""
+    monkeypatch.setattr(sources, "_renamed", lambda spark, path, names: path)
+    path = sources._line_files(spark, "/root/testdata/sf0.01").removeprefix("file:")
+    parts = [p.name.split("-")[1] for p in Path(path).glob("folder=*/file=*/part-*")]
+    assert len(parts) == 6 and len(set(parts)) == 6
