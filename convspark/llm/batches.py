@@ -85,15 +85,16 @@ def map_rows(
     keep = [c for c in df.columns if c not in extra.names and (keep_input or c != column)]
     # numbers for names on the way: Spark looks the columns of a function's input up unquoted
     passed = [f"c{k}" for k in range(len(keep))]
-    source = df.select(
-        *[F.col(f"`{c}`").alias(p) for c, p in zip(keep, passed, strict=True)], F.col(f"`{column}`").alias("input")
-    )
+    # the column that is worked on crosses once, also where it comes back
+    at = keep.index(column) if column in keep else len(keep)
+    sent = [(c, p) for c, p in zip(keep, passed, strict=True)] + ([(column, "input")] if at == len(keep) else [])
+    source = df.select(*[F.col(f"`{c}`").alias(p) for c, p in sent])
     fields = [source.schema[p] for p in passed] + list(extra)
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(batch.num_columns - 1)
+            values = batch.column(at)
             by_bytes = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
             cuts = slices(values) if by_bytes else ((a, min(a + rows, len(values))) for a in range(0, len(values), rows))
             for a, b in cuts:

@@ -127,7 +127,7 @@ class Coder:
         self.special = json.loads(arrays["special"].tobytes().decode())
         self.pattern = regex.compile(PATTERN)
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.merged: dict[str, list[int]] = {}
+        self.merged: dict[str, tuple[int, ...]] = {}
         self.characters: set[str] = set()
 
     def pieces(self, text: str) -> list[str]:
@@ -190,10 +190,10 @@ class Coder:
         total = np.concatenate([[0], ends])
         return ids, total[ends_of(np.array(counts, np.int64))]
 
-    def _merge(self, word: str, encoded: bytes) -> list[int]:
+    def _merge(self, word: str, encoded: bytes) -> tuple[int, ...]:
         ids = self.merged.get(word)
         if ids is None:
-            ids = merge_word(encoded, self.byte_ids, self.ranks)
+            ids = tuple(merge_word(encoded, self.byte_ids, self.ranks))
             if len(encoded) <= LONGEST_WORD:
                 if len(self.merged) >= _REMEMBERED:
                     self.merged.clear()
@@ -210,8 +210,9 @@ class Coder:
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
 
 
-@lru_cache(4)
+@lru_cache(1)
 def _coder(name: str) -> Coder:
+    """The coder of the lexicon in use; a worker lives on after its job, so it keeps one only."""
     return Coder(open_packed(SparkFiles.get(name)))
 
 

@@ -208,7 +208,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "te
     shuffle; input columns of these names are replaced. The model has a fixed size and is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    remembered: dict[str, list[int]] = {}
+    remembered: dict[str, tuple[int, ...]] = {}
 
     def work(texts: pa.Array) -> list[pa.Array]:
         m = shared.value
@@ -220,7 +220,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "te
                 if weighty is None:
                     if len(remembered) >= _REMEMBERED:
                         remembered.clear()
-                    weighty = remembered[w] = [h for h in word_features(w, m.bits) if m.weights[h]]
+                    weighty = remembered[w] = tuple(h for h in word_features(w, m.bits) if m.weights[h])
                 found.update(weighty)
             sums[k] = sum(float(m.weights[h]) for h in sorted(found)) + m.bias
         scores = _sigmoid(sums)

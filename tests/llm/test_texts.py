@@ -1,16 +1,21 @@
 """BPE, toxicity, compression rules and perplexity on small tables with odd rows."""
 
+import gc
 import json
 import math
 import random
+import weakref
 from collections import Counter
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 import zstandard
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from convspark.llm import bpe, perplexity, toxicity
+from convspark.llm.batches import map_rows, struct_of
 from convspark.llm.lexicon import compile_words, find_words, open_packed, pack
 from convspark.llm.quality_rules import CompressionRule, judge_documents
 from tests.llm import brute
@@ -238,3 +243,32 @@ def test_vocabulary_file_is_read():
     content = json.load(open(PATH, encoding="utf-8"))
     vocabulary = bpe.load_vocabulary(PATH)
     assert len(vocabulary.merges) == len(content["model"]["merges"]) and vocabulary.special == {"<|endoftext|>": 50256}
+
+
+def test_a_worker_keeps_the_coder_of_one_lexicon(monkeypatch):
+    """Workers live on between jobs: with the coders of earlier lexicons an executor's memory ran out."""
+    monkeypatch.setattr(bpe, "SparkFiles", type("Files", (), {"get": staticmethod(lambda name: name)}))
+    monkeypatch.setattr(bpe, "open_packed", lambda path: path)
+    monkeypatch.setattr(bpe, "Coder", type("Coder", (), {"__init__": lambda self, arrays: None}))
+    bpe._coder.cache_clear()
+    first = weakref.ref(bpe._coder("one"))
+    assert bpe._coder("one") is first()
+    bpe._coder("two")
+    gc.collect()
+    assert first() is None
+    bpe._coder.cache_clear()
+
+
+def test_the_text_crosses_to_python_once(spark):
+    docs = spark.createDataFrame([(1, "ab"), (2, None), (3, "")], "id long, text string")
+
+    def work(values):
+        return [pc.fill_null(pc.utf8_length(values), -1).cast("int64")]
+
+    for keep in (True, False):
+        found = map_rows(docs, "text", struct_of(n=T.LongType()), work, keep_input=keep)
+        assert sorted(tuple(r) for r in found.collect()) == [(1, *["ab"] * keep, 2), (2, *[None] * keep, -1), (3, *[""] * keep, 0)]
+        sent = found._jdf.queryExecution().analyzed().toString().split("MapInArrow")[1].split("Project [")[1].split("]")[0]
+        assert sent.count("text#") == 1
+    replaced = map_rows(docs, "text", struct_of(text=T.LongType()), work)
+    assert sorted(tuple(r) for r in replaced.collect()) == [(1, 2), (2, -1), (3, 0)]
