@@ -278,5 +278,6 @@ class Bm25:
     def fit(self, examples: DataFrame, terms: Terms | None = None) -> Bm25Model:
         """``terms`` are those of the examples, where they have been counted already."""
         terms, n_docs, n_terms = terms or fit_terms(examples)
-        shared = batch_terms(terms, n_terms, documents(examples))
+        # every term is one of the examples, so there is nothing to cut
+        shared = broadcast_if_small(terms, n_terms)
         return Bm25Model(terms, n_docs, n_terms, average_length(examples, shared, n_docs), self.k1, self.b)
