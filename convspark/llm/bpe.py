@@ -8,10 +8,11 @@ import json
 import re
 import unicodedata
 import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,15 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 #: Words over this length are never compiled; they are merged.
 LONGEST_WORD = 48
-#: Merged words that a worker remembers.
-_REMEMBERED = 100_000
+#: Ids of the words that a worker remembers, all together.
+_REMEMBERED = 600_000
+#: Words of so many bytes are merged one by one, over a heap; shorter ones all together.
+_ALONE = 64
+#: Stands for the rank of a pair without a merge.
+_NEVER = 1 << 30
+#: Characters beyond the tables of the quick splitter.
+_late = re.compile("[\U00010000-\U0010ffff]").search
+_any = regex.compile(PATTERN).findall
 
 
 @dataclass(frozen=True)
@@ -70,6 +78,28 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(merges, token_bytes, [ids[c] for c in letters], added)
 
 
+def _ranges(is_inside: Callable[[str], bool]) -> str:
+    """Characters up to U+FFFF that a test holds for, as the inside of a character class."""
+    inside = np.array([is_inside(chr(c)) for c in range(0x10000)] + [False])
+    edges = np.flatnonzero(np.diff(inside, prepend=False)).tolist()
+    return "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+@lru_cache(1)
+def _quick() -> Callable[[str], list[str]]:
+    """``PATTERN`` up to U+FFFF with its classes written out: ``re`` looks these up in a bitmap."""
+    letter, number = (_ranges(lambda c, kind=kind: unicodedata.category(c)[0] == kind) for kind in "LN")
+    space = _ranges(lambda c: c.isspace() and not "\x1c" <= c <= "\x1f")
+    return re.compile(
+        rf" ?[{letter}]+|'(?:[stmd]|re|ve|ll)| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    ).findall
+
+
+def split_words(text: str) -> list[str]:
+    """Words of a text, by ``PATTERN``; characters that this Python's tables do not know count as symbols up to U+FFFF."""
+    return _any(text) if not text.isascii() and _late(text) else _quick()(text)
+
+
 def merge_word(word: bytes, byte_ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """Ids of a word: again and again the pair of least rank, the first of equals, becomes one id."""
     ids: list[int | None] = [byte_ids[b] for b in word]
@@ -114,21 +144,94 @@ def merge_word(word: bytes, byte_ids: list[int], ranks: dict[tuple[int, int], tu
     return [x for x in ids if x is not None]
 
 
+def _pairs(merges: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
+    """Rank and id made, by left and right id."""
+    return {(a, b): (k, c) for k, (a, b, c) in enumerate(merges.tolist())}
+
+
+class Merger:
+    """The merges in an order to look up many pairs at once."""
+
+    def __init__(self, merges: np.ndarray, byte_ids: np.ndarray) -> None:
+        self.merges, self.byte_ids = np.asarray(merges, np.int64), np.asarray(byte_ids, np.int64)
+        self.made = self.merges[:, 2]
+        keys = self.merges[:, 0] << 32 | self.merges[:, 1]
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+
+    @cached_property
+    def pairs(self) -> dict[tuple[int, int], tuple[int, int]]:
+        return _pairs(self.merges)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair's merge; the last counts of those with the same pair, as in :func:`_pairs`."""
+        if not len(self.keys):
+            return np.full(len(left), _NEVER)
+        keys = left << 32 | right
+        at = np.maximum(np.searchsorted(self.keys, keys, "right") - 1, 0)
+        return np.where(self.keys[at] == keys, self.order[at], _NEVER)
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and the offsets of each word: those of :func:`merge_word`.
+
+        Every round makes one merge in each word that has one left; words without leave.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        alone = np.flatnonzero(lengths >= _ALONE)
+        byte_ids = self.byte_ids.tolist()
+        listed = [merge_word(words[k], byte_ids, self.pairs) for k in alone.tolist()]
+        ids_of = [np.array([i for x in listed for i in x], np.int64)]
+        word_of = [np.repeat(alone, np.array([len(x) for x in listed], np.int64))]
+        short = np.flatnonzero(lengths < _ALONE)
+        ids = self.byte_ids[np.frombuffer(b"".join(words[k] for k in short.tolist()), np.uint8)]
+        word = np.repeat(short, lengths[short])
+        # rank of the pair that begins at a place
+        offers = np.full(len(ids), _NEVER)
+        inner = np.flatnonzero(word[:-1] == word[1:])
+        offers[inner] = self.ranks(ids[inner], ids[inner + 1])
+        while len(ids):
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            best = np.minimum.reduceat(offers << 32 | np.arange(len(ids)), starts)
+            rank, at = best >> 32, best & 0xFFFFFFFF
+            on = rank < _NEVER
+            stays = np.repeat(on, np.diff(starts, append=len(ids)))
+            ids_of.append(ids[~stays])
+            word_of.append(word[~stays])
+            rank, at = rank[on], at[on]
+            ids[at] = self.made[rank]
+            stays[at + 1] = False
+            at = (np.cumsum(stays) - 1)[at]
+            ids, word, offers = ids[stays], word[stays], offers[stays]
+            # the new ids' pairs: with what follows, and with what lies before
+            offers[at] = _NEVER
+            left = np.concatenate([at, at - 1])
+            left = left[(left >= 0) & (left + 1 < len(ids))]
+            left = left[word[left] == word[left + 1]]
+            offers[left] = self.ranks(ids[left], ids[left + 1])
+        merged, owner = np.concatenate(ids_of), np.concatenate(word_of)
+        return merged[np.argsort(owner, kind="stable")].astype(np.int32), ends_of(np.bincount(owner, minlength=len(words)))
+
+
 class Coder:
-    """Encodes and decodes slices of texts with a packed lexicon."""
+    """Encodes and decodes slices of texts with a packed lexicon.
+
+    It remembers the ids of words from slice to slice, of ``remembered`` ids in all; then it begins anew.
+    """
 
-    def __init__(self, arrays: dict[str, np.ndarray]) -> None:
-        self.arrays = arrays
+    def __init__(self, arrays: dict[str, np.ndarray], remembered: int = _REMEMBERED) -> None:
+        self.arrays, self.remembered = arrays, remembered
         self.word_ids, self.word_ends = arrays["word_ids"], arrays["word_offsets"]
         self.token_data, self.token_ends = np.asarray(arrays["token_data"]), np.asarray(arrays["token_offsets"])
-        left, right, made = (arrays["merges"][k::3].tolist() for k in range(3))
-        self.ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(zip(left, right, made, strict=True))}
-        self.byte_ids = arrays["byte_ids"].tolist()
+        self.merger = Merger(arrays["merges"].reshape(-1, 3), arrays["byte_ids"])
         self.special = json.loads(arrays["special"].tobytes().decode())
-        self.pattern = regex.compile(PATTERN)
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.merged: dict[str, tuple[int, ...]] = {}
         self.characters: set[str] = set()
+        self._forget()
+
+    def _forget(self) -> None:
+        #: place of each word met, and the ids by place
+        self.places: defaultdict[str, int] = defaultdict(count().__next__)
+        self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text. Characters younger than this Python's tables are split by the library's own tables."""
@@ -136,7 +239,7 @@ class Coder:
             from tokenizers.pre_tokenizers import ByteLevel
 
             return [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
-        return self.pattern.findall(text)
+        return split_words(text)
 
     def _known(self, text: str) -> bool:
         """Whether Python's tables know all characters: those of other libraries may be younger or older."""
@@ -148,57 +251,46 @@ class Coder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the offsets of each text."""
-        places: dict[str, int] = {}
-        codes: list[int] = []
-        counts = []
+        codes, known = [], len(self.places)
         for text in texts:
-            before = len(codes)
+            words: list[str] = []
             if any(x in text for x in self.special):
                 at = 0
                 for found in self.cut.finditer(text):
-                    codes += [places.setdefault(p, len(places)) for p in self.pieces(text[at : found.start()])]
-                    codes.append(-1 - self.special[found[0]])
+                    words += self.pieces(text[at : found.start()])
+                    words.append(found[0])
                     at = found.end()
                 text = text[at:]
-            codes += [places.setdefault(p, len(places)) for p in self.pieces(text)]
-            counts.append(len(codes) - before)
-        words = list(places)
+            words += self.pieces(text)
+            codes.append(np.fromiter(map(self.places.__getitem__, words), np.int64, len(words)))
+        self._learn(list(islice(self.places, known, None)))
+        pick = np.concatenate(codes) if codes else np.empty(0, np.int64)
+        ids, ends = gather(self.flat, self.ends, pick)
+        total = np.concatenate([[0], ends])
+        if len(self.flat) > self.remembered:
+            self._forget()
+        return ids, total[ends_of(np.array([len(c) for c in codes], np.int64))]
+
+    def _learn(self, words: list[str]) -> None:
+        """Append the ids of new words: special ones, those of the lexicon, and merged ones."""
         encoded = [w.encode() for w in words]
         found = find_words(self.arrays, encoded)
-        unseen = np.flatnonzero(found < 0)
-        listed = [self._merge(words[k], encoded[k]) for k in unseen.tolist()]
-        # segments: first those of the lexicon that are used, then the merged ones, then special ids
-        known = found >= 0
-        values, ends = gather(self.word_ids, self.word_ends, found[known])
-        lengths = np.empty(len(words), np.int64)
-        lengths[known] = np.diff(ends, prepend=0)
-        lengths[unseen] = [len(x) for x in listed]
-        order = np.concatenate([np.flatnonzero(known), unseen])
-        flat = np.concatenate([values, np.array([i for x in listed for i in x], np.int32)]).astype(np.int32)
-        where = np.empty(len(words) + 1, np.int64)
-        where[order] = np.arange(len(words))
-        code = np.array(codes, np.int64)
-        segments = ends_of(lengths[order])
-        marks = code < 0
-        if marks.any():
-            flat = np.concatenate([flat, np.array(sorted({-1 - c for c in code[marks].tolist()}), np.int32)])
-            names = {i: k for k, i in enumerate(flat[segments[-1] :].tolist())}
-            segments = np.concatenate([segments, segments[-1] + 1 + np.arange(len(names))])
-            code[marks] = [-1 - names[-1 - c] for c in code[marks].tolist()]
-        pick = np.where(marks, len(words) - 1 - code, where[np.maximum(code, 0)]) if len(code) else code
-        ids, ends = gather(flat, segments, pick)
-        total = np.concatenate([[0], ends])
-        return ids, total[ends_of(np.array(counts, np.int64))]
-
-    def _merge(self, word: str, encoded: bytes) -> tuple[int, ...]:
-        ids = self.merged.get(word)
-        if ids is None:
-            ids = tuple(merge_word(encoded, self.byte_ids, self.ranks))
-            if len(encoded) <= LONGEST_WORD:
-                if len(self.merged) >= _REMEMBERED:
-                    self.merged.clear()
-                self.merged[word] = ids
-        return ids
+        # what is cut out of a text as special is never a word beside
+        special = [k for k, w in enumerate(words) if w in self.special]
+        found[special] = -1
+        unseen = found < 0
+        unseen[special] = False
+        listed, unseen = np.flatnonzero(found >= 0), np.flatnonzero(unseen)
+        values, ends = gather(self.word_ids, self.word_ends, found[listed])
+        merged, offsets = self.merger.merge([encoded[k] for k in unseen.tolist()])
+        named = np.array([self.special[words[k]] for k in special], np.int32)
+        # segments in the order found; then in that of the words
+        source = np.concatenate([values, merged, named]).astype(np.int32)
+        order = np.concatenate([listed, unseen, np.array(special, np.int64)])
+        lengths = np.concatenate([np.diff(ends, prepend=0), np.diff(offsets), np.ones(len(special), np.int64)])
+        ids, ends = gather(source, ends_of(lengths), np.argsort(order))
+        self.flat = np.concatenate([self.flat, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Texts of ids; bytes that are no UTF-8 become U+FFFD. Null and unknown ids are refused."""
@@ -224,7 +316,6 @@ class Lexicon:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    find = regex.compile(PATTERN).findall
     counts: Counter[str] = Counter()
 
     def flush() -> pa.RecordBatch:
@@ -239,7 +330,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in slices(texts):
             for text in texts.slice(a, b - a).to_pylist():
                 if text:
-                    counts.update(find(text))
+                    counts.update(split_words(text))
             if len(counts) > 200_000:
                 yield flush()
     yield flush()
@@ -292,11 +383,10 @@ def build_lexicon(
         least = row["n"]
     words = [] if least is None else [r["word"].encode() for r in counts.where(F.col("n") >= least).collect()]
     words.sort()
-    ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(vocabulary.merges.tolist())}
-    ids = [merge_word(w, vocabulary.byte_ids, ranks) for w in words]
+    ids, offsets = Merger(vocabulary.merges, np.array(vocabulary.byte_ids)).merge(words)
     arrays = compile_words(words) | {
-        "word_ids": np.array([i for x in ids for i in x], np.int32),
-        "word_offsets": ends_of(np.array([len(x) for x in ids], np.int64)),
+        "word_ids": ids,
+        "word_offsets": offsets,
         "merges": vocabulary.merges.reshape(-1),
         "byte_ids": np.array(vocabulary.byte_ids, np.int32),
         "token_data": np.frombuffer(b"".join(vocabulary.token_bytes), np.uint8),

@@ -4,6 +4,7 @@ import gc
 import json
 import math
 import random
+import unicodedata
 import weakref
 from collections import Counter
 
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow.compute as pc
 import pytest
 import zstandard
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +96,64 @@ def test_long_and_short_words_merge_alike():
         assert bpe.merge_word(word.encode(), vocabulary.byte_ids, ranks) == library.encode(word, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def arrays(docs):
+    return open_packed(SparkFiles.get(bpe.build_lexicon(docs, PATH).name))
+
+
+def test_a_worker_meets_a_word_once(arrays, monkeypatch):
+    """Looking up and merging the words of every slice anew took most of the time on large tables."""
+    met = []
+    monkeypatch.setattr(bpe, "find_words", lambda automaton, words: met.extend(words) or find_words(automaton, words))
+    coder, texts = bpe.Coder(arrays), [t or "" for t in odd_texts()]
+    first = coder.encode(texts)
+    assert len(met) == len(set(met)) > 100
+    met.clear()
+    again = coder.encode(texts[::-1] + ["the nation of new"])
+    assert met == [b" new"]
+    assert len(again[0]) == len(first[0]) + 4
+
+
+@pytest.mark.parametrize("remembered", [0, 50, 600_000])
+def test_ids_do_not_depend_on_what_is_remembered(arrays, remembered):
+    library, coder = tokenizers.Tokenizer.from_file(PATH), bpe.Coder(arrays, remembered)
+    texts = [t or "" for t in odd_texts()] * 2
+    for k in range(0, len(texts), 7):
+        ids, offsets = coder.encode(texts[k : k + 7])
+        for text, a, b in zip(texts[k : k + 7], offsets[:-1], offsets[1:], strict=True):
+            assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.flat) <= remembered
+    assert [len(x) for x in coder.encode([])] == [0, 1]
+
+
+def test_every_character_is_split_as_the_library_does():
+    library = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
+    known = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) not in ("Cn", "Cs", "Co")]
+    # letters of the large scripts one by one would take long: all others, and every 50th of these
+    known = [c for k, c in enumerate(known) if unicodedata.category(c) != "Lo" or k % 50 == 0]
+    for c in known:
+        text = f"a{c}b 1{c}{c}2 {c}'s {c}"
+        assert bpe.split_words(text) == [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)], hex(ord(c))
+
+
+def test_words_merged_together_merge_as_alone():
+    vocabulary, rnd = bpe.load_vocabulary(PATH), random.Random(5)
+    ranks = {(a, b): (k, c) for k, (a, b, c) in enumerate(vocabulary.merges.tolist())}
+    words = ["".join(rnd.choice("thean 1\u00f1\u4e2d!") for _ in range(rnd.randrange(1, 70))).encode() for _ in range(500)]
+    words += [b"a" * 63, b"a" * 64, b"\xff", b" the"]
+    merger = bpe.Merger(vocabulary.merges, np.array(vocabulary.byte_ids))
+    ids, offsets = merger.merge(words)
+    for word, a, b in zip(words, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == bpe.merge_word(word, vocabulary.byte_ids, ranks)
+    assert [len(x) for x in merger.merge([])] == [0, 1]
+    # a pair that is listed twice counts with its last rank, and no merges leave the bytes
+    for merges in (np.array([(0, 1, 2), (1, 1, 3), (0, 1, 4)], np.int32), np.zeros((0, 3), np.int32)):
+        pairs = {(a, b): (k, c) for k, (a, b, c) in enumerate(merges.tolist())}
+        ids, offsets = bpe.Merger(merges, np.array([0, 1])).merge([b"\0\1\1", b"\0\1"])
+        assert ids[: offsets[1]].tolist() == bpe.merge_word(b"\0\1\1", [0, 1], pairs)
+        assert ids[offsets[1] :].tolist() == bpe.merge_word(b"\0\1", [0, 1], pairs)
+
+
 def test_counts_of_quality_rules(docs, nothing):
     found = judge_documents(docs).collect()
     for r in found:
