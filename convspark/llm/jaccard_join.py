@@ -8,6 +8,7 @@ from math import ceil, exp, floor, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,12 @@ from convspark.workspace import broadcast_if_small, materialise, materialise_cou
 _BAND = 1.25
 #: Entries that a task holds before it hands them on, and entries of one block of the index.
 _FLUSH, _BLOCK = 1_000_000, 2_000_000
+#: Sets that meet in a signature up to which all their pairs are listed; more are joined by star edges.
+_PAIRED = 16
+#: Pairs that have stood the test of sketches, of which a task hands on a spanning forest.
+_SPANNED = 1_000_000
+#: Bits of the least and of the largest sketch of a set.
+_SKETCHES = 64, 1 << 15
 #: Members and shingles of one side of a comparison, and of one of shingles cut to 32 bits.
 _MEMBERS, _SHINGLES = 1024, 1_000_000
 _SHORT_MEMBERS, _SHORT_SHINGLES = 2048, 4_000_000
@@ -204,38 +211,107 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
     return np.concatenate(out_keys), np.concatenate(out_sets)
 
 
-def star_edges(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Edges from the first undeleted node of each signature to the others, and the entry kept for each signature.
+def _apart(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones among pairs of two different nodes, the smaller node first."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)] & (a != b)
+    return a[new], b[new]
 
-    Entries that differ only in the lowest bit have one signature. Nodes that met only as deleted ones
-    hang on the first of them, which joins at most too much. Returns two node arrays and the places of
-    the kept entries.
+
+def meetings(keys: np.ndarray, nodes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What meets by signature: star edges, pairs (both with two rows), and the places of the entries to hand on.
+
+    Entries that differ only in the lowest bit have one signature. Up to ``most`` nodes of one signature give all
+    their pairs but those that met as deleted ones on both sides: linked sets also meet otherwise. More nodes give edges
+    from the first of them, the undeleted ones first; then one more than ``most`` are handed on, so that their signature
+    has too many to list wherever it is met again.
     """
-    order = np.lexsort((nodes, keys))
+    order = np.argsort(keys, kind="stable")
     bucket = keys[order] >> np.uint64(1)
-    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
+    equal = bucket[1:] == bucket[:-1]
+    shared = np.zeros(len(order), bool)
+    shared[1:] |= equal
+    shared[:-1] |= equal
+    alone, order = order[~shared], order[shared]
+    del bucket, equal, shared
+    none = np.empty((2, 0), nodes.dtype)
+    if not len(order):
+        return none, none, alone
+    # a node is in a signature once, undeleted if it can be
+    order = order[np.lexsort((keys[order], nodes[order], keys[order] >> np.uint64(1)))]
+    bucket, node = keys[order] >> np.uint64(1), nodes[order]
+    order = order[np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (node[1:] != node[:-1])])]
+    order = order[np.lexsort((nodes[order], keys[order]))]
+    key, node = keys[order], nodes[order]
+    bucket = key >> np.uint64(1)
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     lengths = np.diff(np.append(start, len(bucket)))
-    kept = order[start]
-    del bucket
-    other = nodes[order]
-    del order
-    hub = np.repeat(nodes[kept], lengths)
-    apart = hub != other
-    hub, other = hub[apart], other[apart]
-    order = np.lexsort((other, hub))
-    hub, other = hub[order], other[order]
-    new = np.concatenate([[True], (hub[1:] != hub[:-1]) | (other[1:] != other[:-1])])[: len(hub)]
-    return hub[new], other[new], kept
+    many = np.repeat(lengths > most, lengths)
+    hub = np.repeat(node[start], lengths)
+    left = np.repeat(start + lengths, lengths) - np.arange(len(bucket)) - 1  # entries behind this one
+    pairs = []
+    for step in range(1, min(most, int(lengths.max()))):
+        one = np.flatnonzero(~many & (left >= step) & ((key & np.uint64(1)) == 0))
+        pairs.append(np.stack([node[one], node[one + step]]))
+    listed = np.concatenate([none, *pairs], axis=1)
+    handed = ~many | (np.arange(len(bucket)) - np.repeat(start, lengths) <= most)
+    return spanning(hub[many], node[many]), np.stack(_apart(*listed)), np.concatenate([alone, order[handed]])
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Edges, fewer than nodes, that connect what the given ones do: from each node to the smallest it is connected with."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = place[: len(a)], place[len(a) :]
+    root = np.arange(len(nodes))
+    while len(a):
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+        a, b = root[a], root[b]
+        a, b = a[a != b], b[a != b]
+    led = np.flatnonzero(root != np.arange(len(nodes)))
+    return np.stack([nodes[root[led]], nodes[led]])
+
+
+def sketches(sets: list[np.ndarray]) -> list[bytes]:
+    """For each set the parities of how many elements end in the same bits: as many of them as it has elements, or more.
+
+    Sketches are as long as a power of two; the two halves of one, taken together, are the sketch of half the length.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    wide = np.clip(2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), *_SKETCHES)
+    ends = ends_of(wide)
+    token = np.concatenate([*sets, np.empty(0, np.uint64)])
+    place = np.repeat(ends[:-1], sizes) + (token & np.repeat((wide - 1).astype(np.uint64), sizes)).astype(np.int64)
+    packed = np.packbits((np.bincount(place, minlength=ends[-1]) & 1).astype(np.uint8)).tobytes()
+    return [packed[a // 8 : b // 8] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
-_INDEX = "kind byte, _id long, own long, n long, node long, other long, block int, keys binary, nodes binary, places binary"
+def least_difference(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """For pairs of sketches, how many elements at least are in only one of the two sets."""
+    found = np.zeros(len(left), np.int64)
+    lengths = [pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (left, right)]
+    name = lengths[0] * (_SKETCHES[1] + 1) + lengths[1]
+    for kind in np.unique(name):
+        at = np.flatnonzero(name == kind)
+        sides = [np.frombuffer(b"".join(x.take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1) for x in (left, right)]
+        words = min(x.shape[1] for x in sides)
+        one, two = (np.bitwise_xor.reduce(x.reshape(len(at), -1, words), axis=1) for x in sides)
+        found[at] = np.bitwise_count(one ^ two).sum(axis=1)
+    return found
+
+
+_MET = "kind byte, _id long, own long, n long, node long, other long, sketch binary"
+_INDEX = f"{_MET}, block int, keys binary, nodes binary, places binary"
 
 
 def _index(bands: Bands, width: int, blocks: int):
-    """Documents to three kinds of rows: 0 document, size and set; 1 candidate edge; 2 entries of a block."""
+    """Documents to three kinds of rows: 0 document, size, set and sketch; 1 candidate edge; 2 entries of a block."""
 
     def columns(kind: int, rows: int, **given) -> pa.RecordBatch:
-        kinds = {"_id": pa.int64(), "own": pa.int64(), "n": pa.int64(), "node": pa.int64(), "other": pa.int64(), "block": pa.int32(), "keys": pa.binary(), "nodes": pa.binary(), "places": pa.binary()}
+        kinds = {"_id": pa.int64(), "own": pa.int64(), "n": pa.int64(), "node": pa.int64(), "other": pa.int64(), "sketch": pa.binary(), "block": pa.int32(), "keys": pa.binary(), "nodes": pa.binary(), "places": pa.binary()}
         arrays = [pa.array(np.full(rows, kind, np.int8))]
         arrays += [pa.array(given[c], t) if c in given else pa.nulls(rows, t) for c, t in kinds.items()]
         return pa.RecordBatch.from_arrays(arrays, ["kind", *kinds])
@@ -249,14 +325,14 @@ def _index(bands: Bands, width: int, blocks: int):
             keys, nodes = np.concatenate(kept_keys), np.concatenate(kept_nodes)
             kept_keys.clear()
             kept_nodes.clear()
-            # what meets inside the task is joined here: one entry per signature leaves it
-            a, b, rest = star_edges(keys, nodes)
+            # what meets often inside the task is joined here: few entries per signature leave it
+            (a, b), _, rest = meetings(keys, nodes, _PAIRED)
             if len(a):
                 yield columns(1, len(a), node=a, other=b, block=_aside(len(a), blocks))
             keys, nodes = keys[rest], nodes[rest]
             block = ((keys >> np.uint64(1)) % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
-            keys, nodes, block = keys[order], nodes[order], block[order]
+            keys, nodes, block = _short(keys[order]), nodes[order], block[order]
             start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
             ends = np.append(start[1:], len(block))
             for a in range(0, len(start), 64):
@@ -274,7 +350,7 @@ def _index(bands: Bands, width: int, blocks: int):
                 nodes = np.array([digest(s) if len(s) else 0 for s in sets], np.int64)
                 yield columns(
                     0, b - a, _id=ids.slice(a, b - a), own=own.slice(a, b - a), n=np.array([len(s) for s in sets], np.int64),
-                    node=pa.array(nodes, mask=np.array([not len(s) for s in sets])), block=_aside(b - a, blocks),
+                    node=pa.array(nodes, mask=np.array([not len(s) for s in sets])), sketch=sketches(sets), block=_aside(b - a, blocks),
                 )
                 # equal sets of a slice are indexed once
                 first = np.sort(np.unique(nodes, return_index=True)[1])
@@ -292,6 +368,11 @@ def _index(bands: Bands, width: int, blocks: int):
     return run
 
 
+def _short(keys: np.ndarray) -> np.ndarray:
+    """32 bits of signatures that are in one block; what meets by those alone is a candidate more."""
+    return ((keys >> np.uint64(32)) & ~np.uint64(1) | keys & np.uint64(1)).astype(np.uint32)
+
+
 def _named(nodes: np.ndarray) -> tuple[bytes, bytes]:
     """The distinct nodes, and for each entry the place of its node among them in as few bytes as will do."""
     distinct, places = np.unique(nodes, return_inverse=True)
@@ -308,16 +389,45 @@ def _aside(rows: int, blocks: int) -> np.ndarray:
 
 
 def _join_block(table: pa.Table) -> pa.Table:
-    """Star edges of a block of entries; rows of documents and edges as they are."""
-    narrow = ["kind", "_id", "own", "n", "node", "other"]
+    """Star edges (kind 1) and pairs (3) of a block of entries; rows of documents and edges as they are."""
+    narrow = ["kind", "_id", "own", "n", "node", "other", "sketch"]
     if table.column("block")[0].as_py() < 0:
         return table.select(narrow)
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()])
+    keys = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]).astype(np.uint64)
     packed = zip(*(table.column(c).to_pylist() for c in ("nodes", "places", "keys")), strict=True)
-    nodes = np.concatenate([_nodes(n, p, len(k) // 8) for n, p, k in packed])
-    a, b, _ = star_edges(keys, nodes)
+    nodes = np.concatenate([_nodes(n, p, len(k) // 4) for n, p, k in packed])
+    edges, pairs, _ = meetings(keys, nodes, _PAIRED)
+    kinds = np.repeat(np.array([1, 3], np.int8), [edges.shape[1], pairs.shape[1]])
+    a, b = np.concatenate([edges, pairs], axis=1)
     none = pa.nulls(len(a), pa.int64())
-    return pa.table([pa.array(np.full(len(a), 1, np.int8)), none, none, none, pa.array(a, pa.int64()), pa.array(b, pa.int64())], narrow)
+    return pa.table([pa.array(kinds), none, none, none, pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(len(a), pa.binary())], narrow)
+
+
+def _near(index: DataFrame, percent: int) -> DataFrame:
+    """Edges that span, task by task, the pairs whose sketches differ in no more than linked sets may: (``a``, ``b``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty((2, 0), np.int64)]
+
+        def flush() -> pa.RecordBatch:
+            a, b = spanning(*np.concatenate(held, axis=1))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        for batch in batches:
+            a, b, n, m = (batch.column(k).to_numpy() for k in (0, 1, 2, 4))
+            fine = least_difference(batch.column(3), batch.column(5)) <= largest_difference(n + m, percent)
+            fine &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            held.append(np.stack([a[fine], b[fine]]))
+            if sum(x.shape[1] for x in held) >= _SPANNED:
+                yield flush()
+                held = held[:1]
+        yield flush()
+
+    pairs = index.where("kind = 3").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    one = materialise(index.where("kind = 0 AND node IS NOT NULL").select("node", "n", "sketch").dropDuplicates(["node"]), "jaccard-sketches")
+    two = one.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    both = pairs.join(one.withColumnRenamed("node", "a"), "a").join(two, "b").select("a", "b", "n", "sketch", "m", "other")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _ranges(sets: list[np.ndarray], edges: np.ndarray) -> np.ndarray:
@@ -478,10 +588,11 @@ def jaccard_components(
     subset of one element less, as the cost model of the band decides (see ``_scheme``). A set is
     indexed in its band and in those above where partners can be.
 
-    Equal sets are one node. Entries that agree inside a task are joined there and one entry per
-    signature leaves it, so a signature that a third of all sets have costs one entry per task. Blocks
-    of packed entries meet by signature and give star edges, not pairs; their components are candidate
-    clusters, supersets of the true ones. Each cluster's sets are then compared, within bounded pieces of
+    Equal sets are one node. Blocks of packed entries meet by signature. The pairs of a signature that few sets have are
+    listed, and those stay whose sketches, parities of as many groups of elements as a set has elements, differ in
+    no more places than linked sets may in elements. So sets that have met by accident do not grow into one large cluster.
+    A signature of many sets gives star edges, also inside a task, from which few entries of it go on. The
+    components of both are candidate clusters, supersets of the true ones. Each cluster's sets are then compared, within bounded pieces of
     members (pieces whose sizes cannot be linked are not compared), first by 32 bits of each shingle, counting
     in favour of a link what these cannot tell; the clusters that this leaves are compared by all 64. Only
     spanning edges leave a task; their components are the result.
@@ -520,11 +631,12 @@ def jaccard_components(
     index = materialise(
         source.mapInArrow(_index(bands, width, blocks), _INDEX)
         .groupBy("block")
-        .applyInArrow(_join_block, "kind byte, _id long, own long, n long, node long, other long"),
+        .applyInArrow(_join_block, _MET),
         "jaccard-index",
     )
     rows = index.where("kind = 0").select("_id", "own", "n", "node")
     met = index.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    met = materialise(met.distinct().unionByName(_near(index, percent)), "jaccard-met")
     candidates = components(met, "jaccard-candidates")
     # one document stands for each set; texts of candidates are read again
     first = rows.join(candidates, "node").groupBy("node", "root").agg(F.min_by(F.struct("_id", "own"), "own").alias("_first"))

@@ -4,6 +4,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from convspark.llm import jaccard_join
@@ -298,3 +299,70 @@ def test_comparison_and_edges_hold_little_besides_their_input(monkeypatch):
     tracemalloc.stop()
     assert all((a == b).all() for a, b in zip(whole, cut, strict=True)) and links.any() and not links.all()
     assert peak < 10_000_000  # 24 million before
+
+
+def test_sets_that_meet_by_accident_form_no_large_cluster(spark, monkeypatch):
+    """Texts that only share some shingles are not compared with each other, and copies are still found."""
+    rnd = random.Random(31)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(25, 60)))) for i in range(600)]
+    rows += [(2000 + i, f"{rows[i][1]} {rows[i][1][0]}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    wanted = brute.jaccard_components(rows, 3, 80)
+    sizes = {}
+    count = jaccard_join.materialise_counting
+
+    def spy(df, label, condition=None):
+        table, n = count(df, label, condition)
+        if label == "jaccard-chosen":
+            sizes[label] = n, table.groupBy("root").count().agg({"count": "max"}).first()[0]
+        return table, n
+
+    monkeypatch.setattr(jaccard_join, "materialise_counting", spy)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 80).collect()} == wanted
+    linked = [k for k in wanted if sum(c == wanted[k][1] for _, c in wanted.values()) > 1]
+    # 531 texts, 502 of them in one cluster, when all that met were joined
+    assert len(linked) <= sizes["jaccard-chosen"][0] < 250 and sizes["jaccard-chosen"][1] < 150
+
+
+def test_sketches_never_overstate_a_difference():
+    rng = np.random.default_rng(12)
+    left, right = [], []
+    for n in (1, 3, 40, 63, 64, 65, 500, 1030, 70_000):
+        for share in (0.0, 0.1, 0.3, 1.0):
+            a = np.unique(rng.integers(1 << 63, size=n, dtype=np.uint64))
+            left.append(a)
+            right.append(np.unique(np.concatenate([a[rng.random(len(a)) >= share], rng.integers(1 << 63, size=1 + int(share * n / 2), dtype=np.uint64)])))
+    found = jaccard_join.least_difference(*(pa.array(jaccard_join.sketches(side), pa.binary()) for side in (left, right)))
+    apart = np.array([len(np.setxor1d(a, b)) for a, b in zip(left, right, strict=True)])
+    assert (found <= apart).all()
+    total = np.array([len(a) + len(b) for a, b in zip(left, right, strict=True)])
+    far = (apart >= 0.9 * total) & (total > 200) & (total < 50_000)
+    assert far.any() and (found[far] > jaccard_join.largest_difference(total[far], 80)).all()
+
+
+def test_pairs_and_edges_join_what_shares_a_signature():
+    """Tasks hand on enough of a frequent signature; one that only has deleted entries, and few, joins nothing."""
+    rng = np.random.default_rng(3)
+    keys = rng.integers(60, size=900).astype(np.uint64) << np.uint64(1)
+    keys[rng.random(900) < 0.3] |= np.uint64(1)
+    keys = np.concatenate([keys, np.full(50, 400, np.uint64), np.array([501, 501, 601, 600, 601], np.uint64)])
+    nodes = np.concatenate([rng.integers(300, size=900), 1000 + np.arange(50), [2000, 2001, 2002, 2003, 2004]])
+    task = rng.integers(3, size=len(keys))
+    edges, handed = [], []
+    for t in range(3):
+        mine = np.flatnonzero(task == t)
+        star, _, kept = jaccard_join.meetings(keys[mine], nodes[mine], 4)
+        edges.append(star)
+        handed.append(mine[kept])
+    handed = np.concatenate(handed)
+    star, pairs, _ = jaccard_join.meetings(keys[handed], nodes[handed], 4)
+    assert sum(keys[handed] == 400) == 15
+    found = {frozenset(p) for p in np.concatenate([*edges, star, pairs], axis=1).T.tolist()}
+    joined = brute.components({x for p in found for x in p}, [tuple(p) for p in found])
+    for bucket in np.unique(keys >> np.uint64(1)):
+        mine = {(int(n), int(k) & 1) for k, n in zip(keys, nodes, strict=True) if k >> np.uint64(1) == bucket}
+        for a, d in mine:
+            for b, _ in mine:
+                if not d and a != b:
+                    assert joined[a] == joined[b]
+    assert 2000 not in joined and frozenset((2002, 2004)) not in found and {frozenset((2002, 2003)), frozenset((2003, 2004))} <= found
