@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convspark.workspace import materialise, materialise_counting
+from convspark.workspace import BROADCAST_ROWS, materialise, materialise_counting
 
 #: Letters of words, in lower case but for those beyond ASCII, and the UTF-8 bytes of a run of them.
 LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xC0, 0x100)))
@@ -171,6 +171,11 @@ def _neighbourhoods(codes: DataFrame, symbols: int) -> DataFrame:
     return codes.mapInArrow(run, "code string, key long, own boolean")
 
 
+def _counted(side: DataFrame, rows: int) -> DataFrame:
+    """One side of a join, broadcast up to :data:`BROADCAST_ROWS` rows; beyond that Spark's sizes choose neither side."""
+    return F.broadcast(side) if rows <= BROADCAST_ROWS else side.hint("merge")
+
+
 def near_pairs(words: DataFrame, symbols: int, tasks: int) -> DataFrame:
     """All pairs of words exactly one edit apart, once each: (``a``, ``a_n``, ``b``, ``b_n``).
 
@@ -180,14 +185,15 @@ def near_pairs(words: DataFrame, symbols: int, tasks: int) -> DataFrame:
     from the other side), and joined with the vocabulary by key. What meets is verified on the words
     themselves, so that words of equal keys do no harm.
     """
-    coded = materialise(_with_keys(words, symbols), "coded-words")
+    coded, n = materialise_counting(_with_keys(words, symbols), "coded-words")
     codes = coded.select("code").repartition(tasks, "code").distinct()
     right = coded.select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
-    met = _neighbourhoods(codes, symbols).join(right, "key").drop("key")
+    # Spark sizes neighbourhoods by the words that they are made of, hundreds of times too low: they are never broadcast
+    met = _neighbourhoods(codes, symbols).join(_counted(right, n), "key").drop("key")
     left = coded.select("code", F.col("word").alias("a"), F.col("n").alias("a_n"))
     once = ~F.col("own") | (F.col("a") < F.col("b"))
     return (
-        met.join(left, "code").where(once & (F.levenshtein("a", "b", 1) == 1)).select("a", "a_n", "b", "b_n")
+        met.join(_counted(left, n), "code").where(once & (F.levenshtein("a", "b", 1) == 1)).select("a", "a_n", "b", "b_n")
     )
 
 
@@ -197,10 +203,11 @@ def follow(links: DataFrame) -> DataFrame:
     Every round doubles the way that each word has gone, so rounds grow with the logarithm of the longest
     chain. A form that many words share is a key with one row on the other side, which adaptive execution may split.
     """
-    now, moved = materialise_counting(links.select("word", F.col("form").alias("root")), "roots")
+    now, n = materialise_counting(links.select("word", F.col("form").alias("root")), "roots")
+    moved = n
     while moved:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        gone = now.join(on, "root", "left").select(
+        gone = now.join(_counted(on, n), "root", "left").select(
             "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("_moved")
         )
         table, moved = materialise_counting(gone, "roots", F.col("_moved"))
@@ -232,7 +239,7 @@ def spelling_variants(
     if min_length < 1 or factor < 2:
         raise ValueError("min_length must be positive, factor 2 or more")
     counted = count_words(docs, min_length, drop_one_in, id_column, text_column)
-    words = materialise(counted.where(F.col("n") >= min_count), "words")
+    words, n = materialise_counting(counted.where(F.col("n") >= min_count), "words")
     # bounded: longer words than these are few and far apart
     lengths = words.groupBy(F.least(F.length("word"), F.lit(64)).alias("length")).count().collect()
     symbols, made = choose_symbols({r["length"]: r["count"] for r in lengths})
@@ -247,13 +254,13 @@ def spelling_variants(
     )
     is_form = F.col("_n") >= factor * F.col("n")
     formed = materialise(
-        words.join(best, "word", "left").select(
+        words.join(_counted(best, n), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             F.when(is_form, F.col("_near")).alias("form"), F.when(is_form, F.col("_n")).alias("form_n"),
         ),
         "forms",
     )
     roots = follow(formed.where("form IS NOT NULL").select("word", "form"))
-    return formed.join(roots, "word", "left").select(
+    return formed.join(_counted(roots, n), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

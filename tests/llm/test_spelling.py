@@ -116,3 +116,27 @@ def test_empty_table(spark):
     assert spelling_variants(nothing).collect() == []
     blank = spark.createDataFrame([(None, None)], "doc_id long, text string")
     assert spelling_variants(blank.withColumn("x", F.lit(1))).collect() == []
+
+
+def test_neighbourhoods_are_not_broadcast(spark, monkeypatch):
+    """Spark takes them for as small as the words they are made of: a broadcast of them filled the driver."""
+    rnd = random.Random(5)
+    words = sorted({"".join(rnd.choice("abcé") for _ in range(rnd.randrange(5, 9))) for _ in range(300)})
+    table = spark.createDataFrame([(w, k) for k, w in enumerate(words)], "word string, n long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        for most in (200_000, 0):
+            monkeypatch.setattr(spelling, "BROADCAST_ROWS", most, raising=False)
+            pairs = near_pairs(table, 8, 3)
+            assert pairs.count() == sum(near(a, b) for a in words for b in words if a < b)
+            sides = pairs._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")
+            # what stands below a broadcast, up to the next line that is no deeper
+            for above, side in zip(sides, sides[1:], strict=False):
+                depth = len(above.rpartition("\n")[2])
+                below = side.split("\n")[1:]
+                end = next((k for k, x in enumerate(below) if len(x) - len(x.lstrip(" :|+-")) <= depth), len(below))
+                assert "MapInArrow" not in "\n".join(below[:end])
+            assert len(sides) == (1 if not most else 3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
