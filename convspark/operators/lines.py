@@ -54,13 +54,15 @@ def _previous_lines(lines: DataFrame, cleaned: DataFrame, depth: int, lines_per_
     # Only files longer than a block need tails; without any, the branch is dropped at run time.
     long_files = lines.where(F.col("line_no") >= lines_per_block).select(file).distinct()
     tail = F.array_compact(F.array("line", *[f"prev_{j}" for j in range(1, depth)]))
-    tails = blocked.where("is_last").select(*keys, tail.alias("tail")).join(long_files, file, "left_semi")
+    tails = blocked.where("is_last").select(*keys, *label, tail.alias("tail")).join(long_files, file, "left_semi")
     over_blocks = Window.partitionBy(file).orderBy("block")
     earlier = F.array_compact(F.array(*[F.lag("tail", j).over(over_blocks) for j in range(1, depth + 1)]))
-    carry = tails.select(*keys, F.slice(F.flatten(earlier), 1, depth).alias("carry")).where(F.size("carry") > 0)
+    # the label goes both ways, so that both branches want the same columns of the exchange
+    named = [F.col(c).alias("_label") for c in label]
+    carry = tails.select(*keys, *named, F.slice(F.flatten(earlier), 1, depth).alias("carry")).where(F.size("carry") > 0)
 
     return blocked.join(carry, keys, "left").select(
-        "file_id",
+        F.coalesce("_label", "file_id").alias("file_id") if label else "file_id",
         "line",
         *[
             F.coalesce(f"prev_{j}", F.get("carry", F.lit(j) - F.col("position"))).alias(f"prev_{j}")

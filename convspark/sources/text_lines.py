@@ -49,6 +49,7 @@ def read_lines(spark: SparkSession, pattern: str) -> Lines:
         ),
         "lines",
         F.col("raw").isNotNull(),
+        compression="zstd",  # all texts once more, as long as the job runs
     )
     splits = pinned.groupBy("path", "start").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)

@@ -64,7 +64,7 @@ def job_scope(spark: SparkSession) -> Iterator[None]:
             filesystem.delete(target, True)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table and return a scan of it.
 
     Cuts the lineage of iterative jobs, survives lost executors, and gives the optimiser the real
@@ -72,7 +72,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -81,9 +81,11 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def materialise_counting(df: DataFrame, label: str, condition: Column | None = None) -> tuple[DataFrame, int]:
+def materialise_counting(
+    df: DataFrame, label: str, condition: Column | None = None, compression: str = "snappy"
+) -> tuple[DataFrame, int]:
     """:func:`materialise`, and the number of rows (that meet the condition), from the same job."""
     counted = Observation()
     counter = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-    table = materialise(df.observe(counted, counter.alias("n")), label)
+    table = materialise(df.observe(counted, counter.alias("n")), label, compression)
     return table, counted.get.get("n", 0)

@@ -102,3 +102,16 @@ def test_plan_has_no_python_and_moves_the_text_once(spark):
     physical = plan[plan.index("== Physical Plan =="):]
     assert "Python" not in physical and "Arrow" not in physical
     assert "hashpartitioning(file_id" in physical
+
+
+def test_files_with_a_path_are_shuffled_once(spark, tmp_path):
+    """Texts moved twice where the label is not the key: the branch of the blocks' ends had an exchange without it."""
+    rows = [(f"/{d}/x", "x", i, f"line {i} of {d} is here") for d in "ab" for i in range(30)]
+    spark.createDataFrame(rows, "path string, file_id string, line_no long, line string").write.parquet(f"{tmp_path}/lines")
+    made = line_examples(spark.read.parquet(f"{tmp_path}/lines").where("path IS NOT NULL"), 2, lines_per_block=10)
+    found = sorted(tuple(r) for r in made.collect())
+    text = [["", "", "", *(f"line {i} of {d} is here" for i in range(30))] for d in "ab"]
+    wanted = [("x", t[k - 1], t[k], t[k - 2] or None, t[k - 3] or None) for t in text for k in range(4, 33)]
+    assert found == sorted(wanted, key=lambda r: r[:3])
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"- Exchange hashpartitioning\(path#\d+, block#", plan)) == 1
